@@ -1,0 +1,19 @@
+"""Broadcast only what is known to be small."""
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# rows; a row of the frames broadcast here is a few dozen bytes
+BROADCAST_ROWS = 200_000
+
+
+def broadcast_up_to(df: DataFrame, row_bound: int | None) -> DataFrame:
+    """Hint a broadcast if ``row_bound``, a proven upper bound, is small enough.
+
+    Without a bound, or beyond the limit, the frame stays unhinted: the planner
+    then decides by its own statistics and otherwise shuffles both sides, where
+    adaptive execution splits hot keys.
+    """
+    if row_bound is not None and row_bound <= BROADCAST_ROWS:
+        return F.broadcast(df)
+    return df
