@@ -59,19 +59,21 @@ def _name_pattern(name: str) -> str:
 
 
 def _taxonomy(taxonomy: Taxonomy, name: str = "tax") -> str:
-    rows = ", ".join(
-        f"({_quoted(k)}, {_quoted(c)}, {_quoted(_name_pattern(k))})"
-        for k, c in taxonomy.category_of().items()
-        if k not in taxonomy.patterns
-    )
-    return f"{name}(keyword, category, pattern) AS (VALUES {rows})"
+    rows = ", ".join(f"({_quoted(k)}, {_quoted(c)})" for k, c in taxonomy.category_of().items())
+    return f"{name}(keyword, category) AS (VALUES {rows})"
 
 
 def _matches(taxonomy: Taxonomy, name: str = "matched", tax: str = "tax", of: str = "stories") -> str:
+    """One scan per name, so that every pattern is a constant."""
+    scans = "\n  UNION ALL ".join(
+        f"SELECT *, {_quoted(k)} AS keyword FROM {of} WHERE regexp_matches(title, {_quoted(_name_pattern(k))})"
+        for k in taxonomy.category_of()
+        if k not in taxonomy.patterns
+    )
     return f"""
 {_taxonomy(taxonomy, tax)},
-{name} AS (
-  SELECT s.*, t.keyword, t.category FROM {of} s JOIN {tax} t ON regexp_matches(s.title, t.pattern))"""
+{name}_names AS ({scans}),
+{name} AS (SELECT m.*, t.category FROM {name}_names m JOIN {tax} t USING (keyword))"""
 
 
 ROLLUP = """count(*) AS mention_count, CAST(sum(score) AS DOUBLE) / count(*) AS weighted_score,
@@ -84,16 +86,25 @@ def _norm(metric: str, source: str = "") -> str:
     return f"CASE WHEN {high} = {low} THEN 50.0 ELSE ({metric} - {low}) / ({high} - {low}) * 100 END"
 
 
-HYPE = (
-    f"round(0.5 * ({_norm('CAST(mention_count AS DOUBLE)')}) + 0.3 * ({_norm('weighted_score')})"
-    f" + 0.2 * ({_norm('avg_comments')}), 4)"
+def _round(value: str, decimals: int = 4) -> str:
+    """Half up on the value to nine decimals."""
+    return f"CAST(round(CAST({value} AS DECIMAL(28, 9)), {decimals}) AS DOUBLE)"
+
+
+HYPE = _round(
+    f"0.5 * ({_norm('CAST(mention_count AS DOUBLE)')}) + 0.3 * ({_norm('weighted_score')})"
+    f" + 0.2 * ({_norm('avg_comments')})"
 )
 
 _SCORED = f"""
 rolled AS (SELECT keyword, iso_week, {ROLLUP} FROM matched GROUP BY keyword, iso_week),
 mentions AS (SELECT *, {HYPE} AS hype_score FROM rolled)"""
 
-_VELOCITY = """
+_CHANGE = """CASE WHEN prev_score IS NULL OR prev_score = 0 THEN 0.0
+                    ELSE (hype_score - prev_score) / prev_score * 100 END"""
+_ROLLING_AVG = "CASE WHEN history >= 2 THEN mean_before ELSE hype_score END"
+
+_VELOCITY = f"""
 rolling AS (
   SELECT *, lag(hype_score) OVER ordered AS prev_score,
          count(hype_score) OVER before AS history,
@@ -110,10 +121,8 @@ zed AS (
   FROM rolling),
 velocity AS (
   SELECT keyword, iso_week,
-         round(CASE WHEN prev_score IS NULL OR prev_score = 0 THEN 0.0
-                    ELSE (hype_score - prev_score) / prev_score * 100 END, 4) AS velocity,
-         round(CASE WHEN history >= 2 THEN mean_before ELSE hype_score END, 4) AS rolling_avg,
-         round(z, 4) AS z_score, z > 2.0 AS is_trending, z < -2.0 AS is_crashing
+         {_round(_CHANGE)} AS velocity, {_round(_ROLLING_AVG)} AS rolling_avg,
+         {_round("z")} AS z_score, z > 2.0 AS is_trending, z < -2.0 AS is_crashing
   FROM zed)"""
 
 MATCHED = f"WITH {STORIES}, {_matches(PART_TAXONOMY)}"

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from risewatch.functions.numbers import round_stable
 from risewatch.operators.rollup import only_weeks
 
 # Weeks looked back, rows needed for a z-score, flag threshold,
@@ -63,17 +64,16 @@ def keyword_velocity(
         .when(mean > 0, (score - mean) / mean * FLAT_SCALE)
         .otherwise(0.0)
     )
-    scored = (
+    return (
         only_weeks(rolling_stats(mentions, lookback), weeks)
         .withColumn("_z", z)
         .select(
             "keyword",
             "iso_week",
-            F.round(change, DECIMALS).alias("velocity"),
-            F.round(F.when(enough, mean).otherwise(score), DECIMALS).alias("rolling_avg"),
-            F.round("_z", DECIMALS).alias("z_score"),
+            round_stable(change, DECIMALS).alias("velocity"),
+            round_stable(F.when(enough, mean).otherwise(score), DECIMALS).alias("rolling_avg"),
+            round_stable("_z", DECIMALS).alias("z_score"),
             (F.col("_z") > threshold).alias("is_trending"),
             (F.col("_z") < -threshold).alias("is_crashing"),
         )
     )
-    return scored

@@ -17,7 +17,7 @@ from risewatch.operators.rollup import only_weeks, rollup_mentions, weekly_menti
 from risewatch.operators.score import hype_scores
 from risewatch.operators.velocity import keyword_velocity
 from risewatch.sources.pages import high_water_mark, in_time_range
-from risewatch.sources.tables import Tables
+from risewatch.sources.tables import Tables, years_of
 from risewatch.taxonomy import DEFAULT, Taxonomy
 
 
@@ -88,28 +88,31 @@ def detect_new(
 
 
 def rescore(tables: Tables, weeks: Sequence[str], later_weeks: bool = False) -> dict[str, int]:
-    """Aggregate, score and re-flag the given weeks; returns rows of each table.
+    """Aggregate, score and re-flag the given weeks; returns rows written by table.
 
     Stored rows that no longer come up stay, and a stored score outlives the
     aggregation until the scoring replaces it.  ``later_weeks`` also re-flags
     all weeks after the first given one, whose history has changed.
     """
     weeks = sorted(weeks)
+    key = ["keyword", "iso_week"]
     fresh = weekly_mentions(tables.read("keyword_events"), tables.read("raw_stories"), weeks)
-    stored = only_weeks(tables.read("weekly_mentions"), weeks)
-    merged = merge_replace(fresh, stored, ["keyword", "iso_week"], keep=["hype_score"])
-    counts = {"weekly_mentions": tables.replace_weeks("weekly_mentions", hype_scores(merged))}
+    stored = tables.read("weekly_mentions", years_of(weeks))
+    merged = merge_replace(fresh, stored, key, keep=["hype_score"])
+    counts = {
+        "weekly_mentions": tables.replace_partitions("weekly_mentions", hype_scores(merged, weeks))
+    }
 
-    # one row per keyword and week: small whatever the number of stories
+    # the whole history, as it has one row per keyword and week
     flagged = keyword_velocity(tables.read("weekly_mentions"))
-    old = tables.read("keyword_velocity")
-    if later_weeks and weeks:
+    if later_weeks:
         flagged = flagged.filter(F.col("iso_week") >= weeks[0])
-        old = old.filter(F.col("iso_week") >= weeks[0])
+        old = tables.read("keyword_velocity").filter(F.col("iso_week") >= weeks[0][:4])
     else:
-        flagged, old = only_weeks(flagged, weeks), only_weeks(old, weeks)
-    merged = merge_replace(flagged, old, ["keyword", "iso_week"])
-    counts["keyword_velocity"] = tables.replace_weeks("keyword_velocity", merged)
+        flagged = only_weeks(flagged, weeks)
+        old = tables.read("keyword_velocity", years_of(weeks))
+    merged = merge_replace(flagged, old, key)
+    counts["keyword_velocity"] = tables.replace_partitions("keyword_velocity", merged)
     return counts
 
 

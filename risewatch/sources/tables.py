@@ -1,4 +1,9 @@
-"""The stored tables: Parquet below one root, partitioned by week.
+"""The stored tables: Parquet below one root.
+
+Stories and events, which grow with the feed, are partitioned by week.  The
+other tables hold one row per keyword (or top term) and week whatever the number
+of stories; they are partitioned by year, so that a refresh rewrites a file or
+two and not hundreds of tiny ones.
 
 Writers are meant to be alone on a table.  Appends and partition replacements
 are single Spark writes, visible when their commit ends, so a job that dies can
@@ -9,50 +14,56 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from risewatch.operators.keyed import first_per_key, not_yet_stored
 from risewatch.schemas import TABLES
 
-PARTITION = "iso_week"
+WEEK, YEAR = "iso_week", "iso_year"
+WEEK_PARTITIONED = ("raw_stories", "keyword_events")
+
+
+def years_of(weeks: Sequence[str]) -> list[str]:
+    return sorted({week[:4] for week in weeks})
 
 
 class Tables:
-    """Access to the tables below ``root``."""
+    """Access to the tables below ``root``; missing ones are created empty."""
 
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, create: bool = True):
         self.spark = spark
         self.root = root.rstrip("/")
+        if create:
+            self.create_missing()
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
     def create_missing(self) -> None:
-        """Write an empty table for each one that does not exist yet."""
         for name, (schema, _) in TABLES.items():
-            if not self.exists(name):
-                empty = self.spark.createDataFrame([], schema)
-                # an empty partitioned write leaves no file, hence no directory to read
-                empty.write.mode("ignore").parquet(self.path(name))
+            empty = self.spark.createDataFrame([], schema)
+            self._partitioned(name, empty).write.mode("ignore").partitionBy(
+                _partition(name)
+            ).parquet(self.path(name))
 
-    def exists(self, name: str) -> bool:
+    def read(self, name: str, years: Sequence[str] | None = None) -> DataFrame:
+        """The table, or its rows of some years; empty if it does not exist."""
         schema, _ = TABLES[name]
+        stored = schema if name in WEEK_PARTITIONED else _with_year(schema)
         try:
-            self.spark.read.schema(schema).parquet(self.path(name))
+            df = self.spark.read.schema(stored).parquet(self.path(name))
         except AnalysisException as error:
-            if error.getCondition() == "PATH_NOT_FOUND":
-                return False
-            raise
-        return True
-
-    def read(self, name: str) -> DataFrame:
-        """The table; an empty frame of its type if it was never written."""
-        schema, _ = TABLES[name]
-        if not self.exists(name):
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(self.path(name))
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            df = self.spark.createDataFrame([], stored)
+        if years is not None:
+            year = F.col(YEAR) if YEAR in df.columns else F.substring(WEEK, 1, 4)
+            df = df.filter(year.isin(list(years)))
+        return df.drop(YEAR)
 
     def row_count(self, name: str) -> int:
         return self.read(name).count()
@@ -65,28 +76,37 @@ class Tables:
         """Replace the whole table (which ``df`` must not read)."""
         return self._write(name, df, "overwrite", dynamic=False)
 
-    def replace_weeks(self, name: str, df: DataFrame) -> int:
-        """Replace the weeks that occur in ``df`` and leave the others alone.
+    def replace_partitions(self, name: str, df: DataFrame) -> int:
+        """Replace the partitions that occur in ``df`` and leave the others alone.
 
         ``df`` may read the table itself: old files go only when the new ones
         are complete.
         """
         return self._write(name, df, "overwrite", dynamic=True)
 
-    def _write(self, name: str, df: DataFrame, mode: str, dynamic: bool) -> int:
+    def _partitioned(self, name: str, df: DataFrame) -> DataFrame:
         schema, _ = TABLES[name]
+        typed = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])
+        return typed if name in WEEK_PARTITIONED else typed.withColumn(YEAR, F.substring(WEEK, 1, 4))
+
+    def _write(self, name: str, df: DataFrame, mode: str, dynamic: bool) -> int:
         rows = Observation()
-        observed = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])
-        observed = observed.observe(rows, F.count("*").alias("n"))
         (
-            # few files per week, and several tasks for a week that is too large for one
-            observed.hint("rebalance", PARTITION)
+            # few files per partition, and several tasks for one too large for a
+            # single task; the rows are counted by the tasks that write them
+            self._partitioned(name, df)
+            .hint("rebalance", _partition(name))
+            .observe(rows, F.count("*").alias("n"))
             .write.mode(mode)
             .option("partitionOverwriteMode", "dynamic" if dynamic else "static")
-            .partitionBy(PARTITION)
+            .partitionBy(_partition(name))
             .parquet(self.path(name))
         )
-        return rows.get["n"]
+        try:
+            return rows.get["n"]
+        except Py4JJavaError:
+            # adaptive execution removed the counter with the rest of an empty plan
+            return 0
 
     def insert_stories(
         self,
@@ -111,12 +131,21 @@ class Tables:
 
     def insert_terms(self, terms: DataFrame) -> int:
         """Append the emerging terms whose (term, week) is new; returns how many."""
-        new = terms.dropDuplicates(["term", "iso_week"])
-        stored = self.read("emerging_terms")
-        return self.append("emerging_terms", not_yet_stored(new, stored, ["term", "iso_week"]))
+        key = ["term", "iso_week"]
+        new = first_per_key(terms, key, [F.desc("tfidf_score")])
+        return self.append(
+            "emerging_terms", not_yet_stored(new, self.read("emerging_terms"), key)
+        )
 
 
 def _tie_break(df: DataFrame, order: Sequence[str | Column]) -> list[str]:
     named = {o for o in order if isinstance(o, str)}
     return [c for c in df.columns if c not in named and c != "story_id"]
 
+
+def _partition(name: str) -> str:
+    return WEEK if name in WEEK_PARTITIONED else YEAR
+
+
+def _with_year(schema: T.StructType) -> T.StructType:
+    return T.StructType([*schema.fields, T.StructField(YEAR, T.StringType())])
