@@ -351,14 +351,14 @@ SELECT keyword, iso_week, {ROLLUP} FROM matched GROUP BY ALL""",
         "load_metadata": f"""WITH {STORIES}
 SELECT max(created_at + to_days(num_comments)) AS last_run, count(*) AS total_stories FROM stories""",
         "minmax_norm": f"""{MENTIONS}
-SELECT keyword, iso_week, round({_norm("CAST(mention_count AS DOUBLE)")}, 6) AS norm_mention_count,
-       round({_norm("weighted_score")}, 6) AS norm_weighted_score,
-       round({_norm("avg_comments")}, 6) AS norm_avg_comments FROM mentions""",
+SELECT keyword, iso_week, {_round(_norm("CAST(mention_count AS DOUBLE)"), 6)} AS norm_mention_count,
+       {_round(_norm("weighted_score"), 6)} AS norm_weighted_score,
+       {_round(_norm("avg_comments"), 6)} AS norm_avg_comments FROM mentions""",
         "hype_scores": f"{MENTIONS} SELECT keyword, iso_week, hype_score FROM mentions",
         "wow_velocity": f"{VELOCITY} SELECT keyword, iso_week, velocity FROM velocity",
         "rolling_stats": f"""{VELOCITY}
-SELECT keyword, iso_week, prev_score, history, round(mean_before, 6) AS mean_before,
-       round(std_before, 6) AS std_before FROM rolling""",
+SELECT keyword, iso_week, prev_score, history, {_round("mean_before", 6)} AS mean_before,
+       {_round("std_before", 6)} AS std_before FROM rolling""",
         "keyword_velocity": f"{VELOCITY} SELECT {VELOCITY_COLUMNS} FROM velocity",
         "trending_keywords": f"{TRENDING} SELECT * FROM trending ORDER BY velocity DESC, keyword",
         "category_trending": f"""{TRENDING}

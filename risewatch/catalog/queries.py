@@ -20,6 +20,7 @@ from risewatch.catalog.feeds import (
     trend_feed,
     trend_stories,
 )
+from risewatch.functions.numbers import round_stable
 from risewatch.functions.text import match_text, term_tokens, url_text, with_bigrams
 from risewatch.functions.time import ntz, week_label
 from risewatch.operators import quality, reports
@@ -272,7 +273,7 @@ def q_minmax_norm(spark, sf):
         "keyword",
         "iso_week",
         *[
-            F.round(minmax(metric, week), 6).alias(f"norm_{metric}")
+            round_stable(minmax(metric, week), 6).alias(f"norm_{metric}")
             for metric in ("mention_count", "weighted_score", "avg_comments")
         ],
     )
@@ -292,8 +293,8 @@ def q_rolling_stats(spark, sf):
         "iso_week",
         "prev_score",
         "history",
-        F.round("mean_before", 6).alias("mean_before"),
-        F.round("std_before", 6).alias("std_before"),
+        round_stable("mean_before", 6).alias("mean_before"),
+        round_stable("std_before", 6).alias("std_before"),
     )
 
 

@@ -76,11 +76,14 @@ def detect_new(
     """Append the events of stored stories that have none yet; returns how many.
 
     Without limits every story without an event is looked at again.  ``weeks``
-    limits the run to those partitions of both tables and ``ids`` to the stories
-    of a batch: an unchanged taxonomy finds nothing new in the others.
+    limits the run to those partitions of both tables (and to stories without a
+    date), ``ids`` to the stories of a batch: an unchanged taxonomy finds nothing
+    new in the others.
     """
-    stories = only_weeks(tables.read("raw_stories"), weeks)
-    events = only_weeks(tables.read("keyword_events"), weeks)
+    stories, events = tables.read("raw_stories"), tables.read("keyword_events")
+    if weeks is not None:
+        looked_at = F.col("iso_week").isin(list(weeks)) | F.col("iso_week").isNull()
+        stories, events = stories.filter(looked_at), events.filter(looked_at)
     if ids is not None:
         stories = stories.join(ids.select("story_id").distinct(), "story_id", "left_semi")
         events = events.join(ids.select("story_id").distinct(), "story_id", "left_semi")

@@ -121,7 +121,7 @@ class Tables:
         """
         stamp = F.current_timestamp().cast("timestamp_ntz") if fetched_at is None else fetched_at
         new = first_per_key(stories, ["story_id"], [*order, *_tie_break(stories, order)])
-        new = not_yet_stored(new, self.read("raw_stories"), ["story_id"])
+        new = not_yet_stored(new, self.read("raw_stories"), ["story_id"], keys=stories)
         return self.append(
             "raw_stories",
             new.withColumn("score", F.coalesce("score", F.lit(0)))

@@ -43,7 +43,7 @@ def load_batch(
         # labels, so bounded by the calendar and not by the stories
         labels = stories.select("iso_week").distinct().filter("iso_week IS NOT NULL").collect()
         weeks = [row["iso_week"] for row in labels]
-        detect_new(tables, taxonomy, ids=stories)
+        detect_new(tables, taxonomy, ids=stories, weeks=weeks)
         if score and weeks:
             rescore(tables, weeks, later_weeks=True)
     finally:

@@ -15,6 +15,9 @@ def spark(tmp_path_factory):
         .config("spark.driver.memory", "6g")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.ui.enabled", "false")
+        # several writers even for tiny tables
+        .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "16k")
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "16k")
         # results must not depend on the session time zone
         .config("spark.sql.session.timeZone", "America/New_York")
         .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("checkpoints")))

@@ -162,3 +162,12 @@ def test_a_replayed_batch_changes_nothing(spark, tmp_path, make_stories):
     load_batch(tables, stories)
     assert {n: content(tables.read(n)) for n in before} == before
     assert tables.row_count("raw_stories") == 120
+
+
+def test_undated_stories_are_detected_in_a_stream_too(spark, tmp_path, make_stories):
+    from risewatch.streaming.ingest import load_batch
+
+    tables = Tables(spark, str(tmp_path / "t"))
+    load_batch(tables, make_stories([(1, "Rust", 1, 1, None), (2, "Go!", 1, 1, "2024-03-01")]))
+    assert {r.keyword for r in tables.read("keyword_events").collect()} == {"Rust", "Go"}
+    assert {r.keyword for r in tables.read("weekly_mentions").collect()} == {"Go"}
