@@ -36,6 +36,7 @@ from risewatch.operators.emerging import (
     emerging_terms,
     inverse_frequency,
     term_counts,
+    terms_by_document,
     tfidf_scores,
     top_terms,
 )
@@ -387,8 +388,9 @@ def q_tokens_ngrams(spark, sf):
 
 
 def q_term_frequencies(spark, sf):
-    counts = term_counts(table(spark, sf, "documents"), "source", "doc_id", "text", STOP_WORDS)
-    return counts.groupBy("source", "doc_id").agg(
+    documents = table(spark, sf, "documents")
+    terms = terms_by_document(documents, "source", "doc_id", "text", STOP_WORDS)
+    return term_counts(terms, "source", "doc_id").groupBy("source", "doc_id").agg(
         F.count("*").alias("n_terms"),
         F.sum("tf").alias("n_occurrences"),
         F.max("tf").alias("max_tf"),
@@ -397,8 +399,8 @@ def q_term_frequencies(spark, sf):
 
 def q_document_frequencies(spark, sf):
     documents = table(spark, sf, "documents")
-    counts = term_counts(documents, "source", "doc_id", "text", STOP_WORDS)
-    idf = inverse_frequency(documents, counts, "source", "text", 5)
+    terms = terms_by_document(documents, "source", "doc_id", "text", STOP_WORDS)
+    idf = inverse_frequency(documents, terms, "source", "text", 5)
     return idf.select("source", "term", "df", F.round("idf", 6).alias("idf"))
 
 

@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml.feature import StopWordsRemover
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from risewatch.functions.text import term_tokens, with_bigrams
@@ -28,29 +28,37 @@ def default_stop_words() -> list[str]:
     return StopWordsRemover.loadDefaultStopWords("english")
 
 
-def term_counts(
+def terms_by_document(
     docs: DataFrame, group: str, doc: str, text: str, stop_words: Sequence[str]
 ) -> DataFrame:
-    """(group, doc, term, tf) for words and pairs of neighbouring words.
+    """(group, doc, terms): words and pairs of neighbouring words, in order.
 
     The text is spread by document before it is split into terms, so counting
-    terms needs no shuffle of the much larger term rows, and later steps keyed
-    by document can build on the same partitioning.
+    terms needs no shuffle of the much larger term rows.  Both users of the
+    result read that one exchange.
     """
     return (
         docs.select(group, doc, text)
         .filter(F.col(text).isNotNull())
         .repartition(F.col(group), F.col(doc))
         .withColumn("_tokens", term_tokens(text, stop_words))
-        .select(group, doc, F.explode_outer(with_bigrams(F.col("_tokens"))).alias("term"))
-        .filter(F.col("term").isNotNull())
-        .groupBy(group, doc, "term")
-        .agg(F.count("*").alias("tf"))
+        .select(group, doc, with_bigrams(F.col("_tokens")).alias("terms"))
     )
 
 
+def _exploded(terms: Column, *keys: str, of: DataFrame) -> DataFrame:
+    rows = of.select(*keys, F.explode_outer(terms).alias("term"))
+    return rows.filter(F.col("term").isNotNull())
+
+
+def term_counts(terms: DataFrame, group: str, doc: str) -> DataFrame:
+    """(group, doc, term, tf)."""
+    rows = _exploded(F.col("terms"), group, doc, of=terms)
+    return rows.groupBy(group, doc, "term").agg(F.count("*").alias("tf"))
+
+
 def inverse_frequency(
-    docs: DataFrame, counts: DataFrame, group: str, text: str, min_docs: int
+    docs: DataFrame, terms: DataFrame, group: str, text: str, min_docs: int
 ) -> DataFrame:
     """(group, term, df, idf) of the terms in at least ``min_docs`` documents."""
     size = (
@@ -59,7 +67,8 @@ def inverse_frequency(
         .agg(F.count("*").alias("n"))
     )
     frequent = (
-        counts.groupBy(group, "term")
+        _exploded(F.array_distinct("terms"), group, of=terms)
+        .groupBy(group, "term")
         .agg(F.count("*").alias("df"))
         .filter(F.col("df") >= min_docs)
     )
@@ -84,13 +93,13 @@ def tfidf_scores(
     """
     if stop_words is None:
         stop_words = default_stop_words()
-    counts = term_counts(docs, group, doc, text, stop_words)
-    idf = inverse_frequency(docs, counts, group, text, min_docs)
+    terms = terms_by_document(docs, group, doc, text, stop_words)
+    idf = inverse_frequency(docs, terms, group, text, min_docs)
     of_doc = Window.partitionBy(group, doc)
-    weight = F.col("tf") * F.col("idf")
     return (
-        counts.join(idf, [group, "term"])
-        .withColumn("_weight", weight)
+        term_counts(terms, group, doc)
+        .join(idf, [group, "term"])
+        .withColumn("_weight", F.col("tf") * F.col("idf"))
         .withColumn("_length", F.sqrt(F.sum(F.col("_weight") * F.col("_weight")).over(of_doc)))
         .groupBy(group, "term")
         .agg(
