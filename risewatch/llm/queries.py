@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from risewatch.llm import bpe, exact, langid, mixing, sharding, simhash
+from risewatch.llm import bpe, exact, hnsw, langid, mixing, pages, sharding, simhash
 from risewatch.llm.shared import table
 
 
@@ -43,17 +43,27 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_groups(table(spark, sf_dir, "documents")).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.main_text(table(spark, sf_dir, "pages"))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash.near_groups(table(spark, sf_dir, "documents"))
     return groups.select("doc_id", F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op10_hnsw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hnsw.nearest(table(spark, sf_dir, "embeddings"), "id % 50 = 0")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_mixing": op2_mixing,
     "op3_bpe": op3_bpe,
     "op4_sharding": op4_sharding,
     "op6_exact_dedup": op6_exact_dedup,
+    "op7_html_extraction": op7_html_extraction,
     "op8_simhash": op8_simhash,
+    "op10_hnsw": op10_hnsw,
 }
 ORACLE: dict[str, str] = {}
