@@ -109,7 +109,8 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     narrow = prints.drop("packed").join(differing, "row", "left").withColumn("other", F.coalesce("other", F.lit("")))
     best = F.struct((-F.col("points")).alias("p"), F.col("doc_id").isNull().alias("n"), F.col("doc_id").alias("id"), F.col("row").alias("row"))
-    groups = narrow.groupBy("length", "print", "other").agg(F.count("*").alias("group_size"), F.min(best).alias("best"))
+    # stored, so that both sides of the join are shuffled for it and a large group can be split there
+    groups = settle(narrow.groupBy("length", "print", "other").agg(F.count("*").alias("group_size"), F.min(best).alias("best")))
     return narrow.join(groups, ["length", "print", "other"]).select(
         "row", "doc_id", F.col("best.row").alias("keep_row"), F.col("best.id").alias("keep_id"), "group_size", (F.col("row") == F.col("best.row")).alias("kept"), F.col("sha").alias("text_sha256")
     )
