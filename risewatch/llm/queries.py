@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from risewatch.llm import bpe, exact, hnsw, langid, mixing, pages, sharding, simhash
+from risewatch.llm import bpe, exact, hnsw, langid, licences, mixing, pages, sharding, simhash
 from risewatch.llm.shared import table
 
 
@@ -39,6 +39,11 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return licences.LicenceModel(spark, docs).scan(docs)
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_groups(table(spark, sf_dir, "documents")).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
@@ -61,6 +66,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_mixing": op2_mixing,
     "op3_bpe": op3_bpe,
     "op4_sharding": op4_sharding,
+    "op5_license_scan": op5_license_scan,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_html_extraction": op7_html_extraction,
     "op8_simhash": op8_simhash,
