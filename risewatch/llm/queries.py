@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from risewatch.llm import bpe, exact, hnsw, langid, licences, mixing, pages, sharding, simhash
+from risewatch.llm import bpe, exact, hnsw, langid, licences, mixing, pages, repeats, sharding, simhash
 from risewatch.llm.shared import table
 
 
@@ -57,6 +57,10 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op9_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.without_repeats(table(spark, sf_dir, "documents"))
+
+
 def op10_hnsw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hnsw.nearest(table(spark, sf_dir, "embeddings"), "id % 50 = 0")
 
@@ -70,6 +74,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_exact_dedup": op6_exact_dedup,
     "op7_html_extraction": op7_html_extraction,
     "op8_simhash": op8_simhash,
+    "op9_repeated_passages": op9_repeated_passages,
     "op10_hnsw": op10_hnsw,
 }
 ORACLE: dict[str, str] = {}
