@@ -122,7 +122,8 @@ def meet(points: np.ndarray, flips: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 
 def near_links(nodes: DataFrame) -> DataFrame:
     """Links (a, b) whose components are those of all pairs of fingerprints (column print, distinct) within RADIUS bits."""
-    n_points = nodes.count() * 560
+    n_nodes = nodes.count()
+    n_points = n_nodes * 560
     n_buckets = max(8, -(-n_points // BUCKET_POINTS))
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -144,7 +145,8 @@ def near_links(nodes: DataFrame) -> DataFrame:
         a, b = meet(points, flips)
         return pa.table({"a": a.view(np.int64), "b": b.view(np.int64)})
 
-    emitted = nodes.select("print").mapInArrow(emit, "bucket long, points binary, flips binary")
+    spread = nodes.select("print").repartition(max(8, n_nodes // (4 * BLOCK)))
+    emitted = spread.mapInArrow(emit, "bucket long, points binary, flips binary")
     return emitted.groupBy("bucket").applyInArrow(links, "a long, b long")
 
 
