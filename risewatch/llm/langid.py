@@ -12,8 +12,8 @@ count as n * 200 / (n + 200). Short texts therefore lean on the other evidence,
 
 Defined cases: a text without trigrams, or null, has no text evidence; if nothing else speaks for a language either (best
 probability under `accept`), the row is rejected. Missing declarations, suffixes and hosts are values of their own. Ties go
-to the language first in order. Repeated rows get equal results. Other columns are carried along; a clash with the columns
-added raises.
+to the language first in order. Repeated rows get equal results. Without any labelled row the one language is `und` and
+every row is rejected. A document's own columns, whatever their names, are carried along as the struct `document`.
 """
 
 from __future__ import annotations
@@ -32,6 +32,7 @@ TEMPER = 200.0
 TRAIN_ROWS = 4000
 #: A row is accepted if its best language is at least this probable.
 ACCEPT = 0.5
+UNDETERMINED = "und"
 #: Pseudo-rows by which a host leans on its domain, and a domain on all rows.
 HOST_WEIGHT, DOMAIN_WEIGHT, EVIDENCE_WEIGHT = 5.0, 20.0, 2.0
 _MIX = (np.uint32(0x9E3779B1), np.uint32(0x85EBCA77), np.uint32(0xC2B2AE3D))
@@ -58,7 +59,7 @@ class TextModel:
         for at in range(0, len(bins), 1 << 16):
             total += self.logs[bins[at : at + (1 << 16)]].sum(axis=0, dtype=np.float64)
         total *= TEMPER / (len(bins) + TEMPER)
-        return total - total.max() if len(total) else total
+        return total - total.max()
 
 
 def train(labelled: DataFrame, text_col: str = "text", label_col: str = "lang", id_col: str = "doc_id", rows: int = TRAIN_ROWS) -> TextModel:
@@ -80,6 +81,8 @@ def train(labelled: DataFrame, text_col: str = "text", label_col: str = "lang",
     counted = map_batches(picked.select("lang", "text"), count, "lang string, bin int, n long").groupBy("lang", "bin").agg(F.sum("n").alias("n"))
     # languages * BINS numbers at most
     found = counted.groupBy("lang").agg(F.collect_list("bin").alias("bin"), F.collect_list("n").alias("n")).collect()
+    if not found:
+        return TextModel([UNDETERMINED], np.zeros((BINS, 1), np.float32))
     found.sort(key=lambda x: x["lang"])
     logs = np.zeros((BINS, len(found)), np.float32)
     for k, row in enumerate(found):
@@ -89,13 +92,15 @@ def train(labelled: DataFrame, text_col: str = "text", label_col: str = "lang",
     return TextModel([x["lang"] for x in found], logs)
 
 
-def with_evidence(df: DataFrame, model: TextModel, text_col: str = "text") -> DataFrame:
-    """Adds text_evidence array<double>: tempered log-likelihoods, the best 0."""
+def with_evidence(df: DataFrame, model: TextModel, text: str) -> DataFrame:
+    """Adds text_evidence array<double>: tempered log-likelihoods, the best 0. text: a column, or struct.field."""
     schema = T.StructType([*df.schema.fields, T.StructField("text_evidence", T.ArrayType(T.DoubleType()))])
-    at, names = df.columns.index(text_col), schema.names
+    column, _, field = text.partition(".")
+    at, names = df.columns.index(column), schema.names
 
     def each(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found = [model.evidence(x).tolist() for x in batch.column(at).to_pylist()]
+        texts = batch.column(at).field(field) if field else batch.column(at)
+        found = [model.evidence(x).tolist() for x in texts.to_pylist()]
         return pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.list_(pa.float64()))], names=names)
 
     return map_batches(df, each, schema)
@@ -152,7 +157,7 @@ class Priors:
         out = out.withColumn("language", F.element_at(names, F.array_position("_logs", F.col("_best")).cast("int")))
         out = out.withColumn("text_language", F.element_at(names, F.array_position("text_evidence", F.array_max("text_evidence")).cast("int")))
         out = out.withColumn("probability", 1 / F.aggregate("_logs", F.lit(0.0), lambda a, x: a + F.exp(x - F.col("_best"))))
-        out = out.withColumn("accepted", F.col("probability") >= accept)
+        out = out.withColumn("accepted", (F.col("probability") >= accept) & (F.col("language") != UNDETERMINED))
         return out.drop("_logs", "_best", "declared_sums", "suffix_sums", "host_sums", "domain_sums", "text_evidence")
 
 
@@ -170,23 +175,22 @@ def visible_text(html: Column) -> Column:
     return F.regexp_replace(bare, "&[#0-9A-Za-z]+;", " ")
 
 
-def _identify(rows: DataFrame, model: TextModel, accept: float) -> DataFrame:
+def _identify(rows: DataFrame, model: TextModel, accept: float, text: str) -> DataFrame:
     rows = rows.withColumns({"suffix": F.regexp_extract("host", r"([^.]*)$", 1), "domain": F.regexp_extract("host", r"([^.]*\.?[^.]*)$", 1)})
     # scored twice (once for the tables, once for the rows) so that texts are neither stored nor shuffled
-    keys = with_evidence(rows.select("text", "declared", "suffix", "domain", "host"), model).drop("text")
+    keys = with_evidence(rows, model, text).select("declared", "suffix", "domain", "host", "text_evidence")
     priors = Priors(keys, len(model.languages))
-    return priors.fuse(with_evidence(rows, model), model.languages, accept).drop("suffix", "domain")
+    return priors.fuse(with_evidence(rows, model, text), model.languages, accept).drop("suffix", "domain")
 
 
 def identify_pages(pages: DataFrame, model: TextModel, accept: float = ACCEPT) -> DataFrame:
     """page_id, url, host, declared, language, text_language, probability, accepted of every page."""
     rows = pages.select("page_id", "url", visible_text(F.col("html")).alias("text"), markup_language(F.col("html")).alias("declared"), host_of(F.col("url")).alias("host"))
-    return _identify(rows, model, accept).select("page_id", "url", "host", "declared", "language", "text_language", "probability", "accepted")
+    return _identify(rows, model, accept, "text").select("page_id", "url", "host", "declared", "language", "text_language", "probability", "accepted")
 
 
-def identify_documents(docs: DataFrame, model: TextModel, accept: float = ACCEPT, source_col: str = "source") -> DataFrame:
-    """docs with language, text_language, probability, accepted; a document's source is its host and it declares nothing."""
-    if clash := {"language", "text_language", "probability", "accepted", "declared", "suffix", "domain", "host", "text_evidence"} & set(docs.columns):
-        raise ValueError(f"columns that identification adds exist already: {sorted(clash)}")
-    rows = docs.withColumns({"declared": F.lit(""), "host": F.coalesce(F.col(source_col), F.lit(""))})
-    return _identify(rows, model, accept).select(*[F.col(f"`{c}`") for c in docs.columns], "language", "text_language", "probability", "accepted")
+def identify_documents(docs: DataFrame, model: TextModel, accept: float = ACCEPT, text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """document (struct of all columns), language, text_language, probability, accepted; a document's source is its host and it declares nothing."""
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("document")
+    rows = docs.select(whole, F.lit("").alias("declared"), F.coalesce(F.col(source_col).cast("string"), F.lit("")).alias("host"))
+    return _identify(rows, model, accept, f"document.{text_col}").select("document", "language", "text_language", "probability", "accepted")

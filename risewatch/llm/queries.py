@@ -77,4 +77,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_repeated_passages": op9_repeated_passages,
     "op10_hnsw": op10_hnsw,
 }
-ORACLE: dict[str, str] = {}
+#: The other operators have no SQL form (hashes, models, graphs, tokens): tests compare them with brute force.
+ORACLE: dict[str, str] = {
+    "op6_exact_dedup": r"""
+        WITH n AS (
+            SELECT doc_id, length(coalesce(text, '')) AS points, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS k
+            FROM documents
+        )
+        SELECT doc_id, first_value(doc_id) OVER best AS keep_id, count(*) OVER (PARTITION BY k) AS group_size,
+               doc_id = first_value(doc_id) OVER best AS kept, sha256(k) AS text_sha256
+        FROM n WINDOW best AS (PARTITION BY k ORDER BY points DESC, doc_id)""",
+}

@@ -6,7 +6,8 @@ buckets in order are one random order of the whole table, which is cut into shar
 law `rows`. A task keeps the permutation (8 bytes per row) and one Arrow batch, never the bucket's texts.
 
 Defined cases: a null text has no bytes; rows with equal id and text stay distinct rows with their own slots; with fewer
-rows than shards some shards are empty; other columns are carried along, and names that clash with the new columns raise.
+rows than shards some shards are empty; other columns are carried along, but for columns named shard or slot, which the
+new ones replace.
 """
 
 from __future__ import annotations
@@ -35,22 +36,19 @@ def shuffle_shards(docs: DataFrame, n_shards: int, seed: int = 7, id_col: str =
 
     The same rows and seed give the same result whatever the partitions, as rows are ordered by hash before the permutation.
     """
-    if clash := {"shard", "slot", "bucket", "mix"} & set(docs.columns):
-        raise ValueError(f"columns that sharding adds exist already: {sorted(clash)}")
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    mixed = docs.withColumn("mix", F.xxhash64(F.lit(seed), F.col(id_col)))
+    text, record = F.coalesce(F.col(text_col), F.lit("")), F.struct(*[F.col(f"`{c}`") for c in docs.columns])
     weigh = docs.select((F.octet_length(text) + ROW_BYTES).alias("b")).agg(F.count("*"), F.sum("b")).first()
     n_rows, n_bytes = weigh[0], weigh[1] or 0
     n_buckets = max(1, -(-n_bytes // bucket_bytes))
+    mixed = docs.select(record.alias("record"), F.xxhash64(F.lit(seed), F.col(id_col)).alias("mix"), F.xxhash64(text).alias("tie"))
     mixed = mixed.withColumn("bucket", F.pmod(F.xxhash64("mix"), F.lit(n_buckets)))
     counts = mixed.groupBy("bucket").agg(F.count("*").alias("in_bucket"))
     counts = running_total(counts, F.col("bucket"), "in_bucket", "offset")
 
     # Texts cross the network once, by bucket; the table of buckets joins them there.
     scattered = mixed.repartition(max(1, n_buckets), "bucket").join(counts.hint("shuffle_hash"), "bucket")
-    columns = [c for c in docs.columns]
-    ordered = scattered.sortWithinPartitions("bucket", "mix", F.xxhash64(text), id_col).select("bucket", "in_bucket", "offset", *columns)
-    schema = T.StructType([*ordered.schema.fields[3:], T.StructField("shard", T.IntegerType()), T.StructField("slot", T.LongType())])
+    ordered = scattered.sortWithinPartitions("bucket", "mix", "tie").select("bucket", "in_bucket", "offset", "record")
+    schema = T.StructType([ordered.schema["record"], T.StructField("shard", T.IntegerType()), T.StructField("slot", T.LongType())])
 
     def permute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bucket, at, order = None, 0, np.zeros(0, np.int64)
@@ -68,7 +66,8 @@ def shuffle_shards(docs: DataFrame, n_shards: int, seed: int = 7, id_col: str =
             first = -(-shard * n_rows // n_shards)
             yield pa.RecordBatch.from_arrays([*batch.columns[3:], pa.array(shard.astype(np.int32)), pa.array(place - first)], names=schema.names)
 
-    return ordered.mapInArrow(permute, schema)
+    kept = [F.col(f"record.`{c}`") for c in docs.columns if c not in ("shard", "slot")]
+    return ordered.mapInArrow(permute, schema).select(*kept, "shard", "slot")
 
 
 def write_shards(docs: DataFrame, path: str, n_shards: int, **kind) -> None:
