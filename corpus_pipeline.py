@@ -7,7 +7,6 @@ digests. No SQL twin: SimHash and BPE have no SQL form, so tests compare the sta
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from risewatch.llm import bpe, exact, langid, mixing, simhash
 from risewatch.llm.queries import vocabulary
@@ -17,7 +16,7 @@ from risewatch.llm.shared import settle, table
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the documents with a recognised language; the text model learns from the labelled documents of the input."""
     model = langid.train(docs)
-    return langid.identify_documents(docs, model).where("accepted").select(*[F.col(f"`{c}`") for c in docs.columns])
+    return langid.identify_documents(docs, model).where("accepted").select("document.*")
 
 
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
