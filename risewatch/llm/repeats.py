@@ -8,12 +8,14 @@ length only positions that are not unique go on.
   equal windows have equal anchors; about 2 positions in 138 are anchors. Spark counts names; unique ones are dropped.
 * Length 336. The name of an anchor's whole surroundings (all windows that hold it, cut at the ends of the text). Where
   another anchor has the same, all of those windows are repeated: settled, and no window needs a look. This is the inside
-  of copies. Anchors that share a name but not the surroundings (edges of passages, places of edits) go on, and so does one
-  anchor of each settled class, as a witness for them.
-* Length 200, at every window of the anchors that go on: names that occur twice are repeated windows.
+  of copies. Of anchors that share a name but not the surroundings (edges of passages, places of edits), one of each kind
+  goes on, with its surroundings.
+* Length 166, at four offsets of those. Each window holds one of these cores; windows of unique cores are dropped.
+* Length 200, at every window of the cores that go on: names that occur twice are repeated windows.
 
 Names are 64-bit hashes, not dense ranks, so that no global order is needed; surroundings are compared by name and
-surroundings (128 bits), windows by 96 bits. Texts move twice, compressed; positions move only as anchors and windows.
+surroundings (128 bits), windows by 96 bits. Texts move twice, compressed; positions move only as anchors and windows. The
+documents are read several times instead of being stored: rows are numbered by with_row, so give a stored table.
 
 Defined cases: null counts as empty; texts shorter than the length lose nothing; a text may repeat itself, overlapping
 occurrences included; repeated rows are each other's copies and lose everything covered; other columns play no part.
@@ -127,57 +129,97 @@ def _anchors_of(units: list[tuple[int, bytes, int, int, int]]) -> tuple[np.ndarr
     return row, position, name[at], _surroundings(name, at, left, right), left, right
 
 
-def windows(data: bytes, positions: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts and names (64 and 32 bits) of the windows that hold an anchor at one of these positions, each once."""
-    n = len(data)
-    change = np.zeros(n + 2, np.int32)
-    np.add.at(change, np.maximum(positions - SPAN, 0), 1)
-    np.add.at(change, np.minimum(positions, n - LENGTH) + 1, -1)
-    starts = np.flatnonzero(np.cumsum(change[: n - LENGTH + 1]) > 0)
-    one, two = [], []
-    edges = [0, *(np.flatnonzero(np.diff(starts) > LENGTH) + 1).tolist(), len(starts)]
-    for a, b in zip(edges, edges[1:], strict=False):  # runs of starts, named in pieces
-        for c in range(a, b, SEGMENT):
-            part = starts[c : min(c + SEGMENT, b)]
-            name = names(np.frombuffer(data[part[0] : part[-1] + LENGTH], np.uint8))
-            at = part - part[0]
-            x = _join(_join(name[at], name[at + 64]), _join(name[at + 128], name[at + SPAN]))
-            y = _join(_join(name[at + 64], name[at + SPAN]), _join(name[at], name[at + 128]))
-            one.append(x)
-            two.append((y >> np.uint64(33)).astype(np.int32))
-    return starts, np.concatenate(one or [np.zeros(0, np.uint64)]), np.concatenate(two or [np.zeros(0, np.int32)])
+#: Windows start 0 to SPAN bytes before their anchor; in steps of CORE_STEP, all windows of a step hold the same core.
+CORE_STEP = SPAN // 4
+CORE_LENGTH = LENGTH - CORE_STEP
+
+
+def cores(context: bytes, left: int) -> list[int]:
+    """Names of the cores of the windows that start up to CORE_STEP, 2 CORE_STEP, ... bytes before the anchor (0: none)."""
+    name = names(np.frombuffer(context, np.uint8))
+    out = []
+    for k in range(4):
+        at = left - k * CORE_STEP
+        if at < 0 or at + CORE_LENGTH > len(context):
+            out.append(0)
+            continue
+        x = _join(_join(name[at : at + 1], name[at + 64 : at + 65]), name[at + CORE_LENGTH - 64 : at + CORE_LENGTH - 63])
+        out.append(int(x.view(np.int64)[0]) | 1)
+    return out
+
+
+def windows(context: bytes, left: int, steps: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts (in the context) and names (64 and 32 bits) of the windows of these steps."""
+    wanted = np.unique(np.concatenate([np.arange(left - (k + 1) * CORE_STEP, left - k * CORE_STEP + 1) for k in steps]))
+    at = wanted[(wanted >= 0) & (wanted + LENGTH <= len(context))]
+    name = names(np.frombuffer(context, np.uint8))
+    x = _join(_join(name[at], name[at + 64]), _join(name[at + 128], name[at + SPAN]))
+    y = _join(_join(name[at + 64], name[at + SPAN]), _join(name[at], name[at + 128]))
+    return at, x, (y >> np.uint64(33)).astype(np.int32)
+
+
+def _bytes(text: str | None) -> bytes:
+    return (text or "").encode("utf-8", "surrogatepass")
+
+
+def _texts(batch: pa.RecordBatch) -> Iterator[tuple[int, bytes]]:
+    for row, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+        yield row, _bytes(text)
 
 
 def _pack_batch(batch: pa.RecordBatch) -> pa.RecordBatch:
-    pack = zstandard.ZstdCompressor(level=3).compress
-    data = [(x or "").encode("utf-8", "surrogatepass") for x in batch.column(2).to_pylist()]
-    return pa.record_batch([batch.column(0), batch.column(1), pa.array([len(x) for x in data], pa.int64()), pa.array([pack(x) for x in data], pa.binary())], names=["row", "doc_id", "n_bytes", "packed"])
+    pack = zstandard.ZstdCompressor(level=6).compress
+    return pa.record_batch([*batch.columns[:-1], pa.array([pack(_bytes(x)) for x in batch.column(batch.num_columns - 1).to_pylist()], pa.binary())], names=[*batch.schema.names[:-1], "packed"])
 
 
-def _texts(batch: pa.RecordBatch, packed: int) -> Iterator[tuple[int, bytes]]:
-    unpack = zstandard.ZstdDecompressor().decompress
-    for k, row in enumerate(batch.column(0).to_pylist()):
-        yield row, unpack(batch.column(packed)[k].as_py())
+def _emit_names(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for _, _, name, _, _, _ in anchors(_texts(batch)):
+            yield pa.record_batch([pa.array(name.view(np.int64))], names=["name"])
 
 
 def _emit_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for row, position, name, around, left, right in anchors(_texts(batch, 1)):
-            columns = [row.astype(np.int64), position.astype(np.int64), name.view(np.int64), around.view(np.int64), left.astype(np.int32), right.astype(np.int32)]
-            yield pa.record_batch([pa.array(c) for c in columns], names=["row", "position", "name", "around", "left", "right"])
+        for row, position, name, around, left, right in anchors(_texts(batch)):
+            place = (position.astype(np.int64) << 16) | (left.astype(np.int64) << 8) | right.astype(np.int64)
+            yield pa.record_batch([pa.array(c) for c in (name.view(np.int64), around.view(np.int64), row.astype(np.int64), place)], names=["name", "around", "row", "place"])
+
+
+def _emit_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    unpack = zstandard.ZstdDecompressor().decompress
+    for batch in batches:
+        rows, places, contexts, names_of = [], [], [], []
+        for row, packed, found in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+            data = unpack(packed)
+            for place in found:
+                position, left, right = place >> 16, place >> 8 & 255, place & 255
+                context = data[position - left : position + right]
+                rows.append(row)
+                places.append(place)
+                contexts.append(context)
+                names_of.append(cores(context, left))
+        yield pa.record_batch([pa.array(rows, pa.int64()), pa.array(places, pa.int64()), pa.array(contexts, pa.binary()), pa.array(names_of, pa.list_(pa.int64()))], names=["row", "place", "context", "cores"])
 
 
 def _emit_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for k, (row, data) in enumerate(_texts(batch, 1)):
-            starts, one, two = windows(data, np.array(batch.column(2)[k].as_py(), np.int64))
-            yield pa.record_batch([pa.array(np.full(len(starts), row, np.int64)), pa.array(starts.astype(np.int64)), pa.array(one.view(np.int64)), pa.array(two)], names=["row", "start", "one", "two"])
+        out = [[], [], [], []]
+        for row, place, context, steps in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
+            start, one, two = windows(context, place >> 8 & 255, steps)
+            start = start + (place >> 16) - (place >> 8 & 255)
+            for x, y in zip(out, (np.full(len(start), row, np.int64), start, one.view(np.int64), two), strict=True):
+                x.append(y)
+        if out[0]:
+            yield pa.record_batch([pa.array(np.concatenate(x)) for x in out], names=["row", "start", "one", "two"])
 
 
 def _cut_batch(batch: pa.RecordBatch) -> pa.RecordBatch:
     removed, spans, digests = [], [], []
-    for k, (_, data) in enumerate(_texts(batch, 3)):
-        found = batch.column(4)[k].as_py()
+    unpack = zstandard.ZstdDecompressor().decompress
+    lengths = []
+    for packed, found in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
+        data = unpack(packed)
+        lengths.append(len(data))
         if not found:
             removed.append(0)
             spans.append(0)
@@ -191,31 +233,35 @@ def _cut_batch(batch: pa.RecordBatch) -> pa.RecordBatch:
         removed.append(int(gone.sum()))
         spans.append(int((np.diff(np.concatenate(([0], gone.view(np.int8)))) == 1).sum()))
         digests.append(hashlib.sha256(np.frombuffer(data, np.uint8)[~gone].tobytes()).hexdigest())
-    return pa.record_batch([batch.column(1), batch.column(2), pa.array(removed, pa.int64()), pa.array(spans, pa.int64()), pa.array(digests)], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
-
-
-def repeated_ranges(base: DataFrame) -> DataFrame:
-    """row, a, b: ranges of bytes whose windows are repeated; base has row, n_bytes and packed and is stored."""
-    found = settle(base.where(F.col("n_bytes") >= LENGTH).select("row", "packed").mapInArrow(_emit_anchors, "row long, position long, name long, around long, left int, right int"))
-    shared = found.groupBy("name").agg(F.count("*").alias("n"), (F.min("around") != F.max("around")).alias("differ")).where("n > 1").select("name", "differ")
-    again = settle(found.join(shared, "name"))
-    alike = again.where("not differ").select("row", (F.col("position") - F.col("left")).alias("a"), (F.col("position") + F.col("right")).alias("b"))
-
-    mixed = again.where("differ")
-    classes = settle(mixed.groupBy("name", "around").agg(F.count("*").alias("n"), F.min(F.struct("row", "position")).alias("witness")))
-    inside = mixed.join(classes.where("n > 1").select("name", "around"), ["name", "around"])
-    settled = inside.select("row", (F.col("position") - F.col("left")).alias("a"), (F.col("position") + F.col("right")).alias("b"))
-    open_at = classes.groupBy("witness.row").agg(F.collect_list("witness.position").alias("positions"))  # a text's own anchors at most
-    seen = settle(base.select("row", "packed").join(open_at, "row").select("row", "packed", "positions").mapInArrow(_emit_windows, "row long, start long, one long, two int"))
-    twice = seen.groupBy("one", "two").agg(F.count("*").alias("n")).where("n > 1").select("one", "two")
-    repeated = seen.join(twice, ["one", "two"]).select("row", F.col("start").alias("a"), (F.col("start") + LENGTH).alias("b"))
-    return alike.union(settled).union(repeated)
+    return pa.record_batch([batch.column(1), pa.array(lengths, pa.int64()), pa.array(removed, pa.int64()), pa.array(spans, pa.int64()), pa.array(digests)], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+
+
+def repeated_ranges(rows: DataFrame) -> DataFrame:
+    """row, a, b: ranges of bytes whose windows are repeated; rows has row and text."""
+    position, left, right = F.shiftright("place", 16), F.shiftright("place", 8).bitwiseAND(F.lit(255)), F.col("place").bitwiseAND(F.lit(255))
+    long = rows.where(F.octet_length("text") >= LENGTH).select("row", "text")
+    shared = long.mapInArrow(_emit_names, "name long").groupBy("name").agg(F.count("*").alias("n")).where("n > 1").select("name")
+    again = settle(long.mapInArrow(_emit_anchors, "name long, around long, row long, place long").join(shared, "name", "left_semi"))
+    classes = settle(again.groupBy("name", "around").agg(F.count("*").alias("n"), F.min(F.struct("row", "place")).alias("witness")))
+    settled = again.join(classes.where("n > 1").select("name", "around"), ["name", "around"], "left_semi").select("row", (position - left).alias("a"), (position + right).alias("b"))
+
+    several = classes.groupBy("name").agg(F.count("*").alias("kinds")).where("kinds > 1").select("name")
+    open_at = classes.join(several, "name", "left_semi").groupBy("witness.row").agg(F.collect_list("witness.place").alias("places"))  # a text's own anchors at most
+    texts = map_batches(long, _pack_batch, "row long, packed binary")
+    open_ = settle(texts.join(open_at, "row").select("row", "packed", "places").mapInArrow(_emit_contexts, "row long, place long, context binary, cores array<long>"))
+    of_core = open_.select("row", "place", F.posexplode("cores").alias("step", "core")).where("core <> 0")
+    met = of_core.groupBy("step", "core").agg(F.count("*").alias("n")).where("n > 1").select("step", "core")
+    steps = of_core.join(met, ["step", "core"], "left_semi").groupBy("row", "place").agg(F.collect_list("step").alias("steps"))
+    seen = settle(open_.select("row", "place", "context").join(steps, ["row", "place"]).mapInArrow(_emit_windows, "row long, start long, one long, two int"))
+    here = F.struct("row", "start")  # anchors of a text share windows, so places are compared, not counted
+    twice = seen.groupBy("one", "two").agg((F.min(here) != F.max(here)).alias("repeated")).where("repeated").select("one", "two")
+    repeated = seen.join(twice, ["one", "two"], "left_semi").select("row", F.col("start").alias("a"), (F.col("start") + LENGTH).alias("b"))
+    return settled.union(repeated)
 
 
 def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every document."""
     rows = with_row(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))).select("row", "doc_id", "text")
-    base = settle(map_batches(rows, _pack_batch, "row long, doc_id long, n_bytes long, packed binary"))
-    ranges = repeated_ranges(base).groupBy("row").agg(F.collect_list(F.struct("a", "b")).alias("ranges"))
-    joined = base.join(ranges, "row", "left").select("row", "doc_id", "n_bytes", "packed", "ranges")
+    ranges = repeated_ranges(rows).groupBy("row").agg(F.collect_list(F.struct("a", "b")).alias("ranges"))
+    joined = map_batches(rows, _pack_batch, "row long, doc_id long, packed binary").join(ranges, "row", "left").select("row", "doc_id", "packed", "ranges")
     return map_batches(joined, _cut_batch, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
