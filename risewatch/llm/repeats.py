@@ -4,14 +4,15 @@ A rank ("name") of the string of length 2k at a position is made from the names
 on. Within a text the names of length 1, 2, 4, ..., 64 are doubled in place; from there on Spark takes over, and at each
 length only positions that are not unique go on.
 
-* Length 64, at anchors only. An anchor is a position whose name is the least of the 137 names in some 200-byte window, so
-  equal windows have equal anchors; about 2 positions in 138 are anchors. Spark counts names; unique ones are dropped.
-* Length 336. The name of an anchor's whole surroundings (all windows that hold it, cut at the ends of the text). Where
-  another anchor has the same, all of those windows are repeated: settled, and no window needs a look. This is the inside
-  of copies. Of anchors that share a name but not the surroundings (edges of passages, places of edits), one of each kind
-  goes on, with its surroundings.
-* Length 166, at four offsets of those. Each window holds one of these cores; windows of unique cores are dropped.
-* Length 200, at every window of the cores that go on: names that occur twice are repeated windows.
+* Length 64, at anchors only. The anchor of a 200-byte window is the last of its 137 positions with the least name, so equal
+  windows have equal anchors at equal places; an anchor owns a run of windows, 70 on average. Spark counts the names of
+  anchors; unique ones are dropped.
+* Up to length 336. The name of the bytes of all windows that an anchor owns. Where another anchor has the same, all of
+  those windows are repeated: settled. This is the inside of copies. Of anchors that share a name but not these bytes
+  (edges of passages, places of edits), one of each kind goes on, with its bytes.
+* Lengths 185 and up to 215. The windows of those are cut into steps of 16: what all windows of a step share, its core,
+  and what they cover together. Unique cores are dropped, repeated covers settled; of the rest one of each kind goes on.
+* Length 200, at every window of the steps that go on: names that occur twice are repeated windows.
 
 Names are 64-bit hashes, not dense ranks, so that no global order is needed; surroundings are compared by name and
 surroundings (128 bits), windows by 96 bits. Texts move twice, compressed; positions move only as anchors and windows. The
@@ -70,30 +71,28 @@ def _sliding(x: np.ndarray, width: int, best: np.ufunc) -> np.ndarray:
     return best(x[: len(x) - (width - k)], x[width - k :]) if width > k else x
 
 
-def _surroundings(name: np.ndarray, at: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """Name of the bytes from at - left to at + right (LENGTH of them at least)."""
-    first, last = at - left, at + right - SEED_LENGTH
-    out = left.astype(np.uint64) * np.uint64(1009) + right.astype(np.uint64)
+def _covered(name: np.ndarray, first: np.ndarray, length: np.ndarray, key: np.ndarray) -> np.ndarray:
+    """Name of the `length` bytes (64 to 384) from first on, together with a number."""
+    last = first + length - SEED_LENGTH
+    out = key.astype(np.uint64)
     for step in range(0, SPAN + LENGTH, SEED_LENGTH):
         out = _join(out, name[np.minimum(first + step, last)])
     return out
 
 
-def _units(texts: Iterator[tuple[int, bytes]]) -> Iterator[tuple[int, bytes, int, int, int]]:
-    """row, bytes, where they start in the text, the text's length, and up to which position of the text this unit answers."""
+def _units(texts: Iterator[tuple[int, bytes]]) -> Iterator[tuple[int, bytes, int]]:
+    """row, bytes, where they start in the text; each window of the text is in one unit."""
     for row, data in texts:
-        n = len(data)
-        if n < LENGTH:
-            continue
-        for a in range(0, n, SEGMENT):
-            start, end = max(0, a - SPAN), min(n, a + SEGMENT + LENGTH)
-            if end - start >= LENGTH:
-                yield row, data[start:end] if (start, end) != (0, n) else data, start, n, min(n, a + SEGMENT)
+        for a in range(0, len(data) - LENGTH + 1, SEGMENT):
+            yield row, data[a : a + SEGMENT + LENGTH - 1] if len(data) > SEGMENT else data, a
 
 
 def anchors(texts: Iterator[tuple[int, bytes]]) -> Iterator[tuple[np.ndarray, ...]]:
-    """Arrays row, position, name, surroundings, left, right of the anchors; short texts are named together."""
-    held: list[tuple[int, bytes, int, int, int]] = []
+    """Arrays row, position, most and least bytes that windows start before it, name, name of all its windows' bytes.
+
+    Short texts are named together, long ones in pieces.
+    """
+    held: list[tuple[int, bytes, int]] = []
     size = 0
     for unit in _units(texts):
         if held and size + len(unit[1]) > SEGMENT:
@@ -105,54 +104,65 @@ def anchors(texts: Iterator[tuple[int, bytes]]) -> Iterator[tuple[np.ndarray, ..
         yield _anchors_of(held)
 
 
-def _anchors_of(units: list[tuple[int, bytes, int, int, int]]) -> tuple[np.ndarray, ...]:
-    lengths = np.array([len(x[1]) for x in units])
-    ends = np.cumsum(lengths)
-    begins = ends - lengths
-    data = np.frombuffer(b"".join(x[1] for x in units), np.uint8)
-    name = names(data)
-    least = _sliding(name, SPAN + 1, np.minimum)  # of the windows that start here
+def _anchors_of(units: list[tuple[int, bytes, int]]) -> tuple[np.ndarray, ...]:
+    ends = np.cumsum([len(x[1]) for x in units])
+    begins = ends - np.array([len(x[1]) for x in units])
+    name = names(np.frombuffer(b"".join(x[1] for x in units), np.uint8))
+    least = _sliding(name, SPAN + 1, np.minimum)  # of the window that starts here
     whole = np.zeros(len(least), bool)
     for a, b in zip(begins.tolist(), ends.tolist(), strict=True):
         whole[a : b - LENGTH + 1] = True
-    least = np.where(whole, least, np.uint64(0))
-    padded = np.concatenate([np.zeros(SPAN, np.uint64), least, np.zeros(SPAN, np.uint64)])
-    chosen = _sliding(padded, SPAN + 1, np.maximum)  # over the windows that hold this position
-    at = np.flatnonzero(name[: len(chosen)] == chosen[: len(name)])
-    unit = np.searchsorted(ends, at, side="right")
-    start, total, until = (np.array([x[i] for x in units]) for i in (2, 3, 4))
-    position = at - begins[unit] + start[unit]
-    own = (position < until[unit]) & (position >= np.where(start[unit] == 0, 0, start[unit] + SPAN))
-    at, unit, position = at[own], unit[own], position[own]
-    left, right = np.minimum(SPAN, position), np.minimum(LENGTH, total[unit] - position)
-    row = np.array([x[0] for x in units])[unit]
-    return row, position, name[at], _surroundings(name, at, left, right), left, right
-
-
-#: Windows start 0 to SPAN bytes before their anchor; in steps of CORE_STEP, all windows of a step hold the same core.
-CORE_STEP = SPAN // 4
-CORE_LENGTH = LENGTH - CORE_STEP
-
-
-def cores(context: bytes, left: int) -> list[int]:
-    """Names of the cores of the windows that start up to CORE_STEP, 2 CORE_STEP, ... bytes before the anchor (0: none)."""
-    name = names(np.frombuffer(context, np.uint8))
-    out = []
-    for k in range(4):
-        at = left - k * CORE_STEP
-        if at < 0 or at + CORE_LENGTH > len(context):
-            out.append(0)
-            continue
-        x = _join(_join(name[at : at + 1], name[at + 64 : at + 65]), name[at + CORE_LENGTH - 64 : at + CORE_LENGTH - 63])
-        out.append(int(x.view(np.int64)[0]) | 1)
-    return out
-
-
-def windows(context: bytes, left: int, steps: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts (in the context) and names (64 and 32 bits) of the windows of these steps."""
-    wanted = np.unique(np.concatenate([np.arange(left - (k + 1) * CORE_STEP, left - k * CORE_STEP + 1) for k in steps]))
-    at = wanted[(wanted >= 0) & (wanted + LENGTH <= len(context))]
-    name = names(np.frombuffer(context, np.uint8))
+    # runs of windows with one least name, never across texts
+    cut = np.flatnonzero((least[1:] != least[:-1]) | (whole[1:] != whole[:-1])) + 1
+    first, last = np.concatenate(([0], cut)), np.concatenate((cut, [len(least)])) - 1
+    first, last = first[whole[first]], last[whole[first]]
+
+    # where the least names are: positions that are the least of some window
+    padded = np.concatenate([np.zeros(SPAN, np.uint64), np.where(whole, least, np.uint64(0)), np.zeros(SPAN, np.uint64)])
+    at = np.flatnonzero(name == _sliding(padded, SPAN + 1, np.maximum)[: len(name)])
+    of = name[at]
+
+    def anchor(start: np.ndarray) -> np.ndarray:
+        """The last position with the least name in the windows that start here."""
+        i = np.searchsorted(at, start + SPAN, side="right") - 1
+        while len(wrong := np.flatnonzero(of[i] != least[start])):
+            i[wrong] -= 1
+        return at[i]
+
+    one, other = anchor(first), anchor(last)
+    if len(tied := np.flatnonzero(one != other)):  # one name several times: window by window
+        starts = np.concatenate([np.arange(a, b + 1) for a, b in zip(first[tied].tolist(), last[tied].tolist(), strict=True)])
+        picked = anchor(starts)
+        cut = np.flatnonzero((np.diff(starts) != 1) | (np.diff(picked) != 0)) + 1
+        alike = one == other
+        one = np.concatenate([one[alike], picked[np.concatenate(([0], cut))]])
+        first = np.concatenate([first[alike], starts[np.concatenate(([0], cut))]])
+        last = np.concatenate([last[alike], starts[np.concatenate((cut, [len(starts)])) - 1]])
+    unit = np.searchsorted(ends, one, side="right")
+    row, start = (np.array([x[i] for x in units])[unit] for i in (0, 2))
+    most, fewest = one - first, one - last
+    return row, one - begins[unit] + start, most, fewest, name[one], _covered(name, first, last - first + LENGTH, most * 1009 + fewest)
+
+
+#: Windows that start 16 k to 16 k + 15 bytes before their anchor are step k; they share CORE bytes.
+STEP = 16
+CORE = LENGTH - STEP + 1
+
+
+def steps(window_bytes: bytes, most: int, fewest: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of an anchor's windows (all their bytes): steps, names of the cores, names of what the step's own windows cover."""
+    name = names(np.frombuffer(window_bytes, np.uint8))
+    k = np.arange(fewest // STEP, most // STEP + 1)
+    at = most - STEP * k
+    core = _join(_join(name[at], name[at + 64]), _join(name[at + CORE - 64], k.astype(np.uint64)))
+    high, low = np.minimum(most, STEP * k + STEP - 1), np.maximum(fewest, STEP * k)
+    return k, core, _covered(name, most - high, high - low + LENGTH, high * 1009 + low)
+
+
+def windows(window_bytes: bytes, most: int, fewest: int, wanted: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts (in these bytes) and names (64 and 32 bits) of the windows of these steps."""
+    name = names(np.frombuffer(window_bytes, np.uint8))
+    at = np.concatenate([most - np.arange(max(fewest, STEP * k), min(most, STEP * k + STEP - 1) + 1) for k in wanted])
     x = _join(_join(name[at], name[at + 64]), _join(name[at + 128], name[at + SPAN]))
     y = _join(_join(name[at + 64], name[at + SPAN]), _join(name[at], name[at + 128]))
     return at, x, (y >> np.uint64(33)).astype(np.int32)
@@ -174,43 +184,56 @@ def _pack_batch(batch: pa.RecordBatch) -> pa.RecordBatch:
 
 def _emit_names(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for _, _, name, _, _, _ in anchors(_texts(batch)):
-            yield pa.record_batch([pa.array(name.view(np.int64))], names=["name"])
+        for found in anchors(_texts(batch)):
+            yield pa.record_batch([pa.array(found[4].view(np.int64))], names=["name"])
 
 
 def _emit_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """place: position, most and fewest bytes before it, in one number."""
     for batch in batches:
-        for row, position, name, around, left, right in anchors(_texts(batch)):
-            place = (position.astype(np.int64) << 16) | (left.astype(np.int64) << 8) | right.astype(np.int64)
-            yield pa.record_batch([pa.array(c) for c in (name.view(np.int64), around.view(np.int64), row.astype(np.int64), place)], names=["name", "around", "row", "place"])
+        for row, position, most, fewest, name, cover in anchors(_texts(batch)):
+            place = (position.astype(np.int64) << 16) | (most.astype(np.int64) << 8) | fewest.astype(np.int64)
+            yield pa.record_batch([pa.array(c) for c in (name.view(np.int64), cover.view(np.int64), row.astype(np.int64), place)], names=["name", "cover", "row", "place"])
+
+
+def _parts(place: int) -> tuple[int, int, int]:
+    return place >> 16, place >> 8 & 255, place & 255
 
 
-def _emit_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _emit_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     unpack = zstandard.ZstdDecompressor().decompress
     for batch in batches:
-        rows, places, contexts, names_of = [], [], [], []
-        for row, packed, found in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+        rows, places, pieces = [], [], []
+        for row, packed, found in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
             data = unpack(packed)
             for place in found:
-                position, left, right = place >> 16, place >> 8 & 255, place & 255
-                context = data[position - left : position + right]
+                position, most, fewest = _parts(place)
                 rows.append(row)
                 places.append(place)
-                contexts.append(context)
-                names_of.append(cores(context, left))
-        yield pa.record_batch([pa.array(rows, pa.int64()), pa.array(places, pa.int64()), pa.array(contexts, pa.binary()), pa.array(names_of, pa.list_(pa.int64()))], names=["row", "place", "context", "cores"])
+                pieces.append(data[position - most : position - fewest + LENGTH])
+        yield pa.record_batch([pa.array(rows, pa.int64()), pa.array(places, pa.int64()), pa.array(pieces, pa.binary())], names=["row", "place", "piece"])
+
+
+def _stacked(rows: list[int], places: list[int], each: list[tuple[np.ndarray, ...]]) -> list[np.ndarray]:
+    counts = [len(x[0]) for x in each]
+    return [np.repeat(np.array(rows, np.int64), counts), np.repeat(np.array(places, np.int64), counts), *map(np.concatenate, zip(*each, strict=True))]
+
+
+def _emit_steps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        if batch.num_rows:
+            rows, places, pieces = (batch.column(i).to_pylist() for i in range(3))
+            row, place, k, core, cover = _stacked(rows, places, [steps(piece, *_parts(place)[1:]) for place, piece in zip(places, pieces, strict=True)])
+            yield pa.record_batch([pa.array(c) for c in (row, place, k.astype(np.int32), core.view(np.int64), cover.view(np.int64))], names=["row", "place", "step", "core", "cover"])
 
 
 def _emit_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        out = [[], [], [], []]
-        for row, place, context, steps in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
-            start, one, two = windows(context, place >> 8 & 255, steps)
-            start = start + (place >> 16) - (place >> 8 & 255)
-            for x, y in zip(out, (np.full(len(start), row, np.int64), start, one.view(np.int64), two), strict=True):
-                x.append(y)
-        if out[0]:
-            yield pa.record_batch([pa.array(np.concatenate(x)) for x in out], names=["row", "start", "one", "two"])
+        if batch.num_rows:
+            rows, places, pieces, wanted = (batch.column(i).to_pylist() for i in range(4))
+            row, place, at, one, two = _stacked(rows, places, [windows(piece, *_parts(place)[1:], ks) for place, piece, ks in zip(places, pieces, wanted, strict=True)])
+            start = at + (place >> 16) - (place >> 8 & 255)
+            yield pa.record_batch([pa.array(c) for c in (row, start, one.view(np.int64), two)], names=["row", "start", "one", "two"])
 
 
 def _cut_batch(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -236,27 +259,35 @@ def _cut_batch(batch: pa.RecordBatch) -> pa.RecordBatch:
     return pa.record_batch([batch.column(1), pa.array(lengths, pa.int64()), pa.array(removed, pa.int64()), pa.array(spans, pa.int64()), pa.array(digests)], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
 
+def _kinds(found: DataFrame, key: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Of rows key, cover, row, place: those whose cover occurs again, and one of each cover where a key has several."""
+    classes = settle(found.groupBy(*key, "cover").agg(F.count("*").alias("n"), F.min(F.struct("row", "place")).alias("witness")))
+    settled = found.join(classes.where("n > 1").select(*key, "cover"), [*key, "cover"], "left_semi")
+    several = classes.groupBy(*key).agg(F.count("*").alias("kinds")).where("kinds > 1").select(*key)
+    return settled, classes.join(several, key, "left_semi").select(*key, "witness.*")
+
+
 def repeated_ranges(rows: DataFrame) -> DataFrame:
     """row, a, b: ranges of bytes whose windows are repeated; rows has row and text."""
-    position, left, right = F.shiftright("place", 16), F.shiftright("place", 8).bitwiseAND(F.lit(255)), F.col("place").bitwiseAND(F.lit(255))
+    position, most, fewest = F.shiftright("place", 16), F.shiftright("place", 8).bitwiseAND(F.lit(255)), F.col("place").bitwiseAND(F.lit(255))
     long = rows.where(F.octet_length("text") >= LENGTH).select("row", "text")
     shared = long.mapInArrow(_emit_names, "name long").groupBy("name").agg(F.count("*").alias("n")).where("n > 1").select("name")
-    again = settle(long.mapInArrow(_emit_anchors, "name long, around long, row long, place long").join(shared, "name", "left_semi"))
-    classes = settle(again.groupBy("name", "around").agg(F.count("*").alias("n"), F.min(F.struct("row", "place")).alias("witness")))
-    settled = again.join(classes.where("n > 1").select("name", "around"), ["name", "around"], "left_semi").select("row", (position - left).alias("a"), (position + right).alias("b"))
+    again = settle(long.mapInArrow(_emit_anchors, "name long, cover long, row long, place long").join(shared, "name", "left_semi"))
+    settled, open_ = _kinds(again, ["name"])
+    ranges = settled.select("row", (position - most).alias("a"), (position - fewest + LENGTH).alias("b"))
 
-    several = classes.groupBy("name").agg(F.count("*").alias("kinds")).where("kinds > 1").select("name")
-    open_at = classes.join(several, "name", "left_semi").groupBy("witness.row").agg(F.collect_list("witness.place").alias("places"))  # a text's own anchors at most
+    places = open_.groupBy("row").agg(F.collect_list("place").alias("places"))  # a text's own anchors at most
     texts = map_batches(long, _pack_batch, "row long, packed binary")
-    open_ = settle(texts.join(open_at, "row").select("row", "packed", "places").mapInArrow(_emit_contexts, "row long, place long, context binary, cores array<long>"))
-    of_core = open_.select("row", "place", F.posexplode("cores").alias("step", "core")).where("core <> 0")
-    met = of_core.groupBy("step", "core").agg(F.count("*").alias("n")).where("n > 1").select("step", "core")
-    steps = of_core.join(met, ["step", "core"], "left_semi").groupBy("row", "place").agg(F.collect_list("step").alias("steps"))
-    seen = settle(open_.select("row", "place", "context").join(steps, ["row", "place"]).mapInArrow(_emit_windows, "row long, start long, one long, two int"))
-    here = F.struct("row", "start")  # anchors of a text share windows, so places are compared, not counted
-    twice = seen.groupBy("one", "two").agg((F.min(here) != F.max(here)).alias("repeated")).where("repeated").select("one", "two")
-    repeated = seen.join(twice, ["one", "two"], "left_semi").select("row", F.col("start").alias("a"), (F.col("start") + LENGTH).alias("b"))
-    return settled.union(repeated)
+    pieces = settle(texts.join(places, "row").select("row", "packed", "places").mapInArrow(_emit_bytes, "row long, place long, piece binary"))
+    of_step = settle(pieces.mapInArrow(_emit_steps, "row long, place long, step int, core long, cover long"))
+    settled, open_ = _kinds(of_step, ["step", "core"])
+    first = F.least(most, F.col("step") * STEP + (STEP - 1))
+    ranges = ranges.union(settled.select("row", (position - first).alias("a"), (position - F.greatest(fewest, F.col("step") * STEP) + LENGTH).alias("b")))
+
+    wanted = open_.groupBy("row", "place").agg(F.collect_list("step").alias("steps"))
+    seen = settle(pieces.join(wanted, ["row", "place"]).select("row", "place", "piece", "steps").mapInArrow(_emit_windows, "row long, start long, one long, two int"))
+    twice = seen.groupBy("one", "two").agg(F.count("*").alias("n")).where("n > 1").select("one", "two")
+    return ranges.union(seen.join(twice, ["one", "two"], "left_semi").select("row", F.col("start").alias("a"), (F.col("start") + LENGTH).alias("b")))
 
 
 def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

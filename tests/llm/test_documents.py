@@ -287,11 +287,17 @@ def test_repeats_in_random_texts(spark, monkeypatch):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = {r["doc_id"]: tuple(r)[1:] for r in repeats.without_repeats(docs).collect()}
     assert [got[i] for i in range(len(texts))] == slow_repeats(texts)
-    monkeypatch.setattr(repeats, "SEGMENT", 300)  # long texts in pieces have the same anchors
+    monkeypatch.setattr(repeats, "SEGMENT", 300)  # long texts in pieces have the same anchors for each window
     data = list(enumerate(t.encode() for t in texts))
-    pieces = {(r, p, n, s) for x in repeats.anchors(iter(data)) for r, p, n, s in zip(*x[:4], strict=True)}
+
+    def owners():
+        found = [x for part in repeats.anchors(iter(data)) for x in zip(*map(np.ndarray.tolist, part[:5]), strict=True)]
+        return {(row, at - back): (at, name) for row, at, most, fewest, name in found for back in range(fewest, most + 1)}, len(found)
+
+    pieces, _ = owners()
     monkeypatch.setattr(repeats, "SEGMENT", 1 << 20)
-    assert pieces == {(r, p, n, s) for x in repeats.anchors(iter(data)) for r, p, n, s in zip(*x[:4], strict=True)}
+    wholes, _ = owners()
+    assert pieces == wholes and len(wholes) == sum(max(0, len(b) - 199) for _, b in data)
 
 
 def test_empty_tables(empty):
