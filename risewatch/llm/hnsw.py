@@ -157,13 +157,19 @@ def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     return rows.where(finite).where(F.exists("vector", lambda x: x != 0)).select("row", "id", "vector", F.size("vector").alias("dim"))
 
 
+def _scaled(vectors: np.ndarray) -> np.ndarray:
+    """Vectors times powers of two (which changes no cosine), so that tiny and huge components neither vanish nor overflow."""
+    return np.ldexp(vectors, -np.frexp(np.abs(vectors).max(axis=-1, keepdims=True))[1])
+
+
 def _units(vectors: np.ndarray) -> np.ndarray:
-    scaled = vectors / np.abs(vectors).max(axis=1, keepdims=True)
+    scaled = _scaled(vectors)
     return (scaled / np.sqrt((scaled * scaled).sum(axis=1, keepdims=True))).astype(np.float32)
 
 
 def _cosines(vectors: np.ndarray, query: np.ndarray) -> np.ndarray:
     """Row by row in one fixed order, so that equal vectors have equal scores."""
+    vectors, query = _scaled(vectors), _scaled(query)
     return (vectors * query).sum(axis=1) / (np.sqrt((vectors * vectors).sum(axis=1)) * np.sqrt((query * query).sum()))
 
 
