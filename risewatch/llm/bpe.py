@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from risewatch.llm.shared import map_batches
 
 PIECE = 1 << 18
-CACHED_WORDS, CACHED_LENGTH = 250_000, 48
+CACHED_WORDS, CACHED_LENGTH = 80_000, 48
 
 
 def byte_alphabet() -> list[str]:

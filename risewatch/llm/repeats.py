@@ -33,7 +33,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from risewatch.llm.shared import map_batches, settle, with_row
+from risewatch.llm.shared import SLICE, map_batches, settle, with_row
 
 LENGTH, SEED_LENGTH = 200, 64
 SPAN = LENGTH - SEED_LENGTH  # windows that hold an anchor start up to this far before it
@@ -173,8 +173,10 @@ def _bytes(text: str | None) -> bytes:
 
 
 def _texts(batch: pa.RecordBatch) -> Iterator[tuple[int, bytes]]:
-    for row, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-        yield row, _bytes(text)
+    for at in range(0, batch.num_rows, SLICE):
+        part = batch.slice(at, SLICE)
+        for row, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
+            yield row, _bytes(text)
 
 
 def _pack_batch(batch: pa.RecordBatch) -> pa.RecordBatch:

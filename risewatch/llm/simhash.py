@@ -33,7 +33,7 @@ from risewatch.llm.shared import components, map_batches, settle, with_row, with
 SHINGLE, RADIUS, SEED = 3, 3, 42
 #: Points a bucket of the shuffle holds on average (10 bytes each): fixes the number of buckets.
 BUCKET_POINTS = 1_000_000
-BLOCK = 2048
+BLOCK = 1024
 _LOWER = bytes.maketrans(string.ascii_uppercase.encode(), string.ascii_lowercase.encode())
 
 
