@@ -145,27 +145,46 @@ def _anchors_of(units: list[tuple[int, bytes, int]]) -> tuple[np.ndarray, ...]:
 
 
 #: Windows that start 16 k to 16 k + 15 bytes before their anchor are step k; they share CORE bytes.
-STEP = 16
+STEP, PIECES = 16, 2000
 CORE = LENGTH - STEP + 1
 
 
-def steps(window_bytes: bytes, most: int, fewest: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of an anchor's windows (all their bytes): steps, names of the cores, names of what the step's own windows cover."""
-    name = names(np.frombuffer(window_bytes, np.uint8))
-    k = np.arange(fewest // STEP, most // STEP + 1)
-    at = most - STEP * k
-    core = _join(_join(name[at], name[at + 64]), _join(name[at + CORE - 64], k.astype(np.uint64)))
-    high, low = np.minimum(most, STEP * k + STEP - 1), np.maximum(fewest, STEP * k)
-    return k, core, _covered(name, most - high, high - low + LENGTH, high * 1009 + low)
+def _ranges(first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which range, and value, of all whole numbers from each first to its last."""
+    counts = last - first + 1
+    which = np.repeat(np.arange(len(first)), counts)
+    return which, np.arange(len(which)) - np.repeat(np.cumsum(counts) - counts, counts) + first[which]
+
 
+def _laid_out(pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Names of the pieces laid end to end, and where each begins."""
+    lengths = np.array([len(x) for x in pieces])
+    return names(np.frombuffer(b"".join(pieces), np.uint8)), np.cumsum(lengths) - lengths
 
-def windows(window_bytes: bytes, most: int, fewest: int, wanted: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts (in these bytes) and names (64 and 32 bits) of the windows of these steps."""
-    name = names(np.frombuffer(window_bytes, np.uint8))
-    at = np.concatenate([most - np.arange(max(fewest, STEP * k), min(most, STEP * k + STEP - 1) + 1) for k in wanted])
+
+def steps(pieces: list[bytes], most: np.ndarray, fewest: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Of anchors (all bytes of their windows): which anchor, step, name of the core, name of what its windows in the step cover."""
+    name, base = _laid_out(pieces)
+    which, k = _ranges(fewest // STEP, most // STEP)
+    most, fewest, base = most[which], fewest[which], base[which]
+    at = base + most - STEP * k
+    core = _join(_join(name[at], name[at + 64]), _join(name[at + CORE - 64], k.astype(np.uint64)))
+    high, low = np.minimum(most, STEP * k + STEP - 1), np.maximum(fewest, STEP * k)
+    return which, k, core, _covered(name, base + most - high, high - low + LENGTH, high * 1009 + low)
+
+
+def windows(pieces: list[bytes], most: np.ndarray, fewest: np.ndarray, wanted: list[list[int]]) -> tuple[np.ndarray, ...]:
+    """Which anchor, start (in its bytes), names (64 and 32 bits) of the windows of the steps wanted."""
+    name, base = _laid_out(pieces)
+    anchor = np.repeat(np.arange(len(pieces)), [len(x) for x in wanted])
+    k = np.array([x for ks in wanted for x in ks], np.int64)
+    step, back = _ranges(np.maximum(fewest[anchor], STEP * k), np.minimum(most[anchor], STEP * k + STEP - 1))
+    which = anchor[step]
+    start = most[which] - back
+    at = base[which] + start
     x = _join(_join(name[at], name[at + 64]), _join(name[at + 128], name[at + SPAN]))
     y = _join(_join(name[at + 64], name[at + SPAN]), _join(name[at], name[at + 128]))
-    return at, x, (y >> np.uint64(33)).astype(np.int32)
+    return which, start, x, (y >> np.uint64(33)).astype(np.int32)
 
 
 def _bytes(text: str | None) -> bytes:
@@ -216,26 +235,27 @@ def _emit_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch([pa.array(rows, pa.int64()), pa.array(places, pa.int64()), pa.array(pieces, pa.binary())], names=["row", "place", "piece"])
 
 
-def _stacked(rows: list[int], places: list[int], each: list[tuple[np.ndarray, ...]]) -> list[np.ndarray]:
-    counts = [len(x[0]) for x in each]
-    return [np.repeat(np.array(rows, np.int64), counts), np.repeat(np.array(places, np.int64), counts), *map(np.concatenate, zip(*each, strict=True))]
+def _pieces(batch: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray, list[bytes], np.ndarray, np.ndarray]]:
+    """row, place, pieces, most, fewest of a few thousand anchors at a time."""
+    for at in range(0, batch.num_rows, PIECES):
+        part = batch.slice(at, PIECES)
+        row, place = part.column(0).to_numpy(), part.column(1).to_numpy()
+        yield part, row, place, part.column(2).to_pylist(), place >> 8 & 255, place & 255
 
 
 def _emit_steps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        if batch.num_rows:
-            rows, places, pieces = (batch.column(i).to_pylist() for i in range(3))
-            row, place, k, core, cover = _stacked(rows, places, [steps(piece, *_parts(place)[1:]) for place, piece in zip(places, pieces, strict=True)])
-            yield pa.record_batch([pa.array(c) for c in (row, place, k.astype(np.int32), core.view(np.int64), cover.view(np.int64))], names=["row", "place", "step", "core", "cover"])
+        for _, row, place, pieces, most, fewest in _pieces(batch):
+            which, k, core, cover = steps(pieces, most, fewest)
+            yield pa.record_batch([pa.array(c) for c in (row[which], place[which], k.astype(np.int32), core.view(np.int64), cover.view(np.int64))], names=["row", "place", "step", "core", "cover"])
 
 
 def _emit_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        if batch.num_rows:
-            rows, places, pieces, wanted = (batch.column(i).to_pylist() for i in range(4))
-            row, place, at, one, two = _stacked(rows, places, [windows(piece, *_parts(place)[1:], ks) for place, piece, ks in zip(places, pieces, wanted, strict=True)])
-            start = at + (place >> 16) - (place >> 8 & 255)
-            yield pa.record_batch([pa.array(c) for c in (row, start, one.view(np.int64), two)], names=["row", "start", "one", "two"])
+        for part, row, place, pieces, most, fewest in _pieces(batch):
+            which, at, one, two = windows(pieces, most, fewest, part.column(3).to_pylist())
+            start = at + (place >> 16)[which] - most[which]
+            yield pa.record_batch([pa.array(c) for c in (row[which], start, one.view(np.int64), two)], names=["row", "start", "one", "two"])
 
 
 def _cut_batch(batch: pa.RecordBatch) -> pa.RecordBatch:
