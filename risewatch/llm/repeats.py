@@ -285,7 +285,7 @@ def _kinds(found: DataFrame, key: list[str]) -> tuple[DataFrame, DataFrame]:
     """Of rows key, cover, row, place: those whose cover occurs again, and one of each cover where a key has several."""
     classes = settle(found.groupBy(*key, "cover").agg(F.count("*").alias("n"), F.min(F.struct("row", "place")).alias("witness")))
     settled = found.join(classes.where("n > 1").select(*key, "cover"), [*key, "cover"], "left_semi")
-    several = classes.groupBy(*key).agg(F.count("*").alias("kinds")).where("kinds > 1").select(*key)
+    several = settle(classes.groupBy(*key).agg(F.count("*").alias("kinds")).where("kinds > 1").select(*key))
     return settled, classes.join(several, key, "left_semi").select(*key, "witness.*")
 
 
@@ -293,7 +293,8 @@ def repeated_ranges(rows: DataFrame) -> DataFrame:
     """row, a, b: ranges of bytes whose windows are repeated; rows has row and text."""
     position, most, fewest = F.shiftright("place", 16), F.shiftright("place", 8).bitwiseAND(F.lit(255)), F.col("place").bitwiseAND(F.lit(255))
     long = rows.where(F.octet_length("text") >= LENGTH).select("row", "text")
-    shared = long.mapInArrow(_emit_names, "name long").groupBy("name").agg(F.count("*").alias("n")).where("n > 1").select("name")
+    # tables of keys are stored before a join, so that both of its sides are shuffled for it and a frequent key can be split
+    shared = settle(long.mapInArrow(_emit_names, "name long").groupBy("name").agg(F.count("*").alias("n")).where("n > 1").select("name"))
     again = settle(long.mapInArrow(_emit_anchors, "name long, cover long, row long, place long").join(shared, "name", "left_semi"))
     settled, open_ = _kinds(again, ["name"])
     ranges = settled.select("row", (position - most).alias("a"), (position - fewest + LENGTH).alias("b"))
@@ -308,7 +309,7 @@ def repeated_ranges(rows: DataFrame) -> DataFrame:
 
     wanted = open_.groupBy("row", "place").agg(F.collect_list("step").alias("steps"))
     seen = settle(pieces.join(wanted, ["row", "place"]).select("row", "place", "piece", "steps").mapInArrow(_emit_windows, "row long, start long, one long, two int"))
-    twice = seen.groupBy("one", "two").agg(F.count("*").alias("n")).where("n > 1").select("one", "two")
+    twice = settle(seen.groupBy("one", "two").agg(F.count("*").alias("n")).where("n > 1").select("one", "two"))
     return ranges.union(seen.join(twice, ["one", "two"], "left_semi").select("row", F.col("start").alias("a"), (F.col("start") + LENGTH).alias("b")))
 
 
