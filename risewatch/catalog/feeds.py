@@ -8,14 +8,13 @@
 from __future__ import annotations
 
 import os
-import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from risewatch.functions.time import week_label
 from risewatch.operators.keyed import first_per_key
-from risewatch.taxonomy import Taxonomy
+from risewatch.taxonomy import DEFAULT, Taxonomy
 
 PART_TAXONOMY = Taxonomy(
     {
@@ -73,7 +72,8 @@ def trend_stories(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def event_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as search hits: every 7th lacks its id, every 11th has a bad one,
-    every 13th lacks its title, every 17th has an empty one, every 5th lacks points."""
+    every 13th lacks its title, every 17th has an empty one, every 5th lacks points,
+    every 23rd has points that are no integer, every 29th too many."""
     e, n = table(spark, sf_dir, "events"), F.col("event_id")
     return e.select(
         (n / HITS_PER_PAGE).cast("long").alias("page_no"),
@@ -87,7 +87,11 @@ def event_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.concat_ws(" ", "event_type", "props"))
         .alias("title"),
         F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'").alias("created_at"),
-        F.when(n % 5 == 0, None).otherwise(F.floor("value").cast("int")).alias("points"),
+        F.when(n % 5 == 0, None)
+        .when(n % 23 == 8, F.lit("3.5"))
+        .when(n % 29 == 9, F.lit("3000000000"))
+        .otherwise(F.floor("value").cast("int").cast("string"))
+        .alias("points"),
         (F.col("user_id") % 50).cast("int").alias("num_comments"),
         F.concat(F.lit("https://example.com/u/"), F.col("user_id").cast("string")).alias("url"),
         "ts",
@@ -124,8 +128,35 @@ def link_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scratch(spark: SparkSession) -> str:
-    """A new folder for tables: in the cluster's checkpoint folder, if it names one."""
+    """A new folder for tables in the shared folder the cluster names (spark.checkpoint.dir), else in the warehouse.
+
+    It goes when the driver's JVM ends.
+    """
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        return tempfile.mkdtemp(prefix="risewatch-")
-    return f"{shared.rstrip('/')}/risewatch-{os.urandom(8).hex()}"
+    root = shared or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
+    path = f"{root.rstrip('/')}/risewatch-{os.urandom(8).hex()}"
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
+    return path
+
+
+def default_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines whose titles hold names of the built-in taxonomy: by index, at a start, an end or inside, some
+    followed by words that forbid a match, every 10th missing."""
+    names = list(DEFAULT.category_of())
+    n = F.col("l_orderkey") * 7 + F.col("l_linenumber")
+    name = F.element_at(F.array(*map(F.lit, names)), (F.pmod(n, F.lit(len(names))) + 1).cast("int"))
+    tail = F.element_at(F.array(*map(F.lit, TITLE_TAILS)), (F.pmod(F.col("l_partkey"), F.lit(len(TITLE_TAILS))) + 1).cast("int"))
+    lines, parts = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "part")
+    return lines.join(parts, F.col("l_partkey") == F.col("p_partkey")).select(
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("story_id"),
+        F.when(n % 10 == 3, None)
+        .when(n % 3 == 0, F.concat(name, tail))
+        .when(n % 3 == 1, F.concat("p_name", F.lit(" "), name, tail))
+        .otherwise(F.concat("p_name", F.lit(" "), name))
+        .alias("title"),
+        F.lit(None).cast("string").alias("url"),
+    )
+
+
+TITLE_TAILS = ["", " to bed", " language", "20", " 2", "s", " back", "-like", " in", ", cran", "  package"]

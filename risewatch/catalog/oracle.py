@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import re
 
-from risewatch.catalog.feeds import PAGE_TAXONOMY, PART_TAXONOMY, STOP_WORDS
+from risewatch.catalog.feeds import PAGE_TAXONOMY, PART_TAXONOMY, STOP_WORDS, TITLE_TAILS
 from risewatch.catalog.queries import (
     AUDIT_CAP,
     FEW_NAMES,
@@ -152,6 +152,7 @@ hits AS (
          CASE WHEN event_id % 13 = 4 THEN NULL WHEN event_id % 17 = 6 THEN ''
               ELSE event_type || ' ' || props END AS title,
          date_trunc('milliseconds', ts) AS created_at,
+         event_id % 5 <> 0 AND (event_id % 23 = 8 OR event_id % 29 = 9) AS odd_points,
          CASE WHEN event_id % 5 = 0 THEN 0 ELSE CAST(floor(value) AS INTEGER) END AS score,
          CAST(user_id % 50 AS INTEGER) AS num_comments,
          'https://example.com/u/' || user_id AS url, ts
@@ -161,7 +162,18 @@ PARSED = f"""{HITS},
 parsed AS (
   SELECT TRY_CAST(object_id AS BIGINT) AS story_id, title, url, score, num_comments, created_at,
          strftime(created_at, '%Y-W%W') AS iso_week
-  FROM hits WHERE TRY_CAST(object_id AS BIGINT) IS NOT NULL AND length(title) > 0)"""
+  FROM hits WHERE TRY_CAST(object_id AS BIGINT) IS NOT NULL AND length(title) > 0 AND NOT odd_points)"""
+
+# copies: how often a page's hits, a stray thing on every 4th page, and a page cut off come in
+REJECTED = f"""{HITS}
+SELECT reason, count(*) * copies AS n_hits FROM (
+  SELECT CASE WHEN object_id IS NULL THEN 'missing id'
+              WHEN coalesce(length(title), 0) = 0 THEN 'missing title'
+              WHEN TRY_CAST(object_id AS BIGINT) IS NULL THEN 'id is not an integer'
+              WHEN odd_points THEN 'unreadable points' END AS reason
+  FROM hits), times WHERE reason IS NOT NULL GROUP BY reason, copies
+UNION ALL SELECT 'hit is not an object', 3 * copies * count(DISTINCT page_no) FROM hits, times WHERE page_no % 4 = 1 GROUP BY copies
+UNION ALL SELECT 'unreadable page', count(DISTINCT page_no) FROM hits WHERE page_no % 10 = 3"""
 
 BOUNDS = """
 bounds AS (SELECT epoch(date_trunc('second', min(ts)))::BIGINT AS s, epoch(date_trunc('second', max(ts)))::BIGINT AS e FROM events)"""
@@ -199,6 +211,34 @@ found AS (
   UNION ALL
   SELECT story_id, 'en' FROM links WHERE regexp_matches(title, '{_EN}'))"""
 
+DEFAULT_MATCHES = f"""
+{_matches(DEFAULT, of="texts")},
+found AS (
+  SELECT story_id, keyword, category FROM matched
+  UNION ALL
+  SELECT story_id, 'Go', 'Languages' FROM texts
+  WHERE len(list_filter(regexp_extract_all(title,
+    '(?i)\\bGo\\b(?:\\s+(?:to|ahead|back|through|away|home|on|off|up|down|out|in|over|under))?'),
+    lambda x: lower(x) = 'go')) > 0
+  UNION ALL
+  SELECT story_id, 'R', 'Languages' FROM texts
+  WHERE regexp_matches(title,
+    '(?i){START}R(?:\\s+(?:language|programming|package|cran|tidyverse|\\d)|\\s*$)'))"""
+
+_NAMES = "[" + ", ".join(_quoted(name) for name in DEFAULT.category_of()) + "]"
+_TAILS = "[" + ", ".join(map(_quoted, TITLE_TAILS)) + "]"
+TITLES = f"""
+numbered AS (
+  SELECT l_orderkey * 10 + l_linenumber AS story_id, l_orderkey * 7 + l_linenumber AS n, p_name,
+         list_extract({_NAMES}, CAST((l_orderkey * 7 + l_linenumber) % {len(DEFAULT)} + 1 AS INTEGER)) AS name,
+         list_extract({_TAILS}, CAST(l_partkey % {len(TITLE_TAILS)} + 1 AS INTEGER)) AS tail
+  FROM lineitem JOIN part ON l_partkey = p_partkey),
+texts AS (
+  SELECT story_id, CASE WHEN n % 10 = 3 THEN NULL WHEN n % 3 = 0 THEN name || tail
+                        WHEN n % 3 = 1 THEN p_name || ' ' || name || tail
+                        ELSE p_name || ' ' || name END AS title
+  FROM numbered)"""
+
 STOP_LIST = "[" + ", ".join(map(_quoted, STOP_WORDS)) + "]"
 # letters and numbers beyond ASCII become underscores, word characters that no
 # term contains, so that the ASCII \b of the engine is the right boundary
@@ -236,11 +276,16 @@ ranked AS (SELECT *, row_number() OVER (PARTITION BY {group}
 top AS (SELECT term, {group}, round(tfidf_score, 6) AS tfidf_score FROM ranked WHERE rn <= 20)"""
 
 
-TITLE_TERMS = f"""{STORIES},
-tokens AS (SELECT story_id AS doc_id, iso_week, string_split(title, ' ') AS tokens FROM stories),
+def _title_terms(title: str) -> str:
+    return f"""{STORIES},
+titled AS (SELECT story_id, iso_week, {title} AS title FROM stories),
+tokens AS (SELECT story_id AS doc_id, iso_week, string_split(title, ' ') AS tokens FROM titled WHERE title IS NOT NULL),
 terms AS (SELECT doc_id, iso_week, list_concat(tokens,
             [tokens[i] || ' ' || tokens[i + 1] for i in range(1, len(tokens))]) AS terms FROM tokens),
 {_tfidf("iso_week")}, {_top("iso_week", PART_TAXONOMY)}"""
+
+
+TITLE_TERMS = _title_terms("title")
 SOURCE_TERMS = f"{TOKENS}, {_tfidf('source')}"
 
 KEYWORDS_4 = "('gizmo', 'ring', 'blue', 'old')"
@@ -270,13 +315,14 @@ def all_sql() -> dict[str, str]:
     return {
         "week_label": f"SELECT o_orderkey, {week} AS iso_week FROM orders",
         "parse_hits": f"WITH {PARSED} SELECT * FROM parsed",
-        "rejected_hits": f"""WITH {HITS}
-SELECT reason, count(*) AS n_hits FROM (
-  SELECT CASE WHEN object_id IS NULL THEN 'missing id'
-              WHEN coalesce(length(title), 0) = 0 THEN 'missing title'
-              WHEN TRY_CAST(object_id AS BIGINT) IS NULL THEN 'id is not an integer' END AS reason
-  FROM hits) WHERE reason IS NOT NULL GROUP BY reason""",
+        "rejected_hits": f"WITH times AS (SELECT 1 AS copies), {REJECTED}",
+        "stream_rejects": f"WITH times AS (SELECT 2 AS copies), {REJECTED}",
         "total_hits": "SELECT count(*) AS nb_hits FROM events",
+        "total_hits_by_window": """
+WITH sized AS (SELECT event_id // 100 AS page_no, CAST(min(ts) AS DATE) AS day, count(*) AS n
+               FROM events GROUP BY 1)
+SELECT day, CAST(sum(n) AS BIGINT) AS nb_hits FROM sized GROUP BY day""",
+        "insert_first_copy": f"WITH {PARSED} SELECT story_id, score FROM parsed",
         "time_range_filter": """
 SELECT event_id, 'neither' AS closed FROM events
 WHERE floor(epoch(ts)) > 1704672000 AND floor(epoch(ts)) < 1705276800
@@ -324,17 +370,14 @@ FROM links LEFT JOIN found USING (story_id) GROUP BY story_id""",
         "detect_by_word_join": f"WITH {LINK_MATCHES} SELECT story_id, keyword FROM found",
         "detect_documents": f"""
 WITH texts AS (SELECT doc_id AS story_id, text AS title FROM documents),
-{_matches(DEFAULT, of="texts")}
-SELECT story_id, keyword, category FROM matched
-UNION ALL
-SELECT story_id, 'Go', 'Languages' FROM texts
-WHERE len(list_filter(regexp_extract_all(title,
-  '(?i)\\bGo\\b(?:\\s+(?:to|ahead|back|through|away|home|on|off|up|down|out|in|over|under))?'),
-  lambda x: lower(x) = 'go')) > 0
-UNION ALL
-SELECT story_id, 'R', 'Languages' FROM texts
-WHERE regexp_matches(title,
-  '(?i){START}R(?:\\s+(?:language|programming|package|cran|tidyverse|\\d)|\\s*$)')""",
+{DEFAULT_MATCHES}
+SELECT story_id, keyword, category FROM found""",
+        "detect_default_taxonomy": f"""
+WITH {TITLES}, {DEFAULT_MATCHES}
+SELECT keyword, count(*) AS n_stories, CAST(sum(story_id) AS BIGINT) AS id_sum FROM found GROUP BY keyword""",
+        "detection_totals": f"""WITH {STORIES}, {_matches(NOUNS)}
+SELECT (SELECT count(*) FROM stories) AS stories_processed, count(*) AS hits_written,
+       count(DISTINCT story_id) AS stories_with_hits FROM matched""",
         "keyword_events": f"""{MATCHED}
 SELECT story_id, keyword, category, score, created_at, iso_week FROM matched""",
         "category_lookup": f"""{MATCHED}
@@ -354,6 +397,12 @@ SELECT max(created_at + to_days(num_comments)) AS last_run, count(*) AS total_st
 SELECT keyword, iso_week, {_round(_norm("CAST(mention_count AS DOUBLE)"), 6)} AS norm_mention_count,
        {_round(_norm("weighted_score"), 6)} AS norm_weighted_score,
        {_round(_norm("avg_comments"), 6)} AS norm_avg_comments FROM mentions""",
+        "flat_histories": f"""{MATCHED},
+rolled AS (SELECT keyword, iso_week, {ROLLUP} FROM matched GROUP BY keyword, iso_week),
+mentions AS (SELECT keyword, iso_week, CASE WHEN q = 0 THEN 0.0::DOUBLE ELSE 20.0 + q * 15 END AS hype_score
+             FROM (SELECT *, CAST(substr(iso_week, 7, 2) AS INTEGER) // 13 AS q FROM rolled)),
+{_VELOCITY}
+SELECT {VELOCITY_COLUMNS} FROM velocity""",
         "hype_scores": f"{MENTIONS} SELECT keyword, iso_week, hype_score FROM mentions",
         "wow_velocity": f"{VELOCITY} SELECT keyword, iso_week, velocity FROM velocity",
         "rolling_stats": f"""{VELOCITY}
@@ -401,6 +450,8 @@ SELECT source, term, round(tfidf_score, 6) AS tfidf_score FROM scores""",
         "emerging_by_source": f"""WITH {SOURCE_TERMS}, {_top("source", DEFAULT)}
 SELECT * FROM top""",
         "emerging_terms": f"WITH {TITLE_TERMS} SELECT * FROM top",
+        "emerging_without_titles": f"""
+WITH {_title_terms("CASE WHEN story_id % 4 <> 1 THEN title END")} SELECT * FROM top""",
         "emerging_view": f"""WITH {TITLE_TERMS}
 SELECT term, iso_week, round(tfidf_score, 4) AS tfidf_score FROM top
 WHERE iso_week = (SELECT max(iso_week) FROM top)""",
@@ -425,17 +476,32 @@ FROM mentions JOIN velocity USING (keyword, iso_week)""",
         "refresh_tables": f"{VELOCITY} SELECT {VELOCITY_COLUMNS} FROM velocity",
         "trending_view": f"""{VELOCITY},
 week AS (SELECT max(iso_week) AS w FROM velocity WHERE is_trending),
-shown AS (SELECT keyword, velocity FROM velocity JOIN tax USING (keyword)
+shown AS (SELECT keyword, velocity, hype_score, mention_count, z_score
+          FROM velocity JOIN mentions USING (keyword, iso_week) JOIN tax USING (keyword)
           WHERE category = 'Noun' AND iso_week = (SELECT w FROM week)),
 anomalies AS (
   SELECT v.keyword, z_score, score, story_id FROM velocity v
   JOIN matched m ON m.keyword = v.keyword AND m.iso_week = v.iso_week
   WHERE is_trending AND v.iso_week = (SELECT w FROM week)
   ORDER BY z_score DESC, score DESC, v.keyword, story_id LIMIT 20)
-SELECT 'trending' AS part, keyword FROM shown
-UNION ALL (SELECT 'risers', keyword FROM shown ORDER BY velocity DESC, keyword LIMIT 5)
-UNION ALL (SELECT 'fallers', keyword FROM shown ORDER BY velocity, keyword LIMIT 5)
-UNION ALL SELECT DISTINCT 'anomalies', keyword FROM anomalies""",
+SELECT 'trending' AS part, keyword, hype_score, velocity, mention_count AS story_id,
+       format('{{:.2f}}', z_score) AS shown FROM shown
+UNION ALL (SELECT 'risers', keyword, hype_score, velocity, NULL, '+' || format('{{:.1f}}', velocity) || '% WoW'
+           FROM shown ORDER BY velocity DESC, keyword LIMIT 5)
+UNION ALL (SELECT 'fallers', keyword, hype_score, velocity, NULL, format('{{:.1f}}', velocity) || '% WoW'
+           FROM shown ORDER BY velocity, keyword LIMIT 5)
+UNION ALL
+SELECT 'anomalies', keyword, CAST(score AS DOUBLE), NULL, story_id,
+       format('{{:.2f}}', z_score) || '{STORY_LINK}' || story_id
+FROM ({TOP_STORIES}) WHERE rn = 1""",
+        "hype_cycle_view": f"""{MENTIONS}, {_history("('gizmo', 'blue')", 52)}
+SELECT iso_week, {_value("gizmo")} AS gizmo, {_value("blue")} AS blue,
+       round({_value("gizmo")} - {_value("blue")}, 4) AS difference FROM history GROUP BY iso_week""",
+        "table_states": f"""{MATCHED},
+names(table_name) AS (VALUES ('raw_stories'), ('keyword_events'), ('weekly_mentions'), ('keyword_velocity'), ('emerging_terms'))
+SELECT state, table_name, 0 AS n_rows FROM names, (VALUES ('missing'), ('created')) s(state)
+UNION ALL SELECT 'filled', 'raw_stories', count(*) FROM stories
+UNION ALL SELECT 'filled', 'keyword_events', count(*) FROM matched""",
         "stream_ingest": f"WITH {PARSED} SELECT * FROM parsed",
         "stream_refresh": f"""WITH {PARSED},
 names(keyword) AS (VALUES ('click'), ('view'), ('signup'), ('purchase'), ('error')),

@@ -13,6 +13,7 @@ from risewatch.catalog.feeds import (
     PART_TAXONOMY,
     STOP_WORDS,
     TREND_ORDER,
+    default_titles,
     event_pages,
     link_feed,
     scratch,
@@ -29,6 +30,7 @@ from risewatch.operators.detect import (
     keyword_events,
     matched_by_word_join,
     matched_stories,
+    name_table,
     unprocessed,
     with_category,
 )
@@ -49,8 +51,16 @@ from risewatch.operators.rollup import (
 )
 from risewatch.operators.score import hype_scores, minmax
 from risewatch.operators.velocity import keyword_velocity, rolling_stats
-from risewatch.plans.jobs import discover, rebuild, recent_weeks_of, refresh, scored_tables
-from risewatch.plans.views import emerging_view, trending_view
+from risewatch.plans.jobs import (
+    detection_totals,
+    discover,
+    rebuild,
+    recent_weeks_of,
+    refresh,
+    scored_tables,
+)
+from risewatch.plans.views import emerging_view, hype_cycle_view, trending_view
+from risewatch.schemas import TABLES
 from risewatch.sources.pages import (
     high_water_mark,
     in_time_range,
@@ -86,12 +96,6 @@ def _velocity(spark: SparkSession, sf: str) -> DataFrame:
     return _scored(spark, sf)["keyword_velocity"]
 
 
-def _with_latest(spark: SparkSession, sf: str):
-    scored = _scored(spark, sf)
-    mentions = scored["weekly_mentions"]
-    return scored["keyword_velocity"], mentions, reports.latest_week(mentions).scalar()
-
-
 # --- sources -----------------------------------------------------------------
 
 
@@ -100,11 +104,20 @@ def q_week_label(spark, sf):
     return orders.select("o_orderkey", week_label("o_orderdate").alias("iso_week"))
 
 
-def _json_pages(spark, sf):
+def _page_texts(spark, sf):
     packed = event_pages(spark, sf).select(
-        F.to_json(F.struct("hits", "page", "nbPages", "nbHits")).alias("value")
+        "page", "day", F.to_json(F.struct("hits", "page", "nbPages", "nbHits")).alias("value")
     )
-    return parse_pages(packed)
+    # every 4th page from the 2nd on carries things that are no hits
+    stray = F.regexp_replace("value", r'"hits":\[', '"hits":["stray",17,null,')
+    return packed.withColumn("value", F.when(F.col("page") % 4 == 1, stray).otherwise(F.col("value")))
+
+
+def _json_pages(spark, sf):
+    """All pages, and some of them once more, cut off."""
+    texts = _page_texts(spark, sf)
+    cut = texts.filter("page % 10 = 3").withColumn("value", F.expr("substring(value, 1, length(value) - 9)"))
+    return parse_pages(texts.unionByName(cut))
 
 
 def q_parse_hits(spark, sf):
@@ -120,6 +133,28 @@ def q_total_hits(spark, sf):
     return total_hits(_json_pages(spark, sf))
 
 
+def q_total_hits_by_window(spark, sf):
+    # a fetch per day: its first page reports that day's hits, a later one something else
+    of_day = event_pages(spark, sf).groupBy("day").agg(F.sum(F.size("hits")).alias("n"))
+    pages = of_day.withColumn("page", F.explode(F.array(F.lit(0), F.lit(1))))
+    reported = pages.select("day", "page", (F.col("n") + F.col("page") * 1_000_000).alias("nbHits"), F.array().alias("hits"))
+    return total_hits(reported, "day")
+
+
+def q_insert_first_copy(spark, sf):
+    """Every hit three times on its page, the second with other points: the first is stored."""
+    again = F.transform("hits", lambda h: h.withField("points", F.when(h["points"].rlike("^[0-9]{1,9}$"), F.lit("77777")).otherwise(h["points"])))
+    pages = event_pages(spark, sf).withColumn("hits", F.concat("hits", again, "hits"))
+    texts = pages.select(F.to_json(F.struct("hits", "page", "nbPages", "nbHits")).alias("value"))
+    tables = Tables(spark, scratch(spark))
+    tables.insert_stories(parse_pages_text(texts))
+    return tables.read("raw_stories").select("story_id", "score")
+
+
+def parse_pages_text(texts):
+    return parse_hits(parse_pages(texts))
+
+
 def q_time_range_filter(spark, sf):
     events = table(spark, sf, "events").withColumnRenamed("ts", "created_at")
     since, until = 1704672000, 1705276800
@@ -153,9 +188,8 @@ def q_coverage_audit(spark, sf):
 
 def q_page_audit(spark, sf):
     # every day's first page, reporting the hits of that day
-    pages = event_pages(spark, sf)
-    of_day = pages.groupBy("day").agg(
-        F.sum(F.size("hits")).alias("nbHits"), F.lit(0).alias("page"), F.first("hits").alias("hits")
+    of_day = event_pages(spark, sf).groupBy("day").agg(
+        F.sum(F.size("hits")).alias("nbHits"), F.lit(0).alias("page"), F.array().alias("hits")
     )
     return page_audit(of_day, "day", cap=2 * AUDIT_CAP)
 
@@ -215,7 +249,8 @@ def q_detect_keywords(spark, sf):
 
 
 def q_detect_by_word_join(spark, sf):
-    found = matched_by_word_join(link_feed(spark, sf), PAGE_TAXONOMY)
+    links = link_feed(spark, sf)
+    found = matched_by_word_join(links, name_table(links, PAGE_TAXONOMY))
     return found.select("story_id", "keyword")
 
 
@@ -227,6 +262,16 @@ def q_detect_documents(spark, sf):
     return matched.select("story_id", "keyword", "category")
 
 
+def q_detect_default_taxonomy(spark, sf):
+    matched = matched_stories(default_titles(spark, sf), DEFAULT)
+    return matched.groupBy("keyword").agg(F.count("*").alias("n_stories"), F.sum("story_id").alias("id_sum"))
+
+
+def q_detection_totals(spark, sf):
+    stories = trend_stories(spark, sf)
+    return detection_totals(stories, keyword_events(stories, NOUNS))
+
+
 def q_keyword_events(spark, sf):
     return keyword_events(trend_stories(spark, sf), PART_TAXONOMY)
 
@@ -280,6 +325,13 @@ def q_minmax_norm(spark, sf):
     )
 
 
+def q_flat_histories(spark, sf):
+    """Scores that stay level for weeks, then move: every keyword's score by quarter, zero in the first."""
+    quarter = F.floor(F.substring("iso_week", 7, 2).cast("int") / 13)
+    level = F.when(quarter == 0, 0.0).otherwise(20.0 + quarter * 15)
+    return keyword_velocity(_mentions(spark, sf).withColumn("hype_score", level))
+
+
 def q_hype_scores(spark, sf):
     return _mentions(spark, sf).select("keyword", "iso_week", "hype_score")
 
@@ -307,31 +359,25 @@ def q_keyword_velocity(spark, sf):
 
 
 def q_trending_keywords(spark, sf):
-    return reports.trending_keywords(*_with_latest(spark, sf))
+    return reports.trending_now(_mentions(spark, sf))
 
 
 def q_category_trending(spark, sf):
-    trending = reports.trending_keywords(*_with_latest(spark, sf))
-    return reports.in_category(trending, PART_TAXONOMY, "Noun")
+    return reports.in_category(reports.trending_now(_mentions(spark, sf)), PART_TAXONOMY, "Noun")
 
 
 def q_risers(spark, sf):
-    return reports.risers(reports.trending_keywords(*_with_latest(spark, sf)))
+    return reports.risers(reports.trending_now(_mentions(spark, sf)))
 
 
 def q_fallers(spark, sf):
-    return reports.fallers(reports.trending_keywords(*_with_latest(spark, sf)))
+    return reports.fallers(reports.trending_now(_mentions(spark, sf)))
 
 
 def _feed(spark, sf):
-    stories = trend_stories(spark, sf)
-    scored = scored_tables(stories, PART_TAXONOMY)
-    velocity = scored["keyword_velocity"]
-    # the last week in which anything trends
-    week = velocity.filter("is_trending").agg(F.max("iso_week")).scalar()
-    return reports.anomaly_feed(
-        velocity, scored["keyword_events"], stories, week, max_keywords=len(PART_TAXONOMY)
-    )
+    matched = matched_stories(trend_stories(spark, sf), PART_TAXONOMY)
+    velocity = keyword_velocity(hype_scores(rollup_mentions(matched)))
+    return reports.anomalies_now(matched, velocity)
 
 
 def q_anomaly_feed(spark, sf):
@@ -427,13 +473,22 @@ def q_emerging_terms(spark, sf):
 def q_emerging_view(spark, sf):
     tables = Tables(spark, scratch(spark))
     tables.insert_stories(trend_feed(spark, sf), TREND_ORDER)
-    # a second run must neither change nor repeat what the first one stored
-    for _ in range(2):
-        discover(tables, PART_TAXONOMY, stop_words=STOP_WORDS)
+    discover(tables, PART_TAXONOMY, stop_words=STOP_WORDS)
+    # stored scores win: the same terms with other scores change nothing
+    again = tables.read("emerging_terms").withColumn("tfidf_score", F.col("tfidf_score") * 2 + 1)
+    tables.insert_terms(again)
     week = tables.read("emerging_terms").agg(F.max("iso_week")).scalar()
     return emerging_view(tables, week)
 
 
+def q_emerging_without_titles(spark, sf):
+    """Every 4th story lacks its title: it counts nowhere, not even as a document."""
+    stories = trend_stories(spark, sf)
+    some = stories.withColumn("title", F.when(F.col("story_id") % 4 != 1, F.col("title")))
+    terms = emerging_terms(some, PART_TAXONOMY, stop_words=STOP_WORDS)
+    return terms.select("term", "iso_week", F.round("tfidf_score", 6).alias("tfidf_score"))
+
+
 # --- jobs --------------------------------------------------------------------
 
 
@@ -486,30 +541,65 @@ def q_trending_view(spark, sf):
     tables = Tables(spark, scratch(spark))
     tables.insert_stories(trend_feed(spark, sf), TREND_ORDER)
     rebuild(tables, PART_TAXONOMY)
-    week = tables.read("keyword_velocity").filter("is_trending").agg(F.max("iso_week")).scalar()
+    week = tables.read("keyword_velocity").filter("is_trending").agg(F.max("iso_week").alias("w")).first()["w"]
     view = trending_view(tables, week, "Noun", PART_TAXONOMY)
-    parts = [
-        view[part].select(F.lit(part).alias("part"), "keyword")
-        for part in ("trending", "risers", "fallers", "anomalies")
+    movers = [
+        view[part].select(F.lit(part).alias("part"), "keyword", "hype_score", "velocity", F.lit(None).cast("long").alias("story_id"), F.col("change_text").alias("shown"))
+        for part in ("risers", "fallers")
     ]
-    return reduce(DataFrame.unionByName, parts)
+    trending = view["trending"].select(
+        F.lit("trending").alias("part"), "keyword", "hype_score", "velocity", F.col("mention_count").alias("story_id"), F.format_string("%.2f", "z_score").alias("shown")
+    )
+    anomalies = view["anomalies"].select(
+        F.lit("anomalies").alias("part"), "keyword", F.col("score").cast("double").alias("hype_score"), F.lit(None).cast("double").alias("velocity"), "story_id", F.concat("z_text", "link").alias("shown")
+    )
+    return reduce(DataFrame.unionByName, [trending, *movers, anomalies])
+
+
+def q_hype_cycle_view(spark, sf):
+    tables = Tables(spark, scratch(spark))
+    tables.insert_stories(trend_feed(spark, sf), TREND_ORDER)
+    rebuild(tables, PART_TAXONOMY)
+    view = hype_cycle_view(tables, ["gizmo", "blue"], 52)
+    difference = F.round("difference", 4).alias("difference")
+    return view["history"].join(view["difference"].select("iso_week", difference), "iso_week")
+
+
+def q_table_states(spark, sf):
+    """Rows of tables that do not exist, that were just created, and that hold the feed."""
+    root = scratch(spark)
+    missing = Tables(spark, root, create=False)
+    states = [("missing", name, missing.read(name)) for name in TABLES]
+    tables = Tables(spark, root)
+    created = [("created", name, tables.row_count(name)) for name in TABLES]
+    tables.insert_stories(trend_feed(spark, sf), TREND_ORDER)
+    tables.append("keyword_events", keyword_events(tables.read("raw_stories"), PART_TAXONOMY))
+    states += [("filled", name, tables.read(name)) for name in ("raw_stories", "keyword_events")]
+    counted = [df.agg(F.count("*").alias("n_rows")).select(F.lit(s).alias("state"), F.lit(n).alias("table_name"), "n_rows") for s, n, df in states]
+    fresh = spark.range(1).select(F.explode(F.array(*[F.struct(F.lit(s).alias("state"), F.lit(n).alias("table_name"), F.lit(k).cast("long").alias("n_rows")) for s, n, k in created])).alias("r")).select("r.*")
+    return reduce(DataFrame.unionByName, [*counted, fresh])
 
 
 # --- streaming ---------------------------------------------------------------
 
 
 def _stream_tables(spark, sf, score: bool) -> Tables:
-    """Land every page twice, stream the files in, and return the tables."""
+    """Land every page twice, and some cut off, stream the files in, and return the tables."""
     root = scratch(spark)
-    pages = event_pages(spark, sf).drop("day")
-    pages = pages.unionByName(pages).repartition(STREAM_FILES, "page")
-    pages.write.json(f"{root}/pages")
+    pages = _page_texts(spark, sf)
+    cut = pages.filter("page % 10 = 3").withColumn("value", F.expr("substring(value, 1, length(value) - 9)"))
+    landed = pages.unionByName(pages).unionByName(cut).repartition(STREAM_FILES, "page")
+    landed.select("value").write.text(f"{root}/pages")
     tables = Tables(spark, f"{root}/tables")
     stream = page_stream(spark, f"{root}/pages", multi_line=False, max_files=STREAM_FILES // 2)
     start_stream(stream, tables, f"{root}/checkpoint", EVENT_TAXONOMY, score).awaitTermination()
     return tables
 
 
+def q_stream_rejects(spark, sf):
+    return _stream_tables(spark, sf, score=False).rejects().groupBy("reason").agg(F.count("*").alias("n_hits"))
+
+
 def q_stream_ingest(spark, sf):
     return _stream_tables(spark, sf, score=False).read("raw_stories").select(*STORY_COLUMNS)
 

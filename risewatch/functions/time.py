@@ -42,3 +42,19 @@ def ntz(value) -> Column:
 
 def age_hours(ts: Column | str, as_of: Column) -> Column:
     return (epoch_seconds(as_of) - epoch_seconds(ts)) / F.lit(3600.0)
+
+
+def utc_timestamp(text: Column | str) -> Column:
+    """Zone-less UTC timestamp of an ISO text; an offset is applied, ``Z`` or none means UTC.
+
+    Null if the text is no timestamp.  Independent of the session time zone.
+    """
+    text = F.trim(F.col(text) if isinstance(text, str) else text)
+    zone = r"(?:[Zz]|[+-][0-9]{2}:?[0-9]{2})$"
+    offset = F.regexp_extract(text, rf"[T ][0-9:.]+({zone})", 1)
+    local = F.regexp_replace(text, rf"(?<=[0-9]){zone}", "")
+    at = F.when(offset == "", text).otherwise(local).try_cast("timestamp_ntz")
+    digits = F.regexp_replace(offset, "[^0-9]", "")
+    minutes = F.substring(digits, 1, 2).try_cast("int") * 60 + F.substring(digits, 3, 2).try_cast("int")
+    east = F.when(F.startswith(offset, F.lit("-")), -minutes).otherwise(minutes)
+    return at - F.make_dt_interval(mins=F.coalesce(east, F.lit(0)))

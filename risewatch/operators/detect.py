@@ -1,13 +1,16 @@
 """Keyword detection: from story text to (story, keyword) rows.
 
-Names made of one word are found by looking every word of the text up in a hash
-set; only names with blanks or symbols and names with their own pattern need a
-regular expression, and that runs only on texts holding the words it requires.
-Everything is a projection: no shuffle, no join, no Python.
+Every name is filed under one word that its matches contain.  The words of a text
+that some name is filed under are found in a hash set, their names in a table cut
+into small buckets by a hash of the word, and names that are more than that word
+are verified with their pattern.  Time per text follows its own words and matches,
+not the number of names.  Everything is a projection: no shuffle, no join, no
+Python.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections import defaultdict
 
 from pyspark.sql import Column, DataFrame
@@ -15,12 +18,12 @@ from pyspark.sql import functions as F
 
 from risewatch.functions.text import match_text, spark_pattern, whole_word_pattern, words
 from risewatch.functions.time import week_label
-from risewatch.operators.sizing import broadcast_up_to
 from risewatch.taxonomy import Taxonomy
 
-# Beyond this many names the taxonomy is joined as a table instead of being
-# compiled into the query.
-LITERAL_NAMES = 5_000
+# Prefix of working columns, so that none of a story's own columns is hit.
+OWN = "_risewatch_"
+# Words in a bucket on average.
+BUCKET_WORDS = 4
 
 _NO_NAMES = "array<string>"
 
@@ -30,12 +33,36 @@ def _pattern_of(taxonomy: Taxonomy, name: str) -> str:
     return whole_word_pattern(name) if custom is None else spark_pattern(custom)
 
 
-def _single_words(taxonomy: Taxonomy) -> dict[str, list[str]]:
-    spellings = defaultdict(list)
+def _filed(taxonomy: Taxonomy) -> tuple[dict[str, list[tuple[str, str | None]]], list[str]]:
+    """word -> [(name, pattern or none)], and the names whose matches tell no word.
+
+    Of the words a name requires it is filed under the longest, as the rarest.
+    """
+    filed, unknown = defaultdict(list), []
     for name in taxonomy.category_of():
-        if taxonomy.is_single_word(name):
-            spellings[name.lower()].append(name)
-    return dict(spellings)
+        need = taxonomy.required_words(name)
+        if not need:
+            unknown.append(name)
+            continue
+        pattern = None if taxonomy.is_single_word(name) else _pattern_of(taxonomy, name)
+        filed[max(need, key=len)].append((name, pattern))
+    return dict(filed), unknown
+
+
+def _names_filed_under(filed: dict[str, list[tuple[str, str | None]]]):
+    """A function from a word to its names: literal maps by bucket, folded once by the optimiser."""
+    n = max(1, len(filed) // BUCKET_WORDS)
+    buckets: list[list[str]] = [[] for _ in range(n)]
+    for word in filed:
+        buckets[zlib.crc32(word.encode()) % n].append(word)
+    kind = "map<string,array<struct<name:string,pattern:string>>>"
+
+    def names(word: str) -> Column:
+        return F.array(*[F.struct(F.lit(name).alias("name"), F.lit(p).cast("string").alias("pattern")) for name, p in filed[word]])
+
+    maps = [F.create_map(*[part for w in ws for part in (F.lit(w), names(w))]).cast(kind) for ws in buckets]
+    table = F.array(*maps)
+    return lambda word: F.element_at(F.element_at(table, (F.crc32(word) % n + 1).cast("int")), word)
 
 
 def detect_keywords(
@@ -46,105 +73,71 @@ def detect_keywords(
     output: str = "keywords",
 ) -> DataFrame:
     """Add ``output``: the sorted distinct names found in title and link."""
-    single = _single_words(taxonomy)
-    guarded = {
-        name: taxonomy.required_words(name)
-        for name in taxonomy.category_of()
-        if not taxonomy.is_single_word(name)
-    }
-    vocabulary = sorted({*single, *(w for need in guarded.values() for w in need or [])})
-    # texts without any of these words need no further look, unless some
-    # pattern tells nothing about the words it matches
-    skippable = all(need is not None for need in guarded.values())
-
-    seen, text = F.col("_seen"), F.col("_text")
+    filed, unknown = _filed(taxonomy)
+    seen, text = F.col(f"{OWN}seen"), F.col(f"{OWN}text")
+    nothing = F.array().cast(_NO_NAMES)
     parts = []
-    if single:
-        names_of = F.create_map(
-            *[
-                part
-                for word, names in single.items()
-                for part in (F.lit(word), F.array(*map(F.lit, names)))
-            ]
-        )
-        in_single = F.filter(seen, lambda w: w.isin(list(single)))
-        parts.append(F.flatten(F.transform(in_single, lambda w: F.element_at(names_of, w))))
-    if guarded:
-        checks = []
-        for name, need in guarded.items():
-            found = text.rlike(_pattern_of(taxonomy, name))
-            for word in reversed(need or []):
-                found = F.array_contains(seen, word) & found
-            checks.append(F.when(found, F.lit(name)))
-        parts.append(F.array_compact(F.array(*checks)))
+    if filed:
+        names_of = _names_filed_under(filed)
 
-    nothing = F.array().cast(_NO_NAMES)
+        def found_by(word: Column) -> Column:
+            right = F.filter(names_of(word), lambda n: n["pattern"].isNull() | F.regexp_like(text, n["pattern"]))
+            return F.transform(right, lambda n: n["name"])
+
+        parts.append(F.flatten(F.transform(seen, found_by)))
+    if unknown:
+        parts.append(F.array_compact(F.array(*[F.when(text.rlike(_pattern_of(taxonomy, n)), F.lit(n)) for n in unknown])))
     found = F.sort_array(F.array_distinct(F.concat(*parts))) if parts else nothing
-    if skippable:
+    if not unknown:
         found = F.when(F.size(seen) > 0, found).otherwise(nothing)
+    known = F.array_distinct(F.filter(words(text), lambda w: w.isin(list(filed)))) if filed else nothing
     return (
-        stories.withColumn("_text", match_text(title, url))
-        .withColumn(
-            "_seen",
-            F.array_distinct(F.filter(words(text), lambda w: w.isin(vocabulary)))
-            if vocabulary
-            else nothing,
-        )
+        stories.withColumn(f"{OWN}text", match_text(title, url))
+        .withColumn(f"{OWN}seen", known)
         .withColumn(output, found)
-        .drop("_text", "_seen")
+        .drop(f"{OWN}text", f"{OWN}seen")
     )
 
 
 def matched_stories(stories: DataFrame, taxonomy: Taxonomy) -> DataFrame:
     """One row per story and name found, with the story's own columns."""
-    if len(taxonomy) > LITERAL_NAMES:
-        return matched_by_word_join(stories, taxonomy)
     # the outer form keeps the optimiser from adding a filter that would run
     # the detection twice
+    found = f"{OWN}keywords"
     return (
-        detect_keywords(stories, taxonomy)
-        .withColumn("keyword", F.explode_outer("keywords"))
+        detect_keywords(stories, taxonomy, output=found)
+        .withColumn("keyword", F.explode_outer(found))
         .filter(F.col("keyword").isNotNull())
-        .drop("keywords")
+        .drop(found)
     )
 
 
-def matched_by_word_join(stories: DataFrame, taxonomy: Taxonomy) -> DataFrame:
-    """:func:`matched_stories` for taxonomies too large to compile into a query.
+def matched_by_word_join(stories: DataFrame, names: DataFrame) -> DataFrame:
+    """:func:`matched_stories` for names that come as a table (word, keyword, pattern), see :func:`name_table`.
 
-    Each distinct word of a text meets the names that require it in an equi
-    join; names needing a pattern are then verified on those candidates alone.
-    Patterns that tell nothing about their words are tested as literals.
+    Only words that some name is filed under leave the row, and only with the
+    story's own columns; the text is made again for the few names with a pattern.
     """
-    spark = stories.sparkSession
-    names = [
-        (need[0], name, None if taxonomy.is_single_word(name) else _pattern_of(taxonomy, name))
-        for name in taxonomy.category_of()
-        if (need := taxonomy.required_words(name))
-    ]
-    table = spark.createDataFrame(names, "word string, keyword string, _pattern string")
-    texts = stories.withColumn("_text", match_text("title", "url"))
-    by_word = (
-        texts.withColumn("word", F.explode_outer(F.array_distinct(words("_text"))))
-        .join(broadcast_up_to(table, len(names)), "word")
-        .filter(F.col("_pattern").isNull() | F.regexp_like("_text", F.col("_pattern")))
-        .drop("word", "_pattern", "_text")
-    )
-    unknown = [n for n in taxonomy.category_of() if taxonomy.required_words(n) is None]
-    if not unknown:
-        return by_word
-    checks = [F.when(F.col("_text").rlike(_pattern_of(taxonomy, n)), F.lit(n)) for n in unknown]
-    by_pattern = (
-        texts.withColumn("keyword", F.explode_outer(F.array_compact(F.array(*checks))))
-        .filter(F.col("keyword").isNotNull())
-        .drop("_text")
+    word, pattern = f"{OWN}word", f"{OWN}pattern"
+    table = names.select(F.col("word").alias(word), F.col("keyword"), F.col("pattern").alias(pattern))
+    text = match_text("title", "url")
+    return (
+        stories.withColumn(word, F.explode(F.array_distinct(words(text))))
+        .join(table, word)
+        .filter(F.col(pattern).isNull() | F.regexp_like(text, F.col(pattern)))
+        .drop(word, pattern)
     )
-    return by_word.unionByName(by_pattern)
+
+
+def name_table(stories: DataFrame, taxonomy: Taxonomy) -> DataFrame:
+    """(word, keyword, pattern) of the names whose matches contain a known word."""
+    rows = [(word, name, pattern) for word, names in _filed(taxonomy)[0].items() for name, pattern in names]
+    return stories.sparkSession.createDataFrame(rows, "word string, keyword string, pattern string")
 
 
 def with_category(df: DataFrame, taxonomy: Taxonomy, default: str = "Unknown") -> DataFrame:
     """Add ``category`` by keyword; names outside the taxonomy get ``default``."""
-    table = broadcast_up_to(taxonomy.dataframe(df.sparkSession), len(taxonomy))
+    table = taxonomy.dataframe(df.sparkSession)
     return df.join(table, "keyword", "left").withColumn(
         "category", F.coalesce("category", F.lit(default))
     )

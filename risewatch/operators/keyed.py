@@ -18,20 +18,12 @@ def first_per_key(df: DataFrame, key: Sequence[str], order: Sequence[str | Colum
     return df.withColumn("_rank", F.row_number().over(ranked)).filter("_rank = 1").drop("_rank")
 
 
-def not_yet_stored(
-    new: DataFrame, stored: DataFrame, key: Sequence[str], keys: DataFrame | None = None
-) -> DataFrame:
-    """Rows of ``new`` whose key is not in ``stored``.
+def not_yet_stored(new: DataFrame, stored: DataFrame, key: Sequence[str]) -> DataFrame:
+    """Rows of ``new`` whose key is not in ``stored``: one anti join.
 
-    The stored keys are cut down to those of ``new`` first: with a small batch
-    the planner broadcasts the batch's keys and streams the large table past
-    them without a shuffle.  ``keys`` is a cheaper frame with the same keys, if
-    ``new`` took work to make.
+    After :func:`first_per_key` the new rows are partitioned by the key already.
     """
-    key = list(key)
-    wanted = (new if keys is None else keys).select(*key).distinct()
-    known = stored.select(*key).join(wanted, key, "left_semi").distinct()
-    return new.join(known, key, "left_anti")
+    return new.join(stored.select(*key), list(key), "left_anti")
 
 
 def merge_replace(

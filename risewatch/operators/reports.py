@@ -1,7 +1,8 @@
 """Read queries over the weekly tables.
 
 ``week`` is a label or a column holding one, for instance
-``latest_week(mentions).scalar()``.  On stored tables it is a partition filter.
+``latest_week(mentions).scalar()``.  Stored tables are read by week beforehand
+(``Tables.read(name, weeks=[week])``), which is a partition filter on all of them.
 Every ranking ends in a total order: the keyword, then the story, ascending.
 """
 
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 
 from risewatch.functions.time import week_label
 from risewatch.operators.detect import with_category
-from risewatch.operators.sizing import broadcast_up_to
+from risewatch.operators.velocity import keyword_velocity
 from risewatch.taxonomy import Taxonomy
 
 # Rows of each report, history choices, default comparison,
@@ -28,6 +29,11 @@ DEFAULT_KEYWORDS = ("Python", "Rust", "Go", "TypeScript")
 ALL_CATEGORIES = "All"
 STORY_LINK = "https://news.ycombinator.com/item?id="
 TITLE_CHARS = 80
+FALLBACK_KEYWORDS = 4
+
+TRENDING_COLUMNS = (
+    "keyword", "velocity", "z_score", "is_trending", "is_crashing", "hype_score", "mention_count",
+)
 
 
 def latest_week(mentions: DataFrame, as_of: Column | None = None) -> DataFrame:
@@ -48,19 +54,24 @@ def trending_keywords(velocity: DataFrame, mentions: DataFrame, week: str | Colu
     return _trending(velocity, mentions, week).orderBy(F.desc("velocity"), "keyword")
 
 
+def _of_last_week(df: DataFrame) -> DataFrame:
+    """Rows of the last week: each task passes on those of its own last week only."""
+    last = Window.orderBy(F.desc("iso_week"))
+    return df.withColumn("_rank", F.rank().over(last)).filter("_rank = 1").drop("_rank")
+
+
+def trending_now(mentions: DataFrame) -> DataFrame:
+    """:func:`trending_keywords` of the last week, from scored mentions in one pass."""
+    flagged = keyword_velocity(mentions, carry=("hype_score", "mention_count"))
+    rows = _of_last_week(flagged).select(*TRENDING_COLUMNS)
+    return rows.orderBy(F.desc("velocity"), "keyword")
+
+
 def _trending(velocity: DataFrame, mentions: DataFrame, week: str | Column) -> DataFrame:
     return (
         velocity.filter(F.col("iso_week") == week)
         .join(mentions.filter(F.col("iso_week") == week), ["keyword", "iso_week"])
-        .select(
-            "keyword",
-            "velocity",
-            "z_score",
-            "is_trending",
-            "is_crashing",
-            "hype_score",
-            "mention_count",
-        )
+        .select(*TRENDING_COLUMNS)
     )
 
 
@@ -99,13 +110,11 @@ def anomaly_feed(
     stories: DataFrame,
     week: str | Column,
     limit: int | None = FEED_ROWS,
-    max_keywords: int | None = None,
 ) -> DataFrame:
     """Stories of a week behind its trending keywords, best first.
 
-    Only that week's partitions of events and stories are read.
-    ``max_keywords`` is the number of distinct keywords, if known: the trending
-    side has at most one row for each.
+    The trending side has a row per keyword at most, so the planner sends it to
+    the events by its own size limit.
     """
     flagged = velocity.filter((F.col("iso_week") == week) & F.col("is_trending")).select(
         "keyword", "z_score", "velocity"
@@ -117,7 +126,7 @@ def anomaly_feed(
     of_week = stories.filter(F.col("iso_week") == week).select("story_id", "title", "score")
     feed = (
         events.select("story_id", "keyword")
-        .join(broadcast_up_to(flagged, max_keywords), "keyword")
+        .join(flagged, "keyword")
         .join(of_week, "story_id")
         .select("keyword", "z_score", "velocity", "story_id", "title", "score")
     )
@@ -126,6 +135,23 @@ def anomaly_feed(
     return feed.orderBy(*_feed_order()).limit(limit)
 
 
+def anomalies_now(
+    matched: DataFrame, velocity: DataFrame, limit: int | None = FEED_ROWS
+) -> DataFrame:
+    """:func:`anomaly_feed` of the last week in which anything trends.
+
+    ``matched`` has a row per story and keyword with the story's title and score,
+    so neither events nor stories are read again.
+    """
+    flagged = _of_last_week(velocity.filter("is_trending"))
+    feed = matched.join(
+        flagged.select("keyword", "iso_week", "z_score", "velocity"), ["keyword", "iso_week"]
+    ).select("keyword", "z_score", "velocity", "story_id", "title", "score")
+    if limit is None:
+        return feed
+    return feed.orderBy(*_feed_order()).limit(limit)
+
+
 def _feed_order() -> list[Column]:
     return [F.desc("z_score"), F.desc("score"), F.asc("keyword"), F.asc("story_id")]
 
@@ -206,18 +232,20 @@ def compare_keywords(
 
 
 def default_selection(
-    mentions: DataFrame, wanted: Sequence[str] = DEFAULT_KEYWORDS
+    mentions: DataFrame,
+    wanted: Sequence[str] = DEFAULT_KEYWORDS,
+    fallback: int = FALLBACK_KEYWORDS,
 ) -> DataFrame:
     """The wanted keywords that have data, in that order; if none has, the
-    alphabetically first ones.  Columns ``position``, ``keyword``."""
+    ``fallback`` alphabetically first ones.  Columns ``position``, ``keyword``."""
     spark = mentions.sparkSession
     order = spark.createDataFrame(
         list(enumerate(wanted)), "position int, keyword string"
     )
     available = mentions.select("keyword").distinct()
     hits = order.join(available, "keyword", "left_semi").select("position", "keyword")
-    # never more than len(wanted) rows reach the numbering below
-    first = available.orderBy("keyword").limit(len(wanted)).filter(~hits.exists())
+    # never more than ``fallback`` rows reach the numbering below
+    first = available.orderBy("keyword").limit(fallback).filter(~hits.exists())
     numbered = first.select(
         (F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("keyword")) - 1).alias("position"),
         "keyword",

@@ -47,11 +47,13 @@ def keyword_velocity(
     weeks: Sequence[str] | None = None,
     lookback: int = LOOKBACK,
     threshold: float = Z_THRESHOLD,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     """Week-over-week change in %, rolling mean, z-score and flags.
 
     All weeks are computed in one pass; ``weeks`` selects rows afterwards, since
-    a week needs the ones before it.
+    a week needs the ones before it.  ``carry`` names columns of ``mentions`` to
+    keep, which saves joining the two later.
     """
     score, prev = F.col("hype_score"), F.col("prev_score")
     mean, std = F.col("mean_before"), F.col("std_before")
@@ -75,5 +77,6 @@ def keyword_velocity(
             round_stable("_z", DECIMALS).alias("z_score"),
             (F.col("_z") > threshold).alias("is_trending"),
             (F.col("_z") < -threshold).alias("is_crashing"),
+            *carry,
         )
     )

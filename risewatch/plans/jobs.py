@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from risewatch.functions.time import ntz, week_label
@@ -15,9 +15,9 @@ from risewatch.operators.emerging import emerging_terms
 from risewatch.operators.keyed import merge_replace
 from risewatch.operators.rollup import only_weeks, rollup_mentions, weekly_mentions, with_week
 from risewatch.operators.score import hype_scores
-from risewatch.operators.velocity import keyword_velocity
+from risewatch.operators.velocity import LOOKBACK, keyword_velocity
 from risewatch.sources.pages import high_water_mark, in_time_range
-from risewatch.sources.tables import Tables, years_of
+from risewatch.sources.tables import Tables
 from risewatch.taxonomy import DEFAULT, Taxonomy
 
 
@@ -53,41 +53,54 @@ def scored_tables(stories: DataFrame, taxonomy: Taxonomy = DEFAULT) -> dict[str,
 def rebuild(tables: Tables, taxonomy: Taxonomy = DEFAULT) -> dict[str, int]:
     """Recompute all derived tables from the stored stories; returns row counts.
 
-    Each step starts from what the step before stored, so its plan stays short
-    and a lost executor costs one step's tasks at most.
+    Detection is a projection and runs once for the events and once for the
+    rollup, which therefore needs no join of events back to stories.
     """
-    stories = tables.read("raw_stories")
-    counts = {
-        "keyword_events": tables.overwrite("keyword_events", keyword_events(stories, taxonomy))
-    }
-    mentions = weekly_mentions(tables.read("keyword_events"), stories)
-    counts["weekly_mentions"] = tables.overwrite("weekly_mentions", hype_scores(mentions))
+    lazy = scored_tables(tables.read("raw_stories"), taxonomy)
+    counts = {name: tables.overwrite(name, lazy[name]) for name in ("keyword_events", "weekly_mentions")}
     velocity = keyword_velocity(tables.read("weekly_mentions"))
     counts["keyword_velocity"] = tables.overwrite("keyword_velocity", velocity)
     return counts
 
 
+def detection_totals(stories: DataFrame, events: DataFrame) -> DataFrame:
+    """One row: stories processed, events found, stories with an event."""
+    return stories.agg(F.count("*").alias("stories_processed")).select(
+        "stories_processed",
+        events.agg(F.count("*")).scalar().alias("hits_written"),
+        events.agg(F.count_distinct("story_id")).scalar().alias("stories_with_hits"),
+    )
+
+
 def detect_new(
     tables: Tables,
     taxonomy: Taxonomy = DEFAULT,
     ids: DataFrame | None = None,
     weeks: Sequence[str] | None = None,
-) -> int:
-    """Append the events of stored stories that have none yet; returns how many.
+) -> dict[str, int]:
+    """Append the events of stored stories that have none yet.
 
-    Without limits every story without an event is looked at again.  ``weeks``
-    limits the run to those partitions of both tables (and to stories without a
-    date), ``ids`` to the stories of a batch: an unchanged taxonomy finds nothing
-    new in the others.
+    Returns ``stories_processed`` and ``hits_written``.  Without limits every story
+    without an event is looked at again, which a changed taxonomy calls for.
+    ``weeks`` limits the run to those partitions of both tables (null among them:
+    stories without a date), ``ids`` to the stories of a batch.
     """
-    stories, events = tables.read("raw_stories"), tables.read("keyword_events")
-    if weeks is not None:
-        looked_at = F.col("iso_week").isin(list(weeks)) | F.col("iso_week").isNull()
-        stories, events = stories.filter(looked_at), events.filter(looked_at)
+    if weeks is None:
+        stories, events = tables.read("raw_stories"), tables.read("keyword_events")
+    else:
+        dated = [w for w in weeks if w is not None]
+        undated = F.col("iso_week").isNull() if None in weeks else F.lit(False)
+        looked_at = F.col("iso_week").isin(dated) | undated
+        stories, events = (tables.read(name).filter(looked_at) for name in ("raw_stories", "keyword_events"))
     if ids is not None:
-        stories = stories.join(ids.select("story_id").distinct(), "story_id", "left_semi")
-        events = events.join(ids.select("story_id").distinct(), "story_id", "left_semi")
-    return tables.append("keyword_events", keyword_events(unprocessed(stories, events), taxonomy))
+        ids = ids.select("story_id").distinct()
+        stories = stories.join(ids, "story_id", "left_semi")
+        events = events.join(ids, "story_id", "left_semi")
+    left = unprocessed(stories, events)
+    return {
+        "stories_processed": left.count(),
+        "hits_written": tables.append("keyword_events", keyword_events(left, taxonomy)),
+    }
 
 
 def rescore(tables: Tables, weeks: Sequence[str], later_weeks: bool = False) -> dict[str, int]:
@@ -95,30 +108,40 @@ def rescore(tables: Tables, weeks: Sequence[str], later_weeks: bool = False) ->
 
     Stored rows that no longer come up stay, and a stored score outlives the
     aggregation until the scoring replaces it.  ``later_weeks`` also re-flags
-    all weeks after the first given one, whose history has changed.
+    the weeks whose history has changed: of each keyword the LOOKBACK stored weeks
+    after a given one.
     """
     weeks = sorted(weeks)
     key = ["keyword", "iso_week"]
-    fresh = weekly_mentions(tables.read("keyword_events"), tables.read("raw_stories"), weeks)
-    stored = tables.read("weekly_mentions", years_of(weeks))
+    fresh = weekly_mentions(
+        tables.read("keyword_events", weeks=weeks), tables.read("raw_stories", weeks=weeks), weeks
+    )
+    stored = tables.read("weekly_mentions", weeks=weeks)
     merged = merge_replace(fresh, stored, key, keep=["hype_score"])
     counts = {
-        "weekly_mentions": tables.replace_partitions("weekly_mentions", hype_scores(merged, weeks))
+        "weekly_mentions": tables.replace_weeks("weekly_mentions", hype_scores(merged, weeks), weeks)
     }
 
-    # the whole history, as it has one row per keyword and week
+    # one row per keyword and week, so the whole history is small
     flagged = keyword_velocity(tables.read("weekly_mentions"))
-    if later_weeks:
-        flagged = flagged.filter(F.col("iso_week") >= weeks[0])
-        old = tables.read("keyword_velocity").filter(F.col("iso_week") >= weeks[0][:4])
-    else:
-        flagged = only_weeks(flagged, weeks)
-        old = tables.read("keyword_velocity", years_of(weeks))
-    merged = merge_replace(flagged, old, key)
-    counts["keyword_velocity"] = tables.replace_partitions("keyword_velocity", merged)
+    touched = affected_weeks(tables.read("weekly_mentions"), weeks) if later_weeks else weeks
+    old = tables.read("keyword_velocity", weeks=touched)
+    merged = merge_replace(only_weeks(flagged, touched), old, key)
+    counts["keyword_velocity"] = tables.replace_weeks("keyword_velocity", merged, touched)
     return counts
 
 
+def affected_weeks(mentions: DataFrame, weeks: Sequence[str], lookback: int = LOOKBACK) -> list[str]:
+    """The given weeks and those that have one of them among a keyword's ``lookback`` scored weeks before."""
+    ordered = Window.partitionBy("keyword").orderBy("iso_week")
+    changed = F.col("iso_week").isin(list(weeks)).cast("int")
+    near = F.max(changed).over(ordered.rowsBetween(-lookback, 0)) == 1
+    rows = mentions.filter(F.col("hype_score").isNotNull()).withColumn("_near", near)
+    # labels, so bounded by the calendar
+    later = rows.filter("_near").select("iso_week").distinct().collect()
+    return sorted({*weeks, *(row["iso_week"] for row in later)})
+
+
 def refresh(
     tables: Tables,
     stories: DataFrame,
@@ -126,22 +149,28 @@ def refresh(
     taxonomy: Taxonomy = DEFAULT,
     weeks: Sequence[str] | None = None,
     newer_only: bool = True,
-    order: Sequence[str | Column] = ("created_at",),
-    detect_weeks: Sequence[str] | None = None,
+    order: Sequence[str | Column] | None = None,
+    new_taxonomy: bool = False,
     raise_failures: bool = True,
 ) -> DataFrame:
     """The daily job: load, detect, re-score the recent weeks, check.
 
     ``newer_only`` drops stories not newer than the newest stored one;
-    ``weeks`` defaults to the week of ``as_of`` and the one before.  Returns the
-    gates, after raising if one failed.
+    ``weeks`` defaults to the week of ``as_of`` and the one before.  Detection looks
+    at the stories of this load only, unless ``new_taxonomy`` asks for all that have
+    no event.  Returns the gates, after raising if one failed.
     """
     spark = tables.spark
     if newer_only:
         since = high_water_mark(tables.read("raw_stories")).first()["since_ts"]
         stories = in_time_range(stories, since)
     inserted = tables.insert_stories(stories, order, fetched_at=ntz(as_of))
-    detect_new(tables, taxonomy, weeks=detect_weeks)
+    if new_taxonomy:
+        detect_new(tables, taxonomy)
+    else:
+        # labels, so bounded by the calendar and not by the stories
+        labels = stories.select(week_label("created_at").alias("w")).distinct().collect()
+        detect_new(tables, taxonomy, ids=stories, weeks=[row["w"] for row in labels])
     if weeks is None:
         weeks = [row["iso_week"] for row in recent_weeks(spark, str(as_of)[:10]).collect()]
     rescore(tables, weeks)

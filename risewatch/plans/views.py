@@ -11,6 +11,11 @@ from risewatch.sources.tables import Tables
 from risewatch.taxonomy import DEFAULT, Taxonomy
 
 
+def _of_week(tables: Tables, name: str, week: str | Column) -> DataFrame:
+    """A label prunes folders of every table; a column can only filter rows."""
+    return tables.read(name, weeks=[week]) if isinstance(week, str) else tables.read(name)
+
+
 def trending_view(
     tables: Tables,
     week: str | Column,
@@ -18,12 +23,12 @@ def trending_view(
     taxonomy: Taxonomy = DEFAULT,
 ) -> dict[str, DataFrame]:
     """Trending list, risers, fallers, and the best story of each anomaly."""
-    velocity = tables.read("keyword_velocity")
-    trending = reports.trending_keywords(velocity, tables.read("weekly_mentions"), week)
-    shown = reports.in_category(trending, taxonomy, category)
-    feed = reports.anomaly_feed(
-        velocity, tables.read("keyword_events"), tables.read("raw_stories"), week
+    velocity, mentions, events, stories = (
+        _of_week(tables, name, week)
+        for name in ("keyword_velocity", "weekly_mentions", "keyword_events", "raw_stories")
     )
+    shown = reports.in_category(reports.trending_keywords(velocity, mentions, week), taxonomy, category)
+    feed = reports.anomaly_feed(velocity, events, stories, week)
     return {
         "trending": shown,
         "risers": reports.risers(shown),
@@ -45,4 +50,4 @@ def hype_cycle_view(
 
 def emerging_view(tables: Tables, week: str | Column, limit: int = reports.FEED_ROWS) -> DataFrame:
     """Best stored terms of a week; empty if none were ever stored."""
-    return reports.stored_emerging_terms(tables.read("emerging_terms"), week, limit)
+    return reports.stored_emerging_terms(_of_week(tables, "emerging_terms", week), week, limit)

@@ -1,28 +1,29 @@
 """Explicit schemas of the stored tables and of the search-result envelope.
 
 Schemas are never inferred: a landed page with an unexpected field must not
-change a table.  Every stored table is partitioned by ``iso_week``.
+change a table.  Stories and events are partitioned by week, the small tables by
+year.
 """
 
 from pyspark.sql import types as T
 
-HIT = T.StructType(
+# Pages and hits are read as text and cast field by field, so that one odd value
+# never takes a page with it.
+HIT_TEXT = T.StructType(
     [
-        T.StructField("objectID", T.StringType()),
-        T.StructField("title", T.StringType()),
-        T.StructField("created_at", T.StringType()),
-        T.StructField("points", T.IntegerType()),
-        T.StructField("num_comments", T.IntegerType()),
-        T.StructField("url", T.StringType()),
+        T.StructField(name, T.StringType())
+        for name in ("objectID", "title", "created_at", "points", "num_comments", "url")
     ]
 )
 
-RESULT_PAGE = T.StructType(
+UNREADABLE = "_unreadable"
+PAGE_TEXT = T.StructType(
     [
-        T.StructField("hits", T.ArrayType(HIT)),
-        T.StructField("page", T.IntegerType()),
-        T.StructField("nbPages", T.IntegerType()),
-        T.StructField("nbHits", T.LongType()),
+        T.StructField("hits", T.ArrayType(T.StringType())),
+        T.StructField("page", T.StringType()),
+        T.StructField("nbPages", T.StringType()),
+        T.StructField("nbHits", T.StringType()),
+        T.StructField(UNREADABLE, T.StringType()),
     ]
 )
 
@@ -81,6 +82,24 @@ EMERGING_TERMS = T.StructType(
     ]
 )
 
+REJECTS = T.StructType(
+    [
+        T.StructField(
+            "arrival",
+            T.StructType(
+                [
+                    T.StructField("file", T.StringType()),
+                    T.StructField("page", T.IntegerType()),
+                    T.StructField("position", T.IntegerType()),
+                ]
+            ),
+        ),
+        T.StructField("reason", T.StringType()),
+        T.StructField("json", T.StringType()),
+        T.StructField("batch", T.LongType()),
+    ]
+)
+
 # table name -> (schema, logical key)
 TABLES = {
     "raw_stories": (RAW_STORIES, ["story_id"]),

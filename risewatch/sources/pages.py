@@ -5,65 +5,125 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from risewatch.functions.time import epoch_seconds, week_label
-from risewatch.schemas import RESULT_PAGE
+from risewatch.functions.time import epoch_seconds, utc_timestamp, week_label
+from risewatch.schemas import HIT_TEXT, PAGE_TEXT, UNREADABLE
+
+
+# (file, page number, position on the page): the order in which hits were found.
+ARRIVAL = "arrival"
+
+
+def page_columns(text: DataFrame, file: Column) -> DataFrame:
+    """(hits, page, nbPages, nbHits, unreadable, file) of pages read as text.
+
+    ``hits`` holds each hit's JSON.  A page that is no JSON object has its text in
+    ``unreadable`` and no hits.
+    """
+    # Spark reads no file for the unreadable text alone, so another column takes part
+    bad = F.coalesce(F.col(UNREADABLE), F.when(F.size("hits") < -1, ""))
+    return text.select(
+        F.when(bad.isNull(), F.col("hits")).alias("hits"),
+        F.col("page").try_cast("int").alias("page"),
+        F.col("nbPages").try_cast("int").alias("nbPages"),
+        F.col("nbHits").try_cast("bigint").alias("nbHits"),
+        bad.alias("unreadable"),
+        file.alias("file"),
+    )
 
 
 def read_pages(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """Result pages from JSON files: one page per file, or one per line."""
-    return spark.read.schema(RESULT_PAGE).option("multiLine", multi_line).json(path)
+    reader = spark.read.schema(PAGE_TEXT).option("columnNameOfCorruptRecord", UNREADABLE)
+    text = reader.option("multiLine", multi_line).json(path)
+    return page_columns(text, F.col("_metadata.file_path"))
 
 
 def parse_pages(json_text: DataFrame, column: str = "value") -> DataFrame:
     """Result pages from a text column holding one page per row."""
-    page = F.from_json(column, RESULT_PAGE).alias("p")
-    return json_text.select(page).select("p.*")
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": UNREADABLE}
+    page = F.from_json(column, PAGE_TEXT, options)
+    # a null text is as unreadable as a broken one
+    whole = F.when(F.col(column).rlike(r"(?s)^\s*\{"), page)
+    text = json_text.select(whole.alias("p"), F.col(column).alias("_text")).select(
+        *[f"p.{f.name}" for f in PAGE_TEXT if f.name != UNREADABLE],
+        F.when(F.col("p").isNull(), F.coalesce("_text", F.lit(""))).otherwise(F.col(f"p.{UNREADABLE}")).alias(UNREADABLE),
+    )
+    return page_columns(text, F.lit(None).cast("string"))
+
 
+def total_hits(pages: DataFrame, *window: str) -> DataFrame:
+    """``nb_hits``: the total the first page reports, else its length; by window columns, if given.
 
-def total_hits(pages: DataFrame) -> DataFrame:
-    """One row, ``nb_hits``: the total the first page reports, else its length."""
+    Totals of different fetches do not mix: without window columns the pages must
+    be those of one fetch.
+    """
     first = F.coalesce("nbHits", F.size("hits").cast("long"), F.lit(0))
-    return pages.filter(F.coalesce("page", F.lit(0)) == 0).agg(
-        F.coalesce(F.max(first), F.lit(0).cast("long")).alias("nb_hits")
+    return (
+        pages.filter(F.coalesce("page", F.lit(0)) == 0)
+        .groupBy(*window)
+        .agg(F.coalesce(F.max(first), F.lit(0).cast("long")).alias("nb_hits"))
     )
 
 
-def hits(pages: DataFrame) -> DataFrame:
-    return pages.select(F.explode("hits").alias("hit")).select("hit.*")
+def _integer(text: str, kind: str) -> Column:
+    text = F.trim(text)
+    return F.when(text.rlike(r"^[+-]?[0-9]+$"), text.try_cast(kind))
 
 
-def _story_id() -> Column:
-    text = F.trim("objectID")
-    return F.when(text.rlike(r"^[+-]?[0-9]+$"), text.try_cast("bigint"))
+def hits(pages: DataFrame) -> DataFrame:
+    """Every hit with its text fields, its JSON, its arrival, and ``reason`` if it cannot be stored."""
+    given = pages.filter(F.col("unreadable").isNull()) if "unreadable" in pages.columns else pages
+    file = F.col("file") if "file" in pages.columns else F.lit(None).cast("string")
+    rows = given.select(
+        file.alias("file"), F.col("page").alias("page_no"), F.posexplode("hits").alias("position", "json")
+    )
+    odd = lambda name: F.col(name).isNotNull() & _integer(name, "int").isNull()
+    reason = (
+        F.when(~F.coalesce(F.col("json").rlike(r"(?s)^\s*\{"), F.lit(False)), "hit is not an object")
+        .when(F.coalesce(F.length("objectID"), F.lit(0)) == 0, "missing id")
+        .when(F.coalesce(F.length("title"), F.lit(0)) == 0, "missing title")
+        .when(_integer("objectID", "bigint").isNull(), "id is not an integer")
+        .when(odd("points"), "unreadable points")
+        .when(odd("num_comments"), "unreadable comments")
+    )
+    return (
+        rows.withColumn("hit", F.from_json("json", HIT_TEXT))
+        .select(F.struct("file", F.col("page_no").alias("page"), "position").alias(ARRIVAL), "json", "hit.*")
+        .withColumn("reason", reason)
+    )
 
 
 def parse_hits(pages: DataFrame) -> DataFrame:
-    """Stories from the valid hits of ``pages``; missing counts become 0."""
+    """Stories from the valid hits of ``pages``; missing counts become 0.
+
+    ``arrival`` tells where a hit was found; of an id's copies the first is stored.
+    """
     return (
         hits(pages)
-        .filter(F.length("title") > 0)
-        .withColumn("story_id", _story_id())
-        .filter(F.col("story_id").isNotNull())
+        .filter(F.col("reason").isNull())
         .select(
-            "story_id",
+            _integer("objectID", "bigint").alias("story_id"),
             "title",
             "url",
-            F.coalesce("points", F.lit(0)).alias("score"),
-            F.coalesce("num_comments", F.lit(0)).alias("num_comments"),
-            F.col("created_at").try_cast("timestamp_ntz").alias("created_at"),
+            F.coalesce(_integer("points", "int"), F.lit(0)).alias("score"),
+            F.coalesce(_integer("num_comments", "int"), F.lit(0)).alias("num_comments"),
+            utc_timestamp("created_at").alias("created_at"),
+            ARRIVAL,
         )
         .withColumn("iso_week", week_label("created_at"))
     )
 
 
 def rejected_hits(pages: DataFrame) -> DataFrame:
-    """The hits :func:`parse_hits` drops, with the reason."""
-    reason = (
-        F.when(F.coalesce(F.length("objectID"), F.lit(0)) == 0, "missing id")
-        .when(F.coalesce(F.length("title"), F.lit(0)) == 0, "missing title")
-        .when(_story_id().isNull(), "id is not an integer")
+    """(arrival, reason, json) of what :func:`parse_hits` does not return: bad hits, and whole pages nobody can read."""
+    bad_hits = hits(pages).filter(F.col("reason").isNotNull()).select(ARRIVAL, "reason", "json")
+    if "unreadable" not in pages.columns:
+        return bad_hits
+    nowhere = F.struct(F.col("file"), F.lit(None).cast("int").alias("page"), F.lit(None).cast("int").alias("position"))
+    bad_pages = pages.filter(F.col("unreadable").isNotNull()).select(
+        nowhere.alias(ARRIVAL), F.lit("unreadable page").alias("reason"), F.col("unreadable").alias("json")
     )
-    return hits(pages).withColumn("reason", reason).filter(F.col("reason").isNotNull())
+    return bad_hits.unionByName(bad_pages)
 
 
 def in_time_range(

@@ -5,9 +5,12 @@ other tables hold one row per keyword (or top term) and week whatever the number
 of stories; they are partitioned by year, so that a refresh rewrites a file or
 two and not hundreds of tiny ones.
 
-Writers are meant to be alone on a table.  Appends and partition replacements
-are single Spark writes, visible when their commit ends, so a job that dies can
-simply be run again.
+A table is a folder of versions (``v000001``, ...).  The newest version with a
+``_SUCCESS`` mark is the table; Spark sets the mark as the last step of a job.
+Appends add to that version, replacements write the next one, so a replacement
+that dies leaves the table as it was and can be run again.  Writers are meant to
+be alone on a table; a version that has been replaced goes with the replacement
+after it, which gives its readers time to end.
 """
 
 from __future__ import annotations
@@ -15,13 +18,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from py4j.protocol import Py4JJavaError
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from risewatch.operators.keyed import first_per_key, not_yet_stored
-from risewatch.schemas import TABLES
+from risewatch.schemas import REJECTS, TABLES
+from risewatch.sources.pages import ARRIVAL
 
 WEEK, YEAR = "iso_week", "iso_year"
 WEEK_PARTITIONED = ("raw_stories", "keyword_events")
@@ -40,88 +43,136 @@ class Tables:
         if create:
             self.create_missing()
 
-    def path(self, name: str) -> str:
-        return f"{self.root}/{name}"
+    def _folder(self, path: str):
+        """A Hadoop path with its file system: tables may be in any store Spark reads."""
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return folder, folder.getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+    def versions(self, name: str) -> list[int]:
+        """Complete versions of a table, oldest first."""
+        folder, fs = self._folder(f"{self.root}/{name}")
+        if not fs.exists(folder):
+            return []
+        found = [entry.getPath() for entry in fs.listStatus(folder)]
+        marked = [p.getName() for p in found if fs.exists(self._folder(f"{p}/_SUCCESS")[0])]
+        return sorted(int(version[1:]) for version in marked if version[:1] == "v" and version[1:].isdigit())
+
+    def path(self, name: str, version: int | None = None) -> str:
+        if version is None:
+            version = (self.versions(name) or [1])[-1]
+        return f"{self.root}/{name}/v{version:06d}"
 
     def create_missing(self) -> None:
         for name, (schema, _) in TABLES.items():
-            empty = self.spark.createDataFrame([], schema)
-            self._partitioned(name, empty).write.mode("ignore").partitionBy(
-                _partition(name)
-            ).parquet(self.path(name))
+            if not self.versions(name):
+                empty = self._partitioned(name, self.spark.createDataFrame([], schema))
+                empty.write.mode("overwrite").partitionBy(_partition(name)).parquet(self.path(name, 1))
 
-    def read(self, name: str, years: Sequence[str] | None = None) -> DataFrame:
-        """The table, or its rows of some years; empty if it does not exist."""
+    def read(self, name: str, years: Sequence[str] | None = None, weeks: Sequence[str] | None = None) -> DataFrame:
+        """The table, or its rows of some years or weeks; empty if it does not exist.
+
+        Both limits are partition filters: weeks of a table by year also name its
+        years.
+        """
         schema, _ = TABLES[name]
         stored = schema if name in WEEK_PARTITIONED else _with_year(schema)
-        try:
+        if self.versions(name):
             df = self.spark.read.schema(stored).parquet(self.path(name))
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
+        else:
             df = self.spark.createDataFrame([], stored)
-        if years is not None:
-            year = F.col(YEAR) if YEAR in df.columns else F.substring(WEEK, 1, 4)
-            df = df.filter(year.isin(list(years)))
+        if weeks is not None:
+            df = df.filter(F.col(WEEK).isin(list(weeks)))
+            years = years_of(weeks) if years is None else years
+        if years is not None and YEAR in df.columns:
+            df = df.filter(F.col(YEAR).isin(list(years)))
+        elif years is not None and weeks is None:
+            df = df.filter(F.substring(WEEK, 1, 4).isin(list(years)))
         return df.drop(YEAR)
 
+    def rejects(self) -> DataFrame:
+        """(arrival, reason, json, batch) of everything the streams could not store."""
+        folder, fs = self._folder(f"{self.root}/rejects")
+        if not fs.exists(folder):
+            return self.spark.createDataFrame([], REJECTS)
+        return self.spark.read.schema(REJECTS).parquet(f"{self.root}/rejects")
+
+    def write_rejects(self, rejected: DataFrame, batch: int) -> None:
+        """Keep what a batch could not store; a batch that is replayed replaces its own rows."""
+        rejected.write.mode("overwrite").parquet(f"{self.root}/rejects/batch={batch}")
+
     def row_count(self, name: str) -> int:
         return self.read(name).count()
 
     def append(self, name: str, df: DataFrame) -> int:
         """Add rows; returns how many."""
-        return self._write(name, df, "append", dynamic=False)
+        return self._write(name, df, self.path(name), "append")
 
     def overwrite(self, name: str, df: DataFrame) -> int:
-        """Replace the whole table (which ``df`` must not read)."""
-        return self._write(name, df, "overwrite", dynamic=False)
+        """Replace the whole table; ``df`` may read it."""
+        return self._replace(name, df)
 
-    def replace_partitions(self, name: str, df: DataFrame) -> int:
-        """Replace the partitions that occur in ``df`` and leave the others alone.
+    def replace_weeks(self, name: str, df: DataFrame, weeks: Sequence[str]) -> int:
+        """Replace all rows of some weeks by those of ``df``; returns the rows of ``df``.
 
-        ``df`` may read the table itself: old files go only when the new ones
-        are complete.
+        For the small tables: the rows of other weeks are copied to the new version.
+        ``df`` may read the table itself.
         """
-        return self._write(name, df, "overwrite", dynamic=True)
+        others = self.read(name).filter(~F.col(WEEK).isin(list(weeks)) | F.col(WEEK).isNull())
+        return self._replace(name, df, others)
+
+    def _replace(self, name: str, df: DataFrame, others: DataFrame | None = None) -> int:
+        done = self.versions(name)
+        new = (done or [0])[-1] + 1
+        written = self._write(name, df, self.path(name, new), "overwrite", others)
+        for old in done[:-1]:
+            folder, fs = self._folder(self.path(name, old))
+            fs.delete(folder, True)
+        return written
 
     def _partitioned(self, name: str, df: DataFrame) -> DataFrame:
         schema, _ = TABLES[name]
         typed = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])
         return typed if name in WEEK_PARTITIONED else typed.withColumn(YEAR, F.substring(WEEK, 1, 4))
 
-    def _write(self, name: str, df: DataFrame, mode: str, dynamic: bool) -> int:
+    def _write(self, name: str, df: DataFrame, path: str, mode: str, others: DataFrame | None = None) -> int:
         rows = Observation()
+        out = self._partitioned(name, df).observe(rows, F.count("*").alias("n"))
+        if others is not None:
+            out = out.unionByName(self._partitioned(name, others))
         (
             # few files per partition, and several tasks for one too large for a
             # single task; the rows are counted by the tasks that write them
-            self._partitioned(name, df)
-            .hint("rebalance", _partition(name))
-            .observe(rows, F.count("*").alias("n"))
+            out.hint("rebalance", _partition(name))
             .write.mode(mode)
-            .option("partitionOverwriteMode", "dynamic" if dynamic else "static")
             .partitionBy(_partition(name))
-            .parquet(self.path(name))
+            .parquet(path)
         )
         try:
             return rows.get["n"]
-        except Py4JJavaError:
-            # adaptive execution removed the counter with the rest of an empty plan
+        except Py4JJavaError as error:
+            # adaptive execution removes the counter with the rest of an empty plan,
+            # and there is no row of counts to convert
+            if "PythonSQLUtils.toPyRow" not in str(error):
+                raise
             return 0
 
     def insert_stories(
         self,
         stories: DataFrame,
-        order: Sequence[str | Column] = ("created_at",),
+        order: Sequence[str | Column] | None = None,
         fetched_at: Column | None = None,
     ) -> int:
         """Append the stories whose id is new; returns how many.
 
         A stored story always wins.  Among rows of one id in the batch the first
-        by ``order`` wins, and what remains tied by the other columns.
+        by ``order`` wins, and what remains tied by the other columns.  By default
+        that is the order in which parsed hits were found, else that of their dates.
         """
+        if order is None:
+            order = (ARRIVAL,) if ARRIVAL in stories.columns else ("created_at",)
         stamp = F.current_timestamp().cast("timestamp_ntz") if fetched_at is None else fetched_at
         new = first_per_key(stories, ["story_id"], [*order, *_tie_break(stories, order)])
-        new = not_yet_stored(new, self.read("raw_stories"), ["story_id"], keys=stories)
+        new = not_yet_stored(new, self.read("raw_stories"), ["story_id"])
         return self.append(
             "raw_stories",
             new.withColumn("score", F.coalesce("score", F.lit(0)))

@@ -60,12 +60,16 @@ def coverage_audit(
     """Stories per planned window, flagging windows at the cap and empty ones.
 
     Stories are counted by bucket number before they meet the plan, so the join
-    sees one row per window on either side.
+    sees one row per window on either side.  The last window holds the end of the
+    range.
     """
-    offset = epoch_seconds("created_at") - epoch_seconds(range_start)
-    counts = (
-        stories.groupBy(F.floor(offset / F.lit(hours * 3600)).alias("bucket"))
-        .agg(F.count("*").alias("n_stories"))
+    created = epoch_seconds("created_at")
+    bucket = F.floor((created - epoch_seconds(range_start)) / F.lit(hours * 3600))
+    # one row each
+    end = epoch_seconds(plan.agg(F.max("window_end")).scalar())
+    last = plan.agg(F.max("bucket")).scalar()
+    counts = stories.groupBy(F.when(created == end, last).otherwise(bucket).alias("bucket")).agg(
+        F.count("*").alias("n_stories")
     )
     return _flag(plan.join(counts, "bucket", "left"), "n_stories", cap)
 

@@ -10,11 +10,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from risewatch.plans.jobs import detect_new, rescore
-from risewatch.schemas import RESULT_PAGE
-from risewatch.sources.pages import parse_hits
+from risewatch.schemas import PAGE_TEXT, UNREADABLE
+from risewatch.sources.pages import page_columns, parse_hits, rejected_hits
 from risewatch.sources.tables import Tables
 from risewatch.taxonomy import DEFAULT, Taxonomy
 
@@ -23,10 +24,11 @@ def page_stream(
     spark: SparkSession, path: str, multi_line: bool = True, max_files: int | None = None
 ) -> DataFrame:
     """Landed pages as a stream; ``max_files`` limits the files of a micro-batch."""
-    reader = spark.readStream.schema(RESULT_PAGE).option("multiLine", multi_line)
+    reader = spark.readStream.schema(PAGE_TEXT).option("columnNameOfCorruptRecord", UNREADABLE)
+    reader = reader.option("multiLine", multi_line)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.json(path)
+    return page_columns(reader.json(path), F.col("_metadata.file_path"))
 
 
 def load_batch(
@@ -34,16 +36,16 @@ def load_batch(
     stories: DataFrame,
     taxonomy: Taxonomy = DEFAULT,
     score: bool = True,
-    order: Sequence[str | Column] = ("created_at",),
+    order: Sequence[str | Column] | None = None,
 ) -> None:
     """Store one batch of parsed stories and bring the other tables up to date."""
     stories = stories.persist()
     try:
         tables.insert_stories(stories, order)
         # labels, so bounded by the calendar and not by the stories
-        labels = stories.select("iso_week").distinct().filter("iso_week IS NOT NULL").collect()
-        weeks = [row["iso_week"] for row in labels]
+        weeks = [row["iso_week"] for row in stories.select("iso_week").distinct().collect()]
         detect_new(tables, taxonomy, ids=stories, weeks=weeks)
+        weeks = [week for week in weeks if week is not None]
         if score and weeks:
             rescore(tables, weeks, later_weeks=True)
     finally:
@@ -56,15 +58,17 @@ def start_stream(
     checkpoint: str,
     taxonomy: Taxonomy = DEFAULT,
     score: bool = True,
-    order: Sequence[str | Column] = ("created_at",),
+    order: Sequence[str | Column] | None = None,
 ) -> StreamingQuery:
     """Start loading ``pages``; ends when everything landed so far is stored.
 
-    Run it again, or on a schedule, with the same checkpoint to continue.
+    Run it again, or on a schedule, with the same checkpoint to continue.  What
+    cannot be stored goes to ``tables.rejects()``.
     """
 
-    def on_batch(batch: DataFrame, _: int) -> None:
+    def on_batch(batch: DataFrame, number: int) -> None:
         own = Tables(batch.sparkSession, tables.root)
+        own.write_rejects(rejected_hits(batch), number)
         load_batch(own, parse_hits(batch), taxonomy, score, order)
 
     return (

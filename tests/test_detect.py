@@ -9,6 +9,7 @@ from risewatch.operators.detect import (
     keyword_events,
     matched_by_word_join,
     matched_stories,
+    name_table,
     unprocessed,
     with_category,
 )
@@ -16,27 +17,25 @@ from risewatch.taxonomy import DEFAULT, Taxonomy
 
 CASES = [
     # title, url, must contain, must not contain
-    ("Rust is memory safe", None, {"Rust"}, set()),
-    ("Getting rusty at piano", None, set(), {"Rust"}),
-    ("rusty old pipes in my basement", None, set(), {"Rust"}),
-    ("New compiler released", "https://github.com/rust-lang/rust", {"Rust", "GitHub"}, set()),
-    ("Show HN", "https://github.com/rust-lang/cargo", {"Rust"}, set()),
-    ("Go 1.22 released with new features", None, {"Go"}, set()),
-    ("Going to use a new approach", None, set(), {"Go"}),
-    ("We need to go to the store", None, set(), {"Go"}),
-    ("Go ahead and submit your PR", None, set(), {"Go"}),
-    ("Go back and read the docs first", None, set(), {"Go"}),
-    ("Go go to", None, {"Go"}, set()),
-    ("Go to bed", None, set(), {"Go"}),
-    ("Next.js 14 released with server actions", None, {"Next.js"}, set()),
-    ("The next version is coming soon", None, set(), {"Next.js"}),
-    ("Python 3.12 performance improvements", None, {"Python"}, set()),
-    ("Type hints guide", "https://docs.python.org/3/", {"Python"}, set()),
-    ("TypeScript 5.4 adds new infer features", None, {"TypeScript"}, set()),
-    ("Docker Desktop 4.26 released", None, {"Docker"}, set()),
-    ("New framework released", "https://astro.build/blog/astro-4", {"Astro"}, set()),
-    ("Building a FastAPI backend with Docker and PostgreSQL", None, {"FastAPI", "Docker"}, set()),
-    ("Python tips and tricks", None, {"Python"}, set()),
+    ("Why our team moved to Rust", None, {"Rust"}, set()),
+    ("Trusting old rustic chairs", None, set(), {"Rust"}),
+    ("Weekly notes", "https://example.org/rust-notes/7", {"Rust"}, set()),
+    ("Weekly notes", "https://code.example.org/Rust_notes", {"Rust"}, set()),
+    ("Profiling Go services", None, set(), {"Rust"}),
+    ("Profiling  Go 2 drafts", None, {"Go"}, set()),
+    ("Cargo ships are ongoing", None, set(), {"Go"}),
+    ("Places to go to before winter", None, set(), {"Go"}),
+    ("Let it go on", None, set(), {"Go"}),
+    ("Go over the numbers, then Go", None, {"Go"}, set()),
+    ("Go away", None, set(), {"Go"}),
+    ("A look inside Next.js caching", None, {"Next.js"}, set()),
+    ("What comes next, js or wasm", None, set(), {"Next.js"}),
+    ("Packaging python wheels", None, {"Python"}, set()),
+    ("Packaging notes", "https://pkg.example.org/python/wheels", {"Python"}, set()),
+    ("Strictness flags in TYPESCRIPT", None, {"TypeScript"}, set()),
+    ("Smaller docker images", None, {"Docker"}, set()),
+    ("An island of pages", "https://example.org/astro/islands", {"Astro"}, set()),
+    ("Redis behind FastAPI", None, {"FastAPI"}, {"Rust"}),
     ("Use C++20 now", None, {"C++"}, set()),
     ("C++ 20 released", None, set(), {"C++", "C#", "F#"}),
     ("Why C++", None, set(), {"C++"}),
@@ -46,7 +45,7 @@ CASES = [
     ("Written in R", None, {"R"}, set()),
     ("Written in R", "https://example.com", set(), {"R"}),
     ("A forum", "https://example.com/r/programming", {"R"}, set()),
-    ("R 4.3 is out", None, {"R"}, set()),
+    ("Plots with R 4 at last", None, {"R"}, set()),
     ("LLMs", None, set(), {"LLM"}),
     ("GPT4", None, set(), {"GPT"}),
     ("GPT-4", None, {"GPT"}, set()),
@@ -55,7 +54,7 @@ CASES = [
     ("Stable", "https://diffusion.example.com/", {"Stable Diffusion"}, set()),
     ("caféRust", None, set(), {"Rust"}),
     ("Rust́", None, {"Rust"}, set()),
-    ("RUſT and Kafka", None, {"Rust", "Kafka"}, set()),
+    ("RUſT and Kafka", None, {"Rust", "Kafka"}, set()),
 ]
 
 
@@ -73,11 +72,11 @@ def test_cases(spark):
 
 
 def test_nothing_found_is_an_empty_list(spark):
-    assert detected(spark, [("", None), (None, None), ("My cat learned to open doors today", "")]) == [[]] * 3
+    assert detected(spark, [("", None), (None, None), ("Seven ways to water a fern", "")]) == [[]] * 3
 
 
 def test_a_name_is_reported_once(spark):
-    assert detected(spark, [("Rust and Rust toolchain updates in Rust 2024", None)]) == [["Rust"]]
+    assert detected(spark, [("Kafka, kafka and KAFKA", "https://example.org/kafka")]) == [["Kafka"]]
 
 
 def test_taxonomy_facts():
@@ -124,8 +123,24 @@ def test_word_join_equals_literal_detection(spark, random_titles, taxonomy):
     rows = list(enumerate([*random_titles, "Kubernetes k8s docker C++x", None]))
     df = spark.createDataFrame(rows, "story_id int, title string").withColumn("url", F.lit(None).cast("string"))
     literal = matched_stories(df, taxonomy).select("story_id", "keyword")
-    joined = matched_by_word_join(df, taxonomy).select("story_id", "keyword")
-    assert sorted(map(tuple, literal.collect())) == sorted(map(tuple, joined.collect()))
+    names = name_table(df, taxonomy)
+    joined = matched_by_word_join(df, names).select("story_id", "keyword")
+    known = {r.keyword for r in names.collect()}
+    assert sorted(tuple(r) for r in literal.collect() if r.keyword in known) == sorted(map(tuple, joined.collect()))
+
+
+def test_own_columns_survive(spark):
+    df = spark.createDataFrame([(1, "Docker", None, "w", "p", "k")], "story_id int, title string, url string, word string, pattern string, keywords string")
+    for found in (matched_stories(df, DEFAULT), matched_by_word_join(df, name_table(df, DEFAULT))):
+        assert found.columns == [*df.columns, "keyword"]
+        assert [tuple(r) for r in found.collect()] == [(1, "Docker", None, "w", "p", "k", "Docker")]
+
+
+def test_many_names_of_several_words(spark):
+    names = [f"alpha{i} beta{i % 50}" for i in range(3000)] + [f"gamma{i}" for i in range(3000)]
+    taxonomy = Taxonomy({"Many": names})
+    text = "x alpha7 beta7 alpha8 beta9 GAMMA12 gamma99999 alpha2999-beta49 alpha2999 beta49"
+    assert detected(spark, [(text, None), ("nothing", None)], taxonomy) == [["alpha2999 beta49", "alpha7 beta7", "gamma12"], []]
 
 
 def test_unanchored_pattern(spark):
@@ -133,7 +148,7 @@ def test_unanchored_pattern(spark):
 
 
 def test_events_carry_category_and_story_columns(spark, make_stories):
-    stories = make_stories([(1, "Rust and Docker", 7, 3, "2024-01-15 10:00:00"), (2, "Nothing", 1, 1, "2024-01-15")])
+    stories = make_stories([(1, "Docker or Rust", 7, 3, "2024-01-15 10:00:00"), (2, "Ferns", 1, 1, "2024-01-15")])
     events = keyword_events(stories, DEFAULT)
     assert events.columns == ["story_id", "keyword", "category", "score", "created_at", "iso_week"]
     got = {(r.story_id, r.keyword, r.category, r.score, r.iso_week) for r in events.collect()}

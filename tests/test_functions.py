@@ -61,7 +61,7 @@ def model_url_text(url):
 
 def test_url_text_of_typical_links(spark):
     urls = [
-        "https://github.com/rust-lang/rust", "http://u:p@host.example:8080/a_b.c?q=1#f", "github.com/x-y",
+        "https://example.net/some-lang/core_lib", "http://u:p@host.example:8080/a_b.c?q=1#f", "github.com/x-y",
         "https://example.com", "https://example.com/a;p=1/b;q=2", "foo:/a;p=1", "//host/path;x",
         " \t https://e.com/a\nb", "mailto:a@b.c", "https://e.com/a b|c", "https://[::1/x", "https://x]/y",
         "", None, "a;b", "?q", "#f", "https://e.com//x//y", "tel:;x", "1http://e.com/a", "HTTPS://E.com/A;b",

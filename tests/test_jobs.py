@@ -5,13 +5,13 @@ from pyspark.sql import functions as F
 
 from risewatch.operators import reports
 from risewatch.operators.quality import QualityError
-from risewatch.plans.jobs import detect_new, discover, rebuild, recent_weeks, refresh, rescore, scored_tables
+from risewatch.plans.jobs import affected_weeks, detect_new, discover, rebuild, recent_weeks, refresh, rescore, scored_tables
 from risewatch.plans.views import emerging_view, hype_cycle_view, trending_view
 from risewatch.sources.tables import Tables
 from risewatch.streaming.ingest import page_stream, start_stream
 from risewatch.taxonomy import DEFAULT
 
-TITLES = ["Rust in production", "Learning Go today", "Docker and Rust", "A cat", "Python, Python", "Go go to"]
+TITLES = ["Rust at sea", "Go, slowly", "Docker beside Rust", "A fern", "Python; python", "Go go to"]
 
 
 def feed(n, first=0):
@@ -77,11 +77,25 @@ def test_refresh_ignores_stories_older_than_the_mark(tables, make_stories):
 
 def test_detection_is_incremental(tables, make_stories):
     tables.insert_stories(make_stories([(1, "Rust", 1, 1, "2024-03-01"), (2, "cat", 1, 1, "2024-03-01")]))
-    assert detect_new(tables) == 1
-    assert detect_new(tables) == 0
+    assert detect_new(tables) == {"stories_processed": 2, "hits_written": 1}
+    assert detect_new(tables) == {"stories_processed": 1, "hits_written": 0}
     tables.insert_stories(make_stories([(3, "Go and Rust", 1, 1, "2024-03-09")]))
-    assert detect_new(tables, weeks=["2024-W09"]) == 0
-    assert detect_new(tables) == 2
+    assert detect_new(tables, weeks=["2024-W08"])["hits_written"] == 0
+    assert detect_new(tables) == {"stories_processed": 2, "hits_written": 2}
+
+
+def test_refresh_looks_at_its_own_load_unless_the_taxonomy_is_new(tables, make_stories):
+    tables.insert_stories(make_stories([(1, "Rust", 1, 1, "2024-03-01"), (2, "Docker", 1, 1, None)]))
+    refresh(tables, make_stories([(3, "Go!", 1, 1, "2024-03-02")]), "2024-03-02")
+    assert {r.keyword for r in tables.read("keyword_events").collect()} == {"Go"}
+    refresh(tables, make_stories([(4, "Kafka", 1, 1, "2024-03-03")]), "2024-03-03", new_taxonomy=True)
+    assert {r.keyword for r in tables.read("keyword_events").collect()} == {"Go", "Kafka", "Rust", "Docker"}
+
+
+def test_only_weeks_with_changed_history_are_flagged_again(spark):
+    rows = [("a", f"2023-W{w:02d}", 1.0) for w in range(1, 41)] + [("b", "2023-W05", 1.0), ("b", "2023-W39", 1.0), ("b", "2023-W40", None)]
+    mentions = spark.createDataFrame(rows, "keyword string, iso_week string, hype_score double")
+    assert affected_weeks(mentions, ["2023-W05"]) == [f"2023-W{w:02d}" for w in [*range(5, 18), 39]]
 
 
 def test_rescore_keeps_vanished_rows_and_other_weeks(spark, tables, make_stories):
@@ -153,6 +167,20 @@ def test_stream_equals_batch(spark, tmp_path, make_stories):
         assert content(tables.read(name)) == content(batch.read(name)), name
 
 
+def test_what_a_stream_cannot_store_is_kept_with_a_reason(spark, tmp_path):
+    landed = tmp_path / "landed"
+    landed.mkdir()
+    page_file(landed / "1.json", feed(5))
+    (landed / "2.json").write_text((landed / "1.json").read_text()[:-20])
+    (landed / "3.json").write_text(json.dumps({"hits": ["x", {"objectID": "9", "title": "t", "points": 1.5}]}))
+    tables = Tables(spark, str(tmp_path / "tables"))
+    assert tables.rejects().count() == 0
+    start_stream(page_stream(spark, str(landed)), tables, str(tmp_path / "checkpoint")).awaitTermination()
+    assert tables.row_count("raw_stories") == 5
+    reasons = {(r.arrival.file[-6:], r.reason) for r in tables.rejects().collect()}
+    assert reasons == {("2.json", "unreadable page"), ("3.json", "hit is not an object"), ("3.json", "unreadable points")}
+
+
 def test_a_replayed_batch_changes_nothing(spark, tmp_path, make_stories):
     from risewatch.streaming.ingest import load_batch
 

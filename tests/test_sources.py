@@ -20,11 +20,10 @@ from risewatch.sources.tables import Tables
 from risewatch.sources.windows import coverage_audit, page_audit, window_plan
 
 
-def hit(id_, title="A title", points=10, comments=5, created="2024-01-15T10:00:00.000Z"):
-    return {
-        "objectID": id_, "title": title, "created_at": created, "points": points,
-        "num_comments": comments, "url": "https://example.com",
-    }
+def hit(number, **fields):
+    """A hit as the search returns it, with some fields changed."""
+    given = {"objectID": number, "title": f"Story {number}", "points": 31, "num_comments": 4}
+    return given | {"created_at": "2023-11-07T08:30:00.000Z", "url": "https://example.net/s"} | fields
 
 
 def pages_of(spark, *pages):
@@ -32,21 +31,66 @@ def pages_of(spark, *pages):
 
 
 def test_valid_hit(spark):
-    (story,) = parse_hits(pages_of(spark, {"hits": [hit("42")], "nbPages": 1})).collect()
-    assert (story.story_id, story.score, story.num_comments) == (42, 10, 5)
-    assert story.created_at == datetime.datetime(2024, 1, 15, 10) and story.iso_week == "2024-W03"
+    (story,) = parse_hits(pages_of(spark, {"hits": [hit("801")], "nbPages": 1})).collect()
+    assert (story.story_id, story.score, story.num_comments) == (801, 31, 4)
+    assert story.created_at == datetime.datetime(2023, 11, 7, 8, 30) and story.iso_week == "2023-W45"
 
 
 def test_invalid_hits_are_dropped_with_a_reason(spark):
-    bad = [hit("1", None), hit("2", ""), hit(None), hit("not-a-number"), hit("4.0"), hit("1e3"), hit("9" * 30), hit("")]
-    pages = pages_of(spark, {"hits": [*bad, hit(" +7 ")], "nbPages": 1})
-    assert [r.story_id for r in parse_hits(pages).collect()] == [7]
-    reasons = [r.reason for r in rejected_hits(pages).collect()]
-    assert reasons == ["missing title"] * 2 + ["missing id"] + ["id is not an integer"] * 4 + ["missing id"]
+    cases = [
+        (hit("1", title=None), "missing title"),
+        (hit("2", title=""), "missing title"),
+        (hit(None), "missing id"),
+        (hit(""), "missing id"),
+        (hit("abc"), "id is not an integer"),
+        (hit("4.0"), "id is not an integer"),
+        (hit("1e3"), "id is not an integer"),
+        (hit("9" * 30), "id is not an integer"),
+        (hit("3", points=3.5), "unreadable points"),
+        (hit("4", points=3_000_000_000), "unreadable points"),
+        (hit("5", num_comments="many"), "unreadable comments"),
+        ("stray", "hit is not an object"),
+        (None, "hit is not an object"),
+        ([hit("6")], "hit is not an object"),
+    ]
+    pages = pages_of(spark, {"hits": [*(c for c, _ in cases), hit(" +7 ", points="12"), hit(8)], "nbPages": 1})
+    assert sorted((r.story_id, r.score) for r in parse_hits(pages).collect()) == [(7, 12), (8, 31)]
+    rejected = rejected_hits(pages).orderBy("arrival").collect()
+    assert [r.reason for r in rejected] == [reason for _, reason in cases]
+    assert [r.arrival.position for r in rejected] == list(range(len(cases)))
+
+
+def test_pages_that_cannot_be_read_are_rejected(spark, tmp_path):
+    whole = json.dumps({"hits": [hit("1"), hit("2")], "page": 0, "nbHits": 2})
+    (tmp_path / "a.json").write_text(whole)
+    (tmp_path / "b.json").write_text(whole[:-30])
+    (tmp_path / "c.json").write_text(json.dumps({"hits": [17, hit("3")], "page": "x", "nbHits": None}))
+    pages = read_pages(spark, str(tmp_path))
+    assert sorted(r.story_id for r in parse_hits(pages).collect()) == [1, 2, 3]
+    rejected = {r.arrival.file[-6:]: r.reason for r in rejected_hits(pages).collect()}
+    assert rejected == {"b.json": "unreadable page", "c.json": "hit is not an object"}
+    texts = spark.createDataFrame([(whole,), (whole[:-1],), ("[1]",), (None,), ("",)], "value string")
+    assert rejected_hits(parse_pages(texts)).count() == 4 and parse_hits(parse_pages(texts)).count() == 2
+
+
+def test_offsets_are_brought_to_utc(spark):
+    times = ["2024-03-01T10:00:00+02:00", "2024-03-01T10:00:00-0530", "2024-03-01T10:00:00Z", "2024-03-01 10:00:00.25", "soon", None]
+    pages = pages_of(spark, {"hits": [hit(i + 1, created_at=t) for i, t in enumerate(times)]})
+    got = [r.created_at for r in parse_hits(pages).orderBy("story_id").collect()]
+    at = datetime.datetime(2024, 3, 1, 10)
+    hours = datetime.timedelta(hours=1)
+    assert got == [at - 2 * hours, at + 5.5 * hours, at, at + datetime.timedelta(milliseconds=250), None, None]
+
+
+def test_first_copy_of_an_id_is_stored(spark, tables):
+    first = {"hits": [hit("1", points=90), hit("1", points=5), hit("2", points=1)], "page": 0}
+    later = {"hits": [hit("2", points=70), hit("3", points=4), hit("3", points=3)], "page": 1}
+    assert tables.insert_stories(parse_hits(pages_of(spark, later, first))) == 3
+    assert {r.story_id: r.score for r in tables.read("raw_stories").collect()} == {1: 90, 2: 1, 3: 4}
 
 
 def test_missing_counts_are_zero(spark):
-    (story,) = parse_hits(pages_of(spark, {"hits": [hit("1", points=None, comments=None)]})).collect()
+    (story,) = parse_hits(pages_of(spark, {"hits": [hit("1", points=None, num_comments=None)]})).collect()
     assert (story.score, story.num_comments) == (0, 0)
 
 
@@ -66,6 +110,12 @@ def test_total_hits_falls_back_to_the_first_page(spark):
     assert total_hits(pages_of(spark, {"hits": [hit("1"), hit("x")], "nbPages": 1})).first().nb_hits == 2
 
 
+def test_totals_of_fetches_do_not_mix(spark):
+    pages = pages_of(spark, {"hits": [], "nbHits": 10, "page": 0}, {"hits": [], "nbHits": 20}, {"hits": [], "nbHits": 99, "page": 1})
+    fetches = pages.withColumn("fetch", F.when(F.col("nbHits") == 10, "a").otherwise("b"))
+    assert {r.fetch: r.nb_hits for r in total_hits(fetches, "fetch").collect()} == {"a": 10, "b": 20}
+
+
 def test_time_range_is_open_at_both_ends(spark, make_stories):
     stories = make_stories([(i, "t", 1, 1, f"2024-01-15 10:00:0{i}") for i in range(5)])
     base = 1705312800
@@ -104,6 +154,14 @@ def test_coverage_audit_flags(spark, make_stories):
     assert [(r.n_stories, r.maybe_truncated, r.is_empty) for r in audit] == [(4, True, False), (0, False, True), (1, False, False)]
 
 
+def test_coverage_audit_counts_the_end_of_the_range(spark, make_stories):
+    start, end = "2024-01-01 00:00:00", "2024-01-02 00:00:00"
+    bounds = spark.range(1).select(ntz(start).alias("range_start"), ntz(end).alias("range_end"))
+    stories = make_stories([(i, "t", 1, 1, t) for i, t in enumerate(("2024-01-01 01:00:00", "2024-01-01 12:00:00", end, "2024-01-02 00:00:01"))])
+    audit = coverage_audit(stories, window_plan(bounds), ntz(start)).orderBy("bucket").collect()
+    assert [r.n_stories for r in audit] == [1, 2]
+
+
 def test_page_audit_reads_reported_totals(spark):
     pages = pages_of(spark, {"hits": [hit("1")], "nbHits": 1000, "page": 0}, {"hits": [], "nbHits": 7, "page": 1})
     (row,) = page_audit(pages.withColumn("window", F.lit("w")), "window").collect()
@@ -187,16 +245,56 @@ def test_insert_terms_keeps_old_scores(spark, tables):
     assert {r.term: r.tfidf_score for r in tables.read("emerging_terms").collect()} == {"a": 1.0, "b": 2.0, "c": 3.0}
 
 
-def test_replacing_partitions_leaves_the_others(tables, make_stories):
-    tables.append("raw_stories", make_stories([story(1, 15), story(2, 25)]).withColumn("fetched_at", F.lit(None)))
-    stored = tables.read("raw_stories")
-    tables.replace_partitions("raw_stories", stored.filter("story_id = 1").withColumn("score", F.lit(7)))
-    assert {r.story_id: r.score for r in tables.read("raw_stories").collect()} == {1: 7, 2: 1}
+def mentions_of(spark, *weeks):
+    rows = [("k", 1, 1.0, 1.0, float(n), w) for n, w in enumerate(weeks)]
+    return spark.createDataFrame(rows, "keyword string, mention_count long, weighted_score double, avg_comments double, hype_score double, iso_week string")
+
+
+def test_replacing_weeks_leaves_the_others(spark, tables):
+    tables.append("weekly_mentions", mentions_of(spark, "2023-W50", "2024-W01", "2024-W02"))
+    stored = tables.read("weekly_mentions")
+    changed = stored.filter("iso_week = '2024-W01'").withColumn("hype_score", F.lit(7.0))
+    assert tables.replace_weeks("weekly_mentions", changed, ["2024-W01"]) == 1
+    rows = {r.iso_week: r.hype_score for r in tables.read("weekly_mentions").collect()}
+    assert rows == {"2023-W50": 0.0, "2024-W01": 7.0, "2024-W02": 2.0}
+    assert tables.replace_weeks("weekly_mentions", changed.limit(0), ["2024-W01"]) == 0
+    assert tables.row_count("weekly_mentions") == 2 and len(tables.versions("weekly_mentions")) == 2
+
+
+def test_a_replacement_that_dies_loses_nothing(spark, tables, tmp_path):
+    tables.append("weekly_mentions", mentions_of(spark, "2023-W50", "2024-W01"))
+    before = sorted(map(tuple, tables.read("weekly_mentions").collect()))
+    broken = tables.read("weekly_mentions").withColumn("hype_score", F.raise_error(F.lit("died")).cast("double"))
+    with pytest.raises(Exception, match="died"):
+        tables.replace_weeks("weekly_mentions", broken, ["2024-W01"])
+    # a job that wrote its files and died before its mark
+    tables.replace_weeks("weekly_mentions", mentions_of(spark, "2024-W01"), ["2024-W01"])
+    (tmp_path / "tables/weekly_mentions/v000002/_SUCCESS").unlink()
+    assert sorted(map(tuple, tables.read("weekly_mentions").collect())) == before
+    assert tables.replace_weeks("weekly_mentions", mentions_of(spark, "2024-W01"), ["2024-W01"]) == 1
+    assert tables.row_count("weekly_mentions") == 2
+
+
+def test_a_failure_to_count_is_no_zero(spark, tables, monkeypatch):
+    import risewatch.sources.tables as module
+
+    class Broken(module.Observation):
+        @property
+        def get(self):
+            spark._jvm.java.lang.Integer.parseInt("no number")
+
+    monkeypatch.setattr(module, "Observation", Broken)
+    with pytest.raises(Exception, match="no number"):
+        tables.append("weekly_mentions", mentions_of(spark, "2024-W01"))
+
+
+@pytest.mark.parametrize("name", sorted(TABLES))
+def test_week_filter_prunes_every_table(tables, name):
+    plan = tables.read(name, weeks=["2024-W03"])._jdf.queryExecution().executedPlan().toString()
+    filters = plan[plan.index("PartitionFilters: [") :].splitlines()[0]
+    assert "iso_week" in filters or "iso_year" in filters
 
 
-def test_week_filter_prunes_partitions(tables, make_stories):
+def test_week_filter_keeps_the_rows_of_the_week(tables, make_stories):
     tables.insert_stories(make_stories([story(1, 15), story(2, 25)]))
-    df = tables.read("raw_stories").filter(F.col("iso_week") == "2024-W03")
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(iso_week" in plan
-    assert [r.story_id for r in df.collect()] == [1]
+    assert [r.story_id for r in tables.read("raw_stories", weeks=["2024-W03"]).collect()] == [1]
