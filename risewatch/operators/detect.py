@@ -22,6 +22,8 @@ from risewatch.taxonomy import Taxonomy
 
 # Prefix of working columns, so that none of a story's own columns is hit.
 OWN = "_risewatch_"
+# Between a name and its pattern; no name holds it.
+PART = "\x01"
 # Words in a bucket on average.
 BUCKET_WORDS = 4
 
@@ -49,20 +51,27 @@ def _filed(taxonomy: Taxonomy) -> tuple[dict[str, list[tuple[str, str | None]]],
     return dict(filed), unknown
 
 
-def _names_filed_under(filed: dict[str, list[tuple[str, str | None]]]):
-    """A function from a word to its names: literal maps by bucket, folded once by the optimiser."""
+def _sql(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _table_of(filed: dict[str, list[tuple[str, str | None]]]) -> tuple[str, int]:
+    """SQL of an array of maps from word to names, one map for each hash bucket, and the number of buckets.
+
+    A name with a pattern is written as name, PART, pattern.  It is one text of SQL,
+    which the optimiser folds to a literal, as thousands of column objects take
+    longer to make than the detection to run.
+    """
     n = max(1, len(filed) // BUCKET_WORDS)
     buckets: list[list[str]] = [[] for _ in range(n)]
     for word in filed:
         buckets[zlib.crc32(word.encode()) % n].append(word)
-    kind = "map<string,array<struct<name:string,pattern:string>>>"
 
-    def names(word: str) -> Column:
-        return F.array(*[F.struct(F.lit(name).alias("name"), F.lit(p).cast("string").alias("pattern")) for name, p in filed[word]])
+    def names(word: str) -> str:
+        return "array(" + ", ".join(_sql(name + PART + (pattern or "")) for name, pattern in filed[word]) + ")"
 
-    maps = [F.create_map(*[part for w in ws for part in (F.lit(w), names(w))]).cast(kind) for ws in buckets]
-    table = F.array(*maps)
-    return lambda word: F.element_at(F.element_at(table, (F.crc32(word) % n + 1).cast("int")), word)
+    maps = ["map(" + ", ".join(f"{_sql(w)}, {names(w)}" for w in words) + ")" if words else "map('', array(''))" for words in buckets]
+    return f"array({', '.join(maps)})", n
 
 
 def detect_keywords(
@@ -76,26 +85,28 @@ def detect_keywords(
     filed, unknown = _filed(taxonomy)
     seen, text = F.col(f"{OWN}seen"), F.col(f"{OWN}text")
     nothing = F.array().cast(_NO_NAMES)
-    parts = []
+    known, parts = nothing, []
     if filed:
-        names_of = _names_filed_under(filed)
+        known = F.expr(f"array_distinct(filter({OWN}words, w -> w IN ({', '.join(map(_sql, filed))})))")
+        table, n = _table_of(filed)
+        names = F.expr(f"flatten(transform({OWN}seen, w -> element_at(element_at({table}, CAST(crc32(w) % {n} + 1 AS INT)), w)))")
 
-        def found_by(word: Column) -> Column:
-            right = F.filter(names_of(word), lambda n: n["pattern"].isNull() | F.regexp_like(text, n["pattern"]))
-            return F.transform(right, lambda n: n["name"])
+        def right(name: Column) -> Column:
+            pattern = F.split_part(name, F.lit(PART), F.lit(2))
+            return (pattern == "") | F.regexp_like(text, pattern)
 
-        parts.append(F.flatten(F.transform(seen, found_by)))
+        parts.append(F.transform(F.filter(names, right), lambda name: F.split_part(name, F.lit(PART), F.lit(1))))
     if unknown:
         parts.append(F.array_compact(F.array(*[F.when(text.rlike(_pattern_of(taxonomy, n)), F.lit(n)) for n in unknown])))
     found = F.sort_array(F.array_distinct(F.concat(*parts))) if parts else nothing
     if not unknown:
         found = F.when(F.size(seen) > 0, found).otherwise(nothing)
-    known = F.array_distinct(F.filter(words(text), lambda w: w.isin(list(filed)))) if filed else nothing
     return (
         stories.withColumn(f"{OWN}text", match_text(title, url))
+        .withColumn(f"{OWN}words", words(text))
         .withColumn(f"{OWN}seen", known)
         .withColumn(output, found)
-        .drop(f"{OWN}text", f"{OWN}seen")
+        .drop(f"{OWN}text", f"{OWN}words", f"{OWN}seen")
     )
 
 
