@@ -74,6 +74,8 @@ class Coder:
         for rank, pair in enumerate(model["merges"]):
             a, b = pair if isinstance(pair, list) else pair.split(" ")
             self.merges[self.vocab[a], self.vocab[b]] = (rank, self.vocab[a + b])
+        self.rank = {pair: rank for pair, (rank, _) in self.merges.items()}
+        self.product = [product for _, product in self.merges.values()]
         self.lookahead = self._lookahead()
         self.window = 4 * self.lookahead
         # \s of the file's pattern is the White_Space property
@@ -111,14 +113,19 @@ class Coder:
 
     def _merged(self, ids: list[int]) -> list[int]:
         """All merges applied, lowest rank first, leftmost first."""
-        merges = self.merges
-        if len(ids) < 24:
-            while len(ids) > 1:
-                best = min((merges.get(pair, (1 << 30, 0)), i) for i, pair in enumerate(zip(ids, ids[1:], strict=False)))
-                if best[0][0] == 1 << 30:
-                    break
-                ids[best[1] : best[1] + 2] = [best[0][1]]
+        if len(ids) < 32:
+            rank, never, product = self.rank.get, 1 << 30, self.product
+            ranks = [rank(pair, never) for pair in zip(ids, ids[1:], strict=False)]
+            while ranks and (best := min(ranks)) < never:
+                i = ranks.index(best)
+                ids[i : i + 2] = [product[best]]
+                del ranks[i]
+                if i < len(ranks):
+                    ranks[i] = rank((ids[i], ids[i + 1]), never)
+                if i:
+                    ranks[i - 1] = rank((ids[i - 1], ids[i]), never)
             return ids
+        merges = self.merges
         after, before = [*range(1, len(ids)), -1], [*range(-1, len(ids) - 1)]
         heap = [(*merges[pair], i, *pair) for i, pair in enumerate(zip(ids, ids[1:], strict=False)) if pair in merges]
         heap = [(rank, i, a, b, new) for rank, new, i, a, b in heap]
