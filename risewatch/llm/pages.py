@@ -157,14 +157,15 @@ def parse(page: str | None) -> tuple[list[tuple[str, list[int], bool]], list[int
 
 def _parse_batch(batch: pa.RecordBatch) -> pa.RecordBatch:
     pack = zstandard.ZstdCompressor(level=3).compress
-    hashes, packed = [], []
+    hashes, packed, over = [], [], []
     for page in batch.column(4).to_pylist():
         blocks, found = parse(page)
         if any(c for _, _, c in blocks):  # an article or main element: the text is what is in it
             blocks = [x for x in blocks if x[2]]
         hashes.append(found)
+        over.append(sorted({h for _, around, _ in blocks for h in around}))
         packed.append(pack(json.dumps([(t, around) for t, around, _ in blocks]).encode()))
-    return pa.record_batch([*batch.columns[:4], pa.array(hashes, pa.list_(pa.int64())), pa.array(packed, pa.binary())], names=["row", "page_id", "url", "host", "hashes", "packed"])
+    return pa.record_batch([*batch.columns[:4], pa.array(hashes, pa.list_(pa.int64())), pa.array(over, pa.list_(pa.int64())), pa.array(packed, pa.binary())], names=["row", "page_id", "url", "host", "hashes", "over", "packed"])
 
 
 def _text_batch(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -187,10 +188,11 @@ def main_text(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = M
     """page_id, url, text, n_chars of every page."""
     rows = with_row(pages.select(F.col("page_id"), F.col("url"), host_of(F.col("url")).alias("host"), F.col("html"))).select("row", "page_id", "url", "host", "html")
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields[:4])
-    parsed = settle(map_batches(rows, _parse_batch, f"{kinds}, hashes array<long>, packed binary"))
+    parsed = settle(map_batches(rows, _parse_batch, f"{kinds}, hashes array<long>, over array<long>, packed binary"))
     template = template_subtrees(parsed, min_pages, min_share)
-    on_page = parsed.select("row", "host", F.explode("hashes").alias("hash")).join(template.select("host", "hash"), ["host", "hash"], "left_semi")
-    removed = on_page.groupBy("row").agg(F.collect_list("hash").alias("removed"))  # at most a page's own subtrees
+    # only subtrees over text that would be kept matter; stored, so that few of them need no shuffle of the pages
+    on_page = parsed.select("row", "host", F.explode("over").alias("hash")).join(template.select("host", "hash"), ["host", "hash"], "left_semi")
+    removed = settle(on_page.groupBy("row").agg(F.collect_list("hash").alias("removed")))  # at most a page's own subtrees
     joined = parsed.select("row", "page_id", "url", "packed").join(removed, "row", "left").select("page_id", "url", "packed", "removed")
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in joined.schema.fields[:2])
     return map_batches(joined, _text_batch, f"{kinds}, text string, n_chars long")
