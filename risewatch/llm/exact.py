@@ -97,9 +97,10 @@ def _compare_batch(batch: pa.RecordBatch) -> pa.RecordBatch:
     return pa.record_batch([batch.column(0), batch.column(1)], names=["row", "other"]).filter(differs)
 
 
-def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """row, doc_id, keep_row, keep_id, group_size, kept, text_sha256 of every row; row as with_row numbers docs."""
-    rows = with_row(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))).select("row", "doc_id", "text")
+def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", row_col: str | None = None) -> DataFrame:
+    """row, doc_id, keep_row, keep_id, group_size, kept, text_sha256 of every row; row is row_col, or a number given here."""
+    key = row_col or "_row"
+    rows = (docs if row_col else with_row(docs, key)).select(F.col(key).alias("row"), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     prints = settle(map_batches(rows, _print_batch, "row long, doc_id long, points long, length long, print long, sha string, packed binary"))
 
     shared = prints.groupBy("length", "print").agg(F.count("*").alias("n"), F.min("row").alias("first")).where("n > 1")
@@ -118,4 +119,4 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def exact_deduplicated(docs: DataFrame) -> DataFrame:
     """docs without the rows that are copies of the row that stays."""
-    return without_rows(docs, exact_groups(docs).where("not kept").select("row"))
+    return without_rows(docs, lambda stored, key: exact_groups(stored, row_col=key).where("not kept").select("row"))

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from risewatch.llm.shared import settle, with_row
+from risewatch.llm.shared import numbered, settle
 
 SHARD_ROWS = 4096
 QUERY_BLOCK = 512
@@ -152,7 +152,8 @@ class Graph:
 
 def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     """row, id, vector array<double>, dim of the vectors that take part."""
-    rows = with_row(vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("vector"))).where("vector is not null and size(vector) > 0")
+    stored = numbered(vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("vector")))
+    rows = stored.withColumn("vector", F.col("vector").cast("array<double>")).where("vector is not null and size(vector) > 0")
     finite = F.forall("vector", lambda x: F.coalesce(~F.isnan(x) & (F.abs(x) < float("inf")), F.lit(False)))
     return rows.where(finite).where(F.exists("vector", lambda x: x != 0)).select("row", "id", "vector", F.size("vector").alias("dim"))
 

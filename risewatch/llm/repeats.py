@@ -16,7 +16,7 @@ length only positions that are not unique go on.
 
 Names are 64-bit hashes, not dense ranks, so that no global order is needed; surroundings are compared by name and
 surroundings (128 bits), windows by 96 bits. Texts move twice, compressed; positions move only as anchors and windows. The
-documents are read several times instead of being stored: rows are numbered by with_row, so give a stored table.
+numbered rows are stored once, and every later read takes their numbers from there.
 
 Defined cases: null counts as empty; texts shorter than the length lose nothing; a text may repeat itself, overlapping
 occurrences included; repeated rows are each other's copies and lose everything covered; other columns play no part.
@@ -33,7 +33,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from risewatch.llm.shared import SLICE, map_batches, settle, with_row
+from risewatch.llm.shared import SLICE, map_batches, numbered, settle
 
 LENGTH, SEED_LENGTH = 200, 64
 SPAN = LENGTH - SEED_LENGTH  # windows that hold an anchor start up to this far before it
@@ -315,7 +315,7 @@ def repeated_ranges(rows: DataFrame) -> DataFrame:
 
 def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every document."""
-    rows = with_row(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))).select("row", "doc_id", "text")
+    rows = numbered(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))).select("row", "doc_id", "text")
     ranges = repeated_ranges(rows).groupBy("row").agg(F.collect_list(F.struct("a", "b")).alias("ranges"))
     joined = map_batches(rows, _pack_batch, "row long, doc_id long, packed binary").join(ranges, "row", "left").select("row", "doc_id", "packed", "ranges")
     return map_batches(joined, _cut_batch, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")

@@ -24,32 +24,39 @@ def scratch_root(spark: SparkSession) -> str:
     return root or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
 
 
-def settle(df: DataFrame) -> DataFrame:
+def settle(df: DataFrame, codec: str = "snappy") -> DataFrame:
     """The same rows, written once to the shared folder and read back: cuts the lineage and survives lost executors.
 
     The folder is deleted when the driver's JVM ends.
     """
     spark = df.sparkSession
     path = f"{scratch_root(spark)}/risewatch-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", codec).parquet(path)
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
     hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
     return spark.read.schema(df.schema).parquet(path)
 
 
 def with_row(docs: DataFrame, name: str = "row") -> DataFrame:
-    """Adds a row number that stays the same however often a stored table is read in a session (scan splits are fixed)."""
+    """Adds a row number for a single read: splits, and so the numbers, follow the executors alive when a read is planned."""
     return docs.withColumn(name, F.monotonically_increasing_id())
 
 
-def without_rows(docs: DataFrame, dropped: DataFrame) -> DataFrame:
-    """docs without the numbered rows in `dropped` (column row), with the columns of docs.
+def numbered(docs: DataFrame, name: str = "row") -> DataFrame:
+    """docs with a row number, written once: every later read finds the same numbers, whatever its splits are."""
+    return settle(with_row(docs, name), "zstd")
 
-    Texts are shuffled only if the planner finds `dropped` too large to send to every task.
+
+def without_rows(docs: DataFrame, dropped: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
+    """docs without the rows whose numbers dropped(stored docs, name of their number) gives as column row, with docs' columns.
+
+    Both see the same stored numbers. Texts are shuffled only if the planner finds the dropped rows too many to send to
+    every task.
     """
     key = "_row_" + uuid.uuid4().hex[:8]
-    gone = dropped.select(F.col("row").alias(key))
-    return with_row(docs, key).join(gone, key, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    stored = numbered(docs, key)
+    gone = dropped(stored, key).select(F.col("row").alias(key))
+    return stored.join(gone, key, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def map_batches(df: DataFrame, each: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str) -> DataFrame:

@@ -68,9 +68,10 @@ def _print_batch(batch: pa.RecordBatch) -> pa.RecordBatch:
     return pa.record_batch([batch.column(0), batch.column(1), pa.array(prints)], names=["row", "doc_id", "print"])
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """row, doc_id, print (the unsigned fingerprint's bits as a long)."""
-    rows = with_row(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))).select("row", "doc_id", "text")
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", row_col: str | None = None) -> DataFrame:
+    """row (row_col, or a number given here), doc_id, print (the unsigned fingerprint's bits as a long)."""
+    key = row_col or "_row"
+    rows = (docs if row_col else with_row(docs, key)).select(F.col(key).alias("row"), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     return map_batches(rows, _print_batch, "row long, doc_id long, print long")
 
 
@@ -164,4 +165,4 @@ def near_groups(docs: DataFrame, **columns: str) -> DataFrame:
 
 def near_deduplicated(docs: DataFrame) -> DataFrame:
     """docs with one row of each component: the one with the smallest id."""
-    return without_rows(docs, near_groups(docs).where("row <> keep_row").select("row"))
+    return without_rows(docs, lambda stored, key: near_groups(stored, row_col=key).where("row <> keep_row").select("row"))
