@@ -1,9 +1,11 @@
 """Main text of web pages with site template removal.
 
-Pass 1 parses each page (in tasks) and hashes every element's subtree outside the article. Spark counts in how many pages
-of a host a subtree occurs; subtrees that recur across many pages of the host are its template. Pass 2 deletes them, and
-what is by its nature no main text (menus, forms, adverts, comments, ...), and joins the remaining blocks. Elements inside
-an article or main element are content and are never template, so an article that a site shows on many pages stays whole.
+Pass 1 parses each page (in tasks) and hashes the subtree of every element that holds text. Spark counts in how many pages
+of a host a subtree occurs, and with how many different rests: the other text of the innermost article or main element
+around it, or of the page. Subtrees that recur across many pages with many rests are the host's template, inside articles
+as outside. Pass 2 deletes them, and what is by its nature no main text (menus, forms, adverts, comments, ...), and joins
+the remaining blocks. An article that a site shows on many pages stays whole: within it the rest of each part is the same
+on all of them, and what holds an article or main element counts only on pages whose rest is longer (a teaser).
 
 Between the passes the blocks travel compressed, without markup; a host's pages are never gathered.
 
@@ -15,6 +17,7 @@ give equal texts; other columns play no part.
 from __future__ import annotations
 
 import html as references
+import itertools
 import json
 import re
 
@@ -51,10 +54,14 @@ _NO_WORD = frozenset(
 
 
 class _Node:
-    __slots__ = ("content", "hidden", "parts", "tag")
+    __slots__ = ("blocks", "content", "digest", "hidden", "holds", "parts", "scope", "tag")
 
-    def __init__(self, tag: str, hidden: bool, content: bool) -> None:
+    def __init__(self, tag: str, hidden: bool, content: bool, scope: _Node | None = None) -> None:
         self.tag, self.hidden, self.content, self.parts = tag, hidden, content, xxhash.xxh64(tag)
+        #: the innermost article or main element around this one (or the page); whether this one is or holds such an element
+        self.scope, self.holds, self.digest = scope, False, 0
+        #: numbers of the first block inside and of the first after it
+        self.blocks = (0, 0)
 
 
 def _is_hidden(tag: str, attributes: str, in_content: bool) -> bool:
@@ -71,13 +78,15 @@ def _is_hidden(tag: str, attributes: str, in_content: bool) -> bool:
     return False
 
 
-def parse(page: str | None) -> tuple[list[tuple[str, list[int], bool]], list[int]]:
-    """Blocks (text, hashes of the subtrees around it outside content, whether in content) and all subtree hashes outside content."""
+def parse(page: str | None) -> tuple[list[tuple[str, list[int], bool]], list[tuple[int, int]]]:
+    """Blocks (text, hashes of the subtrees around it, whether in content), and hash and rest of the subtrees over blocks.
+
+    A subtree's rest is a hash of the other blocks in its scope; subtrees that cannot be template on this page have none.
+    """
     page = page or ""
     stack = [_Node("", False, False)]
     #: open blocks hold references to nodes; hashes are filled in when the nodes close
     blocks: list[tuple[str, list[_Node], bool]] = []
-    closed: dict[int, int] = {}
     held: list[str] = []
 
     def flush() -> None:
@@ -92,11 +101,12 @@ def parse(page: str | None) -> tuple[list[tuple[str, list[int], bool]], list[int
             if stack[-1].tag in _BLOCK:
                 flush()
             node = stack.pop()
-            digest = node.parts.intdigest() - (1 << 63)
-            stack[-1].parts.update(digest.to_bytes(8, "little", signed=True))
-            if not node.content and node.tag not in ("html", "body"):
-                closed[id(node)] = digest
-                kept.append(node)
+            node.digest = node.parts.intdigest() - (1 << 63)
+            stack[-1].parts.update(node.digest.to_bytes(8, "little", signed=True))
+            stack[-1].holds |= node.holds
+            node.blocks = (node.blocks[0], len(blocks))
+            if node.tag not in ("html", "body") and node.blocks[0] < node.blocks[1]:
+                closed.append(node)
 
     def text(part: str) -> None:
         if part:
@@ -104,7 +114,7 @@ def parse(page: str | None) -> tuple[list[tuple[str, list[int], bool]], list[int
             if not stack[-1].hidden:
                 held.append(references.unescape(part))
 
-    kept: list[_Node] = []  # keeps nodes alive so that their ids stay their own
+    closed: list[_Node] = []
     at, end = 0, len(page)
     while at < end:
         m = _TOKEN.search(page, at)
@@ -144,7 +154,11 @@ def parse(page: str | None) -> tuple[list[tuple[str, list[int], bool]], list[int
                 held.append(" ")
             continue
         content = top.content or name in ("article", "main") and not top.hidden
-        stack.append(_Node(name, top.hidden or _is_hidden(name, m[3], top.content), content))
+        is_content = name in ("article", "main")
+        scope = top if top is stack[0] or top.tag in ("article", "main") and not top.hidden else top.scope
+        stack.append(_Node(name, top.hidden or _is_hidden(name, m[3], top.content), content, scope))
+        stack[-1].holds = is_content and not stack[-1].hidden
+        stack[-1].blocks = (len(blocks), 0)
         if name in _RAW:
             stop = re.compile(f"</{re.escape(name)}\\s*>", re.I).search(page, at)
             stack[-1].parts.update(page[at : stop.start() if stop else end])
@@ -152,48 +166,62 @@ def parse(page: str | None) -> tuple[list[tuple[str, list[int], bool]], list[int
             close(len(stack) - 1)
     close(1)
     flush()
-    return [(t, [closed[id(n)] for n in around if id(n) in closed], c) for t, around, c in blocks], sorted(set(closed.values()))
+    stack[0].blocks = (0, len(blocks))
+    sums = [0, *itertools.accumulate(xxhash.xxh64_intdigest(t) for t, _, _ in blocks)]
+    lengths = [0, *itertools.accumulate(len(t) for t, _, _ in blocks)]
+    rests: dict[int, int] = {}
+    counted: set[int] = set()
+    for node in closed:
+        (a, b), (first, last) = node.blocks, node.scope.blocks
+        if not node.holds or lengths[last] - lengths[first] > 2 * (lengths[b] - lengths[a]):
+            counted.add(id(node))
+            rests.setdefault(node.digest, ((sums[last] - sums[first] - sums[b] + sums[a]) & (1 << 64) - 1) - (1 << 63))
+    return [(t, [n.digest for n in around if id(n) in counted], c) for t, around, c in blocks], sorted(rests.items())
 
 
 def _parse_batch(batch: pa.RecordBatch) -> pa.RecordBatch:
     pack = zstandard.ZstdCompressor(level=3).compress
-    hashes, packed, over = [], [], []
+    hashes, rests, packed = [], [], []
     for page in batch.column(4).to_pylist():
         blocks, found = parse(page)
-        if any(c for _, _, c in blocks):  # an article or main element: the text is what is in it
-            blocks = [x for x in blocks if x[2]]
-        hashes.append(found)
-        over.append(sorted({h for _, around, _ in blocks for h in around}))
-        packed.append(pack(json.dumps([(t, around) for t, around, _ in blocks]).encode()))
-    return pa.record_batch([*batch.columns[:4], pa.array(hashes, pa.list_(pa.int64())), pa.array(over, pa.list_(pa.int64())), pa.array(packed, pa.binary())], names=["row", "page_id", "url", "host", "hashes", "over", "packed"])
+        number = {h: i for i, (h, _) in enumerate(found)}
+        hashes.append([h for h, _ in found])
+        rests.append([x for _, x in found])
+        packed.append(pack(json.dumps([(t, [number[h] for h in around]) for t, around, _ in blocks]).encode()))
+    longs = pa.list_(pa.int64())
+    return pa.record_batch([*batch.columns[:4], pa.array(hashes, longs), pa.array(rests, longs), pa.array(packed, pa.binary())], names=["row", "page_id", "url", "host", "hashes", "rests", "packed"])
 
 
 def _text_batch(batch: pa.RecordBatch) -> pa.RecordBatch:
     unpack = zstandard.ZstdDecompressor().decompress
     texts = []
-    for packed, removed in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
+    for packed, hashes, removed in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), batch.column(4).to_pylist(), strict=True):
         gone = set(removed or ())
+        gone = {i for i, h in enumerate(hashes) if h in gone}
         texts.append("\n\n".join(t for t, around in json.loads(unpack(packed)) if gone.isdisjoint(around)))
     return pa.record_batch([batch.column(0), batch.column(1), pa.array(texts), pa.array([len(x) for x in texts], pa.int64())], names=["page_id", "url", "text", "n_chars"])
 
 
-def template_subtrees(parsed: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
-    """host, hash, pages of the subtrees that recur across the pages of a host; parsed has host and hashes (distinct per page)."""
+def recurring(parsed: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
+    """row, hash of the subtrees that recur across the pages of a host with different rests; parsed has row, host, hashes (distinct per page), rests."""
     sizes = parsed.groupBy("host").agg(F.count("*").alias("host_pages"))
     counts = parsed.select("host", F.explode("hashes").alias("hash")).groupBy("host", "hash").agg(F.count("*").alias("pages")).where(F.col("pages") >= min_pages)
-    return counts.join(sizes, "host").where(F.col("pages") >= F.col("host_pages") * min_share).select("host", "hash", "pages")
+    often = settle(counts.join(sizes, "host").where(F.col("pages") >= F.col("host_pages") * min_share).select("host", "hash"))
+    each = parsed.select("row", "host", F.explode(F.arrays_zip("hashes", "rests")).alias("x")).select("row", "host", F.col("x.hashes").alias("hash"), F.col("x.rests").alias("rest"))
+    found = settle(each.join(often, ["host", "hash"], "left_semi"))
+    template = found.select("host", "hash", "rest").distinct().groupBy("host", "hash").agg(F.count("*").alias("rests")).where(F.col("rests") >= min_pages)
+    return found.join(settle(template.select("host", "hash")), ["host", "hash"], "left_semi").select("row", "hash")
 
 
 def main_text(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
     """page_id, url, text, n_chars of every page."""
     rows = with_row(pages.select(F.col("page_id"), F.col("url"), host_of(F.col("url")).alias("host"), F.col("html"))).select("row", "page_id", "url", "host", "html")
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields[:4])
-    parsed = settle(map_batches(rows, _parse_batch, f"{kinds}, hashes array<long>, over array<long>, packed binary"))
-    template = template_subtrees(parsed, min_pages, min_share)
-    # only subtrees over text that would be kept matter; stored, so that few of them need no shuffle of the pages
-    on_page = parsed.select("row", "host", F.explode("over").alias("hash")).join(template.select("host", "hash"), ["host", "hash"], "left_semi")
+    parsed = settle(map_batches(rows, _parse_batch, f"{kinds}, hashes array<long>, rests array<long>, packed binary"))
+    # only subtrees over text that would be kept are counted; stored, so that few of them need no shuffle of the pages
+    on_page = recurring(parsed, min_pages, min_share)
     removed = settle(on_page.groupBy("row").agg(F.collect_list("hash").alias("removed")))  # at most a page's own subtrees
-    joined = parsed.select("row", "page_id", "url", "packed").join(removed, "row", "left").select("page_id", "url", "packed", "removed")
+    joined = parsed.select("row", "page_id", "url", "packed", "hashes").join(removed, "row", "left").select("page_id", "url", "packed", "hashes", "removed")
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in joined.schema.fields[:2])
     return map_batches(joined, _text_batch, f"{kinds}, text string, n_chars long")
 
