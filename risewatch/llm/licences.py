@@ -6,19 +6,24 @@ licences. The threshold for a family is calibrated on held-out rows: the lowest
 at least as often right as asked. A prediction is confirmed if the paragraph shares enough of its word bigrams with a
 template of the family.
 
-A paragraph (line) is scored if it has a licence stem; all families' texts have one, and without any the class is unknown
-by definition. Training is bounded by the templates and SAMPLE corpus paragraphs; scoring covers every paragraph.
-
-Defined cases: null and empty texts have no paragraphs; a paragraph without a family is reported as unknown; repeated rows
+Every paragraph (line) is scored, and for every line break the last words before it with the first ones after it, up to a
+blank line; both are as long as the longest template, so a wrapped notice stands whole in the window of its first break. A
+window is reported under its first line where it holds more of a template than the lines and windows beside it. Texts that
+the model cannot accept are left out before: the filter's words come from its weights (see needed_words).
+Training is bounded by the templates and SAMPLE corpus paragraphs; scoring covers every paragraph.
+
+Defined cases: null and empty texts have no paragraphs; a paragraph without a family is reported as unknown if it has
+a licence stem; words are parted at hyphens; repeated rows
 give repeated results; ties between families go to the first in order; other columns play no part.
 """
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import HashingTF
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from risewatch.llm.shared import settle
@@ -100,7 +105,7 @@ def _literal_rows(spark: SparkSession, rows: list[tuple[str, str]]) -> DataFrame
 
 
 def _words(text: Column) -> Column:
-    return F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}+.-]+"), lambda w: w != "")
+    return F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}+.]+"), lambda w: w != "")
 
 
 def _clean(words: Column) -> Column:
@@ -120,10 +125,24 @@ def has_stem(text: Column) -> Column:
     return found
 
 
-def paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, paragraph (number of the line), text of every paragraph with a licence stem."""
-    lines = docs.where(has_stem(F.col(text_col))).select(F.col(id_col).alias("doc_id"), F.posexplode(F.split(F.col(text_col), "\n")).alias("paragraph", "text"))
-    return lines.where(has_stem(F.col("text")))
+def paragraphs(docs: DataFrame, span: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """row, doc_id, paragraph (number of the line), wrapped, words, stem of every line with words, and of every line break.
+
+    wrapped: the last `span` words of the line and as many after it, up to a line without words.
+    """
+    texts = docs.where(F.col(text_col).isNotNull()).select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc_id"), F.split(F.col(text_col), "\n").alias("lines"))
+    texts = texts.withColumn("words", F.transform("lines", lambda x: _clean(_words(x))))
+    texts = texts.withColumn("heads", F.transform("words", lambda w: F.slice(w, 1, span)))
+    lines = texts.select("row", "doc_id", "heads", "lines", F.posexplode("words").alias("paragraph", "words")).where(F.size("words") > 0)
+    after = F.slice("heads", F.col("paragraph") + 2, span)
+    blank = F.array_position(F.transform(after, lambda w: F.size(w) == 0), True).cast("int")
+    after = F.slice(F.flatten(F.when(blank > 0, F.slice(after, 1, F.greatest(blank - 1, F.lit(0)))).otherwise(after)), 1, span)
+    before = F.slice("words", F.greatest(F.size("words") - (span - 1), F.lit(1)), span)
+    both = F.array(
+        F.struct(F.lit(False).alias("wrapped"), F.col("words").alias("words"), has_stem(F.element_at("lines", F.col("paragraph") + 1)).alias("stem")),
+        F.struct(F.lit(True).alias("wrapped"), F.when(F.size(after) > 0, F.concat(before, after)).otherwise(F.array().cast("array<string>")).alias("words"), F.lit(False).alias("stem")),
+    )
+    return lines.select("row", "doc_id", "paragraph", F.explode(both).alias("x")).select("row", "doc_id", "paragraph", "x.*").where(F.size("words") > 0)
 
 
 def training_rows(spark: SparkSession, docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -175,8 +194,38 @@ class LicenceModel:
         rows = _features(rows, self.grams)
         train = settle(rows.where("fold <> 0").select("label", "features"))
         self.model: LogisticRegressionModel = LogisticRegression(regParam=1e-3, maxIter=60, family="multinomial").fit(train)
+        self.needed = self.needed_words()
+        self.span = max(len(w) for w in self._template_words(spark))
         self.threshold, self.accuracy = self._calibrate(rows.where("fold = 0").select("label", "features"))
 
+    @staticmethod
+    def _template_words(spark: SparkSession) -> list[list[str]]:
+        rows = _literal_rows(spark, [(f, t) for f, all_of in TEMPLATES.items() for t in all_of])
+        return [r["words"] for r in rows.select(_clean(_words(F.col("text"))).alias("words")).collect()]
+
+    def needed_words(self) -> list[str]:
+        """Words of which every text that the model gives a family has at least one.
+
+        Without them the sum of all positive differences between the family's and the unknown class's weights, over the
+        n-grams that are left, stays below zero for each family. Words that few families share are taken first.
+        """
+        tf = HashingTF(numFeatures=BINS, binary=True)
+        at = [tf.indexOf(g) for g in self.grams]
+        weights, start = self.model.coefficientMatrix.toArray()[:, at], self.model.interceptVector.toArray()
+        unknown = self.families.index(UNKNOWN)
+        gains = np.delete(np.maximum(weights - weights[unknown], 0), unknown, axis=0)
+        start = np.delete(start - start[unknown], unknown)
+        parts = [set(g.split(" ")) for g in self.grams]
+        shared = {w: sum(any(w in pair.split(" ") for pairs in all_of for pair in pairs) for all_of in self.templates.values()) for w in set().union(*parts)}
+        left, needed = np.ones(len(parts), bool), []
+        while (over := start + gains[:, left].sum(axis=1) + 1e-6 >= 0).any():
+            value = {w: sum(gains[over, i].sum() for i in np.flatnonzero(left) if w in parts[i]) / (1 + shared[w] ** 2) for w in shared if w not in needed}
+            if not value or max(value.values()) <= 0:
+                return []  # the intercept alone is enough: everything is scored
+            needed.append(max(sorted(value), key=value.get))
+            left &= np.array([needed[-1] not in x for x in parts])
+        return needed
+
     def _scored(self, rows: DataFrame) -> DataFrame:
         p = vector_to_array("probability")
         out = self.model.transform(rows).withColumn("p", p).withColumn("best", F.array_max("p"))
@@ -199,11 +248,13 @@ class LicenceModel:
         return min(threshold, 0.95), sum(r["all_right"] for r in steps.values()) / max(1, sum(r["all"] for r in steps.values()))
 
     def scan(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-        """doc_id, paragraph, family, probability, similarity, confirmed of every paragraph with a licence stem.
+        """doc_id, paragraph, family, probability, similarity, confirmed of every paragraph with a family or a licence stem.
 
         similarity: the largest share of a template's word bigrams (of the predicted family) that the paragraph holds.
         """
-        found = paragraphs(docs, id_col, text_col).withColumn("words", _clean(_words(F.col("text"))))
+        found = paragraphs(docs, self.span, id_col, text_col)
+        if self.needed:
+            found = found.where(F.col("stem") | F.arrays_overlap("words", F.array(*map(F.lit, self.needed))))
         found = self._scored(_features(found, self.grams))
         pairs = _grams(F.col("words"), 2)
         shares = F.lit(None).cast("double")
@@ -211,6 +262,14 @@ class LicenceModel:
             best = F.greatest(F.lit(0.0), *[F.size(F.array_intersect(pairs, F.array(*map(F.lit, t)))) / F.lit(float(len(t))) for t in all_of])
             shares = F.when(F.col("guess") == family, best).otherwise(shares)
         sure = (F.col("guess") != UNKNOWN) & (F.col("best") >= self.threshold)
-        return found.select("doc_id", "paragraph", F.when(sure, F.col("guess")).otherwise(F.lit(UNKNOWN)).alias("family"), F.col("best").alias("probability"), F.coalesce(shares, F.lit(0.0)).alias("similarity")).withColumn(
-            "confirmed", (F.col("family") != UNKNOWN) & (F.col("similarity") >= CONFIRM)
-        )
+        found = found.where(sure | F.col("stem")).select("row", "doc_id", "paragraph", "wrapped", F.when(sure, F.col("guess")).otherwise(F.lit(UNKNOWN)).alias("family"), F.col("best").alias("probability"), F.coalesce(shares, F.lit(0.0)).alias("similarity"))
+        # a window counts where it holds more than its line and what begins later, and no less than what begins earlier
+        whole = F.when(F.col("family") != UNKNOWN, F.col("similarity")).otherwise(F.lit(0.0))
+        lines = Window.partitionBy("row").orderBy("paragraph")
+        window, line = F.when(F.col("wrapped"), whole), F.when(~F.col("wrapped"), whole)
+        later = F.greatest(F.coalesce(F.max(window).over(lines.rangeBetween(1, 1)), F.lit(0.0)), F.coalesce(F.max(line).over(lines.rangeBetween(0, self.span)), F.lit(0.0)))
+        earlier = F.coalesce(F.max(window).over(lines.rangeBetween(-1, -1)), F.lit(0.0))
+        found = found.withColumn("stands", F.col("wrapped") & (whole > later) & (whole >= earlier))
+        taken = F.max("stands").over(Window.partitionBy("row", "paragraph"))
+        found = found.withColumn("taken", taken).where(F.col("stands") | ~F.col("wrapped") & ~F.col("taken"))
+        return found.select("doc_id", "paragraph", "family", "probability", "similarity").withColumn("confirmed", (F.col("family") != UNKNOWN) & (F.col("similarity") >= CONFIRM))
