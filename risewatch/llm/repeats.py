@@ -1,4 +1,4 @@
-"""Removal of repeated passages by distributed prefix doubling over a sparse suffix array.
+"""Removal of repeated passages by hashes of windows at anchors (winnowing), in place of distributed prefix doubling.
 
 A rank ("name") of the string of length 2k at a position is made from the names of length k at the position and k further
 on. Within a text the names of length 1, 2, 4, ..., 64 are doubled in place; from there on Spark takes over, and at each
