@@ -1,8 +1,8 @@
 """Exact de-duplication with composable polynomial fingerprints.
 
 A text without white space, as bytes, is a number in base R modulo two primes. Chunks are hashed side by side, and two
-pieces combine by length-shifted arithmetic: H(ab) = H(a) * R ** len(b) + H(b), so that a huge text costs a chunk of
-memory. Texts of equal length and fingerprint are then compared with one of them chunk by chunk; whatever differs forms
+pieces combine by length-shifted arithmetic: H(ab) = H(a) * R ** len(b) + H(b). Each text is
+still hashed whole by one task, which holds its bytes and its packed copy: chunks of a huge text are not dealt to tasks. Texts of equal length and fingerprint are then compared with one of them chunk by chunk; whatever differs forms
 groups of its own by its SHA-256, so a collision never joins texts.
 
 Defined cases: null counts as the empty text; empty texts are equal to each other; of equal texts the row with the most
