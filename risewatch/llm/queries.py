@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from risewatch.llm import bpe, exact, hnsw, langid, licences, mixing, pages, repeats, sharding, simhash
+from risewatch.llm import bpe, divergence, exact, hnsw, langid, licences, minhash, mixing, pages, repeats, sharding, simhash, variants
 from risewatch.llm.shared import table
 
 
@@ -65,6 +65,18 @@ def op10_hnsw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hnsw.nearest(table(spark, sf_dir, "embeddings"), "id % 50 = 0")
 
 
+def op11_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_groups(table(spark, sf_dir, "documents"))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.variants(table(spark, sf_dir, "documents"))
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_mixing": op2_mixing,
@@ -76,6 +88,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_simhash": op8_simhash,
     "op9_repeated_passages": op9_repeated_passages,
     "op10_hnsw": op10_hnsw,
+    "op11_minhash": op11_minhash,
+    "op12_spelling_variants": op12_spelling_variants,
+    "op13_source_divergence": op13_source_divergence,
 }
 #: The other operators have no SQL form (hashes, models, graphs, tokens): tests compare them with brute force.
 ORACLE: dict[str, str] = {
@@ -87,4 +102,39 @@ ORACLE: dict[str, str] = {
         SELECT doc_id, first_value(doc_id) OVER best AS keep_id, count(*) OVER (PARTITION BY k) AS group_size,
                doc_id = first_value(doc_id) OVER best AS kept, sha256(k) AS text_sha256
         FROM n WINDOW best AS (PARTITION BY k ORDER BY points DESC, doc_id)""",
+    "op13_source_divergence": r"""
+        WITH d AS (
+            SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text
+            FROM documents
+        ), t AS (
+            SELECT r, lang, source, translate(unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')),
+                                              'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term
+            FROM d
+        ), k AS (
+            SELECT lang, term, count(*) AS lang_n FROM t GROUP BY ALL HAVING count(DISTINCT r) >= 10
+        ), g AS (
+            SELECT DISTINCT lang, source FROM d
+        ), c AS (
+            SELECT lang, source, term, count(*) AS n FROM t SEMI JOIN k USING (lang, term) GROUP BY ALL
+        ), f AS (
+            SELECT lang, source, term, coalesce(n, 0)::HUGEINT AS n, lang_n::HUGEINT AS lang_n
+            FROM g JOIN k USING (lang) LEFT JOIN c USING (lang, source, term)
+        ), p AS (
+            SELECT lang, source, term, n, 1 + 1000000000 * (n + 2) // (sum(n) OVER w + 2 * count(*) OVER w) AS p,
+                   1 + 1000000000 * (lang_n + 2) // (sum(lang_n) OVER w + 2 * count(*) OVER w) AS q
+            FROM f WINDOW w AS (PARTITION BY lang, source)
+        ), a AS (
+            SELECT x.lang, x.source, y.source AS item, sum((x.p - y.p) * (x.p - y.p) // (x.p + y.p)) AS value
+            FROM p x JOIN p y ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source GROUP BY ALL
+        ), pairs AS (
+            SELECT x.lang, x.source, 'pair' AS part, y.source AS item, coalesce(a.value, 0)::BIGINT AS value
+            FROM g x JOIN g y ON x.lang = y.lang AND x.source <> y.source
+            LEFT JOIN a ON a.lang = x.lang AND a.source = x.source AND a.item = y.source
+        ), terms AS (
+            SELECT lang, source, 'term' AS part, term AS item, ((p - q) * (p - q) // (p + q))::BIGINT AS value FROM p WHERE n > 0 AND p > q
+        ), ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank
+            FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms)
+        )
+        SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 10""",
 }

@@ -70,6 +70,25 @@ def map_batches(df: DataFrame, each: Callable[[pa.RecordBatch], pa.RecordBatch],
     return df.mapInArrow(run, schema)
 
 
+#: A-Z in lower case, other ASCII but letters as blanks, bytes of other characters as they are.
+TERM_BYTES = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 97 <= b <= 122 else 32 for b in range(256))
+PIECE = 1 << 20
+
+
+def token_lists(data: bytes) -> Iterator[list[bytes]]:
+    """The terms of a text in UTF-8, a list for each piece of about PIECE bytes; pieces end between terms."""
+    low = data.translate(TERM_BYTES)
+    at = 0
+    while len(low) - at > PIECE:
+        end = low.rfind(b" ", at, at + PIECE)
+        end = end if end > at else low.find(b" ", at + PIECE)
+        if end < 0:
+            break
+        yield low[at:end].split()
+        at = end
+    yield low[at:].split()
+
+
 def running_total(df: DataFrame, order: Column, value: str, name: str) -> DataFrame:
     """Adds the sum of `value` over all rows before this one; for tables of bins or sources, not of documents."""
     before = Window.orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
