@@ -15,8 +15,8 @@ Defined cases: null and blank texts have empty sets and are linked with nothing;
 whole sequence is the one shingle; repeated rows have equal sets; null ids name a component only if it has no other; a row
 is kept if its id is the component's, null and null being equal; other columns play no part.
 
-Memory: a text and its set; a block of two times CHUNK signatures; a pair of sets. Texts are read again, not stored:
-only those of nodes in a pair that is to be confirmed.
+Memory: a text and its set; a block of two times CHUNK signatures; a pair of sets. Sets are made and stored only of nodes
+that share a bucket, one text for each.
 """
 
 from __future__ import annotations
@@ -37,10 +37,10 @@ BANDS, ROWS = 40, 5
 HASHES = BANDS * ROWS
 LEAST_EQUAL = int(HASHES * PERCENT / 100 - 8 * (HASHES * PERCENT * (100 - PERCENT)) ** 0.5 / 100)
 CHUNK = 1024
-BLOCK = 4096
+BLOCK = 256  # a block of hashes times shingles stays in a core's cache
 _RANDOM = np.random.default_rng(11)
-_TIMES = _RANDOM.integers(0, 1 << 63, HASHES, np.uint64) * np.uint64(2) + np.uint64(1)
-_PLUS = _RANDOM.integers(0, 1 << 63, HASHES, np.uint64) * np.uint64(2)
+_TIMES = _RANDOM.integers(0, 1 << 31, (HASHES, 1), np.uint32) * np.uint32(2) + np.uint32(1)
+_PLUS = _RANDOM.integers(0, 1 << 32, (HASHES, 1), np.uint32)
 
 
 def shingle_set(text: str | None) -> np.ndarray:
@@ -49,11 +49,16 @@ def shingle_set(text: str | None) -> np.ndarray:
 
 
 def signature(hashes: np.ndarray) -> np.ndarray:
-    least = np.full(HASHES, np.iinfo(np.uint64).max, np.uint64)
-    for at in range(0, len(hashes), BLOCK):
-        part = hashes[None, at : at + BLOCK] * _TIMES[:, None] + _PLUS[:, None]
-        np.minimum(least, part.min(axis=1), out=least)
-    return (least >> np.uint64(32)).astype("<u4")
+    keys = (hashes >> np.uint64(32)).astype(np.uint32)
+    least = np.full(HASHES, np.iinfo(np.uint32).max, np.uint32)
+    space = np.empty((HASHES, min(BLOCK, len(keys))), np.uint32)
+    for at in range(0, len(keys), BLOCK):
+        part = keys[at : at + BLOCK]
+        found = space[:, : len(part)]
+        np.multiply(_TIMES, part, out=found)
+        np.add(found, _PLUS, out=found)
+        np.minimum(least, found.min(axis=1), out=least)
+    return least.astype("<u2")
 
 
 def _sign_batch(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -74,7 +79,7 @@ def _set_batch(batch: pa.RecordBatch) -> pa.RecordBatch:
 def _band_batch(batch: pa.RecordBatch) -> pa.RecordBatch:
     """A row for each band: node, band, bucket (a hash of the band's number and values)."""
     nodes, bands, buckets = [], [], []
-    width = ROWS * 4
+    width = ROWS * 2
     for node, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
         nodes += [node] * BANDS
         bands += range(BANDS)
@@ -88,7 +93,7 @@ def _text_keys(text: Column) -> list[Column]:
 
 def _agree_batch(batch: pa.RecordBatch) -> pa.RecordBatch:
     """The pairs (a, b, one, two) whose signatures agree in LEAST_EQUAL places."""
-    one, two = (np.frombuffer(b"".join(batch.column(i).to_pylist()), "<u4").reshape(-1, HASHES) for i in (2, 3))
+    one, two = (np.frombuffer(b"".join(batch.column(i).to_pylist()), "<u2").reshape(-1, HASHES) for i in (2, 3))
     alike = (one == two).sum(axis=1) >= LEAST_EQUAL
     return batch.select(["a", "b"]).filter(pa.array(alike))
 
@@ -109,14 +114,17 @@ def _beside(pairs: DataFrame, nodes: DataFrame, value: str) -> DataFrame:
     return pairs.join(one, "a").join(two, "b").select("a", "b", "one", "two")
 
 
-def confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs (a, b) of nodes that are similar by their full sets, which come from the texts in docs (doc_id, text)."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    wanted = settle(nodes.join(wanted, "node").select("node", "first.*"))
+def set_table(nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    """node, hashes: the full sets of these nodes (node, first), from one of their texts in docs (doc_id, text)."""
+    wanted = nodes.select("node", "first.*")
     texts = docs.select("doc_id", "text", *_text_keys(F.col("text")))
     same = texts["doc_id"].eqNullSafe(wanted["id"]) & (texts["t1"] == wanted["t1"]) & (texts["t2"] == wanted["t2"])
     sets = map_batches(texts.join(wanted, same).select("node", "text"), _set_batch, "node long, hashes binary")
-    sets = settle(sets.groupBy("node").agg(F.first("hashes").alias("hashes")))  # repeated rows
+    return settle(sets.groupBy("node").agg(F.first("hashes").alias("hashes")))  # a node's row may be repeated
+
+
+def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b) of nodes that are similar by their full sets."""
     return settle(map_batches(_beside(pairs, sets, "hashes"), _confirm_batch, "a long, b long"))
 
 
@@ -126,7 +134,7 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def close() -> pa.RecordBatch:
         rows = np.array([(node, root, asks) for node, root, asks, _, _ in held], np.int64)
-        signs = np.frombuffer(b"".join(x[4] for x in held), "<u4").reshape(-1, HASHES)
+        signs = np.frombuffer(b"".join(x[4] for x in held), "<u2").reshape(-1, HASHES)
         band, asks = held[0][3], rows[:, 2]
         others = np.flatnonzero(asks != 1)  # 0: of the largest component, which never asks; 2: a stray as one that is asked
         one, two = [], []
@@ -185,17 +193,17 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     spread = settle(map_batches(nodes.select("node", "signature"), _band_batch, "node long, band int, bucket long"))
     sizes = spread.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
     members = settle(spread.join(sizes, "bucket"))
+    met = settle(nodes.join(members.select("node").distinct(), "node"))
     degrees = members.groupBy("node").agg(F.sum("n").alias("degree"))
     pivots = members.join(degrees, "node").groupBy("bucket").agg(F.max(F.struct(F.col("degree").alias("d"), (-F.col("node")).alias("node"))).alias("pivot"))
     pivots = settle(pivots.select("bucket", (-F.col("pivot.node")).alias("b")))
     pairs = members.join(pivots, "bucket").where("node <> b").select(F.col("node").alias("a"), "b").distinct()
-    pairs = settle(map_batches(_beside(pairs, nodes, "signature"), _agree_batch, "a long, b long"))
-    links = confirmed(pairs, nodes, docs)
-    roots = components(links)
-    more = settle(crossing(members, nodes, roots))
+    pairs = settle(map_batches(_beside(pairs, met, "signature"), _agree_batch, "a long, b long"))
+    sets = set_table(met, docs)
+    roots = components(confirmed(pairs, sets))
+    more = settle(crossing(members, met, roots))
     if not more.isEmpty():
-        links = confirmed(more, nodes, docs)
-        roots = components(roots.toDF("a", "b").union(links))
+        roots = components(roots.toDF("a", "b").union(confirmed(more, sets)))
 
     named = nodes.join(roots, "node", "left").select("digest", F.coalesce("root", "node").alias("root"), "first")
     best = named.groupBy("root").agg(F.min("first").alias("best"))
