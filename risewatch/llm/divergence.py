@@ -34,25 +34,23 @@ from pyspark.sql import functions as F
 from risewatch.llm.shared import SLICE, settle, token_lists
 
 MIN_DOCS, TOP = 10, 10
-HELD, BUFFER = 300_000, 100_000
+HELD, BUFFER = 500_000, 100_000
 BLOCK_TERMS, SOURCE_BLOCK = 512, 256
 UNIT = 1_000_000_000
 
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """lang, source, term, n, docs; a row without a term for every group, so that groups without terms are known too."""
+    """lang, source, term, n, docs"""
     held: dict[tuple[str, str], tuple[Counter, Counter]] = {}
 
     def out() -> Iterator[pa.RecordBatch]:
         for (lang, source), (times, docs) in held.items():
-            terms = [None, *times]
-            size = len(terms)
             columns = [
-                pa.array([lang] * size, pa.string()),
-                pa.array([source] * size, pa.string()),
-                pa.array(terms, pa.binary()).cast(pa.string()),
-                pa.array([0, *times.values()], pa.int64()),
-                pa.array([0, *(docs[t] for t in times)], pa.int64()),
+                pa.array([lang] * len(times), pa.string()),
+                pa.array([source] * len(times), pa.string()),
+                pa.array(times.keys(), pa.binary()).cast(pa.string()),
+                pa.array(times.values(), pa.int64()),
+                pa.array([docs[t] for t in times], pa.int64()),
             ]
             yield pa.record_batch(columns, names=["lang", "source", "term", "n", "docs"])
         held.clear()
@@ -73,11 +71,17 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from out()
 
 
-def term_counts(docs: DataFrame, lang_col: str = "lang", source_col: str = "source", text_col: str = "text") -> DataFrame:
-    """lang, source, term, n (occurrences), docs (documents with it) of every group; term null: the group itself."""
-    blank = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in (lang_col, source_col, text_col)]
-    found = docs.select(*blank).mapInArrow(_counts, "lang string, source string, term string, n long, docs long")
-    return found.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+def kept_terms(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
+    """lang, source, term, n (occurrences in the group), lang_n (in the language) of terms in min_docs documents (lang, source, text).
+
+    One shuffle, by language and term: the rows that a task has summed meet there, are added up by source and then over the
+    sources. A term's rows are at most the groups of each task, however frequent it is.
+    """
+    found = docs.mapInArrow(_counts, "lang string, source string, term string, n long, docs long").repartition("lang", "term")
+    sums = found.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+    whole = Window.partitionBy("lang", "term")
+    sums = sums.withColumn("lang_n", F.sum("n").over(whole)).withColumn("lang_docs", F.sum("docs").over(whole))
+    return sums.where(F.col("lang_docs") >= min_docs).select("lang", "source", "term", "n", "lang_n")
 
 
 def share(count: Column, total: Column, terms: Column) -> Column:
@@ -171,14 +175,16 @@ def _pair_sums(kept: DataFrame, groups: DataFrame) -> DataFrame:
 
 
 def audit(docs: DataFrame, min_docs: int = MIN_DOCS, top: int = TOP, **columns: str) -> DataFrame:
-    """lang, source, part, item, value, rank: for each group the distances to the other sources, and its top terms."""
-    counts = settle(term_counts(docs, **columns))
-    terms = counts.where("term is not null").groupBy("lang", "term").agg(F.sum("n").alias("lang_n"), F.sum("docs").alias("docs"))
-    terms = settle(terms.where(F.col("docs") >= min_docs).drop("docs"))
-    kept = settle(counts.join(terms, ["lang", "term"]).select("lang", "source", "term", "n", "lang_n"))
-    langs = terms.groupBy("lang").agg(F.count("*").alias("v"), F.sum("lang_n").alias("lang_total"))
+    """lang, source, part, item, value, rank: for each group the distances to the other sources, and its top terms.
+
+    columns: lang_col, source_col, text_col, if they have other names.
+    """
+    names = [columns.get(f"{c}_col", c) for c in ("lang", "source", "text")]
+    texts = docs.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(n) for c, n in zip(names, ("lang", "source", "text"), strict=True)])
+    kept = settle(kept_terms(texts, min_docs))
+    langs = kept.groupBy("lang", "term").agg(F.sum("n").alias("n")).groupBy("lang").agg(F.count("*").alias("v"), F.sum("n").alias("lang_total"))
     totals = kept.groupBy("lang", "source").agg(F.sum("n").alias("total"))
-    groups = counts.where("term is null").select("lang", "source").join(langs, "lang", "left").join(totals, ["lang", "source"], "left")
+    groups = texts.select("lang", "source").distinct().join(langs, "lang", "left").join(totals, ["lang", "source"], "left")
     groups = groups.fillna(0, ["v", "lang_total", "total"])
     places = Window.partitionBy("lang").orderBy("source")
     groups = groups.withColumn("number", F.row_number().over(places).cast("long") - 1).withColumn("sources", F.count("*").over(Window.partitionBy("lang")))
