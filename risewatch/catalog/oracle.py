@@ -503,9 +503,15 @@ SELECT state, table_name, 0 AS n_rows FROM names, (VALUES ('missing'), ('created
 UNION ALL SELECT 'filled', 'raw_stories', count(*) FROM stories
 UNION ALL SELECT 'filled', 'keyword_events', count(*) FROM matched""",
         "stream_ingest": f"WITH {PARSED} SELECT * FROM parsed",
+        "stream_distinct": f"WITH {PARSED} SELECT * FROM parsed",
         "stream_refresh": f"""WITH {PARSED},
 names(keyword) AS (VALUES ('click'), ('view'), ('signup'), ('purchase'), ('error')),
 matched AS (SELECT p.*, keyword FROM parsed p JOIN names ON regexp_matches(title, '\\b' || keyword || '\\b')),
 {_SCORED}, {_VELOCITY}
+SELECT {VELOCITY_COLUMNS} FROM velocity""",
+        "stream_state_refresh": f"""WITH {PARSED},
+names(keyword) AS (VALUES ('click'), ('view'), ('signup'), ('purchase'), ('error')),
+matched AS (SELECT p.*, keyword FROM parsed p JOIN names ON regexp_matches(title, '\\b' || keyword || '\\b')),
+{_SCORED}, {_VELOCITY}
 SELECT {VELOCITY_COLUMNS} FROM velocity""",
     }

@@ -71,7 +71,7 @@ from risewatch.sources.pages import (
 )
 from risewatch.sources.tables import Tables
 from risewatch.sources.windows import coverage_audit, page_audit, window_plan
-from risewatch.streaming.ingest import page_stream, start_stream
+from risewatch.streaming.ingest import page_stream, start_distinct_stream, start_mentions, start_stream
 from risewatch.taxonomy import DEFAULT, Taxonomy
 
 STORED_BEFORE = "1997-06-01"
@@ -583,19 +583,45 @@ def q_table_states(spark, sf):
 # --- streaming ---------------------------------------------------------------
 
 
-def _stream_tables(spark, sf, score: bool) -> Tables:
-    """Land every page twice, and some cut off, stream the files in, and return the tables."""
-    root = scratch(spark)
+def _landed_stream(spark, sf, root: str) -> DataFrame:
+    """Every page landed twice, and some cut off, as a stream of files."""
     pages = _page_texts(spark, sf)
     cut = pages.filter("page % 10 = 3").withColumn("value", F.expr("substring(value, 1, length(value) - 9)"))
     landed = pages.unionByName(pages).unionByName(cut).repartition(STREAM_FILES, "page")
     landed.select("value").write.text(f"{root}/pages")
+    return page_stream(spark, f"{root}/pages", multi_line=False, max_files=STREAM_FILES // 2)
+
+
+def _stream_tables(spark, sf, score: bool) -> Tables:
+    root = scratch(spark)
     tables = Tables(spark, f"{root}/tables")
-    stream = page_stream(spark, f"{root}/pages", multi_line=False, max_files=STREAM_FILES // 2)
+    stream = _landed_stream(spark, sf, root)
     start_stream(stream, tables, f"{root}/checkpoint", EVENT_TAXONOMY, score).awaitTermination()
     return tables
 
 
+def _distinct_stream_tables(spark, sf) -> tuple[Tables, str]:
+    root = scratch(spark)
+    tables = Tables(spark, f"{root}/tables")
+    for query in start_distinct_stream(_landed_stream(spark, sf, root), tables, f"{root}/checkpoint", EVENT_TAXONOMY):
+        query.awaitTermination()
+    return tables, root
+
+
+def q_stream_distinct(spark, sf):
+    """Copies of a story land in other files: the stream's state drops them."""
+    return _distinct_stream_tables(spark, sf)[0].read("raw_stories").select(*STORY_COLUMNS)
+
+
+def q_stream_state_refresh(spark, sf):
+    """Weekly mentions as the state of a stream over the stored stories."""
+    tables, root = _distinct_stream_tables(spark, sf)
+    start_mentions(tables, f"{root}/mentions", EVENT_TAXONOMY, max_files=STREAM_FILES).awaitTermination()
+    return tables.read("keyword_velocity").select(
+        "keyword", "iso_week", "velocity", "rolling_avg", "z_score", "is_trending", "is_crashing"
+    )
+
+
 def q_stream_rejects(spark, sf):
     return _stream_tables(spark, sf, score=False).rejects().groupBy("reason").agg(F.count("*").alias("n_hits"))
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from risewatch.functions.time import ntz, week_label
@@ -17,7 +17,7 @@ from risewatch.operators.rollup import only_weeks, rollup_mentions, weekly_menti
 from risewatch.operators.score import hype_scores
 from risewatch.operators.velocity import LOOKBACK, keyword_velocity
 from risewatch.sources.pages import high_water_mark, in_time_range
-from risewatch.sources.tables import Tables
+from risewatch.sources.tables import Tables, observed_rows
 from risewatch.taxonomy import DEFAULT, Taxonomy
 
 
@@ -97,10 +97,11 @@ def detect_new(
         stories = stories.join(ids, "story_id", "left_semi")
         events = events.join(ids, "story_id", "left_semi")
     left = unprocessed(stories, events)
-    return {
-        "stories_processed": left.count(),
-        "hits_written": tables.append("keyword_events", keyword_events(left, taxonomy)),
-    }
+    seen = Observation()  # counted by the tasks that detect, in the job that writes the events
+    observed = left.observe(seen, F.count("*").alias("n"))
+    written = tables.append("keyword_events", keyword_events(observed, taxonomy))
+    # with nothing to write, adaptive execution drops the counter with the plan
+    return {"stories_processed": observed_rows(seen) if written else left.count(), "hits_written": written}
 
 
 def rescore(tables: Tables, weeks: Sequence[str], later_weeks: bool = False) -> dict[str, int]:
@@ -112,10 +113,15 @@ def rescore(tables: Tables, weeks: Sequence[str], later_weeks: bool = False) ->
     after a given one.
     """
     weeks = sorted(weeks)
-    key = ["keyword", "iso_week"]
     fresh = weekly_mentions(
         tables.read("keyword_events", weeks=weeks), tables.read("raw_stories", weeks=weeks), weeks
     )
+    return store_mentions(tables, fresh, weeks, later_weeks)
+
+
+def store_mentions(tables: Tables, fresh: DataFrame, weeks: Sequence[str], later_weeks: bool = False) -> dict[str, int]:
+    """Upsert the rollup rows ``fresh`` of the given weeks, then score and re-flag these weeks."""
+    key = ["keyword", "iso_week"]
     stored = tables.read("weekly_mentions", weeks=weeks)
     merged = merge_replace(fresh, stored, key, keep=["hype_score"])
     counts = {

@@ -96,6 +96,7 @@ REJECTS = T.StructType(
         ),
         T.StructField("reason", T.StringType()),
         T.StructField("json", T.StringType()),
+        T.StructField("stream", T.StringType()),
         T.StructField("batch", T.LongType()),
     ]
 )

@@ -24,6 +24,7 @@ from pyspark.sql import types as T
 
 from risewatch.operators.keyed import first_per_key, not_yet_stored
 from risewatch.schemas import REJECTS, TABLES
+from risewatch.sources.ids import BUCKETS, StoredIds
 from risewatch.sources.pages import ARRIVAL
 
 WEEK, YEAR = "iso_week", "iso_year"
@@ -37,9 +38,10 @@ def years_of(weeks: Sequence[str]) -> list[str]:
 class Tables:
     """Access to the tables below ``root``; missing ones are created empty."""
 
-    def __init__(self, spark: SparkSession, root: str, create: bool = True):
+    def __init__(self, spark: SparkSession, root: str, create: bool = True, id_buckets: int = BUCKETS):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.ids = StoredIds(spark, self.root, buckets=id_buckets)
         if create:
             self.create_missing()
 
@@ -71,34 +73,47 @@ class Tables:
     def read(self, name: str, years: Sequence[str] | None = None, weeks: Sequence[str] | None = None) -> DataFrame:
         """The table, or its rows of some years or weeks; empty if it does not exist.
 
-        Both limits are partition filters: weeks of a table by year also name its
-        years.
+        Both limits name the folders that are read, so the folders of other weeks are
+        not even listed; weeks of a table by year also name its years.  They are
+        partition filters besides.
         """
         schema, _ = TABLES[name]
         stored = schema if name in WEEK_PARTITIONED else _with_year(schema)
-        if self.versions(name):
-            df = self.spark.read.schema(stored).parquet(self.path(name))
+        if weeks is not None and years is None:
+            years = years_of(weeks)
+        done = self.versions(name)
+        if done:
+            path = self.path(name, done[-1])
+            folders = self._folders(path, _partition(name), weeks if name in WEEK_PARTITIONED else years)
+            df = self.spark.read.schema(stored).option("basePath", path).parquet(*folders)
         else:
             df = self.spark.createDataFrame([], stored)
         if weeks is not None:
             df = df.filter(F.col(WEEK).isin(list(weeks)))
-            years = years_of(weeks) if years is None else years
         if years is not None and YEAR in df.columns:
             df = df.filter(F.col(YEAR).isin(list(years)))
         elif years is not None and weeks is None:
             df = df.filter(F.substring(WEEK, 1, 4).isin(list(years)))
         return df.drop(YEAR)
 
+    def _folders(self, path: str, partition: str, values: Sequence[str] | None) -> list[str]:
+        """The folders of these values, or the whole table's if no value is given or none has a folder."""
+        if values is None:
+            return [path]
+        named = [f"{path}/{partition}={value}" for value in sorted(set(values))]
+        there = [x for x in named if (found := self._folder(x))[1].exists(found[0])]
+        return there or [path]
+
     def rejects(self) -> DataFrame:
-        """(arrival, reason, json, batch) of everything the streams could not store."""
+        """(arrival, reason, json, stream, batch) of everything the streams could not store."""
         folder, fs = self._folder(f"{self.root}/rejects")
         if not fs.exists(folder):
             return self.spark.createDataFrame([], REJECTS)
         return self.spark.read.schema(REJECTS).parquet(f"{self.root}/rejects")
 
-    def write_rejects(self, rejected: DataFrame, batch: int) -> None:
-        """Keep what a batch could not store; a batch that is replayed replaces its own rows."""
-        rejected.write.mode("overwrite").parquet(f"{self.root}/rejects/batch={batch}")
+    def write_rejects(self, rejected: DataFrame, batch: int, stream: str = "none") -> None:
+        """Keep what a batch of a stream could not store; a batch that is replayed replaces its own rows."""
+        rejected.write.mode("overwrite").parquet(f"{self.root}/rejects/stream={stream}/batch={batch}")
 
     def row_count(self, name: str) -> int:
         return self.read(name).count()
@@ -147,14 +162,7 @@ class Tables:
             .partitionBy(_partition(name))
             .parquet(path)
         )
-        try:
-            return rows.get["n"]
-        except Py4JJavaError as error:
-            # adaptive execution removes the counter with the rest of an empty plan,
-            # and there is no row of counts to convert
-            if "PythonSQLUtils.toPyRow" not in str(error):
-                raise
-            return 0
+        return observed_rows(rows)
 
     def insert_stories(
         self,
@@ -171,14 +179,19 @@ class Tables:
         if order is None:
             order = (ARRIVAL,) if ARRIVAL in stories.columns else ("created_at",)
         stamp = F.current_timestamp().cast("timestamp_ntz") if fetched_at is None else fetched_at
-        new = first_per_key(stories, ["story_id"], [*order, *_tie_break(stories, order)])
-        new = not_yet_stored(new, self.read("raw_stories"), ["story_id"])
-        return self.append(
+        known = self.ids.begin(self.read("raw_stories"))
+        new = first_per_key(self.ids.dealt(stories), ["story_id"], [*order, *_tie_break(stories, order)])
+        new = not_yet_stored(new, known, ["story_id"])
+        written = self.append(
             "raw_stories",
             new.withColumn("score", F.coalesce("score", F.lit(0)))
             .withColumn("num_comments", F.coalesce("num_comments", F.lit(0)))
             .withColumn("fetched_at", stamp),
         )
+        if written:
+            self.ids.append(not_yet_stored(stories.select("story_id"), known, ["story_id"]))
+        self.ids.end()
+        return written
 
     def insert_terms(self, terms: DataFrame) -> int:
         """Append the emerging terms whose (term, week) is new; returns how many."""
@@ -189,6 +202,18 @@ class Tables:
         )
 
 
+def observed_rows(rows: Observation, name: str = "n") -> int:
+    """A count that a finished write has observed."""
+    try:
+        return rows.get[name]
+    except Py4JJavaError as error:
+        # adaptive execution removes the counter with the rest of an empty plan,
+        # and there is no row of counts to convert
+        if "PythonSQLUtils.toPyRow" not in str(error):
+            raise
+        return 0
+
+
 def _tie_break(df: DataFrame, order: Sequence[str | Column]) -> list[str]:
     named = {o for o in order if isinstance(o, str)}
     return [c for c in df.columns if c not in named and c != "story_id"]

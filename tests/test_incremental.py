@@ -1,0 +1,124 @@
+"""Work in proportion to the batch: bucketed ids, folders of the weeks only, stream state, rejects by stream."""
+
+import json
+
+from pyspark.sql import functions as F
+from test_jobs import content, feed, page_file
+
+from risewatch.operators.keyed import not_yet_stored
+from risewatch.plans.jobs import detect_new, rebuild
+from risewatch.sources.tables import Tables
+from risewatch.streaming.ingest import page_stream, start_distinct_stream, start_mentions, start_stream
+from risewatch.taxonomy import DEFAULT
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_stored_ids_are_not_shuffled(spark, tables, make_stories):
+    tables.insert_stories(make_stories(feed(200)))
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        batch = make_stories(feed(230)).select("story_id", "title")
+        new = not_yet_stored(tables.ids.dealt(batch), tables.ids.read(), ["story_id"])
+        text = plan(new)
+        assert text.count("Exchange hashpartitioning") == 1 and "Bucketed: true" in text
+        assert new.count() == 30
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
+def test_ids_follow_the_stories(spark, tables, make_stories, tmp_path):
+    rows = feed(60)
+    tables.insert_stories(make_stories(rows[:20]))
+    tables.insert_stories(make_stories(rows[10:40]))
+    assert sorted(r.story_id for r in tables.ids.read().collect()) == sorted(r[0] for r in rows[:40])
+    # a load that wrote its stories and died before their ids
+    tables.append("raw_stories", make_stories(rows[40:50]).withColumn("fetched_at", F.col("created_at")))
+    (tmp_path / "tables/story_ids/_loading").touch()
+    again = Tables(spark, tables.root)
+    assert again.insert_stories(make_stories(rows)) == 10
+    assert again.insert_stories(make_stories(rows)) == 0
+    assert again.row_count("raw_stories") == 60 == again.ids.read().distinct().count()
+    assert not (tmp_path / "tables/story_ids/_loading").exists()
+
+
+def test_a_root_without_ids_gets_them_from_its_stories(spark, tables, make_stories):
+    tables.append("raw_stories", make_stories(feed(30)).withColumn("fetched_at", F.col("created_at")))
+    assert tables.insert_stories(make_stories(feed(45))) == 15
+
+
+def test_stories_without_id_are_stored_every_time(tables, make_stories):
+    batch = make_stories([(None, "x", 1, 1, "2024-01-15"), (1, "y", 1, 1, "2024-01-15")])
+    assert [tables.insert_stories(batch), tables.insert_stories(batch)] == [2, 1]
+
+
+def test_only_the_folders_of_the_weeks_are_listed(tables, make_stories):
+    tables.insert_stories(make_stories([(1, "Rust", 1, 1, "2024-01-15"), (2, "Rust", 1, 1, "2024-02-15"), (3, "Go!", 1, 1, "2023-02-15")]))
+    rebuild(tables, DEFAULT)
+    for name, folder in (("raw_stories", "iso_week=2024-W03"), ("keyword_events", "iso_week=2024-W03"), ("weekly_mentions", "iso_year=2024")):
+        found = tables.read(name, weeks=["2024-W03", "2031-W01"])
+        # what the scan lists, before any filter
+        files = found.inputFiles()
+        assert files and all(folder in file for file in files)
+        assert [r.iso_week for r in found.collect()] == ["2024-W03"]
+    assert tables.read("raw_stories", weeks=["2031-W01"]).count() == 0
+    assert [r.story_id for r in tables.read("raw_stories", years=["2023"]).collect()] == [3]
+
+
+def test_detection_is_counted_by_the_job_that_writes(spark, tables, make_stories):
+    tables.insert_stories(make_stories([(1, "Rust and Go!", 1, 1, "2024-01-15"), (2, "nothing", 1, 1, "2024-01-15")]))
+    assert detect_new(tables) == {"stories_processed": 2, "hits_written": 2}
+    assert detect_new(tables) == {"stories_processed": 1, "hits_written": 0}
+
+
+def test_two_streams_keep_their_rejects(spark, tmp_path):
+    tables = Tables(spark, str(tmp_path / "tables"))
+    for n in (1, 2):
+        landed = tmp_path / f"landed{n}"
+        landed.mkdir()
+        (landed / "1.json").write_text(json.dumps({"hits": [f"stray {n}"]}))
+        start_stream(page_stream(spark, str(landed)), tables, str(tmp_path / f"checkpoint{n}")).awaitTermination()
+    rows = tables.rejects().collect()
+    assert len(rows) == 2 and len({r.stream for r in rows}) == 2 and {r.batch for r in rows} == {0}
+
+
+def test_stream_state_equals_batch(spark, tmp_path, make_stories):
+    rows, landed = feed(240), tmp_path / "landed"
+    landed.mkdir()
+    tables = Tables(spark, str(tmp_path / "tables"))
+
+    def run():
+        stream = page_stream(spark, str(landed), max_files=1)
+        for query in start_distinct_stream(stream, tables, str(tmp_path / "checkpoint")):
+            query.awaitTermination()
+        start_mentions(tables, str(tmp_path / "mentions"), max_files=40).awaitTermination()
+
+    # copies in one file, in another file of the run, and in a later run; the oldest stories come last
+    page_file(landed / "1.json", rows[100:200] + rows[120:140])
+    page_file(landed / "2.json", rows[150:240])
+    (landed / "3.json").write_text(json.dumps({"hits": ["stray"]}))
+    run()
+    assert tables.row_count("raw_stories") == 140 and tables.rejects().count() == 1
+    page_file(landed / "4.json", rows[0:120])
+    run()
+    batch = Tables(spark, str(tmp_path / "batch"))
+    batch.insert_stories(make_stories(rows))
+    rebuild(batch, DEFAULT)
+    for name in ("keyword_events", "weekly_mentions", "keyword_velocity"):
+        assert content(tables.read(name)) == content(batch.read(name)), name
+    assert "stateStore" in " ".join(x.name for x in (tmp_path / "mentions").iterdir()) or (tmp_path / "mentions/state").exists()
+
+
+def test_late_ids_are_met_by_the_stored_ones(spark, tmp_path):
+    """A copy that lands after the state has let go of its id."""
+    landed = tmp_path / "landed"
+    landed.mkdir()
+    tables = Tables(spark, str(tmp_path / "tables"))
+    for n in range(3):
+        page_file(landed / f"{n}.json", feed(20))
+        for query in start_distinct_stream(page_stream(spark, str(landed)), tables, str(tmp_path / "checkpoint"), delay="1 microsecond"):
+            query.awaitTermination()
+    assert tables.row_count("raw_stories") == 20
