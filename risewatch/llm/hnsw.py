@@ -6,7 +6,8 @@ and stores it as flat arrays: vectors, neighbours of level 0 (a row per node, -1
 upper levels. Queries travel in blocks to every shard; each shard's best are re-scored in double precision on the original
 vectors, and the best of all shards are ranked.
 
-Defined cases: vectors null, empty, zero, or with null or non-finite components take no part; only vectors of the query's
+Defined cases: rows without an id take no part, as nothing could name them; vectors null, empty, zero, or with null or
+non-finite components take none either; ids are whole 64-bit numbers throughout; only vectors of the query's
 length are candidates; a row is no candidate of its own, rows with the same id are; ties go to the smaller id, then the
 earlier row; an empty table gives no rows; other columns play no part.
 """
@@ -153,7 +154,7 @@ class Graph:
 def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     """row, id, vector array<double>, dim of the vectors that take part."""
     stored = numbered(vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("vector")))
-    rows = stored.withColumn("vector", F.col("vector").cast("array<double>")).where("vector is not null and size(vector) > 0")
+    rows = stored.withColumn("vector", F.col("vector").cast("array<double>")).where("id is not null and vector is not null and size(vector) > 0")
     finite = F.forall("vector", lambda x: F.coalesce(~F.isnan(x) & (F.abs(x) < float("inf")), F.lit(False)))
     return rows.where(finite).where(F.exists("vector", lambda x: x != 0)).select("row", "id", "vector", F.size("vector").alias("dim"))
 
@@ -187,7 +188,7 @@ def build_index(rows: DataFrame, n_shards: int) -> DataFrame:
 
     def build(group: pa.Table) -> pa.Table:
         dim, shard = group.column("dim")[0].as_py(), group.column("shard")[0].as_py()
-        vectors, ids, numbers = _matrix(group.column("vector"), dim), group.column("id").to_pandas().fillna(-1).to_numpy(np.int64), group.column("row").to_numpy()
+        vectors, ids, numbers = _matrix(group.column("vector"), dim), group.column("id").to_numpy(), group.column("row").to_numpy()
         order = np.lexsort((numbers, ids))
         vectors, ids, numbers = vectors[order], ids[order], numbers[order]
         nodes, member = np.unique(vectors, axis=0, return_inverse=True)
@@ -243,7 +244,7 @@ def nearest(vectors: DataFrame, queries: str, k: int = 5, id_col: str = "vec_id"
             {"dim": pa.array([dim], pa.int32()), "q_rows": pa.array([group.column("row").to_numpy().tobytes()]), "q_ids": pa.array([group.column("id").to_numpy().tobytes()]), "q_vectors": pa.array([_matrix(group.column("vector"), dim).tobytes()])}
         )
 
-    blocks = asked.where("id is not null").withColumn("block", F.pmod(F.xxhash64("row"), F.lit(n_blocks))).groupBy("dim", "block").applyInArrow(block, "dim int, q_rows binary, q_ids binary, q_vectors binary")
+    blocks = asked.withColumn("block", F.pmod(F.xxhash64("row"), F.lit(n_blocks))).groupBy("dim", "block").applyInArrow(block, "dim int, q_rows binary, q_ids binary, q_vectors binary")
     # the stated query set goes to every shard, in blocks
     sent = blocks.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(n_shards - 1))))
     pairs = sent.repartition(max(n_shards, 2), "dim", "shard").join(index.hint("merge"), ["dim", "shard"])

@@ -1,15 +1,17 @@
 """Licence scan: a trained paragraph classifier, an unknown class, and a template comparison. JVM side only.
 
-Features are word uni-, bi- and trigrams of the templates below, hashed; a multinomial logistic regression learns the licence
-families and an unknown class from templates with words dropped and swapped for corpus words, and from paragraphs without
-licences. The threshold for a family is calibrated on held-out rows: the lowest probability at which the rows accepted are
-at least as often right as asked. A prediction is confirmed if the paragraph shares enough of its word bigrams with a
-template of the family.
+Features are word uni-, bi- and trigrams of the templates below that hold a telling word (one of a template that hardly
+occurs in corpus paragraphs), hashed; a multinomial logistic regression learns the licence families and an unknown class
+from templates with words dropped and swapped for corpus words, and from paragraphs without licences. Templates are long
+notices and short forms of speech around each family's names. A share of them, whole forms, is held out; on their variants the
+threshold is calibrated: the lowest probability at which the rows accepted are at least as often right as asked. A prediction
+is confirmed if the paragraph shares enough of its word bigrams with a template of the family.
 
 Every paragraph (line) is scored, and for every line break the last words before it with the first ones after it, up to a
 blank line; both are as long as the longest template, so a wrapped notice stands whole in the window of its first break. A
-window is reported under its first line where it holds more of a template than the lines and windows beside it. Texts that
-the model cannot accept are left out before: the filter's words come from its weights (see needed_words).
+window is reported under its first line where it holds more of a template than the lines and windows beside it. Texts, then
+lines, that the model cannot accept at its threshold are left out before: without the words that its weights name
+(needed_words) no family can reach it. Similarity is compared for what the model accepts.
 Training is bounded by the templates and SAMPLE corpus paragraphs; scoring covers every paragraph.
 
 Defined cases: null and empty texts have no paragraphs; a paragraph without a family is reported as unknown if it has
@@ -76,6 +78,29 @@ TEMPLATES = {
         "Licensed under the Mozilla Public License, version 2.0.",
     ],
 }
+#: Names of the families in short forms of speech; a name that is one word needs no form around it.
+NAMES = {
+    "Apache-2.0": ["Apache License 2.0", "Apache-2.0", "Apache License, Version 2.0", "Apache 2.0"],
+    "BSD": ["BSD-3-Clause", "BSD 3-Clause License", "BSD-2-Clause", "BSD license"],
+    "CC-BY": ["CC BY 4.0", "CC-BY-4.0", "Creative Commons Attribution 4.0"],
+    "CC-BY-NC": ["CC BY-NC 4.0", "CC-BY-NC-4.0", "Creative Commons Attribution-NonCommercial 4.0"],
+    "CC-BY-SA": ["CC BY-SA 4.0", "CC-BY-SA-4.0", "Creative Commons Attribution-ShareAlike 4.0"],
+    "CC0": ["CC0", "CC0-1.0", "CC0 1.0 Universal"],
+    "GPL": ["GPLv3", "GPLv2", "GPL-3.0-or-later", "GPL-2.0-only", "GNU GPL", "GNU General Public License"],
+    "LGPL": ["LGPLv3", "LGPLv2.1", "LGPL-2.1-or-later", "GNU LGPL", "GNU Lesser General Public License"],
+    "MIT": ["MIT License", "MIT", "the MIT license"],
+    "MPL": ["MPL-2.0", "MPL 2.0", "Mozilla Public License 2.0"],
+}
+FORMS = [
+    "Released under {}.",
+    "SPDX-License-Identifier: {}",
+    "{}",
+    "Licensed under the {}.",
+    "License: {}",
+    "This project is licensed under the terms of the {}.",
+    "Distributed under the {}, see the file LICENSE.",
+    "The code is available under the {}.",
+]
 #: Sentences with licence words that grant nothing.
 DECOYS = [
     "He lost his driving license after the accident.",
@@ -92,11 +117,31 @@ DECOYS = [
     "Version 2.0 of the manual was published in the spring.",
     "The public domain of the kings was sold.",
     "Mozilla announced its new office.",
+    "The code of the building is available at the office.",
+    "This project was released under pressure in May.",
+    "See the file on the desk, it is distributed to all.",
+    "Under the terms of the agreement the work is done by June.",
 ]
 STEMS = ["licen", "gpl", "copyright", "permission is", "redistribut", "creative commons", "cc by", "cc-by", "cc0", "mozilla public", "spdx"]
 BINS = 1 << 15
-VARIANTS, SAMPLE = 60, 4000
+VARIANTS, SAMPLE = 24, 4000
 PRECISION, CONFIRM = 0.99, 0.6
+#: A word is telling if at most this share of the sampled paragraphs holds it.
+TELLING = 0.0005
+
+
+def templates() -> dict[str, list[str]]:
+    """Each family's notices and its names in every form; a bare name must be two words or a licence's own."""
+    out = {}
+    for family, notices in TEMPLATES.items():
+        short = [form.format(name) for form in FORMS for name in NAMES[family] if form != "{}" or name != "MIT"]
+        out[family] = [*notices, *short]
+    return out
+
+
+def _held_out(text: str, number: int) -> bool:
+    """Whole wordings are kept from training: every fifth of a family's templates, in the order of the forms."""
+    return number % 5 == 4
 
 
 def _literal_rows(spark: SparkSession, rows: list[tuple[str, str]]) -> DataFrame:
@@ -145,85 +190,112 @@ def paragraphs(docs: DataFrame, span: int, id_col: str = "doc_id", text_col: str
     return lines.select("row", "doc_id", "paragraph", F.explode(both).alias("x")).select("row", "doc_id", "paragraph", "x.*").where(F.size("words") > 0)
 
 
-def training_rows(spark: SparkSession, docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """family, words, fold: noisy templates, decoys, and the first words of SAMPLE corpus paragraphs without a stem (picked by hash)."""
-    texts = [(family, text) for family, all_of in TEMPLATES.items() for text in all_of] + [(UNKNOWN, text) for text in DECOYS]
-    base = _literal_rows(spark, texts).withColumn("variant", F.explode(F.sequence(F.lit(0), F.lit(VARIANTS - 1))))
+def _texts() -> list[tuple[str, str, bool]]:
+    """family, text, held out"""
+    known = [(family, text, _held_out(text, i)) for family, all_of in templates().items() for i, text in enumerate(all_of)]
+    return known + [(UNKNOWN, text, i % 5 == 4) for i, text in enumerate(DECOYS)]
+
+
+def sampled(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """text, words of SAMPLE corpus paragraphs without a stem, picked by hash."""
     plain = docs.where(F.col(text_col).isNotNull()).select(F.pmod(F.xxhash64(F.lit(9), F.col(text_col)), F.lit(1 << 30)).alias("h"), F.explode(F.split(F.col(text_col), "\n")).alias("text"))
     picked = plain.where(~has_stem(F.col("text")) & (F.length("text") > 0)).orderBy("h", "text").limit(SAMPLE)
-    sample = settle(picked.select(F.lit(UNKNOWN).alias("family"), "text", F.pmod(F.xxhash64("text"), F.lit(1000)).cast("int").alias("variant")))
+    return settle(picked.select("text", _clean(_words(F.col("text"))).alias("words")))
+
+
+def training_rows(spark: SparkSession, sample: DataFrame) -> DataFrame:
+    """family, words, held: noisy templates, decoys, and the sampled paragraphs; held out by template and by paragraph."""
+    texts = _texts()
+    base = _literal_rows(spark, [(family, text) for family, text, _ in texts])
+    held = F.col("text").isin([text for _, text, out in texts if out])
+    base = base.withColumn("variant", F.explode(F.sequence(F.lit(0), F.lit(VARIANTS - 1))))
 
     def noisy(words: Column, share: int) -> Column:
-        """Each variant but the first loses some words; which ones, a hash decides."""
-        return F.filter(words, lambda w, i: (F.col("variant") == 0) | (F.pmod(F.xxhash64(w, i, F.col("variant"), F.col("family")), F.lit(100)) >= share))
+        """Each variant but the first loses some words of long notices; which ones, a hash decides."""
+        kept = (F.col("variant") == 0) | (F.size(words) < 8)
+        return F.filter(words, lambda w, i: kept | (F.pmod(F.xxhash64(w, i, F.col("variant"), F.col("family")), F.lit(100)) >= share))
 
     # a notice often stands in running text: variants carry corpus words before or after
-    pool = [r["text"] for r in sample.select(F.substring("text", 1, 400).alias("text")).orderBy(F.xxhash64("text")).limit(40).collect()] or [""]
-    around = F.element_at(F.array(*map(F.lit, pool)), F.pmod(F.xxhash64("text", "variant"), F.lit(len(pool))).cast("int") + 1)
-    beside = F.slice(_clean(_words(around)), 1, F.pmod(F.col("variant"), F.lit(12)) + 1)
+    pool = [r["words"] for r in sample.select(F.slice("words", 1, 12).alias("words"), "text").orderBy(F.xxhash64("text")).limit(40).collect()] or [[]]
+    beside = F.element_at(F.array(*[F.array(*map(F.lit, x)).cast("array<string>") for x in pool]), F.pmod(F.xxhash64("text", "variant"), F.lit(len(pool))).cast("int") + 1)
     words = noisy(_clean(_words(F.col("text"))), 12)
     words = F.when(F.col("variant") % 4 == 1, F.concat(beside, words)).when(F.col("variant") % 4 == 2, F.concat(words, beside)).otherwise(words)
-    known = base.select("family", words.alias("words"), F.pmod(F.xxhash64("text", "variant"), F.lit(4)).alias("fold"))
-    rest = sample.select("family", _clean(_words(F.col("text"))).alias("words"), F.pmod(F.xxhash64("text"), F.lit(4)).alias("fold"))
+    known = base.select("family", words.alias("words"), held.alias("held"))
+    rest = sample.select(F.lit(UNKNOWN).alias("family"), "words", (F.pmod(F.xxhash64("text"), F.lit(4)) == 0).alias("held"))
     return settle(known.union(rest))
 
 
 def _features(rows: DataFrame, known: list[str]) -> DataFrame:
-    """Sparse counts of the templates' n-grams; words elsewhere have none."""
+    """Sparse counts of the known n-grams; words elsewhere have none."""
     words = F.col("words")
     grams = F.concat(words, _grams(words, 2), _grams(words, 3))
     kept = F.array_intersect(grams, F.array(*map(F.lit, known)))
     return HashingTF(numFeatures=BINS, binary=True, inputCol="grams", outputCol="features").transform(rows.withColumn("grams", kept))
 
 
-def template_grams(spark: SparkSession) -> tuple[list[str], dict[str, list[list[str]]]]:
-    """All n-grams of the templates, and each family's templates as lists of bigrams."""
-    rows = _literal_rows(spark, [(f, t) for f, all_of in TEMPLATES.items() for t in all_of]).select("family", _clean(_words(F.col("text"))).alias("words"))
-    rows = rows.select("family", F.array_distinct(F.concat("words", _grams(F.col("words"), 2), _grams(F.col("words"), 3))).alias("grams"), F.array_distinct(_grams(F.col("words"), 2)).alias("pairs")).collect()
-    by_family: dict[str, list[list[str]]] = {}
-    for row in rows:
-        by_family.setdefault(row["family"], []).append(row["pairs"])
-    return sorted({g for row in rows for g in row["grams"]}), by_family
+def template_words(spark: SparkSession) -> list[tuple[str, list[str]]]:
+    """family, words of every template."""
+    rows = _literal_rows(spark, [(f, t) for f, all_of in templates().items() for t in all_of])
+    return [tuple(r) for r in rows.select("family", _clean(_words(F.col("text")))).collect()]
+
+
+def _joined(words: list[str], n: int) -> list[str]:
+    return [" ".join(words[i : i + n]) for i in range(len(words) - n + 1)]
 
 
 class LicenceModel:
-    def __init__(self, spark: SparkSession, docs: DataFrame) -> None:
+    def __init__(self, spark: SparkSession, docs: DataFrame, text_col: str = "text") -> None:
         self.families = [*sorted(TEMPLATES), UNKNOWN]
-        self.grams, self.templates = template_grams(spark)
-        rows = training_rows(spark, docs).withColumn("label", F.array_position(F.array(*map(F.lit, self.families)), F.col("family")).cast("double") - 1)
+        texts = template_words(spark)
+        self.span = max(len(words) for _, words in texts)
+        #: what a paragraph is compared with: a template's bigrams, or the word of a template of one
+        self.templates: dict[str, list[list[str]]] = {f: [] for f in TEMPLATES}
+        for family, words in texts:
+            parts = sorted(set(_joined(words, 2) or words))
+            if parts not in self.templates[family]:
+                self.templates[family].append(parts)
+        sample = sampled(docs, text_col)
+        vocabulary = sorted({w for _, words in texts for w in words})
+        inside = F.explode(F.array_intersect(F.array_distinct("words"), F.array(*map(F.lit, vocabulary))))
+        #: share of the sampled paragraphs that hold a template's word
+        counts = {r["w"]: r["n"] for r in sample.select(inside.alias("w")).groupBy("w").agg(F.count("*").alias("n")).collect()}
+        size = max(1, sample.count())
+        self.common = {w: counts.get(w, 0) / size for w in vocabulary}
+        telling = {w for w, share in self.common.items() if share <= TELLING}
+        grams = {g for _, words in texts for n in (1, 2, 3) for g in _joined(words, n)}
+        self.grams = sorted(g for g in grams if not telling.isdisjoint(g.split(" ")))
+        rows = training_rows(spark, sample).withColumn("label", F.array_position(F.array(*map(F.lit, self.families)), F.col("family")).cast("double") - 1)
         rows = _features(rows, self.grams)
-        train = settle(rows.where("fold <> 0").select("label", "features"))
-        self.model: LogisticRegressionModel = LogisticRegression(regParam=1e-3, maxIter=60, family="multinomial").fit(train)
+        train = settle(rows.where("not held").select("label", "features"))
+        self.model: LogisticRegressionModel = LogisticRegression(regParam=1e-5, maxIter=80, family="multinomial").fit(train)
+        self.threshold, self.accuracy = self._calibrate(rows.where("held").select("label", "features"))
         self.needed = self.needed_words()
-        self.span = max(len(w) for w in self._template_words(spark))
-        self.threshold, self.accuracy = self._calibrate(rows.where("fold = 0").select("label", "features"))
-
-    @staticmethod
-    def _template_words(spark: SparkSession) -> list[list[str]]:
-        rows = _literal_rows(spark, [(f, t) for f, all_of in TEMPLATES.items() for t in all_of])
-        return [r["words"] for r in rows.select(_clean(_words(F.col("text"))).alias("words")).collect()]
 
     def needed_words(self) -> list[str]:
-        """Words of which every text that the model gives a family has at least one.
+        """Words of which every text that the model gives a family at its threshold has at least one.
 
-        Without them the sum of all positive differences between the family's and the unknown class's weights, over the
-        n-grams that are left, stays below zero for each family. Words that few families share are taken first.
+        A probability t takes a lead of log(t / (1 - t)) over the unknown class. Without these words the sum of all positive
+        differences between the family's and the unknown class's weights, over the n-grams that are left, stays below
+        that for each family. Words that are rare in the corpus and shared by few families are taken first.
         """
         tf = HashingTF(numFeatures=BINS, binary=True)
         at = [tf.indexOf(g) for g in self.grams]
         weights, start = self.model.coefficientMatrix.toArray()[:, at], self.model.interceptVector.toArray()
         unknown = self.families.index(UNKNOWN)
         gains = np.delete(np.maximum(weights - weights[unknown], 0), unknown, axis=0)
-        start = np.delete(start - start[unknown], unknown)
-        parts = [set(g.split(" ")) for g in self.grams]
-        shared = {w: sum(any(w in pair.split(" ") for pairs in all_of for pair in pairs) for all_of in self.templates.values()) for w in set().union(*parts)}
-        left, needed = np.ones(len(parts), bool), []
-        while (over := start + gains[:, left].sum(axis=1) + 1e-6 >= 0).any():
-            value = {w: sum(gains[over, i].sum() for i in np.flatnonzero(left) if w in parts[i]) / (1 + shared[w] ** 2) for w in shared if w not in needed}
-            if not value or max(value.values()) <= 0:
+        start = np.delete(start - start[unknown], unknown) - np.log(self.threshold / (1 - self.threshold))
+        words = sorted({w for g in self.grams for w in g.split(" ")})
+        holds = np.array([[w in g.split(" ") for g in self.grams] for w in words], float).reshape(len(words), len(self.grams))
+        shared = [sum(any(w in part.split(" ") for t in all_of for part in t) for all_of in self.templates.values()) for w in words]
+        cost = np.array([(1 + n) * (1 + size * 1e5) for n, size in zip(shared, (self.common.get(w, 0) for w in words), strict=True)])
+        left, needed = np.ones(len(self.grams)), []
+        while (over := start + gains @ left + 1e-6 >= 0).any():
+            value = holds @ (gains[over].sum(axis=0) * left) / cost
+            if not len(value) or value.max() <= 0:
                 return []  # the intercept alone is enough: everything is scored
-            needed.append(max(sorted(value), key=value.get))
-            left &= np.array([needed[-1] not in x for x in parts])
+            best = int(value.argmax())
+            needed.append(words[best])
+            left *= 1 - holds[best]
         return needed
 
     def _scored(self, rows: DataFrame) -> DataFrame:
@@ -247,22 +319,32 @@ class LicenceModel:
             threshold = step / 20
         return min(threshold, 0.95), sum(r["all_right"] for r in steps.values()) / max(1, sum(r["all"] for r in steps.values()))
 
-    def scan(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    def _template_sql(self) -> str:
+        """SQL of a map from family to its templates' parts, which the optimiser folds to a literal."""
+        quoted = lambda x: "'" + x.replace("\\", "\\\\").replace("'", "\\'") + "'"
+        lists = {f: ", ".join("array(" + ", ".join(map(quoted, t)) + ")" for t in all_of) for f, all_of in self.templates.items()}
+        return "map(" + ", ".join(f"{quoted(f)}, array({x})" for f, x in lists.items()) + ")"
+
+    def scan(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", filtered: bool = True) -> DataFrame:
         """doc_id, paragraph, family, probability, similarity, confirmed of every paragraph with a family or a licence stem.
 
         similarity: the largest share of a template's word bigrams (of the predicted family) that the paragraph holds.
+        filtered: leave out what cannot be accepted before it is scored; the result is the same without.
         """
+        text, needed = F.col(text_col), F.array(*map(F.lit, self.needed))
+        filtered = filtered and bool(self.needed)
+        if filtered:
+            docs = docs.where(has_stem(text) | F.arrays_overlap(_clean(_words(text)), needed))
         found = paragraphs(docs, self.span, id_col, text_col)
-        if self.needed:
-            found = found.where(F.col("stem") | F.arrays_overlap("words", F.array(*map(F.lit, self.needed))))
+        if filtered:
+            found = found.where(F.col("stem") | F.arrays_overlap("words", needed))
         found = self._scored(_features(found, self.grams))
-        pairs = _grams(F.col("words"), 2)
-        shares = F.lit(None).cast("double")
-        for family, all_of in self.templates.items():
-            best = F.greatest(F.lit(0.0), *[F.size(F.array_intersect(pairs, F.array(*map(F.lit, t)))) / F.lit(float(len(t))) for t in all_of])
-            shares = F.when(F.col("guess") == family, best).otherwise(shares)
         sure = (F.col("guess") != UNKNOWN) & (F.col("best") >= self.threshold)
-        found = found.where(sure | F.col("stem")).select("row", "doc_id", "paragraph", "wrapped", F.when(sure, F.col("guess")).otherwise(F.lit(UNKNOWN)).alias("family"), F.col("best").alias("probability"), F.coalesce(shares, F.lit(0.0)).alias("similarity"))
+        found = found.where(sure | F.col("stem"))
+        parts = F.concat("words", _grams(F.col("words"), 2))
+        of_guess = F.coalesce(F.element_at(F.expr(self._template_sql()), F.col("guess")), F.array().cast("array<array<string>>"))
+        shares = F.array_max(F.transform(of_guess, lambda t: F.size(F.array_intersect(t, parts)) / F.size(t)))
+        found = found.select("row", "doc_id", "paragraph", "wrapped", F.when(sure, F.col("guess")).otherwise(F.lit(UNKNOWN)).alias("family"), F.col("best").alias("probability"), F.coalesce(shares, F.lit(0.0)).alias("similarity"))
         # a window counts where it holds more than its line and what begins later, and no less than what begins earlier
         whole = F.when(F.col("family") != UNKNOWN, F.col("similarity")).otherwise(F.lit(0.0))
         lines = Window.partitionBy("row").orderBy("paragraph")

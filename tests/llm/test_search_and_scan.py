@@ -90,7 +90,8 @@ def test_licences_of_given_documents(spark, licence_model):
 
 
 def test_licence_accuracy_and_unknown(spark, licence_model):
-    assert licence_model.accuracy >= 0.97 and 0.3 <= licence_model.threshold <= 0.95
+    # on wordings that the model has not seen
+    assert licence_model.accuracy >= 0.95 and 0.3 <= licence_model.threshold <= 0.95
     lines = [
         ("Licensed under the Mozilla Public License, version 2.0.", "MPL"),
         ("This file is released under the MIT License, see below.", "MIT"),
@@ -149,7 +150,7 @@ def test_queries_are_registered_and_equal_their_sql(spark):
 
     names = list(driver.queries())
     assert [n for n in names if n.startswith("op")] == sorted((n for n in names if n.startswith("op")), key=lambda n: int(n[2:].split("_")[0])) and "pipeline" in names
-    assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{i}" for i in range(1, 14)}
     for name, sql in queries.ORACLE.items():
         got = driver.queries()[name](spark, SF)
         con = duckdb.connect()
