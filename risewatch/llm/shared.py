@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType, VariantType
 
 #: White space of the contracts: these six characters and no others.
 SPACES = " \t\n\x0b\x0c\r"
@@ -59,6 +60,33 @@ def without_rows(docs: DataFrame, dropped: Callable[[DataFrame, str], DataFrame]
     return stored.join(gone, key, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
+def without_others(docs: DataFrame, groups: Callable[[DataFrame, str], DataFrame], id_col: str = "doc_id") -> DataFrame:
+    """One row of docs for each group, with docs' columns and without a stored copy of docs.
+
+    groups(docs with a key, name of the key) gives row (the key), doc_id, keep_row and keep_id (key and id of the row that
+    stays). The key is a hash of all columns, so every read finds the same one; with the id it tells rows apart. Rows that
+    are alike in all columns share it: where such rows stay, one of them does.
+    """
+    key = "_key_" + uuid.uuid4().hex[:8]
+    plain = [F.col(f"`{f.name}`") for f in docs.schema if not isinstance(f.dataType, (MapType, VariantType))]
+    marked = docs.withColumn(key, F.xxhash64(*plain))
+    found = settle(groups(marked, key).select("row", F.col("doc_id").alias("id"), "keep_row", "keep_id"))
+    stays = (F.col("row") == F.col("keep_row")) & F.col("id").eqNullSafe(F.col("keep_id"))
+    often = settle(found.where(stays).groupBy("row", "id").agg(F.count("*").alias("n")).where("n > 1").drop("n"))
+    gone = settle(found.where(~stays).select("row", "id").distinct())
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+
+    def beside(rows: DataFrame, kind: str) -> DataFrame:
+        rows = rows.select(F.col("row").alias(key + "r"), F.col("id").alias(key + "i"))
+        same = (F.col(key) == F.col(key + "r")) & F.col(f"`{id_col}`").cast("long").eqNullSafe(F.col(key + "i"))
+        return marked.join(rows, same, kind)
+
+    if often.isEmpty():
+        return beside(gone, "left_anti").select(*columns)
+    alike = beside(often, "left_semi").groupBy(key, F.col(f"`{id_col}`").alias(key + "id")).agg(F.first(F.struct(*columns)).alias(key + "row"))
+    return beside(gone.union(often), "left_anti").select(*columns).union(alike.select(f"{key}row.*"))
+
+
 def map_batches(df: DataFrame, each: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str) -> DataFrame:
     """mapInArrow of a function from batch to batch, SLICE rows at a time, so that few texts are Python objects at once."""
 
@@ -136,7 +164,8 @@ def components(links: DataFrame) -> DataFrame:
             return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
         state = new
         both = edges.union(edges.select("b", "a")).toDF("u", "v")
-        least = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
+        # stored, so that both sides of the join are shuffled for it and a node with many neighbours can be split there
+        least = settle(both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m")))
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("a"), F.col("m").alias("b")).distinct()
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").select(F.explode(F.array(F.struct(F.col("a").alias("a"), F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e"))

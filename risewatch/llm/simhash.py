@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from risewatch.llm.shared import components, map_batches, settle, with_row, without_rows
+from risewatch.llm.shared import components, map_batches, settle, with_row, without_others
 
 SHINGLE, RADIUS, SEED = 3, 3, 42
 #: Points a bucket of the shuffle holds on average (10 bytes each): fixes the number of buckets.
@@ -164,5 +164,5 @@ def near_groups(docs: DataFrame, **columns: str) -> DataFrame:
 
 
 def near_deduplicated(docs: DataFrame) -> DataFrame:
-    """docs with one row of each component: the one with the smallest id."""
-    return without_rows(docs, lambda stored, key: near_groups(stored, row_col=key).where("row <> keep_row").select("row"))
+    """docs with one row of each component: the one with the smallest id (null last), then with the smallest hash of its columns."""
+    return without_others(docs, lambda marked, key: near_groups(marked, row_col=key).withColumnRenamed("component_id", "keep_id"))
