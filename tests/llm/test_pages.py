@@ -13,7 +13,8 @@ SCHEMA = "page_id long, url string, html string, row long, host string, packed s
 
 
 def blocks(page):
-    return [t for t, _, _ in pages.parse(page)[0]]
+    found = pages.Page(page)
+    return [x for x in pages.left(found.blocks, found.elements, set()).split("\n\n") if x]
 
 
 def test_given_pages_against_a_split_of_their_article(spark):
