@@ -3,7 +3,7 @@
 Pass 1 parses each page (in tasks) and hashes the subtree of every element that holds text, whatever it is. Spark counts in
 how many pages of a host a subtree occurs, and with how many different rests: the other kept text of the innermost article
 or main element around it, or of the page. Subtrees that recur across many pages with many rests are the host's template;
-inside an article they must also stand on a tenth of the host's pages, as articles quote each other. Pass 2 deletes the
+inside an article they must also stand on half of the host's pages, as articles quote each other. Pass 2 deletes the
 template, and what is by its nature no main text (menus, forms, adverts, comments, ...), and joins the remaining blocks. An
 article that a site shows on many pages stays whole: within it the rest of each part is the same on all of them, and what
 holds an article or main element counts only on pages whose rest is longer (a teaser).
@@ -38,7 +38,7 @@ from risewatch.llm.langid import host_of
 from risewatch.llm.shared import map_batches, settle, with_row
 
 #: A subtree is template if it is in at least this many pages of the host with as many rests; within articles in this share too.
-MIN_PAGES, MIN_SHARE = 5, 0.1
+MIN_PAGES, MIN_SHARE = 5, 0.5
 
 _TAG = re.compile(r"<(/?)([A-Za-z][^\s/>]*)")
 #: The rest of a tag: a quoted value only after an equals sign. Nothing is tried twice.
@@ -237,7 +237,7 @@ class Page:
             if not node.holds or lengths[last] - lengths[first] > 2 * (lengths[b] - lengths[a]):
                 rest = ((sums[last] - sums[first] - sums[b] + sums[a]) & (1 << 64) - 1) - (1 << 63)
                 before = self.subtrees.get(node.digest, (rest, False, False))
-                self.subtrees[node.digest] = (before[0], before[1] or node.scope.holds, before[2] or a < b)
+                self.subtrees[node.digest] = (before[0], before[1] or node.scope is not self.top, before[2] or a < b)
                 counted.add(node.number)
         for number, element in enumerate(self.elements):
             if number not in counted:

@@ -57,7 +57,7 @@ def test_given_pages_recur_as_counted_by_hand(spark):
             inside[key] |= x["inside"]
     want = set()
     for (host, h), found in of_host.items():
-        if len(found) >= 5 and len(rests[host, h]) >= 5 and (not inside[host, h] or len(found) >= 0.1 * size[host]):
+        if len(found) >= 5 and len(rests[host, h]) >= 5 and (not inside[host, h] or len(found) >= 0.5 * size[host]):
             want |= {(row, h) for row in found}
     assert got == want and want
 
