@@ -8,14 +8,15 @@ No bucket is expanded into its pairs. First each bucket sends its members to one
 largest buckets, as the text that all copies come from has. Pairs whose signatures agree in fewer than LEAST_EQUAL places are
 left out (eight standard deviations below what 0.85 gives), the others are confirmed on full sets, and the links give
 components. Members of a bucket that are in one component need no more comparing. In the buckets that are left with
-several components, the members outside the largest one are compared with all others by signature, in blocks of CHUNK
-members, each pair in the first bucket that both share; what agrees is confirmed on full sets as well.
+several components, the members outside the largest one are compared with all others, in blocks of CHUNK members, each
+pair in the first bucket that both share: by signature, and what agrees on full sets at once. A block gives out only links
+that join two components, so never more than it has members. Buckets with the same members count as one.
 
 Defined cases: null and blank texts have empty sets and are linked with nothing; with fewer words than a shingle the
 whole sequence is the one shingle; repeated rows have equal sets; null ids name a component only if it has no other; a row
 is kept if its id is the component's, null and null being equal; other columns play no part.
 
-Memory: a text and its set; a block of two times CHUNK signatures; a pair of sets. Sets are made and stored only of nodes
+Memory: a text and its set; a block of two times CHUNK signatures and sets; a pair of sets. Sets are made and stored only of nodes
 that share a bucket, one text for each.
 """
 
@@ -128,27 +129,42 @@ def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return settle(map_batches(_beside(pairs, sets, "hashes"), _confirm_batch, "a long, b long"))
 
 
+def _links(rows: list[tuple]) -> Iterator[tuple[int, int]]:
+    """Links between components of one block, at most one fewer than it has components.
+
+    rows: node, root, asks (0: of the largest component, which never asks; 1: asks; 2: one that is asked and asks elsewhere),
+    band, signature, hashes.
+    """
+    node, root, asks = (np.array([x[i] for x in rows], np.int64) for i in range(3))
+    signs = np.frombuffer(b"".join(x[4] for x in rows), "<u2").reshape(-1, HASHES)
+    sets = [np.frombuffer(x[5], np.uint64) for x in rows]
+    sizes = np.array([len(x) for x in sets])
+    others = np.flatnonzero(asks != 1)
+    for i in np.flatnonzero(asks == 1):
+        at = others[root[others] != root[i]]
+        at = at[(asks[at] == 0) | (node[at] > node[i])]
+        same = signs[at] == signs[i]
+        fine = same.sum(axis=1) >= LEAST_EQUAL
+        at, same = at[fine], same[fine]
+        at = at[same.reshape(-1, BANDS, ROWS).all(axis=2).argmax(axis=1) == rows[0][3]] if len(at) else at
+        if not len(at):
+            continue
+        own, flat = sets[i], np.concatenate([sets[k] for k in at])
+        found = own[np.minimum(np.searchsorted(own, flat), len(own) - 1)] == flat
+        both = np.add.reduceat(found, np.concatenate(([0], np.cumsum(sizes[at])[:-1])), dtype=np.int64)
+        for k in at[100 * both >= PERCENT * (sizes[i] + sizes[at] - both)]:
+            if root[k] != root[i]:
+                yield int(node[i]), int(node[k])
+                root[root == root[k]] = root[i]
+
+
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs (a, b) that agree, of rows sorted by (bucket, low, high): asking rows against all others of their block."""
+    """Links (a, b) of each block of rows sorted by (bucket, low, high)."""
     now, held = None, []
 
     def close() -> pa.RecordBatch:
-        rows = np.array([(node, root, asks) for node, root, asks, _, _ in held], np.int64)
-        signs = np.frombuffer(b"".join(x[4] for x in held), "<u2").reshape(-1, HASHES)
-        band, asks = held[0][3], rows[:, 2]
-        others = np.flatnonzero(asks != 1)  # 0: of the largest component, which never asks; 2: a stray as one that is asked
-        one, two = [], []
-        for i in np.flatnonzero(asks == 1):
-            at = others[rows[others, 1] != rows[i, 1]]
-            at = at[(rows[at, 2] == 0) | (rows[at, 0] > rows[i, 0])]
-            at = at[(signs[at] == signs[i]).sum(axis=1) >= LEAST_EQUAL]
-            if len(at):
-                shared = (signs[at] == signs[i]).reshape(-1, BANDS, ROWS).all(axis=2)
-                at = at[shared.argmax(axis=1) == band]
-                one.append(np.full(len(at), rows[i, 0]))
-                two.append(rows[at, 0])
-        one, two = (np.concatenate([np.zeros(0, np.int64), *x]) for x in (one, two))
-        return pa.record_batch([pa.array(one), pa.array(two)], names=["a", "b"])
+        found = list(_links(held))
+        return pa.record_batch([pa.array([a for a, _ in found], pa.int64()), pa.array([b for _, b in found], pa.int64())], names=["a", "b"])
 
     for batch in batches:
         columns = [c.to_pylist() for c in batch.columns]
@@ -162,12 +178,16 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield close()
 
 
-def crossing(members: DataFrame, nodes: DataFrame, roots: DataFrame) -> DataFrame:
-    """Pairs (a, b) of different components that share a bucket and agree by signature, each once."""
+def crossing(members: DataFrame, nodes: DataFrame, sets: DataFrame, roots: DataFrame) -> DataFrame:
+    """Links (a, b) between components by pairs that share a bucket; sets: the full sets of the nodes."""
     rooted = members.join(roots, "node", "left").select("bucket", "band", "node", F.coalesce("root", "node").alias("root"))
-    sizes = rooted.groupBy("bucket", "root").agg(F.count("*").alias("n"))
+    marks = [F.min("node").alias("first"), F.max("node").alias("last"), F.bit_xor(F.xxhash64("node")).alias("mark"), F.min("band").alias("band")]
+    sizes = rooted.groupBy("bucket", "root").agg(F.count("*").alias("n"), *marks)
     largest = F.max(F.struct("n", "root")).alias("largest")
-    mixed = sizes.groupBy("bucket").agg(largest, F.sum("n").alias("n"), F.count("*").alias("roots")).where("roots > 1")
+    marks = [F.min("first").alias("first"), F.max("last").alias("last"), F.bit_xor("mark").alias("mark"), F.min("band").alias("band")]
+    mixed = sizes.groupBy("bucket").agg(largest, F.sum("n").alias("n"), F.count("*").alias("roots"), *marks).where("roots > 1")
+    # of buckets with the same members the first band's stays: it is the first that any two of them share
+    mixed = mixed.groupBy("n", "first", "last", "mark", "largest").agg(F.min(F.struct("band", "bucket"))["bucket"].alias("bucket"))
     mixed = settle(mixed.select("bucket", F.col("largest.root").alias("main"), F.ceil(F.col("n") / CHUNK).alias("parts"), F.ceil((F.col("n") - F.col("largest.n")) / CHUNK).alias("askers")))
     rows = rooted.join(mixed, "bucket").withColumn("stray", F.col("root") != F.col("main"))
     rows = rows.withColumn("own", F.pmod(F.xxhash64("node"), "parts")).withColumn("own_ask", F.pmod(F.xxhash64("node"), "askers"))
@@ -175,8 +195,8 @@ def crossing(members: DataFrame, nodes: DataFrame, roots: DataFrame) -> DataFram
     # as one that is asked: in the blocks of every part of askers; as one that asks: in those of every part of members
     asked = rows.select("*", F.explode(all_of("askers")).alias("low"), F.col("own").alias("high"), F.when(F.col("stray"), 2).otherwise(0).alias("asks"))
     asking = rows.where("stray").select("*", F.col("own_ask").alias("low"), F.explode(all_of("parts")).alias("high"), F.lit(1).alias("asks"))
-    blocks = asked.union(asking).join(nodes.select("node", "signature"), "node")
-    blocks = blocks.select("bucket", "low", "high", "node", "root", "asks", "band", "signature")
+    blocks = asked.union(asking).join(nodes.select("node", "signature").join(sets, "node"), "node")
+    blocks = blocks.select("bucket", "low", "high", "node", "root", "asks", "band", "signature", "hashes")
     blocks = blocks.repartition("bucket", "low", "high").sortWithinPartitions("bucket", "low", "high")
     return blocks.mapInArrow(_compare, "a long, b long")
 
@@ -201,9 +221,9 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     pairs = settle(map_batches(_beside(pairs, met, "signature"), _agree_batch, "a long, b long"))
     sets = set_table(met, docs)
     roots = components(confirmed(pairs, sets))
-    more = settle(crossing(members, met, roots))
+    more = settle(crossing(members, met, sets, roots))
     if not more.isEmpty():
-        roots = components(roots.toDF("a", "b").union(confirmed(more, sets)))
+        roots = components(roots.toDF("a", "b").union(more))
 
     named = nodes.join(roots, "node", "left").select("digest", F.coalesce("root", "node").alias("root"), "first")
     best = named.groupBy("root").agg(F.min("first").alias("best"))

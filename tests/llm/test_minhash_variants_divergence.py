@@ -71,12 +71,36 @@ def test_links_beside_the_pivot(spark, monkeypatch):
                 beside[i] = f"m{draw.random()}"
             rows.append((len(rows) * 7 % 181, " ".join(beside)))
     some = spark.createDataFrame(rows, "doc_id long, text string")
-    crossed = []
-    old = minhash.crossing
-    monkeypatch.setattr(minhash, "crossing", lambda *x: crossed.append(old(*x)) or crossed[-1])
-    assert Counter(map(tuple, minhash.near_groups(some).collect())) == brute_groups(rows)
-    pairs = [tuple(sorted(r)) for r in crossed[0].collect()]
-    assert pairs and len(pairs) == len(set(pairs))
+    want = brute_groups(rows)
+    assert Counter(map(tuple, minhash.near_groups(some).collect())) == want
+    # without any link from a pivot the blocks alone find all components
+    texts = dict(rows)
+    sets = {i: minhash.shingle_set(t) for i, t in texts.items()}
+    nodes = spark.createDataFrame([(i, bytearray(minhash.signature(x).tobytes())) for i, x in sets.items()], "node long, signature binary")
+    hashes = spark.createDataFrame([(i, bytearray(x.tobytes())) for i, x in sets.items()], "node long, hashes binary")
+    spread = minhash.settle(minhash.map_batches(nodes, minhash._band_batch, "node long, band int, bucket long"))
+    none = spark.createDataFrame([], "node long, root long")
+    links = minhash.crossing(spread, nodes, hashes, none).collect()
+    assert links and all(a != b for a, b in links)
+    roots = {r["node"]: r["root"] for r in minhash.components(spark.createDataFrame(links, "a long, b long")).collect()}
+    assert {i: roots.get(i, i) for i in texts} == {doc: c for doc, _, c, _ in want}
+
+
+def test_a_block_gives_out_a_forest():
+    """Near copies that are all linked to each other, each a component of its own: one link fewer than members."""
+    base = [f"w{i}" for i in range(400)]
+    rows = []
+    for n in range(20):
+        text = minhash.shingle_set(" ".join([*base[:n], f"x{n}", *base[n + 1 :]]))
+        rows.append((n, n, 1 if n else 0, 0, minhash.signature(text).tobytes(), text.tobytes()))
+    rows += [(*row[:2], 2, *row[3:]) for row in rows[1:]]
+    band = [x for x in range(minhash.BANDS)]
+    links = {pair for b in band for pair in minhash._links([(*r[:3], b, *r[4:]) for r in rows])}
+    up = {n: n for n in range(20)}
+    for a, b in links:
+        up = {n: (up[a] if r == up[b] else r) for n, r in up.items()}
+    assert len(set(up.values())) == 1
+    assert all(len(list(minhash._links([(*r[:3], b, *r[4:]) for r in rows]))) < 20 for b in band)
 
 
 # --- spelling variants --------------------------------------------------------
