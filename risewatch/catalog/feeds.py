@@ -134,6 +134,8 @@ def scratch(spark: SparkSession) -> str:
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     root = shared or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
+    if not shared and root.startswith("file:") and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("name a folder that all executors share in spark.checkpoint.dir")
     path = f"{root.rstrip('/')}/risewatch-{os.urandom(8).hex()}"
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
