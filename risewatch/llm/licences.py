@@ -139,7 +139,7 @@ def templates() -> dict[str, list[str]]:
     return out
 
 
-def _held_out(text: str, number: int) -> bool:
+def _held_out(number: int) -> bool:
     """Whole wordings are kept from training: every fifth of a family's templates, in the order of the forms."""
     return number % 5 == 4
 
@@ -192,8 +192,8 @@ def paragraphs(docs: DataFrame, span: int, id_col: str = "doc_id", text_col: str
 
 def _texts() -> list[tuple[str, str, bool]]:
     """family, text, held out"""
-    known = [(family, text, _held_out(text, i)) for family, all_of in templates().items() for i, text in enumerate(all_of)]
-    return known + [(UNKNOWN, text, i % 5 == 4) for i, text in enumerate(DECOYS)]
+    known = [(family, text, _held_out(i)) for family, all_of in templates().items() for i, text in enumerate(all_of)]
+    return known + [(UNKNOWN, text, _held_out(i)) for i, text in enumerate(DECOYS)]
 
 
 def sampled(docs: DataFrame, text_col: str = "text") -> DataFrame:
