@@ -126,17 +126,24 @@ def matched_stories(stories: DataFrame, taxonomy: Taxonomy) -> DataFrame:
 def matched_by_word_join(stories: DataFrame, names: DataFrame) -> DataFrame:
     """:func:`matched_stories` for names that come as a table (word, keyword, pattern), see :func:`name_table`.
 
-    Only words that some name is filed under leave the row, and only with the
-    story's own columns; the text is made again for the few names with a pattern.
+    The words are an index of the distinct texts, by a hash of 128 bits: it is the
+    index that meets the names, and only what it finds there returns to the stories,
+    where the few names with a pattern are checked.  No text goes through the first join.
     """
-    word, pattern = f"{OWN}word", f"{OWN}pattern"
+    word, pattern, keys = f"{OWN}word", f"{OWN}pattern", [f"{OWN}key1", f"{OWN}key2"]
     table = names.select(F.col("word").alias(word), F.col("keyword"), F.col("pattern").alias(pattern))
     text = match_text("title", "url")
-    return (
-        stories.withColumn(word, F.explode(F.array_distinct(words(text))))
+    marked = stories.withColumns({keys[0]: F.xxhash64(text), keys[1]: F.xxhash64(F.lit(1), text)})
+    found = (
+        marked.select(*keys, F.explode(F.array_distinct(words(text))).alias(word))
         .join(table, word)
+        .select(*keys, "keyword", pattern)
+        .distinct()
+    )
+    return (
+        marked.join(found, keys)
         .filter(F.col(pattern).isNull() | F.regexp_like(text, F.col(pattern)))
-        .drop(word, pattern)
+        .select(*[F.col(f"`{c}`") for c in stories.columns], "keyword")
     )
 
 

@@ -173,3 +173,24 @@ def test_detection_has_no_shuffle_and_runs_once(spark, make_stories):
     plan = matched_stories(stories, DEFAULT)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "EvalPython" not in plan
     assert plan.count("regexp_extract_all") == 1
+
+
+def test_the_word_join_moves_no_text(spark):
+    """Below the join of words and names a row has the text's hash and a word; copies of a text are looked up once."""
+    taxonomy = Taxonomy({"Tools": ["Docker", "Go"]}, {"Go": DEFAULT.patterns["Go"]})
+    title = "Docker and golang"
+    rows = [(1, title, "a"), (2, title, "b"), (None, title, "c"), (3, None, "d"), (4, "go to docker", "e"), (4, "go to docker", "e")]
+    df = spark.createDataFrame(rows, "story_id int, title string, tag string").withColumn("url", F.lit(None).cast("string"))
+    names = name_table(df, taxonomy)
+    known = [r.keyword for r in names.collect()]
+    found = matched_by_word_join(df, names).select("story_id", "tag", "keyword")
+    plain = matched_stories(df, taxonomy).where(F.col("keyword").isin(known)).select("story_id", "tag", "keyword")
+    assert sorted(map(str, found.collect())) == sorted(map(str, plain.collect())) and found.count() >= 5
+    tree = matched_by_word_join(df, names)._jdf.queryExecution().optimizedPlan()
+    index = tree
+    while index.nodeName() != "Aggregate":  # the index of distinct texts is the right side of the join back
+        index = index.children().apply(index.children().size() - 1)
+    join = index.child()
+    while join.nodeName() != "Join":
+        join = join.children().apply(0)
+    assert "title" not in join.left().output().toString() and "tag" not in join.left().output().toString()
