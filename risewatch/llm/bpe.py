@@ -54,12 +54,15 @@ class Coder:
         kinds = [x["type"] for x in spec["normalizer"]["normalizers"]]
         if kinds != ["NFC", "Replace", "Lowercase"] or [x["type"] for x in pre] != ["Split", "ByteLevel"] or model["continuing_subword_prefix"]:
             raise ValueError(f"{path} is not a word-end byte-level BPE vocabulary")
+        if spec.get("decoder") is not None:
+            raise ValueError(f"{path} names a decoder; only files without one are decoded as the library does")
         self.end = model["end_of_word_suffix"] or ""
         self.vocab: dict[str, int] = model["vocab"]
         self.special = {x["content"]: x["id"] for x in spec["added_tokens"]}
         self.names = [""] * (1 + max([*self.vocab.values(), *self.special.values()]))
         for text, i in [*self.vocab.items(), *self.special.items()]:
             self.names[i] = text
+        self.name_bytes = [x.encode() for x in self.names]
         alphabet = byte_alphabet()
         byte_of = {c: b for b, c in enumerate(alphabet)}
         self.bytes = [b""] * len(self.names)
@@ -197,19 +200,37 @@ class Coder:
                 yield self._plain(piece)
 
     def token_text(self, pieces: Iterable[list[int]]) -> Iterator[str]:
-        """The library's form: token strings with a space between."""
-        gap = ""
+        """The library's form, as the file has no decoder: token strings with a space between."""
+        machine, ids_before = ByteText(self.name_bytes, b" "), False
         for ids in pieces:
             if ids:
-                yield gap + " ".join(map(self.names.__getitem__, ids))
-                gap = " "
+                yield (" " if ids_before else "") + machine.feed(ids)
+                ids_before = True
+        yield machine.end()
 
     def decode(self, pieces: Iterable[list[int]]) -> Iterator[str]:
         """The text of the ids, a space after every word."""
-        machine = codecs.getincrementaldecoder("utf-8")("replace")
+        machine = ByteText(self.bytes)
         for ids in pieces:
-            yield machine.decode(b"".join(map(self.bytes.__getitem__, ids)))
-        yield machine.decode(b"", final=True)
+            yield machine.feed(ids)
+        yield machine.end()
+
+
+class ByteText:
+    """Incremental byte-to-text state machine: gives out text as soon as its characters are whole.
+
+    Its state is the at most three bytes of an unfinished character; bytes that make none become U+FFFD.
+    """
+
+    def __init__(self, table: list[bytes], gap: bytes = b"") -> None:
+        self.bytes_of, self.gap = table.__getitem__, gap
+        self.machine = codecs.getincrementaldecoder("utf-8")("replace")
+
+    def feed(self, ids: list[int]) -> str:
+        return self.machine.decode(self.gap.join(map(self.bytes_of, ids)))
+
+    def end(self) -> str:
+        return self.machine.decode(b"", final=True)
 
 
 @lru_cache(maxsize=4)
@@ -229,27 +250,32 @@ def encoded(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
 
 
 def token_digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256: encodes, decodes the ids again, and hashes both as they stream."""
+    """doc_id, n_tokens, ids_sha256, decoded_sha256, restored_sha256 of every document.
+
+    The ids are decoded as they stream, by the state machine, to the library's form (token strings, as the file has no
+    decoder) and to the text that they stand for (a space after every word); all three are hashed piece by piece.
+    """
+    digests = ["ids_sha256", "decoded_sha256", "restored_sha256"]
+
+    def digest(code: Coder, text: str | None) -> tuple[int, str, str, str]:
+        n, hashes = 0, [hashlib.sha256() for _ in digests]
+        named, restored = ByteText(code.name_bytes, b" "), ByteText(code.bytes)
+        for ids in code.encode(text):
+            if ids:
+                gap = " " if n else ""
+                hashes[0].update((gap + " ".join(map(code.decimal.__getitem__, ids))).encode())
+                hashes[1].update((gap + named.feed(ids)).encode())
+                hashes[2].update(restored.feed(ids).encode())
+                n += len(ids)
+        hashes[1].update(named.end().encode())
+        hashes[2].update(restored.end().encode())
+        return n, *(x.hexdigest() for x in hashes)
 
     def each(batch: pa.RecordBatch) -> pa.RecordBatch:
         code = coder(path)
-        counts, ids_sha, text_sha = [], [], []
-        for text in batch.column(1).to_pylist():
-            n, of_ids, of_text = 0, hashlib.sha256(), hashlib.sha256()
-
-            def pieces() -> Iterator[list[int]]:
-                nonlocal n
-                for ids in code.encode(text):  # noqa: B023
-                    if ids:
-                        of_ids.update(((" " if n else "") + " ".join(map(code.decimal.__getitem__, ids))).encode())  # noqa: B023
-                        n += len(ids)
-                        yield ids
-
-            for part in code.token_text(pieces()):
-                of_text.update(part.encode())
-            counts.append(n)
-            ids_sha.append(of_ids.hexdigest())
-            text_sha.append(of_text.hexdigest())
-        return pa.record_batch([batch.column(0), pa.array(counts, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(text_sha, pa.string())], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
-
-    return map_batches(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")), each, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+        found = [digest(code, x) for x in batch.column(1).to_pylist()]
+        columns = [pa.array([x[0] for x in found], pa.int64())] + [pa.array([x[k] for x in found], pa.string()) for k in (1, 2, 3)]
+        return pa.record_batch([batch.column(0), *columns], names=["doc_id", "n_tokens", *digests])
+
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    return map_batches(texts, each, "doc_id long, n_tokens long, " + ", ".join(f"{x} string" for x in digests))

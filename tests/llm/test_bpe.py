@@ -1,7 +1,9 @@
 """BPE against the tokenizers library, on given texts, odd characters and long words."""
 
 import hashlib
+import json
 import random
+from pathlib import Path
 
 import pytest
 
@@ -33,9 +35,14 @@ def test_digests(request, library, source):
         ids = library.encode(r["text"] or "", add_special_tokens=False).ids
         text = library.decode(ids, skip_special_tokens=False)
         want.append((r["doc_id"], len(ids), hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(text.encode()).hexdigest()))
-    got = [tuple(r) for r in bpe.token_digests(frame, PATH).collect()]
+    digests = bpe.token_digests(frame, PATH)
+    got = [tuple(r)[:4] for r in digests.collect()]
     assert sorted(got, key=str) == sorted(want, key=str)
     assert bpe.encoded(frame, PATH).count() == frame.count()
+    # the state machine's text on all documents: the normalised words with a space after each
+    code = bpe.coder(PATH)
+    whole = [(r["doc_id"], hashlib.sha256(b"".join(code.bytes[i] for i in library.encode(r["text"] or "", add_special_tokens=False).ids).decode("utf-8", "replace").encode()).hexdigest()) for r in frame.collect()]
+    assert sorted(((r["doc_id"], r["restored_sha256"]) for r in digests.collect()), key=str) == sorted(whole, key=str)
 
 
 def test_empty(empty):
@@ -81,6 +88,14 @@ def test_decode_is_incremental_and_restores_words():
     assert "".join(code.decode([[inner[0xE6]], [inner[0xBC]]])) == "�"
 
 
+def test_a_file_with_a_decoder_is_refused(tmp_path):
+    spec = json.loads(Path(PATH).read_text())
+    assert spec.get("decoder") is None
+    (tmp_path / "v.json").write_text(json.dumps(spec | {"decoder": {"type": "ByteLevel"}}))
+    with pytest.raises(ValueError, match="decoder"):
+        bpe.Coder(str(tmp_path / "v.json"))
+
+
 def test_other_vocabularies_are_refused():
     with pytest.raises((ValueError, KeyError)):
         bpe.Coder(public_tokenizers.path("byte_bpe_50k.json"))
