@@ -10,6 +10,9 @@ The tables behind the last three come from grouped aggregation of the text model
 is left out of its own host's counts. Text likelihoods are tempered: trigrams of a text repeat each other, so n of them
 count as n * 200 / (n + 200). Short texts therefore lean on the other evidence, long ones on themselves.
 
+A text in none of the trained languages, or noise, is rejected too: a further class competes with the best language by the
+text's letters. Short texts hardly move its small prior.
+
 Defined cases: a text without trigrams, or null, has no text evidence; if nothing else speaks for a language either (best
 probability under `accept`), the row is rejected. Missing declarations, suffixes and hosts are values of their own. Ties go
 to the language first in order. Repeated rows get equal results. Without any labelled row the one language is `und` and
@@ -32,34 +35,68 @@ TEMPER = 200.0
 TRAIN_ROWS = 4000
 #: A row is accepted if its best language is at least this probable.
 ACCEPT = 0.5
+#: Prior odds that a text is in none of the trained languages; a row is rejected where its text makes that likelier than not.
+FOREIGN = 1e-4
 UNDETERMINED = "und"
 #: Pseudo-rows by which a host leans on its domain, and a domain on all rows.
 HOST_WEIGHT, DOMAIN_WEIGHT, EVIDENCE_WEIGHT = 5.0, 20.0, 2.0
 _MIX = (np.uint32(0x9E3779B1), np.uint32(0x85EBCA77), np.uint32(0xC2B2AE3D))
 
 
+def _codes(text: str | None) -> np.ndarray:
+    return np.frombuffer((text or "").lower().encode("utf-32-le", "surrogatepass"), np.uint32)
+
+
 def trigram_bins(text: str | None) -> np.ndarray:
     """Bins of the character trigrams of the lower-cased text."""
-    codes = np.frombuffer((text or "").lower().encode("utf-32-le", "surrogatepass"), np.uint32)
+    return _bins(_codes(text))
+
+
+def _bins(codes: np.ndarray) -> np.ndarray:
     if len(codes) < 3:
         return np.zeros(0, np.uint32)
     x = codes[:-2] * _MIX[0] + codes[1:-1] * _MIX[1] + codes[2:] * _MIX[2]
     return (x ^ (x >> np.uint32(15))) & np.uint32(BINS - 1)
 
 
+def _spelled(codes: np.ndarray) -> np.ndarray:
+    """Trigrams of letters and blanks only: digits and signs are of no language, and so no sign of a foreign one."""
+    plain = (codes >= 0xC0) | ((codes >= 0x61) & (codes <= 0x7A)) | (codes == 0x20)
+    return plain[:-2] & plain[1:-1] & plain[2:]
+
+
 class TextModel:
-    """Log-likelihood of each trigram bin in each language: languages * 65,536 numbers, whatever the data."""
+    """Log-likelihood of each trigram bin in each language: languages * 65,536 numbers, whatever the data.
+
+    A further class stands for all that is none of these languages. What foreign text looks like to a language's model, the
+    texts of the other languages show: its floor for a language lies half-way between the mean log-likelihood of a trigram
+    of that language and of one of the other language that comes nearest (of one from evenly filled bins, if there is none).
+    """
 
     def __init__(self, languages: list[str], logs: np.ndarray) -> None:
         self.languages, self.logs = languages, logs
-
-    def evidence(self, text: str | None) -> np.ndarray:
-        bins = trigram_bins(text)
-        total = np.zeros(len(self.languages))
+        shares = np.exp(logs.astype(np.float64))
+        means = shares.T @ logs / shares.sum(axis=0)[:, None]  # of the row's texts in the column's model
+        own = np.diag(means).copy()
+        np.fill_diagonal(means, -np.inf)
+        self.floors = (own + np.maximum(means.max(axis=0), -np.log(BINS))) / 2
+
+    def scores(self, text: str | None) -> tuple[np.ndarray, float]:
+        """Tempered log-likelihoods of the languages, the best 0, and of the further class against the best language."""
+        codes = _codes(text)
+        bins, spelled = _bins(codes), _spelled(codes) if len(codes) >= 3 else np.zeros(0, bool)
+        total, words = np.zeros(len(self.languages)), np.zeros(len(self.languages))
         for at in range(0, len(bins), 1 << 16):
-            total += self.logs[bins[at : at + (1 << 16)]].sum(axis=0, dtype=np.float64)
+            part = self.logs[bins[at : at + (1 << 16)]]
+            total += part.sum(axis=0, dtype=np.float64)
+            words += part[spelled[at : at + (1 << 16)]].sum(axis=0, dtype=np.float64)
+        n, best = int(spelled.sum()), int(total.argmax())
+        against = (self.floors[best] * n - words[best]) * TEMPER / (n + TEMPER)
         total *= TEMPER / (len(bins) + TEMPER)
-        return total - total.max()
+        return total - total.max(), float(against)
+
+    def evidence(self, text: str | None) -> np.ndarray:
+        return self.scores(text)[0]
 
 
 def train(labelled: DataFrame, text_col: str = "text", label_col: str = "lang", id_col: str = "doc_id", rows: int = TRAIN_ROWS) -> TextModel:
@@ -93,15 +130,17 @@ def train(labelled: DataFrame, text_col: str = "text", label_col: str = "lang",
 
 
 def with_evidence(df: DataFrame, model: TextModel, text: str) -> DataFrame:
-    """Adds text_evidence array<double>: tempered log-likelihoods, the best 0. text: a column, or struct.field."""
-    schema = T.StructType([*df.schema.fields, T.StructField("text_evidence", T.ArrayType(T.DoubleType()))])
+    """Adds text_evidence array<double> and text_against double, see TextModel.scores. text: a column, or struct.field."""
+    added = [T.StructField("text_evidence", T.ArrayType(T.DoubleType())), T.StructField("text_against", T.DoubleType())]
+    schema = T.StructType([*df.schema.fields, *added])
     column, _, field = text.partition(".")
     at, names = df.columns.index(column), schema.names
 
     def each(batch: pa.RecordBatch) -> pa.RecordBatch:
         texts = batch.column(at).field(field) if field else batch.column(at)
-        found = [model.evidence(x).tolist() for x in texts.to_pylist()]
-        return pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.list_(pa.float64()))], names=names)
+        found = [model.scores(x) for x in texts.to_pylist()]
+        evidence = pa.array([x.tolist() for x, _ in found], pa.list_(pa.float64()))
+        return pa.RecordBatch.from_arrays([*batch.columns, evidence, pa.array([x for _, x in found], pa.float64())], names=names)
 
     return map_batches(df, each, schema)
 
@@ -157,8 +196,9 @@ class Priors:
         out = out.withColumn("language", F.element_at(names, F.array_position("_logs", F.col("_best")).cast("int")))
         out = out.withColumn("text_language", F.element_at(names, F.array_position("text_evidence", F.array_max("text_evidence")).cast("int")))
         out = out.withColumn("probability", 1 / F.aggregate("_logs", F.lit(0.0), lambda a, x: a + F.exp(x - F.col("_best"))))
-        out = out.withColumn("accepted", (F.col("probability") >= accept) & (F.col("language") != UNDETERMINED))
-        return out.drop("_logs", "_best", "declared_sums", "suffix_sums", "host_sums", "domain_sums", "text_evidence")
+        known = F.col("text_against") + float(np.log(FOREIGN)) < 0
+        out = out.withColumn("accepted", (F.col("probability") >= accept) & known & (F.col("language") != UNDETERMINED))
+        return out.drop("text_against", "_logs", "_best", "declared_sums", "suffix_sums", "host_sums", "domain_sums", "text_evidence")
 
 
 def host_of(url: Column) -> Column:

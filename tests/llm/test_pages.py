@@ -4,6 +4,7 @@ import html
 import re
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from risewatch.llm import langid, pages
@@ -113,6 +114,23 @@ def test_fusion_against_plain_arithmetic(spark, docs):
         assert abs(r["probability"] - 1 / np.exp(logs - logs.max()).sum()) < 1e-9
 
 
+@pytest.mark.parametrize("foreign", ["fr", "es"])
+def test_foreign_texts_and_noise_are_rejected(spark, docs, foreign):
+    """A language that the model has not seen, and letters at random; digits and short texts are no reason."""
+    model = langid.train(docs.where(F.col("lang") != foreign))
+    got = langid.identify_documents(docs.where(F.length("text") > 60), model).select("document.lang", "accepted").collect()
+    known = [r["accepted"] for r in got if r["lang"] != foreign]
+    other = [r["accepted"] for r in got if r["lang"] == foreign]
+    assert np.mean(known) >= 0.97 and other and np.mean(other) <= 0.05
+    rng = np.random.default_rng(5)
+    noise = "".join(chr(c) for c in rng.integers(97, 123, 300))
+    english = docs.where("lang = 'en' and length(text) > 300").first()["text"]
+    rows = [(1, noise), (2, "Привет, мир: это русский текст о погоде в городе."), (3, english), (4, english[:12]), (5, english + " 4407620926593142" * 40)]
+    frame = spark.createDataFrame([(*r, "s") for r in rows], "doc_id long, text string, source string")
+    found = {r["doc_id"]: r["accepted"] for r in langid.identify_documents(frame, langid.train(docs)).select("document.doc_id", "accepted").collect()}
+    assert not found[1] and not found[2] and found[3] and found[5]
+
+
 def test_language_edge_cases(edge, empty):
     model = langid.train(edge)
     out = langid.identify_documents(edge, model)
