@@ -6,7 +6,8 @@ bucket is refined each time. Documents below the threshold are taken once more t
 a larger budget takes a superset of a smaller one.
 
 Defined cases: a null text has size 0; null is a source of its own and comes last; a table without words has targets 0;
-equal rows share a hash and are taken or left together; other columns, whatever their names, play no part.
+rows equal in id and text share a hash
+and are taken or left together, so a source misses its target by at most the words of one such set of rows; other columns, whatever their names, play no part.
 """
 
 from __future__ import annotations
@@ -89,8 +90,18 @@ def mix_plan(rows: DataFrame, **kind) -> DataFrame:
     return plan.select("source", "source_size", "target", "full", cut.alias("threshold"), F.lit(bits).alias("shift"))
 
 
+def _hash(seed: int, doc_id: str, text: str) -> Column:
+    """Of id and text: rows that share one id, or have none, still spread over the buckets."""
+    return F.xxhash64(F.lit(seed), F.col(doc_id), F.col(text)).alias("hash")
+
+
 def hashed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = 17) -> DataFrame:
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), words(F.col(text_col)).alias("size"), F.xxhash64(F.lit(seed), F.col(id_col)).alias("hash"))
+    return docs.select(
+        F.col(id_col).alias("doc_id"),
+        F.col(source_col).alias("source"),
+        words(F.col(text_col)).alias("size"),
+        _hash(seed, id_col, text_col),
+    )
 
 
 def copies_taken() -> Column:
@@ -109,6 +120,6 @@ def mixed(docs: DataFrame, seed: int = 17) -> DataFrame:
     """The documents of the mix, a row per copy, with the columns of docs. The plan (a row per source) joins the texts in place."""
     plan = mix_plan(settle(hashed(docs, seed=seed))).select(F.col("source").alias("_mix_source"), "full", "threshold")
     keep = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_mix_doc")
-    rows = docs.select(keep, F.xxhash64(F.lit(seed), F.col("doc_id")).alias("hash"))
+    rows = docs.select(keep, _hash(seed, "doc_id", "text"))
     taken = rows.join(plan, F.col("_mix_doc.source").eqNullSafe(F.col("_mix_source")), "inner")
     return taken.withColumn("_mix_copy", F.explode(F.array_repeat(F.lit(0), copies_taken().cast("int")))).select("_mix_doc.*")

@@ -5,7 +5,8 @@ one bucket fits a task. Pass 2 gives each bucket a Fisher-Yates permutation seed
 buckets in order are one random order of the whole table, which is cut into shards of equal row counts (at most one apart):
 law `rows`. A task keeps the permutation (8 bytes per row) and one Arrow batch, never the bucket's texts.
 
-Defined cases: a null text has no bytes; rows with equal id and text stay distinct rows with their own slots; with fewer
+Defined cases: a null text has no bytes; rows with equal id and text stay distinct rows with their own slots
+(they share a bucket; rows that share only an id, or have none, do not); with fewer
 rows than shards some shards are empty; other columns are carried along, but for columns named shard or slot, which the
 new ones replace.
 """
@@ -40,7 +41,7 @@ def shuffle_shards(docs: DataFrame, n_shards: int, seed: int = 7, id_col: str =
     weigh = docs.select((F.octet_length(text) + ROW_BYTES).alias("b")).agg(F.count("*"), F.sum("b")).first()
     n_rows, n_bytes = weigh[0], weigh[1] or 0
     n_buckets = max(1, -(-n_bytes // bucket_bytes))
-    mixed = docs.select(record.alias("record"), F.xxhash64(F.lit(seed), F.col(id_col)).alias("mix"), F.xxhash64(text).alias("tie"))
+    mixed = docs.select(record.alias("record"), F.xxhash64(F.lit(seed), F.col(id_col), text).alias("mix"), F.xxhash64(text).alias("tie"))
     mixed = mixed.withColumn("bucket", F.pmod(F.xxhash64("mix"), F.lit(n_buckets)))
     counts = mixed.groupBy("bucket").agg(F.count("*").alias("in_bucket"))
     counts = running_total(counts, F.col("bucket"), "in_bucket", "offset")

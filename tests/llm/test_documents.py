@@ -78,6 +78,22 @@ def test_a_collision_of_fingerprints_joins_nothing(spark, edge, monkeypatch):
     assert sorted(map(str, exact.exact_groups(edge).drop("row", "keep_row").collect())) == want
 
 
+@pytest.mark.parametrize("sizes", [(40, 16), (0, 7), (300, 1000)])
+def test_dealt_pieces_change_nothing(some, sizes):
+    """Texts above a size are cut into rows that all tasks hash and compare; the result is the same."""
+    want = sorted(map(str, exact.exact_groups(some).drop("row", "keep_row").collect()))
+    got = exact.exact_groups(some, dealt_from=sizes[0], piece=sizes[1])
+    assert sorted(map(str, got.drop("row", "keep_row").collect())) == want
+
+
+def test_a_collision_of_long_texts_joins_nothing(edge, monkeypatch):
+    want = sorted(map(str, exact.exact_groups(edge).drop("row", "keep_row").collect()))
+    sums = exact._long_prints
+    monkeypatch.setattr(exact, "_long_prints", lambda heads, pieces: sums(heads, pieces).withColumn("print", F.lit(0).cast("long")))
+    got = exact.exact_groups(edge, dealt_from=0, piece=5)
+    assert sorted(map(str, got.drop("row", "keep_row").collect())) == want
+
+
 # --- mixing -------------------------------------------------------------------
 
 
@@ -120,6 +136,16 @@ def test_mix(some):
     assert Counter(map(tuple, again)) == Counter(map(tuple, got))
 
 
+def test_rows_with_one_id_are_split(spark):
+    """A third of all rows without an id: the mix still meets its targets, and no bucket takes them all."""
+    rows = [(None if i % 3 == 0 else i, f"some words of text {i}", "ab"[i % 2]) for i in range(3000)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
+    taken = mixing.mix(frame).groupBy("source", "target").agg(F.sum("taken").alias("n")).collect()
+    assert all(abs(r["n"] - r["target"]) <= 5 for r in taken) and len(taken) == 2
+    shards = sharding.shuffle_shards(frame, 10, bucket_bytes=8_000).where("doc_id is null").groupBy("shard").count().collect()
+    assert len(shards) == 10 and max(r["count"] for r in shards) < 200
+
+
 def test_mixed_rows_are_the_mix(edge):
     want = Counter()
     for r in mixing.mix(edge).collect():
