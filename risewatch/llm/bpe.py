@@ -24,7 +24,7 @@ import json
 import unicodedata
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, repeat
 from pathlib import Path
 
 import pyarrow as pa
@@ -118,7 +118,7 @@ class Coder:
         """All merges applied, lowest rank first, leftmost first."""
         if len(ids) < 32:
             rank, never, product = self.rank.get, 1 << 30, self.product
-            ranks = [rank(pair, never) for pair in zip(ids, ids[1:], strict=False)]
+            ranks = list(map(rank, zip(ids, ids[1:], strict=False), repeat(never)))
             while ranks and (best := min(ranks)) < never:
                 i = ranks.index(best)
                 ids[i : i + 2] = [product[best]]
@@ -169,7 +169,12 @@ class Coder:
         if ids is None:
             data = word.encode("utf-8", "surrogatepass")
             step = self.window
-            ids = tuple(chain.from_iterable(self.word_ids(data[i : i + step] for i in range(0, len(data), step))))
+            if len(data) <= step:
+                symbols = list(map(self.inner.__getitem__, data))
+                symbols[-1] = self.last[data[-1]]
+                ids = tuple(self._merged(symbols))
+            else:
+                ids = tuple(chain.from_iterable(self.word_ids(data[i : i + step] for i in range(0, len(data), step))))
         if len(word) <= CACHED_LENGTH:
             if len(self.young) >= CACHED_WORDS:
                 self.old, self.young = self.young, {}
