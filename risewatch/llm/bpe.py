@@ -21,6 +21,7 @@ import codecs
 import hashlib
 import heapq
 import json
+import re
 import unicodedata
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
@@ -81,8 +82,10 @@ class Coder:
         self.product = [product for _, product in self.merges.values()]
         self.lookahead = self._lookahead()
         self.window = 4 * self.lookahead
-        # \s of the file's pattern is the White_Space property
-        self.words = regex.compile(pre[0]["pattern"]["Regex"].replace(r"\s", r"\p{White_Space}")).findall
+        # \s of the file's pattern is the White_Space property; texts in ASCII, already lowered, take the plainer form
+        pattern = pre[0]["pattern"]["Regex"]
+        self.any_words = regex.compile(pattern.replace(r"\s", r"\p{White_Space}")).findall
+        self.ascii_words = re.compile(pattern.replace(r"\p{L}", "a-z").replace(r"\p{N}", "0-9"), re.ASCII).findall
         self.split = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")").split if self.special else None
         self.decimal = [str(i) for i in range(len(self.names))]
         self.young: dict[str, tuple[int, ...]] = {}
@@ -185,7 +188,8 @@ class Coder:
         if not unicodedata.is_normalized("NFC", text):
             text = unicodedata.normalize("NFC", text)
         # sigma has no final form when characters are lowered one by one
-        words = self.words(text.replace("Σ", "σ").lower())
+        text = text.replace("Σ", "σ").lower()
+        words = self.ascii_words(text) if text.isascii() else self.any_words(text)
         found = list(map(self.young.get, words))
         if None in found:
             found = [self._new(w) if x is None else x for w, x in zip(words, found, strict=True)]

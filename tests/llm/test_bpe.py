@@ -57,6 +57,13 @@ def test_odd_texts(library):
         assert ids_of(text) == library.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+def test_ascii_texts(library):
+    rng = random.Random(6)
+    for _ in range(2000):
+        text = "".join(chr(rng.randrange(128)) for _ in range(rng.randint(0, 60)))
+        assert ids_of(text) == library.encode(text, add_special_tokens=False).ids, repr(text)
+
+
 def test_long_words_stream_through_a_window(library):
     """Tokens of words of any length; the window holds a bounded number of bytes whatever the word's length."""
     rng = random.Random(5)
