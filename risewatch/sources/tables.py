@@ -8,14 +8,18 @@ two and not hundreds of tiny ones.
 A table is a folder of versions (``v000001``, ...).  The newest version with a
 ``_SUCCESS`` mark is the table; Spark sets the mark as the last step of a job.
 Appends add to that version, replacements write the next one, so a replacement
-that dies leaves the table as it was and can be run again.  Writers are meant to
-be alone on a table; a version that has been replaced goes with the replacement
-after it, which gives its readers time to end.
+that dies leaves the table as it was and can be run again.  A replacement of weeks
+writes the years of these weeks only.  The name of an empty file beside it, its map
+(``_v000003.2023-1.2024-3``), tells which version holds each year.  Writers are
+meant to be alone on a table; a version that has been replaced goes with the
+replacement after it, which gives its readers time to end, and leaves behind the
+years that later versions still use.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -29,6 +33,8 @@ from risewatch.sources.pages import ARRIVAL
 
 WEEK, YEAR = "iso_week", "iso_year"
 WEEK_PARTITIONED = ("raw_stories", "keyword_events")
+# A map is a file's name, which stores limit to 255 bytes; beyond this the table is written whole.
+MAP_LENGTH = 200
 
 
 def years_of(weeks: Sequence[str]) -> list[str]:
@@ -59,6 +65,28 @@ class Tables:
         marked = [p.getName() for p in found if fs.exists(self._folder(f"{p}/_SUCCESS")[0])]
         return sorted(int(version[1:]) for version in marked if version[:1] == "v" and version[1:].isdigit())
 
+    def _listed(self, path: str) -> list[str]:
+        folder, fs = self._folder(path)
+        return [entry.getPath().getName() for entry in fs.listStatus(folder)] if fs.exists(folder) else []
+
+    def _years_in(self, path: str) -> list[str]:
+        return [x[len(YEAR) + 1 :] for x in self._listed(path) if x.startswith(f"{YEAR}=")]
+
+    def _map(self, name: str, version: int) -> dict[str, int] | None:
+        """The version that holds each year of a version's rows; None for a version written whole."""
+        mark = f"_v{version:06d}."
+        for entry in self._listed(f"{self.root}/{name}"):
+            if entry.startswith(mark):
+                held = (x.rsplit("-", 1) for x in entry[len(mark) :].split("."))
+                return {year: int(v) for year, v in held}
+        return None
+
+    def _whole_map(self, name: str, version: int) -> dict[str, int]:
+        found = self._map(name, version)
+        if found is None:
+            found = dict.fromkeys(self._years_in(self.path(name, version)), version)
+        return found
+
     def path(self, name: str, version: int | None = None) -> str:
         if version is None:
             version = (self.versions(name) or [1])[-1]
@@ -83,9 +111,7 @@ class Tables:
             years = years_of(weeks)
         done = self.versions(name)
         if done:
-            path = self.path(name, done[-1])
-            folders = self._folders(path, _partition(name), weeks if name in WEEK_PARTITIONED else years)
-            df = self.spark.read.schema(stored).option("basePath", path).parquet(*folders)
+            df = self._stored(name, done[-1], stored, weeks if name in WEEK_PARTITIONED else years)
         else:
             df = self.spark.createDataFrame([], stored)
         if weeks is not None:
@@ -96,6 +122,26 @@ class Tables:
             df = df.filter(F.substring(WEEK, 1, 4).isin(list(years)))
         return df.drop(YEAR)
 
+    def _stored(self, name: str, version: int, schema: T.StructType, values: Sequence[str] | None) -> DataFrame:
+        """The folders of these values in a version, from the versions that hold them."""
+        held = None if name in WEEK_PARTITIONED else self._map(name, version)
+        if held is None:
+            places = {version: values}
+        else:
+            of = lambda v: [y for y, holder in held.items() if holder == v and (values is None or y in values)]
+            places = {v: years for v in sorted(set(held.values())) if (years := of(v))} or {version: values}
+        parts = []
+        for v, wanted in places.items():
+            path = self.path(name, v)
+            folders = self._folders(path, _partition(name), wanted)
+            if len(places) == 1 or folders != [path]:
+                parts.append(self.spark.read.schema(schema).option("basePath", path).parquet(*folders))
+            # a year that a replacement has emptied has no folder
+        if not parts:
+            path = self.path(name, version)
+            parts = [self.spark.read.schema(schema).option("basePath", path).parquet(path)]
+        return reduce(DataFrame.unionByName, parts)
+
     def _folders(self, path: str, partition: str, values: Sequence[str] | None) -> list[str]:
         """The folders of these values, or the whole table's if no value is given or none has a folder."""
         if values is None:
@@ -119,7 +165,10 @@ class Tables:
         return self.read(name).count()
 
     def append(self, name: str, df: DataFrame) -> int:
-        """Add rows; returns how many."""
+        """Add rows; returns how many.  A table whose years lie in several versions is written anew."""
+        done = self.versions(name)
+        if name not in WEEK_PARTITIONED and done and self._map(name, done[-1]) is not None:
+            return self._replace(name, df, self.read(name))
         return self._write(name, df, self.path(name), "append")
 
     def overwrite(self, name: str, df: DataFrame) -> int:
@@ -127,23 +176,62 @@ class Tables:
         return self._replace(name, df)
 
     def replace_weeks(self, name: str, df: DataFrame, weeks: Sequence[str]) -> int:
-        """Replace all rows of some weeks by those of ``df``; returns the rows of ``df``.
+        """Replace all rows of some weeks by those that ``df`` has of them; returns their number.
 
-        For the small tables: the rows of other weeks are copied to the new version.
-        ``df`` may read the table itself.
+        For the small tables: the rows of other weeks of the same years are copied to the
+        new version; other years stay where they are.  ``df`` may read the table itself.
         """
-        others = self.read(name).filter(~F.col(WEEK).isin(list(weeks)) | F.col(WEEK).isNull())
-        return self._replace(name, df, others)
-
-    def _replace(self, name: str, df: DataFrame, others: DataFrame | None = None) -> int:
+        mine = F.col(WEEK).isin(list(weeks))
+        done = self.versions(name)
+        touched = years_of(weeks)
+        held = {}
+        if name not in WEEK_PARTITIONED and done:
+            held = {y: v for y, v in self._whole_map(name, done[-1]).items() if y not in touched}
+        if not held or len(_map_name(0, held)) > MAP_LENGTH:
+            others = self.read(name).filter(~mine | F.col(WEEK).isNull())
+            return self._replace(name, df.filter(mine), others)
+        others = self.read(name, years=touched).filter(~mine)
+        return self._replace(name, df.filter(mine), others, held | dict.fromkeys(touched, done[-1] + 1))
+
+    def _replace(
+        self, name: str, df: DataFrame, others: DataFrame | None = None, held: dict[str, int] | None = None
+    ) -> int:
+        """Write the next version; ``held`` is its map if it has some years only."""
         done = self.versions(name)
         new = (done or [0])[-1] + 1
+        self._delete_maps(name, new)  # of an attempt that died
+        if held is not None:
+            mark, fs = self._folder(f"{self.root}/{name}/{_map_name(new, held)}")
+            fs.create(mark, True).close()
         written = self._write(name, df, self.path(name, new), "overwrite", others)
-        for old in done[:-1]:
-            folder, fs = self._folder(self.path(name, old))
-            fs.delete(folder, True)
+        self._tidy(name, [*done[-1:], new])
         return written
 
+    def _delete_maps(self, name: str, version: int) -> None:
+        for entry in self._listed(f"{self.root}/{name}"):
+            if entry.startswith(f"_v{version:06d}."):
+                mark, fs = self._folder(f"{self.root}/{name}/{entry}")
+                fs.delete(mark, False)
+
+    def _tidy(self, name: str, kept: Sequence[int]) -> None:
+        """Remove what no kept version uses: whole older versions, or the years that newer ones have replaced."""
+        used = {(v, y) for version in kept for y, v in (self._map(name, version) or {}).items()}
+        older = [x for x in self._listed(f"{self.root}/{name}") if x[:1] == "v" and x[1:].isdigit()]
+        for version in sorted(int(x[1:]) for x in older):
+            if version >= min(kept):
+                continue
+            path = self.path(name, version)
+            if any(v == version for v, _ in used):
+                # the mark first: from here on this is no table, but a place of years
+                gone = ["_SUCCESS", *(f"{YEAR}={y}" for y in self._years_in(path) if (version, y) not in used)]
+                gone = [f"{path}/{x}" for x in gone]
+            else:
+                gone = [path]
+            for x in gone:
+                folder, fs = self._folder(x)
+                fs.delete(folder, True)
+            self._delete_maps(name, version)
+
     def _partitioned(self, name: str, df: DataFrame) -> DataFrame:
         schema, _ = TABLES[name]
         typed = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])
@@ -219,6 +307,10 @@ def _tie_break(df: DataFrame, order: Sequence[str | Column]) -> list[str]:
     return [c for c in df.columns if c not in named and c != "story_id"]
 
 
+def _map_name(version: int, held: dict[str, int]) -> str:
+    return f"_v{version:06d}." + ".".join(f"{year}-{v}" for year, v in sorted(held.items()))
+
+
 def _partition(name: str) -> str:
     return WEEK if name in WEEK_PARTITIONED else YEAR
 

@@ -261,6 +261,34 @@ def test_replacing_weeks_leaves_the_others(spark, tables):
     assert tables.row_count("weekly_mentions") == 2 and len(tables.versions("weekly_mentions")) == 2
 
 
+def test_a_replacement_leaves_the_files_of_other_years(spark, tables, tmp_path):
+    root = tmp_path / "tables/weekly_mentions"
+    files = lambda: {str(x.relative_to(root)) for x in root.rglob("*.parquet")}
+    tables.append("weekly_mentions", mentions_of(spark, "2022-W10", "2023-W50", "2024-W01", None))
+    before = {x for x in files() if "iso_year=2024" not in x}
+    for n in range(4):
+        assert tables.replace_weeks("weekly_mentions", mentions_of(spark, "2024-W01", "2024-W02"), ["2024-W01", "2024-W02"]) == 2
+        assert before <= files()
+        assert {x.split("/")[1] for x in files() - before} == {"iso_year=2024"}
+    rows = sorted((r.iso_week or "") for r in tables.read("weekly_mentions").collect())
+    assert rows == ["", "2022-W10", "2023-W50", "2024-W01", "2024-W02"]
+    assert [r.iso_week for r in tables.read("weekly_mentions", weeks=["2023-W50"]).collect()] == ["2023-W50"]
+    assert tables.versions("weekly_mentions") == [4, 5]
+    # a year that loses all its rows, an older year, rows of weeks that are not replaced, and an append
+    assert tables.replace_weeks("weekly_mentions", mentions_of(spark).limit(0), ["2024-W01", "2024-W02"]) == 0
+    assert tables.replace_weeks("weekly_mentions", mentions_of(spark, "2022-W11", "2023-W01"), ["2022-W11"]) == 1
+    assert sorted((r.iso_week or "") for r in tables.read("weekly_mentions").collect()) == ["", "2022-W10", "2022-W11", "2023-W50"]
+    assert tables.read("weekly_mentions", weeks=["2024-W01"]).count() == 0
+    emptied = ["2022-W10", "2022-W11", "2023-W50"]
+    assert tables.read("weekly_mentions", weeks=["2023-W01", "2024-W01"]).count() == 0
+    assert tables.append("weekly_mentions", mentions_of(spark, "2025-W01")) == 1
+    assert tables.row_count("weekly_mentions") == 5
+    assert tables.replace_weeks("weekly_mentions", mentions_of(spark).limit(0), emptied) == 0
+    assert [r.iso_week for r in tables.read("weekly_mentions").collect() if r.iso_week] == ["2025-W01"]
+    assert tables.read("weekly_mentions", weeks=["2022-W10", "2023-W50"]).count() == 0
+    assert tables.overwrite("weekly_mentions", mentions_of(spark, "2021-W01")) == 1 and tables.row_count("weekly_mentions") == 1
+
+
 def test_a_replacement_that_dies_loses_nothing(spark, tables, tmp_path):
     tables.append("weekly_mentions", mentions_of(spark, "2023-W50", "2024-W01"))
     before = sorted(map(tuple, tables.read("weekly_mentions").collect()))
