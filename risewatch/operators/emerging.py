@@ -21,6 +21,8 @@ from risewatch.taxonomy import Taxonomy
 # Documents a term must occur in, and terms kept per week.
 MIN_DOCS = 5
 TOP_TERMS = 20
+# Parts that texts are dealt to before they are split.
+SPREAD = 256
 
 
 def default_stop_words() -> list[str]:
@@ -31,18 +33,21 @@ def default_stop_words() -> list[str]:
 def terms_by_document(
     docs: DataFrame, group: str, doc: str, text: str, stop_words: Sequence[str]
 ) -> DataFrame:
-    """(group, doc, terms): words and pairs of neighbouring words, in order.
+    """(group, doc, copies, terms): words and pairs of neighbouring words, in order.
 
     The text is spread by document before it is split into terms, so counting
     terms needs no shuffle of the much larger term rows.  Both users of the
-    result read that one exchange.
+    result read that one exchange.  Texts grow manyfold when they are split, so
+    it has SPREAD parts, which adaptive execution does not merge.  ``copies`` is
+    the number of rows that share group and document.
     """
     return (
         docs.select(group, doc, text)
         .filter(F.col(text).isNotNull())
-        .repartition(F.col(group), F.col(doc))
+        .repartition(SPREAD, group, doc)
+        .withColumn("copies", F.count("*").over(Window.partitionBy(group, doc)))
         .withColumn("_tokens", term_tokens(text, stop_words))
-        .select(group, doc, with_bigrams(F.col("_tokens")).alias("terms"))
+        .select(group, doc, "copies", with_bigrams(F.col("_tokens")).alias("terms"))
     )
 
 
@@ -51,10 +56,28 @@ def _exploded(terms: Column, *keys: str, of: DataFrame) -> DataFrame:
     return rows.filter(F.col("term").isNotNull())
 
 
-def term_counts(terms: DataFrame, group: str, doc: str) -> DataFrame:
-    """(group, doc, term, tf)."""
-    rows = _exploded(F.col("terms"), group, doc, of=terms)
-    return rows.groupBy(group, doc, "term").agg(F.count("*").alias("tf"))
+def _counted(terms: DataFrame, group: str, doc: str) -> DataFrame:
+    """(group, doc, term, tf) of each row, from the runs of its sorted terms.
+
+    Counting in the row keeps no table of all documents' terms, so nothing is spilled.
+    """
+    starts = "filter(sequence(0, size(_sorted)), i -> i = 0 OR i = size(_sorted) OR _sorted[i] <> _sorted[i - 1])"
+    runs = "transform(slice(_starts, 1, size(_starts) - 1), (at, i) -> struct(_sorted[at] AS term, CAST(_starts[i + 1] - at AS BIGINT) AS tf))"
+    rows = (
+        terms.select(group, doc, F.sort_array("terms").alias("_sorted"))
+        .withColumn("_starts", F.expr(starts))
+        .select(group, doc, F.expr(runs).alias("_runs"))
+        .select(group, doc, F.inline_outer("_runs"))
+    )
+    return rows.filter(F.col("term").isNotNull())
+
+
+def term_counts(terms: DataFrame, group: str, doc: str, unique: bool = False) -> DataFrame:
+    """(group, doc, term, tf).  Only rows that share their document are added up; ``unique``: there are none."""
+    if unique:
+        return _counted(terms, group, doc)
+    shared = _counted(terms.filter("copies > 1"), group, doc).groupBy(group, doc, "term").agg(F.sum("tf").alias("tf"))
+    return _counted(terms.filter("copies = 1"), group, doc).unionByName(shared)
 
 
 def inverse_frequency(
@@ -84,8 +107,9 @@ def tfidf_scores(
     text: str = "title",
     min_docs: int = MIN_DOCS,
     stop_words: Sequence[str] | None = None,
+    unique: bool = False,
 ) -> DataFrame:
-    """(group, term, df, tfidf_score).  ``doc`` must be unique within a group.
+    """(group, term, df, tfidf_score).  ``doc`` should be unique within a group; ``unique`` says that it is.
 
     The table of frequent terms grows with the data, so its join carries no
     broadcast hint: below the planner's limit it is broadcast, beyond it the
@@ -97,7 +121,7 @@ def tfidf_scores(
     idf = inverse_frequency(docs, terms, group, text, min_docs)
     of_doc = Window.partitionBy(group, doc)
     return (
-        term_counts(terms, group, doc)
+        term_counts(terms, group, doc, unique)
         .join(idf, [group, "term"])
         .withColumn("_weight", F.col("tf") * F.col("idf"))
         .withColumn("_length", F.sqrt(F.sum(F.col("_weight") * F.col("_weight")).over(of_doc)))
@@ -138,5 +162,5 @@ def emerging_terms(
 ) -> DataFrame:
     """(term, iso_week, tfidf_score): the top terms of every week of stories."""
     dated = only_weeks(with_week(stories), weeks).filter(F.col("iso_week").isNotNull())
-    scores = tfidf_scores(dated, min_docs=min_docs, stop_words=stop_words)
+    scores = tfidf_scores(dated, min_docs=min_docs, stop_words=stop_words, unique=True)
     return top_terms(scores, taxonomy, top=top)

@@ -4,7 +4,15 @@ from collections import Counter, defaultdict
 
 from test_functions import model_terms
 
-from risewatch.operators.emerging import default_stop_words, emerging_terms, tfidf_scores, top_terms
+from risewatch.operators.emerging import (
+    SPREAD,
+    default_stop_words,
+    emerging_terms,
+    term_counts,
+    terms_by_document,
+    tfidf_scores,
+    top_terms,
+)
 from risewatch.taxonomy import Taxonomy
 
 
@@ -57,3 +65,23 @@ def test_ties_go_to_the_first_in_the_alphabet(spark):
         [("w", t, 1.0 + 1e-12 * i) for i, t in enumerate("dbca")], "iso_week string, term string, tfidf_score double"
     )
     assert sorted(r.term for r in top_terms(scores, Taxonomy({}), top=2).collect()) == ["a", "b"]
+
+
+def test_terms_are_counted_in_the_row(spark):
+    docs = spark.createDataFrame(
+        [("a", 1, "web rust web"), ("a", 2, "web"), ("a", 2, "web fast"), ("a", 3, ""), ("a", 4, None), ("b", 1, "web")],
+        "g string, d int, t string",
+    )
+    counts = term_counts(terms_by_document(docs, "g", "d", "t", []), "g", "d")
+    assert sorted(map(tuple, counts.collect())) == [
+        ("a", 1, "rust", 1), ("a", 1, "rust web", 1), ("a", 1, "web", 2), ("a", 1, "web rust", 1),
+        ("a", 2, "fast", 1), ("a", 2, "web", 2), ("a", 2, "web fast", 1), ("b", 1, "web", 1),
+    ]
+    # no table of a task's documents and terms: only rows that share a document are grouped
+    alone = term_counts(terms_by_document(docs, "g", "d", "t", []), "g", "d", unique=True)
+    assert "Aggregate" not in alone._jdf.queryExecution().executedPlan().toString()
+
+
+def test_texts_are_dealt_to_many_parts(spark):
+    docs = spark.createDataFrame([("a", 1, "web")], "g string, d int, t string")
+    assert terms_by_document(docs, "g", "d", "t", []).rdd.getNumPartitions() == SPREAD
