@@ -21,8 +21,9 @@ from risewatch.taxonomy import Taxonomy
 # Documents a term must occur in, and terms kept per week.
 MIN_DOCS = 5
 TOP_TERMS = 20
-# Parts that texts are dealt to before they are split.
+# Parts that texts and terms are dealt to, and slots that the documents of a group are dealt to.
 SPREAD = 256
+SLOT = "_slot"
 
 
 def default_stop_words() -> list[str]:
@@ -33,21 +34,22 @@ def default_stop_words() -> list[str]:
 def terms_by_document(
     docs: DataFrame, group: str, doc: str, text: str, stop_words: Sequence[str]
 ) -> DataFrame:
-    """(group, doc, copies, terms): words and pairs of neighbouring words, in order.
+    """(group, slot, doc, copies, terms): words and pairs of neighbouring words, in order.
 
-    The text is spread by document before it is split into terms, so counting
-    terms needs no shuffle of the much larger term rows.  Both users of the
-    result read that one exchange.  Texts grow manyfold when they are split, so
-    it has SPREAD parts, which adaptive execution does not merge.  ``copies`` is
-    the number of rows that share group and document.
+    The text is spread by group and slot, a hash of the document, before it is
+    split into terms, so counting terms needs no shuffle of the much larger term
+    rows.  Texts grow manyfold when they are split, so there are SPREAD parts,
+    which adaptive execution does not merge.  ``copies`` is the number of rows
+    that share group and document.
     """
     return (
         docs.select(group, doc, text)
         .filter(F.col(text).isNotNull())
-        .repartition(SPREAD, group, doc)
-        .withColumn("copies", F.count("*").over(Window.partitionBy(group, doc)))
+        .withColumn(SLOT, F.pmod(F.xxhash64(doc), F.lit(SPREAD)).cast("int"))
+        .repartition(SPREAD, group, SLOT)
+        .withColumn("copies", F.count("*").over(Window.partitionBy(group, SLOT, doc)))
         .withColumn("_tokens", term_tokens(text, stop_words))
-        .select(group, doc, "copies", with_bigrams(F.col("_tokens")).alias("terms"))
+        .select(group, SLOT, doc, "copies", with_bigrams(F.col("_tokens")).alias("terms"))
     )
 
 
@@ -83,16 +85,24 @@ def term_counts(terms: DataFrame, group: str, doc: str, unique: bool = False) ->
 def inverse_frequency(
     docs: DataFrame, terms: DataFrame, group: str, text: str, min_docs: int
 ) -> DataFrame:
-    """(group, term, df, idf) of the terms in at least ``min_docs`` documents."""
+    """(group, term, df, idf) of the terms in at least ``min_docs`` documents.
+
+    Documents are counted by slot, where their texts are, then by term in SPREAD
+    parts: no task keeps more than its share of the terms, however few partitions
+    a shuffle has by default.
+    """
     size = (
         docs.filter(F.col(text).isNotNull())
         .groupBy(group)
         .agg(F.count("*").alias("n"))
     )
     frequent = (
-        _exploded(F.array_distinct("terms"), group, of=terms)
-        .groupBy(group, "term")
+        _exploded(F.array_distinct("terms"), group, SLOT, of=terms)
+        .groupBy(group, SLOT, "term")
         .agg(F.count("*").alias("df"))
+        .repartition(SPREAD, group, "term")
+        .groupBy(group, "term")
+        .agg(F.sum("df").alias("df"))
         .filter(F.col("df") >= min_docs)
     )
     return frequent.join(size, group).select(
@@ -111,9 +121,9 @@ def tfidf_scores(
 ) -> DataFrame:
     """(group, term, df, tfidf_score).  ``doc`` should be unique within a group; ``unique`` says that it is.
 
-    The table of frequent terms grows with the data, so its join carries no
-    broadcast hint: below the planner's limit it is broadcast, beyond it the
-    join shuffles and adaptive execution splits the rows of a hot term.
+    The table of frequent terms grows with the data, so it is not broadcast: it
+    is hashed in SPREAD parts, past which the counts stream.  They are not sorted
+    for it, and the rows of a hot term are not kept.
     """
     if stop_words is None:
         stop_words = default_stop_words()
@@ -122,7 +132,9 @@ def tfidf_scores(
     of_doc = Window.partitionBy(group, doc)
     return (
         term_counts(terms, group, doc, unique)
-        .join(idf, [group, "term"])
+        .repartition(SPREAD, group, "term")
+        .join(idf.hint("shuffle_hash"), [group, "term"])
+        .repartition(SPREAD, group, doc)
         .withColumn("_weight", F.col("tf") * F.col("idf"))
         .withColumn("_length", F.sqrt(F.sum(F.col("_weight") * F.col("_weight")).over(of_doc)))
         .groupBy(group, "term")

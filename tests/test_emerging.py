@@ -85,3 +85,11 @@ def test_terms_are_counted_in_the_row(spark):
 def test_texts_are_dealt_to_many_parts(spark):
     docs = spark.createDataFrame([("a", 1, "web")], "g string, d int, t string")
     assert terms_by_document(docs, "g", "d", "t", []).rdd.getNumPartitions() == SPREAD
+
+
+def test_shuffles_of_terms_have_their_own_parts(spark):
+    docs = spark.createDataFrame([("a", i, "web rust") for i in range(9)], "g string, d int, t string")
+    plan = tfidf_scores(docs, "g", "d", "t", unique=True)._jdf.queryExecution().executedPlan().toString()
+    # few default partitions do not make a task keep more terms
+    assert plan.count(f", {SPREAD}), REPARTITION_BY_NUM") == 5
+    assert "ShuffledHashJoin" in plan
