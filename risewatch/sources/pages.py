@@ -13,6 +13,15 @@ from risewatch.schemas import HIT_TEXT, PAGE_TEXT, UNREADABLE
 ARRIVAL = "arrival"
 
 
+def _once(parsed: Column) -> Column:
+    """``parsed`` as a generator of one row.
+
+    The optimiser would put an expression itself into every column and filter that
+    reads a field of it, and parse the text anew for each.
+    """
+    return F.explode_outer(F.array(parsed))
+
+
 def page_columns(text: DataFrame, file: Column) -> DataFrame:
     """(hits, page, nbPages, nbHits, unreadable, file) of pages read as text.
 
@@ -44,7 +53,7 @@ def parse_pages(json_text: DataFrame, column: str = "value") -> DataFrame:
     page = F.from_json(column, PAGE_TEXT, options)
     # a null text is as unreadable as a broken one
     whole = F.when(F.col(column).rlike(r"(?s)^\s*\{"), page)
-    text = json_text.select(whole.alias("p"), F.col(column).alias("_text")).select(
+    text = json_text.select(_once(whole).alias("p"), F.col(column).alias("_text")).select(
         *[f"p.{f.name}" for f in PAGE_TEXT if f.name != UNREADABLE],
         F.when(F.col("p").isNull(), F.coalesce("_text", F.lit(""))).otherwise(F.col(f"p.{UNREADABLE}")).alias(UNREADABLE),
     )
@@ -87,7 +96,7 @@ def hits(pages: DataFrame) -> DataFrame:
         .when(odd("num_comments"), "unreadable comments")
     )
     return (
-        rows.withColumn("hit", F.from_json("json", HIT_TEXT))
+        rows.select("*", _once(F.from_json("json", HIT_TEXT)).alias("hit"))
         .select(F.struct("file", F.col("page_no").alias("page"), "position").alias(ARRIVAL), "json", "hit.*")
         .withColumn("reason", reason)
     )

@@ -326,3 +326,12 @@ def test_week_filter_prunes_every_table(tables, name):
 def test_week_filter_keeps_the_rows_of_the_week(tables, make_stories):
     tables.insert_stories(make_stories([story(1, 15), story(2, 25)]))
     assert [r.story_id for r in tables.read("raw_stories", weeks=["2024-W03"]).collect()] == [1]
+
+
+def test_each_text_is_parsed_once(spark):
+    """No column and no filter has its own copy of the parsing."""
+    texts = spark.range(2).selectExpr("""concat('{"page": 0, "hits": [{"objectID": "', id, '", "title": "a"}]}') AS value""")
+    for rows in (parse_hits(parse_pages(texts)), rejected_hits(parse_pages(texts).drop("unreadable"))):
+        plan = rows._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("from_json(") == 2  # the page, the hit
+    assert sorted(r.story_id for r in parse_hits(parse_pages(texts)).collect()) == [0, 1]
