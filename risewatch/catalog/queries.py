@@ -220,6 +220,11 @@ def q_merge_replace(spark, sf):
 
 def q_row_counts(spark, sf):
     scored = _scored(spark, sf)
+    # the rollup is small and read twice: stored, so that stories are not detected for each reader
+    path = f"{scratch(spark)}/mentions"
+    scored["weekly_mentions"].write.parquet(path)
+    mentions = spark.read.parquet(path)
+    scored |= {"weekly_mentions": mentions, "keyword_velocity": keyword_velocity(mentions)}
     frames = {"raw_stories": trend_stories(spark, sf), **scored}
     return reduce(
         DataFrame.unionByName,

@@ -41,5 +41,10 @@ def test_query_equals_its_twin(spark, engine, name):
     assert normal(expected) == normal(got.select(*columns).collect())
 
 
+def test_row_counts_detect_once_for_the_rollup(spark):
+    plan = all_queries()["row_counts"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all(") == 1  # for the events; weekly mentions and velocity read the stored rollup
+
+
 def test_flagship(spark):
     assert driver.entry(spark).count() > 0
