@@ -70,16 +70,22 @@ def words(text: Column | str) -> Column:
     """Maximal runs of word characters, lower-cased, in order.
 
     The letters in :data:`FOLDED` are replaced first, so that comparing words is
-    the same as comparing without regard to case.
+    the same as comparing without regard to case.  A text with a byte for each
+    character is ASCII and holds none of them, so no pattern looks for them there.
     """
     text = F.col(text) if isinstance(text, str) else text
     folded = F.when(
-        text.rlike(f"[{FOLDED}]"),
+        (F.octet_length(text) != F.char_length(text)) & text.rlike(f"[{FOLDED}]"),
         F.translate(text, FOLDED, "iisk"),
     ).otherwise(text)
     return F.regexp_extract_all(F.lower(folded), F.lit(f"{WORD}+"), F.lit(0))
 
 
+def sql_text(text: str) -> str:
+    """A text as a literal of SQL."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def spark_pattern(pattern: str) -> str:
     r"""A pattern written with ``\b`` as a case-insensitive Unicode one for ``rlike``."""
     return "(?iU)" + pattern.replace(r"\b", BOUNDARY)

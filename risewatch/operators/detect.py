@@ -16,14 +16,12 @@ from collections import defaultdict
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from risewatch.functions.text import match_text, spark_pattern, whole_word_pattern, words
+from risewatch.functions.text import match_text, spark_pattern, sql_text, whole_word_pattern, words
 from risewatch.functions.time import week_label
 from risewatch.taxonomy import Taxonomy
 
 # Prefix of working columns, so that none of a story's own columns is hit.
 OWN = "_risewatch_"
-# Between a name and its pattern; no name holds it.
-PART = "\x01"
 # Words in a bucket on average.
 BUCKET_WORDS = 4
 
@@ -51,16 +49,17 @@ def _filed(taxonomy: Taxonomy) -> tuple[dict[str, list[tuple[str, str | None]]],
     return dict(filed), unknown
 
 
-def _sql(text: str) -> str:
-    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+def _named(name: str, pattern: str) -> str:
+    return f"named_struct('name', {sql_text(name)}, 'pattern', {sql_text(pattern)})"
 
 
 def _table_of(filed: dict[str, list[tuple[str, str | None]]]) -> tuple[str, int]:
     """SQL of an array of maps from word to names, one map for each hash bucket, and the number of buckets.
 
-    A name with a pattern is written as name, PART, pattern.  It is one text of SQL,
-    which the optimiser folds to a literal, as thousands of column objects take
-    longer to make than the detection to run.
+    Names are structs of name and pattern, which is empty for a name that is its word:
+    fields are read in place, where a text of both would be split for every match.  It is
+    one text of SQL, which the optimiser folds to a literal, as thousands of column
+    objects take longer to make than the detection to run.
     """
     n = max(1, len(filed) // BUCKET_WORDS)
     buckets: list[list[str]] = [[] for _ in range(n)]
@@ -68,9 +67,10 @@ def _table_of(filed: dict[str, list[tuple[str, str | None]]]) -> tuple[str, int]
         buckets[zlib.crc32(word.encode()) % n].append(word)
 
     def names(word: str) -> str:
-        return "array(" + ", ".join(_sql(name + PART + (pattern or "")) for name, pattern in filed[word]) + ")"
+        return "array(" + ", ".join(_named(name, pattern or "") for name, pattern in filed[word]) + ")"
 
-    maps = ["map(" + ", ".join(f"{_sql(w)}, {names(w)}" for w in words) + ")" if words else "map('', array(''))" for words in buckets]
+    nothing = f"map('', array({_named('', '')}))"
+    maps = ["map(" + ", ".join(f"{sql_text(w)}, {names(w)}" for w in words) + ")" if words else nothing for words in buckets]
     return f"array({', '.join(maps)})", n
 
 
@@ -87,15 +87,16 @@ def detect_keywords(
     nothing = F.array().cast(_NO_NAMES)
     known, parts = nothing, []
     if filed:
-        known = F.expr(f"array_distinct(filter({OWN}words, w -> w IN ({', '.join(map(_sql, filed))})))")
+        known = F.expr(f"array_distinct(filter({OWN}words, w -> w IN ({', '.join(map(sql_text, filed))})))")
         table, n = _table_of(filed)
         names = F.expr(f"flatten(transform({OWN}seen, w -> element_at(element_at({table}, CAST(crc32(w) % {n} + 1 AS INT)), w)))")
 
         def right(name: Column) -> Column:
-            pattern = F.split_part(name, F.lit(PART), F.lit(2))
-            return (pattern == "") | F.regexp_like(text, pattern)
+            return (name["pattern"] == "") | F.regexp_like(text, name["pattern"])
 
-        parts.append(F.transform(F.filter(names, right), lambda name: F.split_part(name, F.lit(PART), F.lit(1))))
+        if any(pattern for found in filed.values() for _, pattern in found):
+            names = F.filter(names, right)
+        parts.append(names["name"])
     if unknown:
         parts.append(F.array_compact(F.array(*[F.when(text.rlike(_pattern_of(taxonomy, n)), F.lit(n)) for n in unknown])))
     found = F.sort_array(F.array_distinct(F.concat(*parts))) if parts else nothing

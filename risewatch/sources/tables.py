@@ -268,15 +268,22 @@ class Tables:
             order = (ARRIVAL,) if ARRIVAL in stories.columns else ("created_at",)
         stamp = F.current_timestamp().cast("timestamp_ntz") if fetched_at is None else fetched_at
         known = self.ids.begin(self.read("raw_stories"))
-        new = first_per_key(self.ids.dealt(stories), ["story_id"], [*order, *_tie_break(stories, order)])
-        new = not_yet_stored(new, known, ["story_id"])
+        first = known.isEmpty()
+        # a first load meets no ids, so it need not lie in their few buckets
+        dealt = stories.repartition("story_id") if first else self.ids.dealt(stories)
+        new = first_per_key(dealt, ["story_id"], [*order, *_tie_break(stories, order)])
+        if not first:
+            new = not_yet_stored(new, known, ["story_id"])
         written = self.append(
             "raw_stories",
             new.withColumn("score", F.coalesce("score", F.lit(0)))
             .withColumn("num_comments", F.coalesce("num_comments", F.lit(0)))
             .withColumn("fetched_at", stamp),
         )
-        if written:
+        if written and first:
+            # where nothing was stored the stories are this load, without its copies
+            self.ids.append(self.read("raw_stories"))
+        elif written:
             self.ids.append(not_yet_stored(stories.select("story_id"), known, ["story_id"]))
         self.ids.end()
         return written

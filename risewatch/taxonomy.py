@@ -12,6 +12,8 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
+from risewatch.functions.text import sql_text
+
 # The built-in names by category.
 CATEGORIES = {
     "Languages": [
@@ -91,10 +93,16 @@ class Taxonomy:
         return name not in self.patterns and _WORD_RUN.fullmatch(name) is not None
 
     def dataframe(self, spark: SparkSession) -> DataFrame:
-        """(keyword, category), one row per name."""
-        return spark.createDataFrame(
-            sorted(self.category_of().items()), "keyword string, category string"
-        )
+        """(keyword, category), one row per name.
+
+        Literal rows, so the planner knows that they are few: of an RDD it knows no size, and
+        a join with it would shuffle the other side by keyword.
+        """
+        rows = sorted(self.category_of().items())
+        if not rows:
+            return spark.createDataFrame([], "keyword string, category string")
+        values = ", ".join(f"({sql_text(name)}, {sql_text(category)})" for name, category in rows)
+        return spark.sql(f"SELECT * FROM VALUES {values} AS t(keyword, category)")
 
 
 DEFAULT = Taxonomy(CATEGORIES, PATTERNS)

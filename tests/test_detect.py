@@ -194,3 +194,27 @@ def test_the_word_join_moves_no_text(spark):
     while join.nodeName() != "Join":
         join = join.children().apply(0)
     assert "title" not in join.left().output().toString() and "tag" not in join.left().output().toString()
+
+
+def test_categories_do_not_move_the_events(spark, make_stories):
+    stories = make_stories([(1, "Rust and Go", 5, 1, "2024-01-02 10:00:00")])
+    plan = keyword_events(stories, DEFAULT)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan and "BroadcastHashJoin" in plan
+
+
+def test_names_and_categories_hold_any_sign(spark, make_stories):
+    odd = Taxonomy({"It's \\ here": ["Rust", "O'Neil", "a\\b"]})
+    stories = make_stories([(1, "rust by o'neil in a\\b", 5, 1, "2024-01-02 10:00:00")])
+    found = keyword_events(stories, odd).select("keyword", "category").collect()
+    assert sorted(map(tuple, found)) == [(n, "It's \\ here") for n in ("O'Neil", "Rust", "a\\b")]
+    assert keyword_events(stories, Taxonomy({})).count() == 0
+
+
+def test_only_texts_beyond_ascii_are_searched_for_folded_letters(spark):
+    from risewatch.functions.text import words
+
+    texts = ["Go_2 x", "a-b.C++ 9", "", " ", None, "caf\u00e9 RU\u017fT \u0130x", "x\u0301y", "A\x00b\x7fc", "\u0663 \u00b2"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = [r.w for r in df.select("i", words("t").alias("w")).orderBy("i").collect()]
+    assert got == [["go_2", "x"], ["a", "b", "c", "9"], [], [], None, ["caf\u00e9", "rust", "ix"], ["x", "y"], ["a", "b", "c"], ["\u0663", "\u00b2"]]
+    assert "octet_length(t" in df.select(words("t"))._jdf.queryExecution().optimizedPlan().toString()

@@ -335,3 +335,19 @@ def test_each_text_is_parsed_once(spark):
         plan = rows._jdf.queryExecution().optimizedPlan().toString()
         assert plan.count("from_json(") == 2  # the page, the hit
     assert sorted(r.story_id for r in parse_hits(parse_pages(texts)).collect()) == [0, 1]
+
+
+def test_a_first_load_is_not_bound_to_the_buckets_of_ids(spark, tables, make_stories, monkeypatch):
+    dealt, added = [], []
+    monkeypatch.setattr(tables.ids, "dealt", lambda rows, real=tables.ids.dealt: dealt.append(rows.columns) or real(rows))
+    monkeypatch.setattr(tables.ids, "append", lambda ids, real=tables.ids.append: added.append(ids.inputFiles()) or real(ids))
+    day = "2024-01-02 10:00:00"
+    assert tables.insert_stories(make_stories([(1, "a", 1, 1, day), (1, "b", 1, 1, day), (2, "c", 1, 1, day)]), ["title"]) == 2
+    assert all(columns == ["story_id"] for columns in dealt)
+    assert all("raw_stories" in path for paths in added for path in paths) and added[-1]
+    # the next one is dealt as the ids are, and finds them
+    dealt.clear()
+    assert tables.insert_stories(make_stories([(2, "d", 1, 1, day), (3, "e", 1, 1, day)]), ["title"]) == 1
+    assert any("title" in columns for columns in dealt)
+    assert sorted((r.story_id, r.title) for r in tables.read("raw_stories").collect()) == [(1, "a"), (2, "c"), (3, "e")]
+    assert sorted(r.story_id for r in tables.ids.read().collect()) == [1, 2, 3]
