@@ -12,7 +12,8 @@ What is no main text by nature is told by tags, roles, and names: a class or id
 ("cookie-notice", "site-header"), so "no-sidebar" or "article-header" say nothing. If names would leave a page without any
 text, they are not followed on that page.
 
-Between the passes the blocks travel compressed, without markup; a host's pages are never gathered. A page takes time and
+Between the passes the blocks are stored compressed, without markup, in buckets: pass 2 reads them where they lie, and only
+hashes are shuffled to them. A host's pages are never gathered. A page takes time and
 memory in proportion to its length, however it nests or whatever it leaves open.
 
 Defined cases: null or empty html gives empty text; broken markup is closed as browsers do for paragraphs and list items,
@@ -35,10 +36,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from risewatch.llm.langid import host_of
-from risewatch.llm.shared import map_batches, settle, with_row
+from risewatch.llm.shared import map_batches, settle, settle_by, with_row
 
 #: A subtree is template if it is in at least this many pages of the host with as many rests; within articles in this share too.
 MIN_PAGES, MIN_SHARE = 5, 0.5
+#: Parsed pages lie in so many buckets of their row number.
+BUCKETS = 32
 
 _TAG = re.compile(r"<(/?)([A-Za-z][^\s/>]*)")
 #: The rest of a tag: a quoted value only after an equals sign. Nothing is tried twice.
@@ -285,19 +288,22 @@ def recurring(parsed: DataFrame, min_pages: int = MIN_PAGES, min_share: float =
     return found.join(settle(template.select("host", "hash")), ["host", "hash"], "left_semi").select("row", "hash", "over")
 
 
-def parsed_pages(pages: DataFrame) -> DataFrame:
-    """row, page_id, url, host, subtrees, packed of every page, stored."""
+def parsed_pages(pages: DataFrame, buckets: int = BUCKETS) -> DataFrame:
+    """row, page_id, url, host, subtrees, packed of every page, stored in buckets of row."""
     rows = with_row(pages.select(F.col("page_id"), F.col("url"), host_of(F.col("url")).alias("host"), F.col("html"))).select("row", "page_id", "url", "host", "html")
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields[:4])
-    return settle(map_batches(rows, _parse_batch, f"{kinds}, subtrees array<struct<hash:long,rest:long,inside:boolean,over:boolean>>, packed binary"))
+    parsed = map_batches(rows, _parse_batch, f"{kinds}, subtrees array<struct<hash:long,rest:long,inside:boolean,over:boolean>>, packed binary")
+    return settle_by(parsed, "row", buckets)
 
 
 def main_text(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
     """page_id, url, text, n_chars of every page."""
     parsed = parsed_pages(pages)
-    # pages meet only what is to go from text that would be kept; stored, so that few such pages need no shuffle of all
+    # pages meet only what is to go from text that would be kept
     on_page = recurring(parsed, min_pages, min_share).where("over")
     removed = settle(on_page.groupBy("row").agg(F.collect_list("hash").alias("removed")))  # at most a page's own subtrees
-    joined = parsed.select("row", "page_id", "url", "packed").join(removed, "row", "left").select("page_id", "url", "packed", "removed")
+    # the hashes of a bucket's pages are hashed in memory and its blocks stream past: they are neither shuffled nor sorted
+    joined = parsed.select("row", "page_id", "url", "packed").join(removed.hint("shuffle_hash"), "row", "left")
+    joined = joined.select("page_id", "url", "packed", "removed")
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in joined.schema.fields[:2])
     return map_batches(joined, _text_batch, f"{kinds}, text string, n_chars long")

@@ -34,11 +34,27 @@ def settle(df: DataFrame, codec: str = "snappy") -> DataFrame:
     The folder is deleted when the driver's JVM ends.
     """
     spark = df.sparkSession
-    path = f"{scratch_root(spark)}/risewatch-{uuid.uuid4().hex}"
+    path = _scratch_path(spark)
     df.write.option("compression", codec).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def settle_by(df: DataFrame, key: str, buckets: int) -> DataFrame:
+    """settle, in buckets of a key: a join on the key alone moves its other side only. A task that writes makes a file a bucket."""
+    spark = df.sparkSession
+    name = f"risewatch_{uuid.uuid4().hex}"
+    df.write.format("parquet").option("path", _scratch_path(spark)).option("compression", "snappy").bucketBy(buckets, key).saveAsTable(name)
+    stored = spark.table(name)
+    # the catalogue forgets the name; the frame knows the files, which stay
+    spark.sql(f"DROP TABLE {name}")
+    return stored
+
+
+def _scratch_path(spark: SparkSession) -> str:
+    path = f"{scratch_root(spark)}/risewatch-{uuid.uuid4().hex}"
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
     hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
-    return spark.read.schema(df.schema).parquet(path)
+    return path
 
 
 def with_row(docs: DataFrame, name: str = "row") -> DataFrame:

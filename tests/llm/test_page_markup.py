@@ -79,3 +79,18 @@ def test_the_article_is_the_text_of_many_given_pages(spark):
         article = re.search(r"<article>(.*)</article>", r["html"], re.S)[1]
         parts = [" ".join(html.unescape(re.sub("<[^>]*>", "", x)).split()) for x in re.split(r"</?(?:p|h1|div)\b[^>]*>", article)]
         assert got[r["page_id"]] == "\n\n".join(x for x in parts if x)
+
+
+def test_blocks_are_not_shuffled_to_what_goes(spark):
+    rows = [(i, f"https://a.example/{i}", f"<p>Same foot of the site</p><article><p>Story {i} of its own</p></article>") for i in range(40)]
+    found = pages.main_text(spark.createDataFrame(rows, "page_id long, url string, html string"))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as with many pages
+        found = found.select("*")
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        got = {r["page_id"]: r["text"] for r in found.collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert plan.count("Exchange") == 1 and "Bucketed: true" in plan and "Sort " not in plan
+    assert got == {i: f"Story {i} of its own" for i in range(40)}
