@@ -578,7 +578,7 @@ def q_table_states(spark, sf):
     tables = Tables(spark, root)
     created = [("created", name, tables.row_count(name)) for name in TABLES]
     tables.insert_stories(trend_feed(spark, sf), TREND_ORDER)
-    tables.append("keyword_events", keyword_events(tables.read("raw_stories"), PART_TAXONOMY))
+    tables.append("keyword_events", keyword_events(tables.read("raw_stories"), PART_TAXONOMY), like="raw_stories")
     states += [("filled", name, tables.read(name)) for name in ("raw_stories", "keyword_events")]
     counted = [df.agg(F.count("*").alias("n_rows")).select(F.lit(s).alias("state"), F.lit(n).alias("table_name"), "n_rows") for s, n, df in states]
     fresh = spark.range(1).select(F.explode(F.array(*[F.struct(F.lit(s).alias("state"), F.lit(n).alias("table_name"), F.lit(k).cast("long").alias("n_rows")) for s, n, k in created])).alias("r")).select("r.*")

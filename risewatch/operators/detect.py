@@ -3,9 +3,9 @@
 Every name is filed under one word that its matches contain.  The words of a text
 that some name is filed under are found in a hash set, their names in a table cut
 into small buckets by a hash of the word, and names that are more than that word
-are verified with their pattern.  Time per text follows its own words and matches,
-not the number of names.  Everything is a projection: no shuffle, no join, no
-Python.
+are verified with their pattern.  Where every name is its word none is looked up.
+Time per text follows its own words and matches, not the number of names.
+Everything is a projection: no shuffle, no join, no Python.
 """
 
 from __future__ import annotations
@@ -49,6 +49,11 @@ def _filed(taxonomy: Taxonomy) -> tuple[dict[str, list[tuple[str, str | None]]],
     return dict(filed), unknown
 
 
+def _are_words(filed: dict[str, list[tuple[str, str | None]]]) -> bool:
+    """Whether every name is the word it is filed under, so that the words found are the names."""
+    return all(found == [(word, None)] for word, found in filed.items())
+
+
 def _named(name: str, pattern: str) -> str:
     return f"named_struct('name', {sql_text(name)}, 'pattern', {sql_text(pattern)})"
 
@@ -88,6 +93,9 @@ def detect_keywords(
     known, parts = nothing, []
     if filed:
         known = F.expr(f"array_distinct(filter({OWN}words, w -> w IN ({', '.join(map(sql_text, filed))})))")
+    if filed and _are_words(filed):
+        parts.append(seen)
+    elif filed:
         table, n = _table_of(filed)
         names = F.expr(f"flatten(transform({OWN}seen, w -> element_at(element_at({table}, CAST(crc32(w) % {n} + 1 AS INT)), w)))")
 
@@ -156,7 +164,7 @@ def name_table(stories: DataFrame, taxonomy: Taxonomy) -> DataFrame:
 
 def with_category(df: DataFrame, taxonomy: Taxonomy, default: str = "Unknown") -> DataFrame:
     """Add ``category`` by keyword; names outside the taxonomy get ``default``."""
-    table = taxonomy.dataframe(df.sparkSession)
+    table = F.broadcast(taxonomy.dataframe(df.sparkSession))
     return df.join(table, "keyword", "left").withColumn(
         "category", F.coalesce("category", F.lit(default))
     )

@@ -51,8 +51,9 @@ class StoredIds:
         return rows.repartition(self.buckets, self.key)
 
     def append(self, ids: DataFrame) -> None:
+        """Store ids that come once each: they are shuffled to their buckets only, not to find copies as well."""
         self._register()
-        ids = self.dealt(ids.select(self.key).filter(F.col(self.key).isNotNull()).distinct())
+        ids = self.dealt(ids.select(self.key).filter(F.col(self.key).isNotNull()))
         ids.write.format("parquet").mode("append").bucketBy(self.buckets, self.key).saveAsTable(self.table)
 
     def begin(self, stories: DataFrame) -> DataFrame:
@@ -62,7 +63,7 @@ class StoredIds:
         if fs.exists(mark) or not fs.exists(data):
             fs.create(mark, True).close()
             fs.delete(data, True)
-            self.append(stories)
+            self.append(stories.select(self.key).distinct())
         else:
             fs.create(mark, True).close()
         return self.read()

@@ -35,6 +35,8 @@ WEEK, YEAR = "iso_week", "iso_year"
 WEEK_PARTITIONED = ("raw_stories", "keyword_events")
 # A map is a file's name, which stores limit to 255 bytes; beyond this the table is written whole.
 MAP_LENGTH = 200
+# A table is in pieces if it has more files than this for each folder and they are smaller than this on average.
+FILES_A_FOLDER, SMALL_FILE = 4, 4 << 20
 
 
 def years_of(weeks: Sequence[str]) -> list[str]:
@@ -164,16 +166,28 @@ class Tables:
     def row_count(self, name: str) -> int:
         return self.read(name).count()
 
-    def append(self, name: str, df: DataFrame) -> int:
-        """Add rows; returns how many.  A table whose years lie in several versions is written anew."""
+    def in_pieces(self, name: str) -> bool:
+        """Whether a table lies in many small files, as many small loads leave it."""
+        folder, fs = self._folder(self.path(name))
+        held = fs.getContentSummary(folder)
+        files = held.getFileCount()
+        return files > FILES_A_FOLDER * held.getDirectoryCount() and held.getLength() < SMALL_FILE * files
+
+    def append(self, name: str, df: DataFrame, like: str | None = None) -> int:
+        """Add rows; returns how many.  A table whose years lie in several versions is written anew.
+
+        ``like`` names the stored table that ``df`` goes through row by row, if both are
+        partitioned by week: its files hold a week each, so the tasks that read them write
+        the rows of their weeks, without a shuffle, unless that table lies in pieces.
+        """
         done = self.versions(name)
         if name not in WEEK_PARTITIONED and done and self._map(name, done[-1]) is not None:
             return self._replace(name, df, self.read(name))
-        return self._write(name, df, self.path(name), "append")
+        return self._write(name, df, self.path(name), "append", like=like)
 
-    def overwrite(self, name: str, df: DataFrame) -> int:
-        """Replace the whole table; ``df`` may read it."""
-        return self._replace(name, df)
+    def overwrite(self, name: str, df: DataFrame, like: str | None = None) -> int:
+        """Replace the whole table; ``df`` may read it.  For ``like`` see :meth:`append`."""
+        return self._replace(name, df, like=like)
 
     def replace_weeks(self, name: str, df: DataFrame, weeks: Sequence[str]) -> int:
         """Replace all rows of some weeks by those that ``df`` has of them; returns their number.
@@ -194,7 +208,12 @@ class Tables:
         return self._replace(name, df.filter(mine), others, held | dict.fromkeys(touched, done[-1] + 1))
 
     def _replace(
-        self, name: str, df: DataFrame, others: DataFrame | None = None, held: dict[str, int] | None = None
+        self,
+        name: str,
+        df: DataFrame,
+        others: DataFrame | None = None,
+        held: dict[str, int] | None = None,
+        like: str | None = None,
     ) -> int:
         """Write the next version; ``held`` is its map if it has some years only."""
         done = self.versions(name)
@@ -203,7 +222,7 @@ class Tables:
         if held is not None:
             mark, fs = self._folder(f"{self.root}/{name}/{_map_name(new, held)}")
             fs.create(mark, True).close()
-        written = self._write(name, df, self.path(name, new), "overwrite", others)
+        written = self._write(name, df, self.path(name, new), "overwrite", others, like)
         self._tidy(name, [*done[-1:], new])
         return written
 
@@ -237,19 +256,24 @@ class Tables:
         typed = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])
         return typed if name in WEEK_PARTITIONED else typed.withColumn(YEAR, F.substring(WEEK, 1, 4))
 
-    def _write(self, name: str, df: DataFrame, path: str, mode: str, others: DataFrame | None = None) -> int:
+    def _write(
+        self,
+        name: str,
+        df: DataFrame,
+        path: str,
+        mode: str,
+        others: DataFrame | None = None,
+        like: str | None = None,
+    ) -> int:
         rows = Observation()
         out = self._partitioned(name, df).observe(rows, F.count("*").alias("n"))
         if others is not None:
             out = out.unionByName(self._partitioned(name, others))
-        (
-            # few files per partition, and several tasks for one too large for a
-            # single task; the rows are counted by the tasks that write them
-            out.hint("rebalance", _partition(name))
-            .write.mode(mode)
-            .partitionBy(_partition(name))
-            .parquet(path)
-        )
+        if like is None or self.in_pieces(like):
+            # few files per partition, and several tasks for one too large for a single task
+            out = out.hint("rebalance", _partition(name))
+        # the rows are counted by the tasks that write them
+        out.write.mode(mode).partitionBy(_partition(name)).parquet(path)
         return observed_rows(rows)
 
     def insert_stories(
@@ -284,7 +308,7 @@ class Tables:
             # where nothing was stored the stories are this load, without its copies
             self.ids.append(self.read("raw_stories"))
         elif written:
-            self.ids.append(not_yet_stored(stories.select("story_id"), known, ["story_id"]))
+            self.ids.append(not_yet_stored(stories.select("story_id").distinct(), known, ["story_id"]))
         self.ids.end()
         return written
 

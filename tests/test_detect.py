@@ -218,3 +218,18 @@ def test_only_texts_beyond_ascii_are_searched_for_folded_letters(spark):
     got = [r.w for r in df.select("i", words("t").alias("w")).orderBy("i").collect()]
     assert got == [["go_2", "x"], ["a", "b", "c", "9"], [], [], None, ["caf\u00e9", "rust", "ix"], ["x", "y"], ["a", "b", "c"], ["\u0663", "\u00b2"]]
     assert "octet_length(t" in df.select(words("t"))._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_names_that_are_their_words_are_not_looked_up(spark):
+    def plan(df):
+        return df._jdf.queryExecution().optimizedPlan().toString()
+
+    rows = [("Red RING, red_ring ring-red", None), ("gear", "http://x.org/old-bolt"), ("none", None), (None, None), ("\u017fmall \u212aey", None)]
+    df = spark.createDataFrame(rows, "title string, url string")
+    own = detect_keywords(df, Taxonomy({"A": ["red", "old", "small"], "B": ["ring", "bolt", "gear", "key"]}))
+    assert [r.keywords for r in own.collect()] == [["red", "ring"], ["bolt", "gear", "old"], [], [], ["key", "small"]]
+    assert "crc32" not in plan(own)
+    # one name in capitals, of two words, with a pattern or beside another of its word asks for the look-up
+    for names, patterns, first in ((["Red", "ring"], {}, ["Red", "ring"]), (["red", "a ring"], {}, ["red"]), (["red", "ring"], {"ring": r"\bring\b(?=-)"}, ["red", "ring"]), (["red", "Red"], {}, ["Red", "red"])):
+        looked_up = detect_keywords(df, Taxonomy({"A": names}, patterns))
+        assert looked_up.first().keywords == first and "crc32" in plan(looked_up)

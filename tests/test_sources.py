@@ -351,3 +351,20 @@ def test_a_first_load_is_not_bound_to_the_buckets_of_ids(spark, tables, make_sto
     assert any("title" in columns for columns in dealt)
     assert sorted((r.story_id, r.title) for r in tables.read("raw_stories").collect()) == [(1, "a"), (2, "c"), (3, "e")]
     assert sorted(r.story_id for r in tables.ids.read().collect()) == [1, 2, 3]
+
+
+def test_ids_of_a_first_load_are_shuffled_once(spark, tables, make_stories, monkeypatch):
+    plans = []
+
+    def dealt(rows, real=tables.ids.dealt):
+        out = real(rows)
+        plans.append(out._jdf.queryExecution().executedPlan().toString())
+        return out
+
+    day = "2024-01-02 10:00:00"
+    monkeypatch.setattr(tables.ids, "dealt", dealt)
+    assert tables.insert_stories(make_stories([(1, "a", 1, 1, day), (1, "b", 1, 1, day), (None, "c", 1, 1, day)]), ["title"]) == 2
+    assert plans[-1].count("Exchange") == 1 and "Aggregate" not in plans[-1]
+    # copies in a later load leave one id
+    assert tables.insert_stories(make_stories([(2, "d", 1, 1, day), (2, "e", 1, 1, day), (1, "f", 1, 1, day)]), ["title"]) == 1
+    assert sorted(r.story_id for r in tables.ids.read().collect()) == [1, 2]
