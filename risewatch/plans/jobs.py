@@ -57,7 +57,10 @@ def rebuild(tables: Tables, taxonomy: Taxonomy = DEFAULT) -> dict[str, int]:
     rollup, which therefore needs no join of events back to stories.
     """
     lazy = scored_tables(tables.read("raw_stories"), taxonomy)
-    counts = {name: tables.overwrite(name, lazy[name]) for name in ("keyword_events", "weekly_mentions")}
+    counts = {
+        "keyword_events": tables.overwrite("keyword_events", lazy["keyword_events"], like="raw_stories"),
+        "weekly_mentions": tables.overwrite("weekly_mentions", lazy["weekly_mentions"]),
+    }
     velocity = keyword_velocity(tables.read("weekly_mentions"))
     counts["keyword_velocity"] = tables.overwrite("keyword_velocity", velocity)
     return counts

@@ -199,3 +199,26 @@ def test_undated_stories_are_detected_in_a_stream_too(spark, tmp_path, make_stor
     load_batch(tables, make_stories([(1, "Rust", 1, 1, None), (2, "Go!", 1, 1, "2024-03-01")]))
     assert {r.keyword for r in tables.read("keyword_events").collect()} == {"Rust", "Go"}
     assert {r.keyword for r in tables.read("weekly_mentions").collect()} == {"Go"}
+
+
+def test_events_are_written_where_their_stories_are_read(spark, tables, make_stories, monkeypatch):
+    asked, frame = [], type(spark.range(1))
+    monkeypatch.setattr(frame, "hint", lambda self, *given, real=frame.hint: asked.append(given) or real(self, *given))
+    for first in range(0, 700, 350):
+        tables.insert_stories(make_stories(feed(350, first)))
+    assert ("rebalance", "iso_week") in asked and not tables.in_pieces("raw_stories")
+    asked.clear()
+    rebuild(tables, DEFAULT)
+    assert asked == [("rebalance", "iso_year")] * 2
+    found = content(tables.read("keyword_events"))
+    assert found == content(scored_tables(tables.read("raw_stories"), DEFAULT)["keyword_events"])
+    # stories in many small files: their events are gathered
+    for first in range(700, 706):
+        tables.append("raw_stories", make_stories(feed(1, first) * 3).repartition(3).withColumn("fetched_at", F.col("created_at")))
+    assert not tables.in_pieces("raw_stories")
+    monkeypatch.setattr("risewatch.sources.tables.FILES_A_FOLDER", 0.5)
+    assert tables.in_pieces("raw_stories")
+    asked.clear()
+    rebuild(tables, DEFAULT)
+    assert asked == [("rebalance", "iso_week"), *[("rebalance", "iso_year")] * 2]
+    assert len(tables.read("keyword_events").inputFiles()) <= 2 * len({r.iso_week for r in tables.read("raw_stories").collect()})
