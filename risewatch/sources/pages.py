@@ -82,12 +82,24 @@ def _integer(text: str, kind: str) -> Column:
 def hits(pages: DataFrame) -> DataFrame:
     """Every hit with its text fields, its JSON, its arrival, and ``reason`` if it cannot be stored."""
     given = pages.filter(F.col("unreadable").isNull()) if "unreadable" in pages.columns else pages
-    file = F.col("file") if "file" in pages.columns else F.lit(None).cast("string")
-    rows = given.select(
-        file.alias("file"), F.col("page").alias("page_no"), F.posexplode("hits").alias("position", "json")
+    rows = given.select(_file(pages), F.col("page").alias("page_no"), F.posexplode("hits").alias("position", "json"))
+    return _parsed(rows).withColumn("reason", _reason())
+
+
+def _file(pages: DataFrame) -> Column:
+    return (F.col("file") if "file" in pages.columns else F.lit(None).cast("string")).alias("file")
+
+
+def _parsed(rows: DataFrame, *carry: str) -> DataFrame:
+    """(arrival, json, the hit's text fields) of rows (file, page_no, position, json)."""
+    return rows.select("*", _once(F.from_json("json", HIT_TEXT)).alias("hit")).select(
+        F.struct("file", F.col("page_no").alias("page"), "position").alias(ARRIVAL), "json", *carry, "hit.*"
     )
+
+
+def _reason() -> Column:
     odd = lambda name: F.col(name).isNotNull() & _integer(name, "int").isNull()
-    reason = (
+    return (
         F.when(~F.coalesce(F.col("json").rlike(r"(?s)^\s*\{"), F.lit(False)), "hit is not an object")
         .when(F.coalesce(F.length("objectID"), F.lit(0)) == 0, "missing id")
         .when(F.coalesce(F.length("title"), F.lit(0)) == 0, "missing title")
@@ -95,11 +107,6 @@ def hits(pages: DataFrame) -> DataFrame:
         .when(odd("points"), "unreadable points")
         .when(odd("num_comments"), "unreadable comments")
     )
-    return (
-        rows.select("*", _once(F.from_json("json", HIT_TEXT)).alias("hit"))
-        .select(F.struct("file", F.col("page_no").alias("page"), "position").alias(ARRIVAL), "json", "hit.*")
-        .withColumn("reason", reason)
-    )
 
 
 def parse_hits(pages: DataFrame) -> DataFrame:
@@ -124,15 +131,23 @@ def parse_hits(pages: DataFrame) -> DataFrame:
 
 
 def rejected_hits(pages: DataFrame) -> DataFrame:
-    """(arrival, reason, json) of what :func:`parse_hits` does not return: bad hits, and whole pages nobody can read."""
-    bad_hits = hits(pages).filter(F.col("reason").isNotNull()).select(ARRIVAL, "reason", "json")
+    """(arrival, reason, json) of what :func:`parse_hits` does not return: bad hits, and whole pages nobody can read.
+
+    An unreadable page goes through as if its text were a hit, without a place on a
+    page, so that the pages are read and parsed once for both.
+    """
     if "unreadable" not in pages.columns:
-        return bad_hits
-    nowhere = F.struct(F.col("file"), F.lit(None).cast("int").alias("page"), F.lit(None).cast("int").alias("position"))
-    bad_pages = pages.filter(F.col("unreadable").isNotNull()).select(
-        nowhere.alias(ARRIVAL), F.lit("unreadable page").alias("reason"), F.col("unreadable").alias("json")
-    )
-    return bad_hits.unionByName(bad_pages)
+        return hits(pages).filter(F.col("reason").isNotNull()).select(ARRIVAL, "reason", "json")
+    whole = F.col("unreadable").isNull()
+    rows = pages.select(
+        _file(pages),
+        F.when(whole, F.col("page")).alias("page_no"),
+        whole.alias("whole"),
+        F.posexplode(F.when(whole, F.col("hits")).otherwise(F.array("unreadable"))).alias("position", "json"),
+    ).withColumn("position", F.when(F.col("whole"), F.col("position")))
+    reason = F.when(~F.col("whole"), "unreadable page").otherwise(_reason())
+    bad = _parsed(rows, "whole").withColumn("reason", reason).filter(F.col("reason").isNotNull())
+    return bad.select(ARRIVAL, "reason", "json")
 
 
 def in_time_range(

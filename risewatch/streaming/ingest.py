@@ -7,7 +7,8 @@ its stories and events stored already and re-scores the same weeks.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,6 +21,8 @@ from risewatch.sources.pages import page_columns, parse_hits, rejected_hits
 from risewatch.sources.tables import Tables
 from risewatch.taxonomy import DEFAULT, Taxonomy
 
+ADAPTIVE = "spark.sql.adaptive.enabled"
+
 
 def page_stream(
     spark: SparkSession, path: str, multi_line: bool = True, max_files: int | None = None
@@ -92,9 +95,33 @@ def start_stream(
     return _start(pages, checkpoint, on_batch)
 
 
+@contextmanager
+def _planned_as(adaptive: str, session: SparkSession) -> Iterator[None]:
+    """Within a micro-batch, set adaptive execution in the stream's session."""
+    of_stream = session.conf.get(ADAPTIVE)
+    session.conf.set(ADAPTIVE, adaptive)
+    try:
+        yield
+    finally:
+        session.conf.set(ADAPTIVE, of_stream)
+
+
 def _start(stream: DataFrame, checkpoint: str, on_batch, mode: str = "append") -> StreamingQuery:
+    """Start a query whose work on a micro-batch is planned as in the session that starts it.
+
+    Spark turns adaptive execution off in the stream's own session, for the state's sake.  What
+    ``on_batch`` does has no state; without adaptive execution the rebalancing before a write is
+    left out, every task of a shuffle writes a file for every week, and whoever reads these files
+    as a stream gets that many more micro-batches.
+    """
+    adaptive = stream.sparkSession.conf.get(ADAPTIVE)
+
+    def planned(batch: DataFrame, number: int) -> None:
+        with _planned_as(adaptive, batch.sparkSession):
+            on_batch(batch, number)
+
     return (
-        stream.writeStream.foreachBatch(on_batch)
+        stream.writeStream.foreachBatch(planned)
         .outputMode(mode)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)

@@ -122,3 +122,24 @@ def test_late_ids_are_met_by_the_stored_ones(spark, tmp_path):
         for query in start_distinct_stream(page_stream(spark, str(landed)), tables, str(tmp_path / "checkpoint"), delay="1 microsecond"):
             query.awaitTermination()
     assert tables.row_count("raw_stories") == 20
+
+
+def test_a_micro_batch_writes_few_files(spark, tmp_path):
+    """As many as a batch job does, and not one for every week and task of the shuffle."""
+    landed = tmp_path / "landed"
+    landed.mkdir()
+    page_file(landed / "1.json", feed(200))
+    tables = Tables(spark, str(tmp_path / "tables"))
+    for query in start_distinct_stream(page_stream(spark, str(landed)), tables, str(tmp_path / "checkpoint")):
+        query.awaitTermination()
+    for name in ("raw_stories", "keyword_events"):
+        weeks = [x for x in (tmp_path / f"tables/{name}/v000001").iterdir() if x.is_dir()]
+        assert weeks and {len(list(week.glob("*.parquet"))) for week in weeks} == {1}, name
+
+
+def test_rejects_are_read_in_one_pass(spark, tmp_path):
+    from risewatch.sources.pages import read_pages, rejected_hits
+
+    (tmp_path / "1.json").write_text('{"hits": ["stray"]}')
+    plan = rejected_hits(read_pages(spark, str(tmp_path)))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan json") == 1
