@@ -6,6 +6,7 @@ from test_functions import model_terms
 
 from risewatch.operators.emerging import (
     SPREAD,
+    _slot_by_size,
     default_stop_words,
     emerging_terms,
     term_counts,
@@ -93,3 +94,56 @@ def test_shuffles_of_terms_have_their_own_parts(spark):
     # few default partitions do not make a task keep more terms
     assert plan.count(f", {SPREAD}), REPARTITION_BY_NUM") == 5
     assert "ShuffledHashJoin" in plan
+
+
+def test_counts_are_not_shuffled(spark):
+    docs = spark.createDataFrame([("a", i, f"web rust w{i % 3}") for i in range(40)], "g string, d int, t string")
+    # large tables are not broadcast
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        scores = tfidf_scores(docs, "g", "d", "t")
+        assert scores.count() > 0
+        plan = tfidf_scores(docs, "g", "d", "t", unique=True)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    # no row of document and term, which has its tf, comes out of a shuffle by document or by term
+    deals = [line for line in plan.splitlines() if "Exchange " in line]
+    assert deals and not [x for x in deals if "hashpartitioning(g" in x and ("d#" in x or "_slot" in x)]
+    assert not [x for x in deals if "hashpartitioning(_slot" in x]
+    assert sum("shufflepartitionidpassthrough" in x for x in deals) == 3
+
+
+def test_copies_and_nulls_score_as_their_document(spark):
+    """Rows that share a document are one document for its length, each of them one for the frequencies."""
+    rows = [("a", i, f"web rust w{i % 4}") for i in range(30)] + [("b", i, "web fast") for i in range(5)]
+    rows += [("a", 3, "web web go"), ("a", 3, "go rust"), ("a", None, "web go"), ("a", None, "go fast"), (None, 1, "web")]
+    rows += [("a", 50, ""), ("b", 6, None), ("b", 7, "-- 1")]
+    docs = spark.createDataFrame(rows, "g string, d int, t string")
+    got = {(r.g, r.term): (r.df, r.tfidf_score) for r in tfidf_scores(docs, "g", "d", "t", min_docs=3, stop_words=[]).collect()}
+    want = {}
+    for g in ("a", "b"):
+        texts = [(d, Counter(model_terms(t, set()))) for k, d, t in rows if k == g and t is not None]
+        df = Counter(term for _, terms in texts for term in terms)
+        idf = {t: math.log((1 + len(texts)) / (1 + n)) + 1 for t, n in df.items() if n >= 3}
+        merged = defaultdict(Counter)
+        for d, terms in texts:
+            merged[d].update(terms)
+        for terms in merged.values():
+            weights = {t: n * idf[t] for t, n in terms.items() if t in idf}
+            length = math.sqrt(sum(w * w for w in weights.values()))
+            for t, w in weights.items():
+                want[g, t] = (df[t], want.get((g, t), (0, 0.0))[1] + w / length)
+    assert got.keys() == want.keys()
+    assert all(got[k][0] == want[k][0] and abs(got[k][1] - want[k][1]) < 1e-9 for k in want)
+
+
+def test_large_groups_get_parts_by_their_share(spark):
+    docs = spark.createDataFrame(
+        [(g, i, "web") for g, n in (("a", 600), ("b", 395), ("c", 5)) for i in range(n)], "g string, d int, t string"
+    )
+    placed = docs.select("g", _slot_by_size(docs, "g", "d", "t").alias("part")).distinct().collect()
+    parts = {g: {r.part for r in placed if r.g == g} for g in "abc"}
+    assert parts["a"] <= set(range(153)) and len(parts["a"]) > 130
+    assert parts["b"] <= set(range(153, 254)) and len(parts["b"]) > 80
+    assert len(parts["c"]) == 1
